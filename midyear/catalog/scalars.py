@@ -221,9 +221,9 @@ def _parse_ymd(spark, sf):
     b = derived(spark, sf, raw.BIRTHS)
     return b.select(
         "k",
-        dates.parse_ymd(text.pad_left(col("anoreg")), col("mesreg"), F.lit("01"))
+        dates.parse_ymd(col("anoreg"), col("mesreg"), F.lit("01"))
         .alias("record_date"),
-        dates.parse_ymd(text.pad_left(F.coalesce("anoocu", "file_year")), col("mesocu"),
+        dates.parse_ymd(F.coalesce("anoocu", "file_year"), col("mesocu"),
                         col("diaocu")).alias("event_date"))
 
 

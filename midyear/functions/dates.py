@@ -5,34 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ONE_OR_TWO_DIGITS = "^[0-9]{1,2}$"
-FOUR_DIGITS = "^[0-9]{4}$"
+ISO_DATE = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 
 
 def full_year(year: Column) -> Column:
     """Year text with 1, 2 or 4 digits to INT: 0-68 is 20xx, 69-99 is 19xx."""
-    short = year.rlike(ONE_OR_TWO_DIGITS)
     number = year.try_cast("int")
-    return (
-        F.when(short & (number <= 68), number + 2000)
-        .when(short, number + 1900)
-        .when(year.rlike(FOUR_DIGITS), number)
-    )
+    century = F.when(F.length(year) > 2, 0).when(number <= 68, 2000).otherwise(1900)
+    return F.when(year.rlike("^([0-9]{1,2}|[0-9]{4})$"), number + century)
 
 
 def parse_ymd(year: Column, month: Column, day: Column) -> Column:
-    """Date from text parts; NULL when a part is missing or the day does not exist."""
-    good = month.rlike(ONE_OR_TWO_DIGITS) & day.rlike(ONE_OR_TWO_DIGITS)
-    text = F.concat(F.lpad(full_year(year).cast("string"), 4, "0"), F.lit("-"), month,
-                    F.lit("-"), day)
-    return F.when(good, text.try_cast("date"))
+    """Date from text parts; NULL when a part is missing or the day does not exist.
+
+    Each part is used once, so that the expression stays small where filters on the
+    result are pushed down to the raw columns.
+    """
+    number = F.lpad(full_year(year).cast("string"), 4, "0")
+    text = F.concat(number, F.lit("-"), month, F.lit("-"), day)
+    return F.regexp_extract(text, ISO_DATE, 0).try_cast("date")
+
 
+def next_boundary(day: Column, month: int = 7) -> Column:
+    """First start of ``month`` strictly after ``day``: a row expression, no join.
 
-def next_boundary(day: Column, month: int = 7, month_day: int = 1) -> Column:
-    """First yearly boundary strictly after ``day``, as a row expression (no join)."""
-    this_year = F.make_date(F.year(day), F.lit(month), F.lit(month_day))
-    next_year = F.make_date(F.year(day) + 1, F.lit(month), F.lit(month_day))
-    return F.when(day < this_year, this_year).when(day >= this_year, next_year)
+    Moving the month to the end of the year makes the boundary the next January.
+    """
+    moved = F.trunc(F.add_months(day, 13 - month), "year")
+    return F.add_months(moved, month - 1)
 
 
 def months_before(day: Column, months: int | Column) -> Column:
@@ -49,8 +49,7 @@ def strict_months_before(day: Column, months: Column) -> Column:
 
 def shift_back(day: Column, amount: Column, unit: Column) -> Column:
     """``day`` minus an amount of ``days``, ``months`` or ``years``; other units give NULL."""
-    return (
-        F.when(unit == "days", F.date_sub(day, amount))
-        .when(unit == "months", strict_months_before(day, amount))
-        .when(unit == "years", strict_months_before(day, amount * 12))
+    months = F.when(unit == "months", amount).when(unit == "years", amount * 12)
+    return F.when(unit == "days", F.date_sub(day, amount)).otherwise(
+        strict_months_before(day, months)
     )

@@ -44,20 +44,25 @@ def threshold_date(boundary: Column, unit: str, amount: int) -> Column:
 
 
 def age_label(day: Column, boundary: Column, thresholds=INFANT_THRESHOLDS) -> Column:
-    """Youngest group whose lower bound is on or before ``day``; NULL from the boundary on
-    and before the oldest bound."""
+    """Youngest group whose lower bound is on or before ``day``; NULL before the oldest."""
     label, unit, amount = thresholds[0]
     out = F.when(day >= threshold_date(boundary, unit, amount), F.lit(label))
     for label, unit, amount in thresholds[1:]:
         out = out.when(day >= threshold_date(boundary, unit, amount), F.lit(label))
-    return F.when(day < boundary, out)
+    return out
 
 
 def cohort_label(df: DataFrame, date: str, boundary: str = "mid_year",
                  label: str = "label", thresholds=INFANT_THRESHOLDS) -> DataFrame:
-    """Label each date with its age group at its boundary; unlabelled rows are dropped."""
-    labelled = df.withColumn(label, age_label(F.col(date), F.col(boundary), thresholds))
-    return labelled.filter(F.col(label).isNotNull())
+    """Label each date with its age group at its boundary.
+
+    Dates from the boundary on, or before the oldest group, are dropped.  The filter is a
+    plain date range, which stays small when it is pushed down to a derived date.
+    """
+    day, end = F.col(date), F.col(boundary)
+    _, unit, amount = thresholds[-1]
+    kept = df.filter((day < end) & (day >= threshold_date(end, unit, amount)))
+    return kept.withColumn(label, age_label(day, end, thresholds))
 
 
 def label_variants(df: DataFrame, date: str, boundary: str = "mid_year",
@@ -127,8 +132,10 @@ def births_at(
         F.col(department).isin(list(departments)) & (F.col("event_date") >= first)
     ).select(F.col(department).alias("department"), F.col(municipality).alias("muni_id"),
              "event_date")
-    rows = at_mid_year(rows, years, "event_date").filter(F.col("mid_year") > first)
-    rows = cohort_label(rows, "event_date", label="age_group")
+    # The boundary follows the event, so it is past the first date and less than twelve
+    # months away: every row left has a label.
+    rows = at_mid_year(rows, years, "event_date").withColumn(
+        "age_group", age_label(F.col("event_date"), F.col("mid_year")))
     counts = rows.groupBy(
         F.year("mid_year").alias("year"), "department", "muni_id", "age_group"
     ).agg(F.count(F.lit(1)).alias("births"))
@@ -164,7 +171,7 @@ def deaths_at(
     """
     rows = at_mid_year(deaths, years, "event_date", F.col("event_year"))
     rows = rows.filter(F.col("birth_date") > months_before(F.col("mid_year"), 12))
-    rows = cohort_label(rows, "birth_date", label="age_group")
+    rows = rows.withColumn("age_group", age_label(F.col("birth_date"), F.col("mid_year")))
     counts = rows.groupBy(
         F.year("mid_year").alias("year"),
         F.col("event_department").alias("department"),

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from midyear.functions.dates import parse_ymd
 from midyear.functions.numbers import kilograms, safe_int
 from midyear.functions.recode import recode, recode_known
-from midyear.functions.text import pad_left
 from midyear.operators.cohort import DEPARTMENTS, with_birth_date
 
 # Code tables of the record files.
@@ -54,13 +53,12 @@ REPAIRED_YEARS = {"9": 2009, "10": 2010}
 
 def record_date() -> Column:
     """First day of the registration month."""
-    return parse_ymd(pad_left(F.col("anoreg")), F.col("mesreg"), F.lit("01"))
+    return parse_ymd(F.col("anoreg"), F.col("mesreg"), F.lit("01"))
 
 
 def event_date() -> Column:
     """Date of the event; a missing year is the year of the file."""
-    year = F.coalesce("anoocu", "file_year")
-    return parse_ymd(pad_left(year), F.col("mesocu"), F.col("diaocu"))
+    return parse_ymd(F.coalesce("anoocu", "file_year"), F.col("mesocu"), F.col("diaocu"))
 
 
 def repaired_year(event_year: Column, record_year: Column) -> Column:
@@ -97,8 +95,7 @@ def decode_births(raw: DataFrame) -> DataFrame:
 def decode_deaths(raw: DataFrame) -> DataFrame:
     """Death details, 15 columns."""
     year = repaired_year(F.col("anoocu"), F.col("anoreg"))
-    date = parse_ymd(F.col("death_year").cast("string"), pad_left(F.col("mesocu")),
-                     pad_left(F.col("diaocu")))
+    date = parse_ymd(F.col("death_year").cast("string"), F.col("mesocu"), F.col("diaocu"))
     return raw.withColumn("death_year", year).select(
         "death_year",
         date.alias("death_date"),

@@ -218,13 +218,13 @@ def department_blocks(labels: DataFrame, group: list[str], order: str, label: st
 
     The head row is the block total and is dropped.
     """
-    labels = previous(labels, group, order, label, "__before", **options)
-    starts = F.col("__before").isNull() & F.col(label).isNotNull()
+    labels = previous(labels, group, order, label, "__previous", **options)
+    starts = F.col("__previous").isNull() & F.col(label).isNotNull()
     blocks = sections(labels, group, order, starts, {"department": F.col(label)},
                       section="block", **options)
     return blocks.filter(
         F.col(label).isNotNull() & (F.col(order) > F.col("section_start"))
-    ).drop("__before", "section_start")
+    ).drop("__previous", "section_start")
 
 
 def layout_2016(cells: DataFrame, skip: int = SKIP_2016) -> DataFrame:

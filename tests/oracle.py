@@ -54,7 +54,7 @@ def _kind(name: str) -> str:
         return "whole"
     if name in ("double", "float"):
         return "double"
-    return name.split("(")[0]
+    return name.split("(")[0].removesuffix("_ntz")
 
 
 def compare(df, con, sql: str) -> tuple[int, list[str]]:
