@@ -86,13 +86,14 @@ def mid_years(births: DataFrame, date: str = "event_date") -> DataFrame:
     """``(mid_year, event_year)``: each July 1 of a year with births, paired with every year
     from the first birth year on.  Rows with no date are ignored.
 
-    Grouped per calendar year, so the result is bounded by the calendar, not by the data.
+    The births are read once, into one set of calendar years; the range of DATE bounds it
+    to 9,999 values.
     """
-    years = births.filter(F.col(date).isNotNull()).select(F.year(date).alias("y")).distinct()
-    first = years.agg(F.min("y"))
-    pairs = years.withColumn("event_year", F.explode(F.sequence(first.scalar(), F.col("y"))))
-    return pairs.select(
-        F.make_date(F.col("y"), F.lit(7), F.lit(1)).alias("mid_year"), "event_year"
+    found = births.agg(F.collect_set(F.year(date)).alias("ys"))
+    years = found.select(F.explode("ys").alias("y"), F.array_min("ys").alias("first"))
+    return years.select(
+        F.make_date(F.col("y"), F.lit(7), F.lit(1)).alias("mid_year"),
+        F.explode(F.sequence("first", "y")).alias("event_year"),
     )
 
 

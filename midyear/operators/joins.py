@@ -8,8 +8,6 @@ adaptive execution) and otherwise sort-merges, splitting skewed partitions.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,15 +22,11 @@ def join_on(left: DataFrame, right: DataFrame, on: Sequence[str] | Mapping[str,
     The key columns of the right side are dropped from the result.
     """
     pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
-    right_keys = {r: f"__right_{i}" for i, r in enumerate(pairs.values())}
-    renamed = right.select(
-        *[F.col(f"`{c}`").alias(right_keys.get(c, c)) for c in right.columns]
-    )
-    condition = reduce(
-        and_, [left[lk].eqNullSafe(renamed[right_keys[rk]]) for lk, rk in pairs.items()]
-    )
-    joined = left.join(renamed, condition, how)
-    return joined if how in ("left_semi", "left_anti") else joined.drop(*right_keys.values())
+    renamed = {r: f"__right_{i}" for i, r in enumerate(pairs.values())}
+    keyed = right.toDF(*[renamed.get(c, c) for c in right.columns])
+    condition = F.expr(" AND ".join(f"`{a}` <=> `{renamed[b]}`" for a, b in pairs.items()))
+    joined = left.join(keyed, condition, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*renamed.values())
 
 
 def natural_left_join(left: DataFrame, right: DataFrame) -> DataFrame:

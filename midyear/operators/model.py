@@ -8,6 +8,7 @@ large part of the rows costs no more than its share of partial sums.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -20,8 +21,9 @@ from midyear.operators.totals import group_sum
 from midyear.sources.shared import cut_lineage
 
 MAX_ROUNDS = 25
-ROUNDS_PER_JOB = 4
-TOLERANCE = 1e-10
+ROUNDS_PER_JOB = 5
+# Rounds converge quadratically: a change below this leaves an error far below it.
+TOLERANCE = 1e-9
 # Fixed value: bound of the linear predictor; beyond it the logistic is 0 or 1 in doubles.
 MAX_ETA = 30.0
 # Ages that one row may hold as an array while it is split.
@@ -54,97 +56,67 @@ def model_cells(population: DataFrame, keys: Sequence[str], year: str = "year",
     )
 
 
-def _design(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per key: centres of the predictors and which of them can be estimated.
+# Centres of the predictors and which of them can be estimated, per key.  Years and ages
+# are whole numbers, so the rank of the design is found exactly: the sums are decimals.
+DESIGN = """
+SELECT k, year_mean, age_mean, vy > 0 AS has_year,
+  va > 0 AND NOT (vy > 0 AND cya * cya = vy * va) AS has_age,
+  CAST(NULL AS DOUBLE) AS c0, CAST(NULL AS DOUBLE) AS c1, CAST(NULL AS DOUBLE) AS c2
+FROM (SELECT k, avg(year) AS year_mean, avg(age) AS age_mean,
+  CAST(count(*) * sum(y * y) - sum(y) * sum(y) AS DOUBLE) AS vy,
+  CAST(count(*) * sum(a * a) - sum(a) * sum(a) AS DOUBLE) AS va,
+  CAST(count(*) * sum(y * a) - sum(y) * sum(a) AS DOUBLE) AS cya
+FROM (SELECT *, CAST(year AS DECIMAL(10, 0)) AS y, CAST(age AS DECIMAL(10, 0)) AS a FROM {cells})
+GROUP BY k)
+"""
 
-    Years and ages are whole numbers, so the rank of the design is found exactly.
-    """
-    y, a = F.col("year").cast("decimal(19,0)"), F.col("age").cast("decimal(19,0)")
-    sums = cells.groupBy(*keys).agg(
-        F.count(F.lit(1)).cast("decimal(19,0)").alias("n"),
-        F.sum(y).alias("sy"), F.sum(a).alias("sa"),
-        F.sum(y * y).alias("syy"), F.sum(y * a).alias("sya"), F.sum(a * a).alias("saa"),
-        F.avg("year").alias("year_mean"), F.avg("age").alias("age_mean"),
-    )
-    n = F.col("n")
 
-    def spread(xy, x, z):
-        return (n * F.col(xy) - F.col(x) * F.col(z)).cast("double")
+def _with_keys(sql: str, keys: Sequence[str]) -> str:
+    """SQL with ``k`` replaced by the key columns."""
+    return re.sub(r"\bk\b", ", ".join(f"`{k}`" for k in keys), sql)
+
+
+# One round, innermost step first.  ``k`` stands for the keys, ``old_*`` are the last
+# coefficients, NULL before the first round, which starts from the observed shares.
+ROUND = """
+SELECT k, year_mean, age_mean, has_year, has_age, c0, c1, c2,
+  greatest(abs(c0 - old_c0) / (1 + abs(c0)), abs(c1 - old_c1) / (1 + abs(c1)),
+           abs(c2 - old_c2) / (1 + abs(c2))) AS moved
+FROM (SELECT *, (sz - c1 * sy - c2 * sa) / s AS c0
+FROM (SELECT *,
+  CASE WHEN has_year AND has_age THEN (cyz * va - caz * cya) / (vy * va - cya * cya)
+       WHEN has_year THEN cyz / vy ELSE 0D END AS c1,
+  CASE WHEN has_year AND has_age THEN (caz * vy - cyz * cya) / (vy * va - cya * cya)
+       WHEN has_age THEN caz / va ELSE 0D END AS c2
+FROM (SELECT *, syy - sy * sy / s AS vy, saa - sa * sa / s AS va, sya - sy * sa / s AS cya,
+  syz - sy * sz / s AS cyz, saz - sa * sz / s AS caz
+FROM (SELECT k, year_mean, age_mean, has_year, has_age, old_c0, old_c1, old_c2,
+  sum(u) AS s, sum(u * y) AS sy, sum(u * a) AS sa, sum(u * z) AS sz,
+  sum(u * y * y) AS syy, sum(u * y * a) AS sya, sum(u * a * a) AS saa,
+  sum(u * y * z) AS syz, sum(u * a * z) AS saz
+FROM (SELECT *, eta + (p - mu) / (mu * (1 - mu)) AS z, w * mu * (1 - mu) AS u
+FROM (SELECT *, 1 / (1 + exp(-greatest(least(eta, bound), -bound))) AS mu
+FROM (SELECT *, coalesce(old_c0 + old_c1 * y + old_c2 * a, ln(start / (1 - start))) AS eta
+FROM (SELECT cells.*, year_mean, age_mean, has_year, has_age,
+  c0 AS old_c0, c1 AS old_c1, c2 AS old_c2, year - year_mean AS y, age - age_mean AS a,
+  (w * p + 0.5D) / (w + 1) AS start
+FROM {cells} AS cells JOIN {state} AS state ON same_key))))
+GROUP BY k, year_mean, age_mean, has_year, has_age, old_c0, old_c1, old_c2))))
+"""
 
-    sums = sums.withColumns(
-        {
-            "vy": spread("syy", "sy", "sy"),
-            "va": spread("saa", "sa", "sa"),
-            "cya": spread("sya", "sy", "sa"),
-        }
-    )
-    has_year = F.col("vy") > 0
-    collinear = F.col("cya") * F.col("cya") == F.col("vy") * F.col("va")
-    return sums.select(
-        *keys, "year_mean", "age_mean",
-        has_year.alias("has_year"),
-        ((F.col("va") > 0) & ~(has_year & collinear)).alias("has_age"),
-    )
 
+def _round_sql(keys: Sequence[str]) -> str:
+    same = " AND ".join(f"cells.`{k}` <=> state.`{k}`" for k in keys)
+    sql = _with_keys(ROUND, keys)
+    return sql.replace("same_key", same).replace("bound", f"{MAX_ETA}D")
 
-def _round(cells: DataFrame, state: DataFrame | None, keys: Sequence[str]) -> DataFrame:
-    """One reweighted least-squares round: new coefficients per key and their change."""
-    w, p, y, a = (F.col(c) for c in ("w", "p", "y", "a"))
-    if state is None:
-        rows = cells.withColumn("mu", (w * p + 0.5) / (w + 1)).withColumn(
-            "eta", F.log(F.col("mu") / (1 - F.col("mu")))
-        )
-        old = F.lit(None).cast("double")
-        carried = [old.alias(c) for c in ("old0", "old1", "old2")]
-    else:
-        rows = join_on(cells, state.select(*keys, "c0", "c1", "c2"), keys, "inner")
-        rows = rows.withColumn("eta", F.col("c0") + F.col("c1") * y + F.col("c2") * a)
-        rows = rows.withColumn("mu", logistic(F.col("eta")))
-        carried = [F.first(c).alias(o) for c, o in (("c0", "old0"), ("c1", "old1"),
-                                                   ("c2", "old2"))]
-    mu = F.col("mu")
-    rows = rows.withColumn("v", mu * (1 - mu)).withColumn(
-        "z", F.col("eta") + (p - mu) / F.col("v")).withColumn("u", w * F.col("v"))
-    u, z = F.col("u"), F.col("z")
-    sums = rows.groupBy(*keys, "has_year", "has_age").agg(
-        F.sum(u).alias("s"),
-        F.sum(u * y).alias("sy"), F.sum(u * a).alias("sa"), F.sum(u * z).alias("sz"),
-        F.sum(u * y * y).alias("syy"), F.sum(u * y * a).alias("sya"),
-        F.sum(u * a * a).alias("saa"),
-        F.sum(u * y * z).alias("syz"), F.sum(u * a * z).alias("saz"),
-        *(carried if state is not None else []),
-    )
-    if state is None:
-        sums = sums.select("*", *carried)
-    s = F.col("s")
-
-    def spread(xy, x, z):
-        return F.col(xy) - F.col(x) * F.col(z) / s
-
-    sums = sums.withColumns(
-        {
-            "vy": spread("syy", "sy", "sy"), "va": spread("saa", "sa", "sa"),
-            "cya": spread("sya", "sy", "sa"),
-            "cyz": spread("syz", "sy", "sz"), "caz": spread("saz", "sa", "sz"),
-        }
-    )
-    vy, va, cya, cyz, caz = (F.col(c) for c in ("vy", "va", "cya", "cyz", "caz"))
-    both = F.col("has_year") & F.col("has_age")
-    det = vy * va - cya * cya
-    zero = F.lit(0.0)
-    c1 = F.when(both, (cyz * va - caz * cya) / det).when(F.col("has_year"), cyz / vy)
-    c2 = F.when(both, (caz * vy - cyz * cya) / det).when(F.col("has_age"), caz / va)
-    solved = sums.withColumns(
-        {"c1": F.coalesce(c1, zero), "c2": F.coalesce(c2, zero)}
-    ).withColumn(
-        "c0", (F.col("sz") - F.col("c1") * F.col("sy") - F.col("c2") * F.col("sa")) / s
-    )
 
-    def change(new, old):
-        return F.abs(F.col(new) - F.col(old)) / (1 + F.abs(F.col(new)))
+def _round(cells: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One reweighted least-squares round: new coefficients per key and their change.
 
-    moved = F.greatest(change("c0", "old0"), change("c1", "old1"), change("c2", "old2"))
-    return solved.select(*keys, "has_year", "has_age", "c0", "c1", "c2", moved.alias("moved"))
+    ``state`` holds the design of each key and its last coefficients.
+    """
+    return cells.sparkSession.sql(_round_sql(keys), cells=cells, state=state)
 
 
 def fit_grouped_logit(
@@ -158,29 +130,20 @@ def fit_grouped_logit(
 ) -> DataFrame:
     """Coefficients ``(keys, b0, b_year, b_age)`` of one model per key.
 
-    Runs jobs: the cells are written once to the shared folder, then every
-    ``ROUNDS_PER_JOB`` rounds the coefficients are, until they stop moving.  A predictor
-    that is constant, or that repeats an earlier one, has a NULL coefficient.
+    Runs jobs: the cells are written once to the shared folder, then the coefficients are
+    after every ``ROUNDS_PER_JOB`` rounds, until they stop moving.  A predictor that is
+    constant, or that repeats an earlier one, has a NULL coefficient.
     """
-    cells = model_cells(population, keys, year, age, value)
-    cells = cut_lineage(cells)
-    design = cut_lineage(_design(cells, keys))
-    rows = join_on(cells, design, keys, "inner").select(
-        *keys, "has_year", "has_age", "p", "w",
-        (F.col("year") - F.col("year_mean")).alias("y"),
-        (F.col("age") - F.col("age_mean")).alias("a"),
-    )
-    rows = cut_lineage(rows)
-    state, rounds = None, 0
-    while rounds < max_rounds:
-        for _ in range(min(ROUNDS_PER_JOB, max_rounds - rounds)):
-            state = _round(rows, state, keys)
-            rounds += 1
+    cells = cut_lineage(model_cells(population, keys, year, age, value))
+    state = cells.sparkSession.sql(_with_keys(DESIGN, keys), cells=cells)
+    for first in range(0, max_rounds, ROUNDS_PER_JOB):
+        for _ in range(first, min(first + ROUNDS_PER_JOB, max_rounds)):
+            state = _round(cells, state, keys)
         state = cut_lineage(state)
-        if state.filter(F.coalesce(F.col("moved"), F.lit(1.0)) > tolerance).limit(1).count() == 0:
+        moving = F.coalesce(F.col("moved"), F.lit(1.0)) > tolerance
+        if state.filter(moving).limit(1).count() == 0:
             break
-    fitted = join_on(state, design.select(*keys, "year_mean", "age_mean"), keys, "inner")
-    return fitted.select(
+    return state.select(
         *keys,
         (F.col("c0") - F.col("c1") * F.col("year_mean") - F.col("c2") * F.col("age_mean"))
         .alias("b0"),

@@ -13,6 +13,7 @@ from midyear.operators.joins import override_within, stop_if_any, unknown_names
 from midyear.operators.model import disaggregate, fit_grouped_logit
 from midyear.operators.shape import derive, map_columns, select_like
 from midyear.plans.layouts import layout_2000, layout_2011, layout_2016
+from midyear.sources.shared import cut_lineage
 
 MODEL_KEYS = ["department", "municipality", "sex"]
 
@@ -99,12 +100,16 @@ def project_ages(single_ages: DataFrame, projected: DataFrame) -> DataFrame:
 
 
 def population_table(cells_2000: DataFrame, cells_2011: DataFrame,
-                     cells_2016: DataFrame, check: bool = True) -> DataFrame:
+                     cells_2016: DataFrame, check: bool = True,
+                     **options_2011) -> DataFrame:
     """Long population table of all years from three cell tables.
 
-    Runs the jobs of the name check and of the model fit.
+    The single-age table is written once to the shared folder, as the check, the fit and
+    the result all read it.  Runs the jobs of the name check and of the model fit;
+    ``options_2011`` go to ``layout_2011``.
     """
-    single_ages = harmonise(layout_2000(cells_2000).unionByName(layout_2011(cells_2011)))
+    past = layout_2000(cells_2000).unionByName(layout_2011(cells_2011, **options_2011))
+    single_ages = cut_lineage(harmonise(past))
     projected = standardise(layout_2016(cells_2016))
     if check:
         check_names(projected, single_ages)

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Do not record the Python call site of every column: plans are built much faster.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
