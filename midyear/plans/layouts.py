@@ -138,15 +138,15 @@ def layout_2000(cells: DataFrame) -> DataFrame:
     columns = place_columns_2000(cells).filter(
         (F.col("measure") != "total") & (F.col("place") != "total")
     )
-    long = _join_cells(cells, year_sections_2000(cells), columns)
-    return long.select(
-        "year",
+    columns = columns.select(
+        *SHEET,
+        "col_idx",
         department_of(F.col("file")).alias("department"),
         key_to_place(F.col("place")).alias("municipality"),
         recode(F.col("measure"), SEX_2000).alias("sex"),
-        "age",
-        safe_double(F.col("value")).alias("population"),
     )
+    long = _join_cells(cells, year_sections_2000(cells), columns)
+    return long.withColumn("population", safe_double(F.col("value"))).select(*POPULATION)
 
 
 def skip_2011(department: Column, sheet: Column, late: list[str] | None = None) -> Column:
@@ -171,25 +171,24 @@ def layout_2011(cells: DataFrame, late: list[str] | None = None,
     cells = without_parentheses(cells, "file")
     cells = cells.withColumn("value", null_marker(F.col("value"), NULL_2011))
     cells = skip_rows(cells, skip_2011(department_of(F.col("file")), F.col("sheet"), late))
-    columns = _header(cells, 1, "place").filter(F.col("col_idx") > 1).withColumn(
-        "place", key_to_place(header_name(F.col("place")))
+    department = department_of(F.col("file"))
+    place = key_to_place(header_name(F.col("place")))
+    columns = _header(cells, 1, "place").filter(F.col("col_idx") > 1).select(
+        *SHEET,
+        "col_idx",
+        sheet_year(F.col("sheet")).alias("year"),
+        department.alias("department"),
+        fill_blank_place(department, place, blank_places).alias("municipality"),
     )
     labels = _labels(cells, "label").filter(
         (F.col("row_idx") > 1) & F.col("label").isNotNull()
     ).withColumn("age", age_of(F.col("label")))
     rows = sections(
         labels, SHEET, "row_idx", F.col("age").isNull(), {"heading": F.col("label")}
-    ).filter(F.col("age").isNotNull()).select(*SHEET, "row_idx", "heading", "age")
-    long = _join_cells(cells, rows, columns)
-    department = department_of(F.col("file"))
-    return long.select(
-        sheet_year(F.col("sheet")).alias("year"),
-        department.alias("department"),
-        fill_blank_place(department, F.col("place"), blank_places).alias("municipality"),
-        recode(F.lower("heading"), SEX_2011).alias("sex"),
-        "age",
-        safe_double(F.col("value")).alias("population"),
-    )
+    ).filter(F.col("age").isNotNull())
+    sex = recode(F.lower("heading"), SEX_2011).alias("sex")
+    long = _join_cells(cells, rows.select(*SHEET, "row_idx", sex, "age"), columns)
+    return long.withColumn("population", safe_double(F.col("value"))).select(*POPULATION)
 
 
 def spanning_names(header: DataFrame, group: list[str], order: str, label: str,
@@ -238,13 +237,7 @@ def layout_2016(cells: DataFrame, skip: int = SKIP_2016) -> DataFrame:
                                SHEET, "col_idx").filter(F.col("col_idx") > 1)
     columns = split_key(columns, "name", {"type": "string", "year": "int"}, r"[^\p{L}\p{N}]+")
     labels = _labels(cells, "municipality").filter(F.col("row_idx") > 1)
-    rows = department_blocks(labels, SHEET, "row_idx", "municipality")
+    columns = columns.withColumn("sex", sheet_sex(F.col("sheet")))
+    rows = department_blocks(labels, SHEET, "row_idx", "municipality").drop("block")
     long = _join_cells(cells, rows, columns)
-    return long.select(
-        sheet_sex(F.col("sheet")).alias("sex"),
-        "type",
-        "year",
-        "department",
-        "municipality",
-        safe_double(F.col("value")).alias("population"),
-    )
+    return long.withColumn("population", safe_double(F.col("value"))).select(*AGGREGATE)
