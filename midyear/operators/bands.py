@@ -80,13 +80,15 @@ def split_age(
 ) -> DataFrame:
     """Population per age group, with one age split by the shares of its sub-groups.
 
-    ``shares`` has one row per label of ``levels``, a fixed list, so it is broadcast.
-    An age without shares keeps its whole population.
+    ``shares`` holds one row per label.  Reduced to the fixed list ``levels``, with a label
+    that occurs twice as an error, it has no more rows than that list and is broadcast.  An
+    age without shares keeps its whole population.
     """
     totals = group_sum(population, [*keys, "age"], "population")
-    bounded = shares.filter(F.col("age_group").isin(list(levels))).select(
-        F.lit(age).alias("__age"), "age_group", "proportion"
-    )
+    twice = F.raise_error(F.concat(F.lit("two shares for "), "age_group")).cast("double")
+    bounded = shares.filter(F.col("age_group").isin(list(levels))).groupBy("age_group").agg(
+        F.when(F.count(F.lit(1)) == 1, F.first("proportion")).otherwise(twice).alias("proportion")
+    ).withColumn("__age", F.lit(age))
     split = totals.join(F.broadcast(bounded), F.col("age") == F.col("__age"), "left")
     part = (F.col("age") == age) & known(F.col("proportion"))
     return split.select(

@@ -12,7 +12,7 @@ from midyear.functions.numbers import safe_int
 from midyear.functions.recode import ordinal, recode
 from midyear.functions.text import pad_left
 from midyear.operators.joins import code_lookup, join_on
-from midyear.operators.shape import variants
+from midyear.operators.shape import derive_once, variants
 from midyear.operators.totals import group_mean, keep_group_min, share_of_total
 
 # Infant age groups, youngest first, with the age in days or months before
@@ -156,7 +156,8 @@ def place_code(department: Column, municipality: Column) -> Column:
 def with_birth_date(deaths: DataFrame, date: str = "event_date", value: str = "age_value",
                     unit: str = "age_unit") -> DataFrame:
     """Birth date from the age at death; NULL where that day does not exist."""
-    return deaths.withColumn("birth_date", shift_back(F.col(date), F.col(value), F.col(unit)))
+    birth = shift_back(F.col(date), F.col(value), F.col(unit))
+    return derive_once(deaths, birth_date=birth)
 
 
 def deaths_at(

@@ -11,6 +11,7 @@ from midyear.functions.dates import parse_ymd
 from midyear.functions.numbers import kilograms, safe_int
 from midyear.functions.recode import recode, recode_known
 from midyear.operators.cohort import DEPARTMENTS, with_birth_date
+from midyear.operators.shape import derive_once
 
 # Code tables of the record files.
 SEX = {"1": "male", "2": "female"}
@@ -72,7 +73,7 @@ def repaired_year(event_year: Column, record_year: Column) -> Column:
 
 def decode_births(raw: DataFrame) -> DataFrame:
     """Birth events, 16 columns."""
-    return raw.withColumn("event_date", event_date()).select(
+    return derive_once(raw, event_date=event_date()).select(
         F.year("event_date").alias("event_year"),
         "event_date",
         F.col("depocu").alias("event_department"),
@@ -126,13 +127,19 @@ def infant_deaths(raw: DataFrame, departments: Sequence[str] = tuple(DEPARTMENTS
         & F.col("perdif").isin(INFANT_UNITS)
         & F.col("depreg").isin(list(departments))
     )
-    events = kept.select(
-        event_date().alias("event_date"),
+    events = derive_once(
+        kept,
+        event_date=event_date(),
+        age_value=safe_int(F.col("edadif")),
+        age_unit=recode_known(F.col("perdif"), AGE_UNIT),
+    ).select(
+        F.year("event_date").alias("event_year"),
+        "event_date",
         F.col("depreg").alias("event_department"),
         F.col("mupreg").alias("event_municipality"),
-        safe_int(F.col("edadif")).alias("age_value"),
-        recode_known(F.col("perdif"), AGE_UNIT).alias("age_unit"),
-    ).withColumn("event_year", F.year("event_date"))
+        "age_value",
+        "age_unit",
+    )
     return with_birth_date(events).select(
         "event_year", "event_date", "event_department", "event_municipality",
         "age_value", "age_unit", "birth_date",

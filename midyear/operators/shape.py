@@ -37,6 +37,19 @@ def derive(df: DataFrame, **steps: Column) -> DataFrame:
     return df
 
 
+def derive_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns that are evaluated once per row.
+
+    Catalyst pushes a filter below the projection it reads from by copying the projected
+    expression into it, so a parsed date would be parsed again in every filter and in every
+    inferred null check.  Filters are not copied through a generator, hence the one-row
+    ``inline``.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    row = F.struct(*[expression.alias(name) for name, expression in columns.items()])
+    return df.select(*[F.col(f"`{c}`") for c in kept], F.inline(F.array(row)))
+
+
 def map_columns(df: DataFrame, cols: Sequence[str], fn: Callable[[Column], Column]) -> DataFrame:
     """One expression applied to several columns."""
     return df.withColumns({c: fn(F.col(c)) for c in cols})
