@@ -210,6 +210,16 @@ def _cohort_births(spark, sf):
                             first_date=FIRST)
 
 
+_DAILY = f"""
+SELECT mother_department, mother_municipality, event_date, count(*) AS n
+FROM ({SQL_BIRTHS}) b GROUP BY ALL"""
+
+
+@query("daily_births", _DAILY)
+def _daily_births(spark, sf):
+    return cohort.daily_births(events.decode_births(_births(spark, sf)))
+
+
 @query("cohort_deaths", f"WITH {SQL_COHORTS} SELECT * FROM died")
 def _cohort_deaths(spark, sf):
     years = cohort.mid_years(events.decode_births(_births(spark, sf)))

@@ -122,24 +122,30 @@ def births_at(
     first_date: str = FIRST_DATE,
     department: str = "mother_department",
     municipality: str = "mother_municipality",
+    weight: str | None = None,
 ) -> DataFrame:
     """Live births per place and age group at each mid-year.
 
     One scan, one shuffle of partial counts: the label depends on the row alone, and the
-    scope and date filters are applied before anything is grouped.
+    scope and date filters are applied before anything is grouped.  ``weight`` names the
+    count column when ``births`` is a table of daily counts.
     """
     first = F.lit(first_date).cast("date")
     rows = births.filter(
         F.col(department).isin(list(departments)) & (F.col("event_date") >= first)
-    ).select(F.col(department).alias("department"), F.col(municipality).alias("muni_id"),
-             "event_date")
+    ).select(
+        F.col(department).alias("department"),
+        F.col(municipality).alias("muni_id"),
+        "event_date",
+        (F.lit(1) if weight is None else F.col(weight)).cast("bigint").alias("n"),
+    )
     # The boundary follows the event, so it is past the first date and less than twelve
     # months away: every row left has a label.
     rows = at_mid_year(rows, years, "event_date").withColumn(
         "age_group", age_label(F.col("event_date"), F.col("mid_year")))
     counts = rows.groupBy(
         F.year("mid_year").alias("year"), "department", "muni_id", "age_group"
-    ).agg(F.count(F.lit(1)).alias("births"))
+    ).agg(F.sum("n").alias("births"))
     counts = counts.withColumn(
         "muni_id", place_code(F.col("department"), F.col("muni_id"))
     ).withColumn("department", recode(F.col("department"), departments))
@@ -153,6 +159,13 @@ def place_code(department: Column, municipality: Column) -> Column:
     return F.when(number < 99, joined).when(number >= 99, municipality)
 
 
+def daily_births(births: DataFrame, department: str = "mother_department",
+                 municipality: str = "mother_municipality") -> DataFrame:
+    """Births per place and day (``n``): at most one row per place and calendar day."""
+    return births.groupBy(department, municipality, "event_date").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 def with_birth_date(deaths: DataFrame, date: str = "event_date", value: str = "age_value",
                     unit: str = "age_unit") -> DataFrame:
     """Birth date from the age at death; NULL where that day does not exist."""

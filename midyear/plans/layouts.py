@@ -3,9 +3,13 @@
 Contract of a cell table: one row per cell of the used range (blank cells hold NULL),
 ``row_idx`` and ``col_idx`` count from 1, and the first column holds the row labels.
 
-Only the label column goes through the order-dependent operators; its result is joined
-to the measure cells by row, and the header by column.  The header is repeated once per
-chunk of rows before that join, so one large sheet is not one join key.
+The cells are read twice: the first pass writes the frame of the sheets (label column and
+header rows, a small part of the cells) to the shared folder, the second one reads the
+measures.  Only the label column goes through the order-dependent operators; its result is
+joined to the measure cells by row, and the header by column.  The header is repeated once
+per chunk of rows before that join, so one large sheet is not one join key.
+
+Each layout runs the job that writes its frame.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from midyear.operators.totals import with_group_min
 from midyear.sources.scans import (
     department_of, null_marker, sheet_sex, sheet_year, skip_rows, without_parentheses,
 )
+from midyear.sources.shared import cut_lineage
 
 SHEET = ["file", "sheet"]
 POPULATION = ["year", "department", "municipality", "sex", "age", "population"]
@@ -51,6 +56,13 @@ HEADER_GAPS = "[ y\n]+"
 ODD_HEADER = "_[0-9]_"
 
 
+def _frame(cells: DataFrame, header_rows: int) -> DataFrame:
+    """Label column and header rows of every sheet, written once (runs a job)."""
+    return cut_lineage(
+        cells.filter((F.col("col_idx") == 1) | (F.col("row_idx") <= header_rows))
+    )
+
+
 def _labels(cells: DataFrame, into: str) -> DataFrame:
     return cells.filter(F.col("col_idx") == 1).select(
         *SHEET, "row_idx", F.col("value").alias(into)
@@ -63,10 +75,11 @@ def _header(cells: DataFrame, row: int, into: str) -> DataFrame:
     )
 
 
-def _join_cells(cells: DataFrame, rows: DataFrame, columns: DataFrame) -> DataFrame:
+def _join_cells(cells: DataFrame, frame: DataFrame, rows: DataFrame,
+                columns: DataFrame) -> DataFrame:
     """Measure cells with the attributes of their row and of their column."""
     chunk = F.floor(F.col("row_idx") / CHUNK_ROWS).alias("__chunk")
-    chunks = rows.select(*SHEET, chunk).distinct()
+    chunks = frame.filter(F.col("col_idx") == 1).select(*SHEET, chunk).distinct()
     spread = columns.join(chunks, SHEET)
     measured = cells.filter(F.col("col_idx") > 1).select(
         *SHEET, "row_idx", "col_idx", "value", chunk
@@ -135,7 +148,8 @@ def layout_2000(cells: DataFrame) -> DataFrame:
     """Layout of 2000-2010: names in row 2, three columns per place, years inside the age
     column."""
     cells = cells.withColumn("value", null_marker(F.col("value"), NULL_2000))
-    columns = place_columns_2000(cells).filter(
+    frame = _frame(cells, 2)
+    columns = place_columns_2000(frame).filter(
         (F.col("measure") != "total") & (F.col("place") != "total")
     )
     columns = columns.select(
@@ -145,7 +159,7 @@ def layout_2000(cells: DataFrame) -> DataFrame:
         key_to_place(F.col("place")).alias("municipality"),
         recode(F.col("measure"), SEX_2000).alias("sex"),
     )
-    long = _join_cells(cells, year_sections_2000(cells), columns)
+    long = _join_cells(cells, frame, year_sections_2000(frame), columns)
     return long.withColumn("population", safe_double(F.col("value"))).select(*POPULATION)
 
 
@@ -173,21 +187,22 @@ def layout_2011(cells: DataFrame, late: list[str] | None = None,
     cells = skip_rows(cells, skip_2011(department_of(F.col("file")), F.col("sheet"), late))
     department = department_of(F.col("file"))
     place = key_to_place(header_name(F.col("place")))
-    columns = _header(cells, 1, "place").filter(F.col("col_idx") > 1).select(
+    frame = _frame(cells, 1)
+    columns = _header(frame, 1, "place").filter(F.col("col_idx") > 1).select(
         *SHEET,
         "col_idx",
         sheet_year(F.col("sheet")).alias("year"),
         department.alias("department"),
         fill_blank_place(department, place, blank_places).alias("municipality"),
     )
-    labels = _labels(cells, "label").filter(
+    labels = _labels(frame, "label").filter(
         (F.col("row_idx") > 1) & F.col("label").isNotNull()
     ).withColumn("age", age_of(F.col("label")))
     rows = sections(
         labels, SHEET, "row_idx", F.col("age").isNull(), {"heading": F.col("label")}
     ).filter(F.col("age").isNotNull())
     sex = recode(F.lower("heading"), SEX_2011).alias("sex")
-    long = _join_cells(cells, rows.select(*SHEET, "row_idx", sex, "age"), columns)
+    long = _join_cells(cells, frame, rows.select(*SHEET, "row_idx", sex, "age"), columns)
     return long.withColumn("population", safe_double(F.col("value"))).select(*POPULATION)
 
 
@@ -230,14 +245,15 @@ def layout_2016(cells: DataFrame, skip: int = SKIP_2016) -> DataFrame:
     """Layout of 2016-2020: spanning header over a year row, department blocks below."""
     cells = skip_rows(cells, recode(F.col("sheet"), SKIPS_2016, default=F.lit(skip)))
     cells = cells.withColumn("value", null_marker(F.col("value"), NULL_2016))
-    header = _header(cells, 1, "label").join(
-        _header(cells, 2, "detail"), [*SHEET, "col_idx"], "left"
+    frame = _frame(cells, 2)
+    header = _header(frame, 1, "label").join(
+        _header(frame, 2, "detail"), [*SHEET, "col_idx"], "left"
     )
     columns = distinct_columns(spanning_names(header, SHEET, "col_idx", "label", "detail"),
                                SHEET, "col_idx").filter(F.col("col_idx") > 1)
     columns = split_key(columns, "name", {"type": "string", "year": "int"}, r"[^\p{L}\p{N}]+")
-    labels = _labels(cells, "municipality").filter(F.col("row_idx") > 1)
+    labels = _labels(frame, "municipality").filter(F.col("row_idx") > 1)
     columns = columns.withColumn("sex", sheet_sex(F.col("sheet")))
     rows = department_blocks(labels, SHEET, "row_idx", "municipality").drop("block")
-    long = _join_cells(cells, rows, columns)
+    long = _join_cells(cells, frame, rows, columns)
     return long.withColumn("population", safe_double(F.col("value"))).select(*AGGREGATE)

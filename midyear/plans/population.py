@@ -104,13 +104,13 @@ def population_table(cells_2000: DataFrame, cells_2011: DataFrame,
                      **options_2011) -> DataFrame:
     """Long population table of all years from three cell tables.
 
-    The single-age table is written once to the shared folder, as the check, the fit and
-    the result all read it.  Runs the jobs of the name check and of the model fit;
+    The single-age table and the projected totals are written once to the shared folder, as
+    the check, the fit and the result all read them.  Runs the jobs of the name check and of the model fit;
     ``options_2011`` go to ``layout_2011``.
     """
     past = layout_2000(cells_2000).unionByName(layout_2011(cells_2011, **options_2011))
     single_ages = cut_lineage(harmonise(past))
-    projected = standardise(layout_2016(cells_2016))
+    projected = cut_lineage(standardise(layout_2016(cells_2016)))
     if check:
         check_names(projected, single_ages)
     return single_ages.unionByName(project_ages(single_ages, projected))

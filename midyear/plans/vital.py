@@ -11,12 +11,13 @@ from midyear.functions.recode import ordinal, recode
 from midyear.functions.text import title_case, to_ascii
 from midyear.operators.bands import AGE_GROUPS, band_rollup, split_age
 from midyear.operators.cohort import (
-    DEPARTMENTS, FIRST_DATE, PLACE_KEYS, births_at, deaths_at, mean_share, mid_years,
-    survivor_share, uniform_violations,
+    DEPARTMENTS, FIRST_DATE, PLACE_KEYS, births_at, daily_births, deaths_at, mean_share,
+    mid_years, survivor_share, uniform_violations,
 )
 from midyear.operators.events import decode_births, infant_deaths
 from midyear.operators.joins import stop_if_any
 from midyear.sources.scans import place_lookup
+from midyear.sources.shared import cut_lineage
 
 # Place names by code.
 NAMES_BY_CODE = {
@@ -64,10 +65,14 @@ def infant_shares(
     first_date: str = FIRST_DATE,
     normalise_codes: bool = False,
 ) -> DataFrame:
-    """Survivors and their share per place, mid-year and infant age group."""
-    births = decode_births(raw_births)
-    years = mid_years(births)
-    born = births_at(births, years, places, departments, first_date)
+    """Survivors and their share per place, mid-year and infant age group.
+
+    The raw births are read and decoded once: their daily counts are written to the shared
+    folder (runs a job), and both the mid-years and the cohorts come from them.
+    """
+    daily = cut_lineage(daily_births(decode_births(raw_births)))
+    years = mid_years(daily)
+    born = births_at(daily, years, places, departments, first_date, weight="n")
     died = deaths_at(infant_deaths(raw_deaths, tuple(departments)), years, places, departments,
                      normalise_codes)
     return survivor_share(born, died)
@@ -105,10 +110,13 @@ def vital_table(
     years: tuple[int, int] = (FIRST_YEAR, LAST_YEAR),
     check: bool = True,
 ) -> DataFrame:
-    """Under-five report from raw records and the population table."""
-    shares = mean_share(
+    """Under-five report from raw records and the population table.
+
+    The mean shares are written to the shared folder, as the check and the report read them.
+    """
+    shares = cut_lineage(mean_share(
         infant_shares(raw_births, raw_deaths, places, departments, first_date)
-    )
+    ))
     if check:
         check_uniform(shares)
     return under_five(population, shares, departments, years)
