@@ -112,7 +112,7 @@ WITH {sql_fit(LINES, KEYS)},
     FROM ({plain(TOTALS)}) t JOIN fit USING (l_returnflag, l_linestatus),
       (SELECT DISTINCT l_linenumber AS age FROM lineitem) a)
 SELECT l_returnflag, l_linestatus, year, age, round(population * predicted / sum(predicted) OVER (
-  PARTITION BY l_returnflag, l_linestatus, year), 2) AS population FROM grid"""
+  PARTITION BY l_returnflag, l_linestatus, year), 0) AS population FROM grid"""
 
 
 @query("disaggregate", _SPLIT)
@@ -120,4 +120,4 @@ def _disaggregate(spark, sf):
     lines = derived(spark, sf, LINES)
     coefs = model.fit_grouped_logit(lines, KEYS)
     split = model.disaggregate(derived(spark, sf, TOTALS), lines, coefs, KEYS)
-    return split.withColumn("population", F.round("population", 2))
+    return split.withColumn("population", F.round("population", 0))

@@ -153,7 +153,7 @@ SELECT doc_id, length(regexp_replace(text, '[^0-9]', '', 'g')) AS n_digits,
 def _regex_strip(spark, sf):
     return table(spark, sf, "documents").select(
         "doc_id",
-        F.length(F.regexp_replace("text", "[^0-9]", "")).alias("n_digits"),
+        F.length(F.regexp_replace("text", "[^0-9]", "")).cast("bigint").alias("n_digits"),
         F.regexp_replace("text", "[ y\n]+", "_").alias("joined"))
 
 
