@@ -132,8 +132,12 @@ def fit_grouped_logit(
 
     Runs jobs: the cells are written once to the shared folder, then the coefficients are
     after every ``ROUNDS_PER_JOB`` rounds, until they stop moving.  A predictor that is
-    constant, or that repeats an earlier one, has a NULL coefficient.
+    constant, or that repeats an earlier one, has a NULL coefficient.  Years and ages are
+    whole numbers.
     """
+    clash = {"year", "age", "p", "w", "y", "a", "z", "u", "s", "eta", "mu", "start"} & set(keys)
+    if clash:
+        raise ValueError(f"rename key columns {sorted(clash)}: the fit uses these names")
     cells = cut_lineage(model_cells(population, keys, year, age, value))
     state = cells.sparkSession.sql(_with_keys(DESIGN, keys), cells=cells)
     for first in range(0, max_rounds, ROUNDS_PER_JOB):

@@ -127,7 +127,7 @@ def variants(df: DataFrame, labelled: Mapping[str, Column], label: str, value: s
 
 # --- small value domains -------------------------------------------------------
 
-MAX_DOMAIN = 10_000
+MAX_DOMAIN = 1_000
 
 
 def small_domain(df: DataFrame, col: str, limit: int = MAX_DOMAIN) -> list | None:

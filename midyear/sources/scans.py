@@ -44,7 +44,8 @@ def read_records(
 ) -> DataFrame:
     """Coded records of all years as strings, tagged with ``file_year``.
 
-    Columns may differ by year: files are merged by column name.
+    Columns may differ by year: files are merged by column name.  Years whose files give the
+    same column different types are read one by one and joined with ``stack_records``.
     """
     if file_format in ("parquet", "orc"):
         options.setdefault("mergeSchema", "true")

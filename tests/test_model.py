@@ -128,3 +128,9 @@ def test_score(rows):
     df = rows([("b", 2016, 10)], "place string, year int, age int")
     got = model.score(df, coefs(rows), ["place"]).first().predicted
     assert math.isclose(got, 1 / (1 + math.exp(3.0)))
+
+
+def test_key_names_of_the_fit_are_refused(rows):
+    df = rows([("a", 2000, 1, 1.0)], "p string, year int, age int, population double")
+    with pytest.raises(ValueError, match="rename"):
+        model.fit_grouped_logit(df, ["p"])
