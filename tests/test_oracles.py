@@ -4,7 +4,8 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from midyear.catalog import ORACLES, QUERIES
 from oracle import compare, connect
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -16,14 +17,14 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    n, problems = compare(queries()[name](spark, SF), duck, oracle_sql()[name])
+    n, problems = compare(QUERIES[name](spark, SF), duck, ORACLES[name])
     assert not problems
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
