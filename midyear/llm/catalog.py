@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from midyear.catalog.registry import table
 from midyear.llm.mixing import mix_sources
+from midyear.llm.quality import quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,3 +26,11 @@ def query(name: str):
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op5_quality_rules")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    judged = quality_rules(table(spark, sf, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "distance")
