@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from midyear.catalog.registry import table
+from midyear.llm.decontamination import contaminated_spans
 from midyear.llm.mixing import mix_sources
 from midyear.llm.quality import quality_rules
 
@@ -34,3 +36,42 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "distance")
+
+
+@query("op7_decontaminate")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    found = contaminated_spans(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+ORACLES["op7_decontaminate"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(lower_az, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS lower_az FROM documents)),
+b AS (
+    SELECT CAST(item_id AS VARCHAR) AS item,
+        regexp_extract_all(lower_az, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM (SELECT item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS lower_az FROM benchmark)),
+windows AS (
+    SELECT DISTINCT item, array_to_string(list_slice(w, i, i + 9), ' ') AS win, least(len(w), 10) AS n
+    FROM b, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM windows),
+spots AS (
+    SELECT r, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS win
+    FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS t(i) WHERE len(w) >= n),
+hits AS (SELECT r, i, spots.n AS n, item FROM spots JOIN windows ON spots.win = windows.win AND spots.n = windows.n),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + n)) AS t(p) GROUP BY r),
+items AS (
+    SELECT r, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS h
+    FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+    coalesce(n_items, 0) AS n_items, coalesce(h, sha256('')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""
