@@ -11,6 +11,7 @@ from midyear.catalog.registry import table
 from midyear.llm.decontamination import contaminated_spans
 from midyear.llm.mixing import mix_sources
 from midyear.llm.quality import quality_rules
+from midyear.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +76,8 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
     coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
+
+
+@query("op1_simhash")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(table(spark, sf, "documents"))
