@@ -12,6 +12,7 @@ from midyear.llm.decontamination import contaminated_spans
 from midyear.llm.mixing import mix_sources
 from midyear.llm.quality import quality_rules
 from midyear.llm.simhash import near_duplicates
+from midyear.llm.substrings import without_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +82,29 @@ FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 @query("op1_simhash")
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"))
+
+
+@query("op9_repeated_passages")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return without_repeats(table(spark, sf, "documents")).drop("kept")
+
+
+ORACLES["op9_repeated_passages"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+spots AS (
+    SELECT r, i, sha256(array_to_string(list_slice(w, i, i + 34), ' ')) AS win
+    FROM d, unnest(range(1, len(w) - 33)) AS t(i) WHERE len(w) >= 35),
+twice AS (SELECT win FROM spots GROUP BY win HAVING count(*) > 1),
+gone AS (
+    SELECT DISTINCT r, p FROM (SELECT r, i FROM spots WHERE win IN (SELECT win FROM twice)) s,
+        unnest(range(i, i + 35)) AS t(p)),
+words AS (SELECT r, w[p] AS word, p FROM d, unnest(range(1, len(w) + 1)) AS t(p)),
+kept AS (
+    SELECT words.r, count(*) AS n, string_agg(word, ' ' ORDER BY words.p) AS t
+    FROM words LEFT JOIN gone ON words.r = gone.r AND words.p = gone.p WHERE gone.r IS NULL GROUP BY words.r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+    sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""

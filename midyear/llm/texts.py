@@ -25,12 +25,14 @@ def map_texts(
     made: str,
     carry: tuple[str, ...] = ("doc_id",),
     text: str = "text",
+    beside: str | None = None,
 ) -> DataFrame:
     """Columns ``carry`` of every row, and the columns ``made`` that ``work`` finds for its text.
 
     ``work`` is made once per task and gets the texts batch by batch; it yields as many
     values per column as it got texts.  Carried columns travel in one struct, so their
-    names cannot clash with others; a made column takes the place of a carried one.
+    names cannot clash with others; a made column takes the place of a carried one.  With
+    ``beside``, ``work`` gets pairs of the texts and the values of that column.
     """
     fresh = T._parse_datatype_string(made)
     kept = [name for name in carry if name not in fresh.names]
@@ -43,7 +45,8 @@ def map_texts(
         def texts():
             for batch in batches:
                 held.append(batch)
-                yield batch.column(1).to_pylist()
+                texts = batch.column(1).to_pylist()
+                yield texts if beside is None else (texts, batch.column(2).to_pylist())
 
         for out in work(texts()):
             batch = held.pop(0)
@@ -53,7 +56,8 @@ def map_texts(
     inner = F.struct(*[F.col(_quoted(name)) for name in kept]) if kept else F.struct(F.lit(0))
     if not kept:
         schema = T.StructType([T.StructField("row", T.StructType([T.StructField("col1", T.IntegerType())]))] + fresh.fields)
-    sent = docs.select(inner.alias("row"), F.col(text).cast("binary").alias("raw"))
+    more = [] if beside is None else [F.col(_quoted(beside)).alias("beside")]
+    sent = docs.select(inner.alias("row"), F.col(text).cast("binary").alias("raw"), *more)
     out = sent.mapInArrow(run, schema)
     return out.select(*[F.col(f"row.{_quoted(name)}") for name in kept], *fresh.names)
 
