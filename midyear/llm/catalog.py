@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from midyear.catalog.registry import table
 from midyear.llm.decontamination import contaminated_spans
+from midyear.llm.lm import fit, score
 from midyear.llm.mixing import mix_sources
 from midyear.llm.quality import quality_rules
 from midyear.llm.simhash import near_duplicates
 from midyear.llm.substrings import without_repeats
+from midyear.llm.texts import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,3 +110,12 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_r
     sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (r)
 """
+
+
+@query("op3_kneser_ney")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = fit(docs.filter(fold(F.col("doc_id"), 7) != 2))
+    return score(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 7) == 2).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")

@@ -21,6 +21,8 @@ from midyear.sources.shared import fresh_path
 
 #: Keys a task gathers before it sends them on.
 GATHERED = 4_000_000
+#: Most frequent keys that each range names.
+TOP = 32
 
 
 def shared_files(spark: SparkSession, name: str) -> str:
@@ -43,6 +45,11 @@ def save(path: str, array: np.ndarray) -> None:
     os.replace(part, path)
 
 
+def narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts as the smallest whole numbers that hold them."""
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
+
+
 def shards_for(docs: DataFrame, least: int = 16) -> int:
     """A power of two: as many ranges as the input has partitions."""
     return 1 << max(least, docs.rdd.getNumPartitions() - 1).bit_length() if docs.rdd.getNumPartitions() > least else least
@@ -70,9 +77,10 @@ def count_keys(
     least: int = 1,
     text: str = "text",
 ) -> pd.DataFrame:
-    """Write keys and counts of all texts to ``folder``; one row per range: range_no, n_keys, total.
+    """Write keys and counts of all texts to ``folder``; ``least`` leaves out keys counted less often.
 
-    ``least`` leaves out keys counted less often.
+    Returns one row per range: range_no, n_keys, total, and the places and counts of its
+    most frequent keys (``TOP`` at most).
     """
 
     def blocks(keys: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
@@ -105,42 +113,54 @@ def count_keys(
         kept = counts >= least
         keys, counts = keys[kept], counts[kept]
         save(f"{folder}/{number:06d}.keys.npy", keys)
-        save(f"{folder}/{number:06d}.counts.npy", counts)
-        return pd.DataFrame({"range_no": [number], "n_keys": [len(keys)], "total": [int(counts.sum())]})
+        save(f"{folder}/{number:06d}.counts.npy", narrow(counts))
+        top = np.sort(np.argsort(counts)[-TOP:])
+        return pd.DataFrame({"range_no": [number], "n_keys": [len(keys)], "total": [int(counts.sum())],
+                             "top": [top.tolist()], "top_counts": [counts[top].tolist()]})
 
     sent = docs.select(F.col(text).cast("binary").alias("raw")).mapInPandas(
         gather, "range_no int, keys binary, counts binary")
-    merged = sent.groupBy("range_no").applyInPandas(merge, "range_no int, n_keys long, total long")
+    merged = sent.groupBy("range_no").applyInPandas(
+        merge, "range_no int, n_keys long, total long, top array<long>, top_counts array<long>")
     return merged.toPandas().sort_values("range_no", ignore_index=True)  # one row a range
 
 
 class HashArray:
     """The arrays of a folder, opened in a task."""
 
-    def __init__(self, folder: str, n_ranges: int):
+    def __init__(self, folder: str, n_ranges: int, width: tuple[int, ...] = ()):
         self.n_ranges = n_ranges
         self.keys, self.counts = [], []
         for k in range(n_ranges):
             path = f"{folder}/{k:06d}"
             there = os.path.exists(f"{path}.keys.npy")
             self.keys.append(_mapped(f"{path}.keys.npy") if there else np.zeros(0, np.uint64))
-            self.counts.append(_mapped(f"{path}.counts.npy") if there else np.zeros(0, np.int64))
+            self.counts.append(_mapped(f"{path}.counts.npy") if there else np.zeros((0, *width), np.int64))
         sizes = np.array([len(k) for k in self.keys], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(sizes)])
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each key in the whole array, or -1, and its count, or 0."""
-        asked, back = np.unique(keys, return_inverse=True)
-        place, count = np.full(len(asked), -1, np.int64), np.zeros(len(asked), np.int64)
-        cuts = np.searchsorted(range_of(asked, self.n_ranges), np.arange(self.n_ranges + 1))
+    def find(self, keys: np.ndarray, ranges: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each key in the whole array, or -1, and its count (or row of counts), or 0.
+
+        ``ranges`` names the range of each key where the key alone does not.
+        """
+        asked, index, back = np.unique(keys, return_index=True, return_inverse=True)
+        where = range_of(asked, self.n_ranges) if ranges is None else ranges[index]
+        order = np.argsort(where, kind="stable")
+        asked, where = asked[order], where[order]
+        place = np.full(len(asked), -1, np.int64)
+        count = np.zeros((len(asked), *self.counts[0].shape[1:]), np.int64)
+        cuts = np.searchsorted(where, np.arange(self.n_ranges + 1))
         for k in np.flatnonzero(cuts[1:] > cuts[:-1]):
-            some, stored = asked[cuts[k] : cuts[k + 1]], self.keys[k]
+            rows, stored = slice(cuts[k], cuts[k + 1]), self.keys[k]
             if len(stored):
-                at = np.minimum(np.searchsorted(stored, some), len(stored) - 1)
-                there = stored[at] == some
-                place[cuts[k] : cuts[k + 1]] = np.where(there, at + self.starts[k], -1)
-                count[cuts[k] : cuts[k + 1]] = np.where(there, self.counts[k][at], 0)
-        return place[back], count[back]
+                at = np.minimum(np.searchsorted(stored, asked[rows]), len(stored) - 1)
+                there = np.flatnonzero(stored[at] == asked[rows]) + cuts[k]
+                place[there] = at[there - cuts[k]] + self.starts[k]
+                count[there] = self.counts[k][at[there - cuts[k]]]
+        spot = np.empty(len(order), np.int64)
+        spot[order] = np.arange(len(order))
+        return place[spot[back]], count[spot[back]]
 
 
 def _mapped(path: str) -> np.ndarray:
