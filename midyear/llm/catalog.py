@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from midyear.catalog.registry import table
 from midyear.llm.decontamination import contaminated_spans
+from midyear.llm.lines import without_near_lines
 from midyear.llm.lm import fit, score
 from midyear.llm.mixing import mix_sources
 from midyear.llm.quality import quality_rules
@@ -119,3 +120,39 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     return score(docs, model).select(
         "doc_id", (fold(F.col("doc_id"), 7) == 2).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
+
+
+@query("op10_line_dedup")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return without_near_lines(table(spark, sf, "documents")).drop("kept")
+
+
+ORACLES["op10_line_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(text, chr(10)) AS ls FROM documents),
+l AS (
+    SELECT r, doc_id, i, list_distinct(regexp_extract_all(translate(ls[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')) AS w
+    FROM d, unnest(range(1, len(ls) + 1)) AS t(i)),
+sets AS (SELECT w, min((doc_id, i)) AS head FROM (SELECT list_sort(w) AS w, doc_id, i FROM l WHERE len(w) > 0) GROUP BY w),
+numbered AS (SELECT row_number() OVER () AS s, w, head, len(w) AS n FROM sets),
+freq AS (SELECT word, count(*) AS df FROM (SELECT unnest(w) AS word FROM numbered) GROUP BY word),
+spots AS (
+    SELECT s, word, row_number() OVER (PARTITION BY s ORDER BY df, word) AS p
+    FROM (SELECT s, unnest(w) AS word FROM numbered) JOIN freq USING (word) WHERE TRUE),
+prefix AS (SELECT spots.s, word FROM spots JOIN numbered USING (s) WHERE p <= n - ceil(n * 4 / 5.0) + 1),
+pairs AS (SELECT DISTINCT a.s AS x, b.s AS y FROM prefix a JOIN prefix b ON a.word = b.word AND a.s <> b.s),
+late AS (
+    SELECT DISTINCT x AS s FROM pairs JOIN numbered nx ON nx.s = x JOIN numbered ny ON ny.s = y
+    WHERE ny.head < nx.head AND 5 * least(nx.n, ny.n) >= 4 * greatest(nx.n, ny.n)
+      AND 9 * len(list_intersect(nx.w, ny.w)) >= 4 * (nx.n + ny.n)),
+gone AS (
+    SELECT l.r, l.i FROM l JOIN numbered ON list_sort(l.w) = numbered.w
+    WHERE (l.doc_id, l.i) <> head OR s IN (SELECT s FROM late)),
+kept AS (
+    SELECT l.r, string_agg(ls[i], chr(10) ORDER BY i) AS t
+    FROM l JOIN d USING (r) WHERE (l.r, l.i) NOT IN (SELECT r, i FROM gone) GROUP BY l.r)
+SELECT doc_id, (SELECT count(*) FROM l WHERE l.r = d.r AND len(w) > 0) AS n_lines,
+    (SELECT count(*) FROM gone WHERE gone.r = d.r) AS n_removed,
+    sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""

@@ -139,6 +139,15 @@ class HashArray:
         sizes = np.array([len(k) for k in self.keys], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(sizes)])
 
+    def counts_at(self, places: np.ndarray) -> np.ndarray:
+        """Counts of keys by their places."""
+        asked, back = np.unique(places, return_inverse=True)
+        out = np.empty(len(asked), np.int64)
+        cuts = np.searchsorted(asked, self.starts)
+        for k in np.flatnonzero(cuts[1:] > cuts[:-1]):
+            out[cuts[k] : cuts[k + 1]] = self.counts[k][asked[cuts[k] : cuts[k + 1]] - self.starts[k]]
+        return out[back]
+
     def find(self, keys: np.ndarray, ranges: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Place of each key in the whole array, or -1, and its count (or row of counts), or 0.
 
