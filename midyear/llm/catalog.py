@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from midyear.catalog.registry import table
+from midyear.llm import bytenet, langid
 from midyear.llm.decontamination import contaminated_spans
 from midyear.llm.lines import without_near_lines
 from midyear.llm.lm import fit, score
@@ -156,3 +157,21 @@ SELECT doc_id, (SELECT count(*) FROM l WHERE l.r = d.r AND len(w) > 0) AS n_line
     sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (r)
 """
+
+
+@query("op4_language_id")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    fourth = fold(F.col("doc_id"), 4) == 2
+    model = langid.fit(docs.filter(~fourth))
+    return langid.predict(docs, model).select("doc_id", fourth.alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_quality_classifier")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    fifth = fold(F.col("doc_id"), 5) == 0
+    net = bytenet.fit(docs, labels.filter(~fifth))
+    return bytenet.score(docs, net).select(
+        "doc_id", fifth.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
