@@ -14,9 +14,11 @@ from midyear.llm.lines import without_near_lines
 from midyear.llm.lm import fit, score
 from midyear.llm.mixing import mix_sources
 from midyear.llm.quality import quality_rules
+from midyear.llm.rollup import TokenRollup, rank_counter, word_counter
 from midyear.llm.simhash import near_duplicates
 from midyear.llm.substrings import without_repeats
 from midyear.llm.texts import fold
+from midyear.sources.shared import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -175,3 +177,13 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     net = bytenet.fit(docs, labels.filter(~fifth))
     return bytenet.score(docs, net).select(
         "doc_id", fifth.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op2_token_rollup")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    rollup = TokenRollup(spark, fresh_path(spark, "token-rollup"), {
+        "words-1": word_counter, "byte_bpe_multi_50k-1": rank_counter("byte_bpe_multi_50k")})
+    load = table(spark, sf, "documents").select(F.lit("insert").alias("kind"), "doc_id", "text", "source", "lang")
+    rollup.commit("load", load)
+    rollup.commit("load", load)  # committed already: counts nothing twice
+    return rollup.totals()

@@ -4,7 +4,7 @@ Fingerprints are those of the contract: A-Z lowered, ``shingle`` words, repeats
 seed 42; a bit is set if it is in over half the hashes.  Fewer words make one shingle; no words, or
 a null text, make fingerprint zero, which is linked like any other.
 
-Equal fingerprints are one point.  A tree grown on a sample of at most ``sample`` points routes
+Equal fingerprints are one point.  A tree grown on a sample of about ``sample`` points at most routes
 every point to its shards, a point near a boundary to both sides; each shard splits on by its own
 tree and links its close points exactly.  Links across shards are joined in components.
 Documents without an id belong to the component of their fingerprint; a component in which no
@@ -56,7 +56,8 @@ def with_fingerprints(docs: DataFrame, carry: tuple[str, ...], shingle: int = 3)
 def close_links(points: DataFrame, reach: int, shard_points: int, sample: int) -> DataFrame:
     """Links (a, b) that join all distinct ``points`` within ``reach`` bits."""
     n = points.count()
-    taken = points.orderBy(F.xxhash64("point"), "point").limit(sample).collect()
+    place = F.pmod(F.xxhash64("point"), F.lit(1 << 30)) / float(1 << 30)
+    taken = points.filter(place < sample / max(1, n)).select("point").collect()  # about ``sample`` at most
     tree = build_tree(np.array([r[0] for r in taken], np.int64).view(np.uint64), n, shard_points, reach)
 
     def to_shards(frames):
