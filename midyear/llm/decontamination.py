@@ -191,15 +191,15 @@ def without_spans(raw: bytes, spans: list) -> bytes:
     return b"".join([*out, raw[upto:]])
 
 
-def remove_spans(rows: DataFrame) -> DataFrame:
-    """``rows`` (text, spans) with the covered words cut out of ``text``."""
-    def cut(frames):
-        for frame in frames:
-            hit = frame["spans"].map(lambda s: s is not None and len(s) > 0)
-            for i in frame.index[hit]:
-                pairs = [(s["start"], s["stop"]) for s in frame.at[i, "spans"]]
-                frame.at[i, "text"] = without_spans(bytes(frame.at[i, "text"]), pairs)
-            yield frame
-
-    raw = rows.withColumn("text", F.col("text").cast("binary"))
-    return raw.mapInPandas(cut, raw.schema).withColumn("text", F.col("text").cast("string"))
+def remove_spans(rows: DataFrame, carry: tuple[str, ...]) -> DataFrame:
+    """Columns ``carry`` and ``cleaned``: the ``text`` without the words that ``spans`` covers."""
+
+    def work(batches):
+        for texts, found in batches:
+            yield {"cleaned": [
+                without_spans(raw, [(s["start"], s["stop"]) for s in spans]) if spans else raw
+                for raw, spans in zip(texts, found)
+            ]}
+
+    made = map_texts(rows, work, "cleaned binary", carry, beside="spans")
+    return made.withColumn("cleaned", F.col("cleaned").cast("string"))

@@ -104,8 +104,9 @@ def first_of_each(docs: DataFrame, shingle: int = 3, reach: int = 2) -> DataFram
 
     Of rows that share that id and fingerprint, one stays.
     """
-    found = near_duplicates(docs, tuple(docs.columns), shingle, reach)
+    rows = docs.select(F.struct("*").alias("doc"), "doc_id", "text")
+    found = near_duplicates(rows, ("doc", "doc_id"), shingle, reach)
     first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    row = F.struct(*docs.columns)
+    # a component has one document with its least id; without ids, its fingerprints stand for it
     return first.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint"))).agg(
-        F.min_by(row, F.xxhash64("text")).alias("row")).select("row.*")
+        F.min_by("doc", F.xxhash64("doc.text")).alias("doc")).select("doc.*")
