@@ -187,3 +187,50 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     rollup.commit("load", load)
     rollup.commit("load", load)  # committed already: counts nothing twice
     return rollup.totals()
+
+
+# Quotients are written out for every seat here; the operator ranks only those near the last one.
+ORACLES["op6_mix_sources"] = r"""
+WITH sizes AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+        md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place FROM documents),
+totals AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+        [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
+    FROM sizes GROUP BY source),
+levels AS (
+    SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * 1.5 - coalesce(sum(2 * source_size) OVER w, 0))
+        / (sum(weight) OVER () - coalesce(sum(weight) OVER w, 0)) AS level
+    FROM totals WINDOW w AS (ORDER BY 2 * source_size / weight, source NULLS LAST
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+targets AS (
+    SELECT source, source_size, least(CAST(2 * source_size AS DOUBLE), weight * max(level) OVER ()) AS target FROM levels),
+seats AS (
+    SELECT source, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, source NULLS LAST, k) AS place,
+        round(sum_target / 50) AS blocks
+    FROM (SELECT *, sum(target) OVER () AS sum_target FROM targets),
+        unnest(range(0, CAST(target / 50 AS BIGINT) + 40)) AS t(k)),
+quotas AS (SELECT source, count(*) FILTER (place <= blocks) AS source_quota FROM seats GROUP BY source),
+placed AS (
+    SELECT s.*, source_size, target, source_quota,
+        CAST('0x' || substr(place, 1, 12) AS BIGINT) % greatest(1, CAST(ceil(source_size / 250000) AS BIGINT)) AS shard
+    FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+    JOIN quotas q ON s.source IS NOT DISTINCT FROM q.source),
+shards AS (
+    SELECT source, shard, source_quota, CAST(sum(size) AS BIGINT) AS shard_size FROM placed GROUP BY ALL),
+shard_seats AS (
+    SELECT source, shard, shard_size, source_quota,
+        row_number() OVER (PARTITION BY source ORDER BY shard_size / (2 * k + 1) DESC, shard, k) AS place
+    FROM shards, unnest(range(0, source_quota + 1)) AS t(k)),
+shard_quotas AS (
+    SELECT source, shard, shard_size, count(*) FILTER (place <= source_quota) AS quota FROM shard_seats GROUP BY ALL),
+lined AS (
+    SELECT p.*, shard_size, least(quota * 50, shard_size * 2) AS words,
+        sum(size) OVER (PARTITION BY p.source, p.shard ORDER BY substr(place, 13, 20), p.doc_id, size
+            ROWS UNBOUNDED PRECEDING) - size AS start
+    FROM placed p JOIN shard_quotas q ON p.source IS NOT DISTINCT FROM q.source AND p.shard = q.shard)
+SELECT doc_id, size, source_size, target,
+    CAST(CASE WHEN shard_size > 0 THEN (words // shard_size) * size
+        + greatest(0, least(size, words % shard_size - start)) ELSE 0 END AS BIGINT) AS taken
+FROM lined
+"""
