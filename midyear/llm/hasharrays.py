@@ -17,10 +17,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from midyear.llm.texts import frame_blocks
 from midyear.sources.shared import fresh_path
 
 #: Keys a task gathers before it sends them on.
-GATHERED = 4_000_000
+GATHERED = 2_000_000
 #: Most frequent keys that each range names.
 TOP = 32
 
@@ -51,8 +52,8 @@ def narrow(counts: np.ndarray) -> np.ndarray:
 
 
 def shards_for(docs: DataFrame, least: int = 16) -> int:
-    """A power of two: as many ranges as the input has partitions."""
-    return 1 << max(least, docs.rdd.getNumPartitions() - 1).bit_length() if docs.rdd.getNumPartitions() > least else least
+    """A power of two: at least twice as many ranges as the input has partitions."""
+    return max(least, 1 << (2 * docs.rdd.getNumPartitions() - 1).bit_length())
 
 
 def range_of(keys: np.ndarray, n_ranges: int) -> np.ndarray:
@@ -93,7 +94,7 @@ def count_keys(
 
     def gather(frames: Iterator[pd.DataFrame]):
         held, size = [], 0
-        for frame in frames:
+        for frame in (block for frame in frames for block in frame_blocks(frame)):
             keys = keys_of(frame["raw"].tolist())
             held.append(add_up(keys, np.ones(len(keys), np.int64)))
             size += len(held[-1][0])

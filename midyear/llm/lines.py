@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from midyear.llm.hasharrays import HashArray, count_keys, range_of, save, shards_for, shared_files
-from midyear.llm.texts import hash_words, map_texts, mix
+from midyear.llm.texts import frame_blocks, hash_words, map_texts, mix
 from midyear.sources.shared import cut_lineage
 
 LAST = np.int64(2**63 - 1)  # stands for a null id
@@ -86,7 +86,7 @@ def _sets(join: Join):
 
     def run(frames):
         counts = HashArray(f"{join.folder}/words", join.n)
-        for frame in frames:
+        for frame in (block for frame in frames for block in frame_blocks(frame)):
             texts = frame["raw"].tolist()
             flat, owner, place, sizes = line_words(texts)
             if not flat:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from midyear.llm.hasharrays import (
     GATHERED, HashArray, add_up, count_keys, narrow, range_of, save, shards_for, shared_files,
 )
-from midyear.llm.texts import hash_words, map_texts, mix
+from midyear.llm.texts import frame_blocks, hash_words, map_texts, mix
 from midyear.sources.shared import cut_lineage
 
 END = np.uint64(xxhash.xxh64_intdigest(b" "))  # a space is in no word
@@ -196,7 +196,7 @@ def _counter(model: KneserNey):
             held.clear()
             return pd.DataFrame(_blocks(2, model.ranges.of(rows), rows.astype(np.uint32), counts.astype(np.uint32)), columns=NAMES)
 
-        for frame in frames:
+        for frame in (block for frame in frames for block in frame_blocks(frame)):
             hashes, starts = tokens(frame["raw"].tolist())
             rows = ngram_rows(words.find(hashes)[0], starts, model.order, model.size)
             _, rows, counts = _distinct(rows, np.ones(len(rows), np.int64))

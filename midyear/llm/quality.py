@@ -139,10 +139,13 @@ def robust_distances(rows: DataFrame, share: float, steps: int, least_rows: int)
     cells = counts.join(langs, "_lang").select(
         "_own", F.when(F.col("n") >= least_rows, F.col("_own")).when(
             F.col("n_lang") >= least_rows, F.col("_lang")).otherwise("all").alias("cell"))
-    rows = rows.join(cut_lineage(cells), "_own", "left").drop("_own", "_lang")
-    rows = cut_lineage(rows)
-    known = rows.filter("features IS NOT NULL")
-    # every row counts for its cell; small cells are judged by estimates over the larger whole
+    cells = cut_lineage(cells)
+    # a group counts for its own estimate, and for the wider ones that small groups are judged by
+    parts = counts.select("_own", F.explode(F.array("_own", "_lang", F.lit("all"))).alias("cell"))
+    parts = cut_lineage(parts.join(cells.select("cell").distinct(), "cell", "left_semi"))
+    held = cut_lineage(rows.drop("_lang"))
+    rows = held.join(cells, "_own", "left").drop("_own")
+    known = held.filter("features IS NOT NULL").select("_own", "n_words", "features").join(parts, "_own").drop("_own")
     medians = known.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.percentile_approx(F.col("features")[i], 0.5) for i in range(d)]).alias("median"))

@@ -11,12 +11,15 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of text that a task works on at once.
+BLOCK_BYTES = 4_000_000
 
 
 def map_texts(
@@ -29,7 +32,7 @@ def map_texts(
 ) -> DataFrame:
     """Columns ``carry`` of every row, and the columns ``made`` that ``work`` finds for its text.
 
-    ``work`` is made once per task and gets the texts batch by batch; it yields as many
+    ``work`` is made once per task and gets the texts block by block; it yields as many
     values per column as it got texts.  Carried columns travel in one struct, so their
     names cannot clash with others; a made column takes the place of a carried one.  With
     ``beside``, ``work`` gets pairs of the texts and the values of that column.
@@ -44,9 +47,10 @@ def map_texts(
 
         def texts():
             for batch in batches:
-                held.append(batch)
-                texts = batch.column(1).to_pylist()
-                yield texts if beside is None else (texts, batch.column(2).to_pylist())
+                for a, b in text_blocks(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()):
+                    held.append(batch.slice(a, b - a))
+                    texts = held[-1].column(1).to_pylist()
+                    yield texts if beside is None else (texts, held[-1].column(2).to_pylist())
 
         for out in work(texts()):
             batch = held.pop(0)
@@ -62,6 +66,20 @@ def map_texts(
     return out.select(*[F.col(f"row.{_quoted(name)}") for name in kept], *fresh.names)
 
 
+def text_blocks(sizes: np.ndarray, most: int = BLOCK_BYTES) -> list[tuple[int, int]]:
+    """Consecutive ranges of texts of about ``most`` bytes; a longer text is one by itself."""
+    block = np.cumsum(sizes.astype(np.int64)) // most
+    cuts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])).tolist() if len(sizes) else []
+    return list(zip(cuts, [*cuts[1:], len(sizes)]))
+
+
+def frame_blocks(frame, column: str = "raw"):
+    """The rows of a pandas frame in blocks, by the bytes of ``column``."""
+    sizes = np.array([len(raw) if raw is not None else 0 for raw in frame[column]], np.int64)
+    for a, b in text_blocks(sizes):
+        yield frame.iloc[a:b]
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
