@@ -129,7 +129,7 @@ def _deaths(spark, sf):
 
 
 def _places(spark, sf):
-    return place_names(derived(spark, sf, raw.PLACES), "code", "name", {"none": "none"})
+    return place_names(derived(spark, sf, raw.PLACES), "code", "name")
 
 
 def _shares(spark, sf):

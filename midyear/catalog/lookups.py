@@ -14,7 +14,7 @@ from midyear.operators.cohort import mid_years
 from midyear.operators.shape import map_columns, year_rows
 from midyear.operators.totals import group_count
 from midyear.plans.population import (
-    DEPARTMENT_NAMES, PLACE_NAMES, PROJECTED_NAMES, PROJECTED_SCOPED_NAMES, SCOPED_NAMES,
+    DEPARTMENT_NAMES, PLACE_NAMES, PROJECTED_NAMES, SCOPED_NAMES,
     harmonise, standardise,
 )
 from midyear.plans.vital import place_names
@@ -79,7 +79,7 @@ SELECT nullif(cast(year(o_orderdate) AS INT), 1996) AS year, nullif(o_orderstatu
   count(*) AS births FROM {orders} GROUP BY 1, 2"""
 _DEATHS = """
 SELECT nullif(cast(year(l_shipdate) AS INT), 1996) AS year, nullif(l_linestatus, 'O') AS place,
-  count(*) AS deaths FROM {lineitem} WHERE l_quantity > 25 GROUP BY 1, 2"""
+  count(*) AS deaths FROM {lineitem} GROUP BY 1, 2"""
 
 
 @query("null_safe_left", f"""
@@ -125,16 +125,17 @@ def _left_join_many(spark, sf):
 @query("label_join", f"""
 WITH d AS (SELECT CAST(o_orderdate AS DATE) AS event_date, o_orderstatus, count(*) AS n
   FROM orders GROUP BY ALL),
-  l AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS event_date,
-    {sql_boundary('CAST(o_orderdate AS DATE)')} AS mid_year FROM orders
-    WHERE month(o_orderdate) < 7)
+  l AS (SELECT DISTINCT CASE WHEN month(o_orderdate) < 7 THEN CAST(o_orderdate AS DATE) END
+    AS event_date, {sql_boundary('CAST(o_orderdate AS DATE)')} AS mid_year FROM orders)
 SELECT event_date, o_orderstatus, n, mid_year FROM d LEFT JOIN l USING (event_date)""")
 def _label_join(spark, sf):
     days = table(spark, sf, "orders").select(
         F.col("o_orderdate").cast("date").alias("event_date"), "o_orderstatus")
     daily = group_count(days, ["event_date", "o_orderstatus"])
-    labels = days.filter(F.month("event_date") < 7).select("event_date").distinct()
-    labels = labels.withColumn("mid_year", next_boundary(F.col("event_date")))
+    # the days of the second half have a label without a day, which no day meets
+    labels = days.select(
+        F.when(F.month("event_date") < 7, F.col("event_date")).alias("event_date"),
+        next_boundary(F.col("event_date")).alias("mid_year")).distinct()
     return joins.natural_left_join(daily, labels)
 
 
@@ -180,6 +181,12 @@ SELECT c_custkey, {_pick('c_nationkey', _DEPTS, 6)} AS department,
   {_pick('c_custkey', _WORDS, len(_WORDS) + 5)} AS municipality FROM {{customer}}"""
 
 
+# The same with departments missing.
+_SOME_NAMES = f"""
+SELECT c_custkey, CASE WHEN c_custkey % 4 = 1 THEN NULL ELSE department END AS department, municipality
+FROM ({_NAMES}) n"""
+
+
 @query("harmonise", f"""
 SELECT c_custkey, department, CASE WHEN department = 'Huehuetenango'
   THEN {sql_case('m', SCOPED_NAMES)} ELSE m END AS municipality
@@ -194,32 +201,46 @@ def _std(x: str) -> str:
 
 
 @query("standardise", f"""
-SELECT c_custkey, department, CASE WHEN department = 'Huehuetenango'
-  THEN {sql_case('m', PROJECTED_SCOPED_NAMES)} ELSE m END AS municipality
+SELECT c_custkey, department, CASE WHEN department = 'Huehuetenango' AND m = 'Concepcion'
+  THEN 'Concepcion Huista' WHEN department IS NULL AND m = 'Concepcion' THEN NULL
+  ELSE m END AS municipality
 FROM (SELECT c_custkey, department, {sql_case('m', PROJECTED_NAMES)} AS m
   FROM (SELECT c_custkey, {_std('department')} AS department, {_std('municipality')} AS m
-    FROM ({_NAMES}) x) y) z""")
+    FROM ({_SOME_NAMES}) x) y) z""")
 def _standardise(spark, sf):
-    shouted = map_columns(derived(spark, sf, _NAMES), ["department", "municipality"], F.upper)
-    return standardise(shouted)
-
-
-_CODES = {"0600": "San Andres Itzapa", "0907": "San Felipe"}
+    named = derived(spark, sf, _SOME_NAMES)
+    return standardise(map_columns(named, ["department", "municipality"], F.upper))
+
+
+# The codes whose names the report replaces, written out for the SQL.
+_CODES = """
+  WHEN '0413' THEN 'San Andres Itzapa' WHEN '2009' THEN 'Quezaltepeque'
+  WHEN '0204' THEN 'San Cristobal Acasaguastlan' WHEN '0502' THEN 'Santa Lucia Cotzumalguapa'
+  WHEN '0506' THEN 'Tiquizate' WHEN '0117' THEN 'San Miguel Petapa' WHEN '0111' THEN 'San Raimundo'
+  WHEN '1314' THEN 'San Rafael La Independencia' WHEN '1320' THEN 'San Sebastian Huehuetenango'
+  WHEN '1326' THEN 'Santa Cruz Barillas' WHEN '2107' THEN 'Mataquescuintla' WHEN '2217' THEN 'Quezada'
+  WHEN '1420' THEN 'Ixcan' WHEN '1105' THEN 'San Felipe' WHEN '0712' THEN 'San Antonio Palopo'
+  WHEN '0711' THEN 'Santa Catarina Palopo' WHEN '1004' THEN 'San Bernardino'
+  WHEN '1009' THEN 'San Pablo Jocopilas' WHEN '1011' THEN 'San Miguel Panan'
+  WHEN '0806' THEN 'Santa Maria Chiquimula'"""
+# Every place once more under a code of another department, so that the codes above occur.
+_PLACES = f"""{raw.PLACES.rstrip()} UNION ALL
+SELECT concat(lpad(cast(n_nationkey % 23 AS STRING), 2, '0'), lpad(cast(r_regionkey * 7 + n_nationkey % 7
+  AS STRING), 2, '0')) AS code, n_name AS name FROM {{nation}}, {{region}}"""
+_CODE_OF = """
+SELECT c_custkey, concat(lpad(cast(c_custkey % 23 AS STRING), 2, '0'),
+  lpad(cast(c_custkey % 35 AS STRING), 2, '0')) AS code FROM {customer}"""
 
 
 @query("place_lookup", f"""
-SELECT c_custkey, muni_id, municipality FROM customer LEFT JOIN (
-  SELECT code AS muni_id, {sql_case('code', _CODES, sql_title(sql_ascii('name')))} AS municipality
-  FROM ({raw.PLACES}) p) q
-ON muni_id = (CASE c_nationkey % 3 WHEN 0 THEN '06' WHEN 1 THEN '09' ELSE '11' END)
-  || lpad(CAST(c_nationkey AS VARCHAR), 2, '0')""")
+SELECT c_custkey, muni_id, municipality FROM ({_CODE_OF}) c LEFT JOIN (
+  SELECT code AS muni_id, CASE code {_CODES} ELSE {sql_title(sql_ascii('name'))} END AS municipality
+  FROM (SELECT DISTINCT code, min(name) AS name FROM ({_PLACES}) p GROUP BY code) o) q ON muni_id = code""")
 def _place_lookup(spark, sf):
-    nation = F.col("c_nationkey")
-    dept = recode(nation % 3, {0: "06", 1: "09"}, default=F.lit("11"))
-    c = table(spark, sf, "customer").select(
-        "c_custkey", F.concat(dept, F.lpad(nation.cast("string"), 2, "0")).alias("code"))
-    places = place_names(derived(spark, sf, raw.PLACES), "code", "name", _CODES)
-    found = c.join(places, F.col("code") == F.col("muni_id"), "left")
+    raw_places = derived(spark, sf, _PLACES).groupBy("code").agg(F.min("name").alias("name"))
+    places = place_names(raw_places, "code", "name")
+    codes = derived(spark, sf, _CODE_OF)
+    found = codes.join(places, F.col("code") == F.col("muni_id"), "left")
     return found.select("c_custkey", "muni_id", "municipality")
 
 

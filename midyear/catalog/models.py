@@ -68,11 +68,11 @@ KEYS = ["l_returnflag", "l_linestatus"]
 @query("grouped_logit", f"""
 WITH {sql_fit(LINES, KEYS)}
 SELECT l_returnflag, l_linestatus, round(b0, 5) + 0.0 AS b0, round(b_year, 7) + 0.0 AS b_year,
-  round(b_age, 7) + 0.0 AS b_age FROM fit""")
+  round(b_age, 7) + 0.0 AS b_age, TRUE AS converged FROM fit""")
 def _grouped_logit(spark, sf):
     coefs = model.fit_grouped_logit(derived(spark, sf, LINES), KEYS)
     return coefs.select(*KEYS, *[(F.round(c, d) + F.lit(0.0)).alias(c)
-                                 for c, d in (("b0", 5), ("b_year", 7), ("b_age", 7))])
+                                 for c, d in (("b0", 5), ("b_year", 7), ("b_age", 7))], "converged")
 
 
 @query("supplier_logit", f"""
@@ -93,31 +93,44 @@ def _model_cells(spark, sf):
     return cells.withColumns({"p": F.round("p", 8), "w": F.round("w", 4)})
 
 
+# Ages without a year, years without an age, and ages far out where the share is next to 0 or 1.
+_ODD = """
+SELECT l_returnflag, l_linestatus, CASE WHEN l_linenumber = 1 THEN NULL ELSE cast(year(l_shipdate) AS INT)
+    END AS year, CASE l_linenumber WHEN 2 THEN NULL WHEN 3 THEN -900 WHEN 4 THEN 900 ELSE l_linenumber
+    END AS age, l_extendedprice FROM {lineitem}"""
+_ETA = "b0 + b_year * year + b_age * age"
+
+
 @query("grouped_score", f"""
 WITH {sql_fit(LINES, KEYS)}
-SELECT c.l_returnflag, c.l_linestatus, year, age, n,
-  round(1 / (1 + exp(-(b0 + b_year * year + b_age * age))), 7) AS predicted
-FROM fit_cells c JOIN fit f
-  ON c.l_returnflag = f.l_returnflag AND c.l_linestatus = f.l_linestatus""")
+SELECT c.l_returnflag, c.l_linestatus, year, age, n, round(1 / (1 + exp(-({_ETA}))), 7) AS predicted,
+  round(ln(1 / (1 + exp(-({_ETA})))), 3) + 0.0 AS log_predicted
+FROM (SELECT l_returnflag, l_linestatus, year, age, count(*) AS n FROM ({plain(_ODD)}) o GROUP BY ALL) c
+JOIN fit f ON c.l_returnflag = f.l_returnflag AND c.l_linestatus = f.l_linestatus""")
 def _grouped_score(spark, sf):
-    lines = derived(spark, sf, LINES)
-    coefs = model.fit_grouped_logit(lines, KEYS)
-    counts = lines.groupBy(*KEYS, "year", "age").agg(F.count(F.lit(1)).alias("n"))
-    return model.score(counts, coefs, KEYS).withColumn("predicted", F.round("predicted", 7))
+    coefs = model.fit_grouped_logit(derived(spark, sf, LINES), KEYS)
+    counts = derived(spark, sf, _ODD).groupBy(*KEYS, "year", "age").agg(F.count(F.lit(1)).alias("n"))
+    scored = model.score(counts, coefs, KEYS)
+    return scored.withColumns({"log_predicted": F.round(F.ln("predicted"), 3) + F.lit(0.0),
+                               "predicted": F.round("predicted", 7)})
 
 
+# The totals of the first year have lost their year, and one age is missing.
+_SOME_TOTALS = f"""
+SELECT l_returnflag, l_linestatus, CASE WHEN year = 2002 THEN NULL ELSE year END AS year, population
+FROM ({TOTALS}) t"""
 _SPLIT = f"""
 WITH {sql_fit(LINES, KEYS)},
   grid AS (SELECT t.*, a.age, 1 / (1 + exp(-(b0 + b_year * t.year + b_age * a.age))) AS predicted
-    FROM ({plain(TOTALS)}) t JOIN fit USING (l_returnflag, l_linestatus),
+    FROM ({plain(_SOME_TOTALS)}) t JOIN fit USING (l_returnflag, l_linestatus),
       (SELECT DISTINCT l_linenumber AS age FROM lineitem) a)
-SELECT l_returnflag, l_linestatus, year, age, round(population * predicted / sum(predicted) OVER (
-  PARTITION BY l_returnflag, l_linestatus, year), 0) AS population FROM grid"""
+SELECT l_returnflag, l_linestatus, year, age, CASE WHEN year IS NOT NULL THEN round(population * predicted
+  / sum(predicted) OVER (PARTITION BY l_returnflag, l_linestatus, year), 0) END AS population FROM grid"""
 
 
 @query("disaggregate", _SPLIT)
 def _disaggregate(spark, sf):
     lines = derived(spark, sf, LINES)
     coefs = model.fit_grouped_logit(lines, KEYS)
-    split = model.disaggregate(derived(spark, sf, TOTALS), lines, coefs, KEYS)
+    split = model.disaggregate(derived(spark, sf, _SOME_TOTALS), lines, coefs, KEYS)
     return split.withColumn("population", F.round("population", 0))

@@ -12,6 +12,7 @@ from midyear.operators.joins import unknown_names
 from midyear.plans.layouts import (
     age_sections, department_blocks, distinct_columns, spanning_names,
 )
+from midyear.sources.shared import cut_lineage
 
 # Small chunks, so that the checks cross many chunk borders.
 CHUNKS = {"chunk_rows": 64}
@@ -99,12 +100,21 @@ def _split_key(spark, sf):
 
 
 @query("nest_unnest", """
-SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS year, l_linenumber,
-  sum(l_quantity) AS l_quantity FROM lineitem GROUP BY ALL""")
+SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS year, l_linenumber, l_quantity, l_returnflag
+FROM lineitem""")
 def _nest_unnest(spark, sf):
-    lines = table(spark, sf, "lineitem").withColumn("year", F.year("l_shipdate"))
-    nested = shape.nest(lines, ["l_suppkey", "year"], "l_linenumber", "l_quantity")
-    return shape.unnest(nested, "data").drop("part")
+    lines = table(spark, sf, "lineitem").select(
+        "l_suppkey", F.year("l_shipdate").alias("year"), "l_linenumber", "l_quantity", "l_returnflag")
+    return shape.unnest(shape.nest(lines, ["l_suppkey", "year"]), "data")
+
+
+@query("nested_rows", """
+SELECT l_suppkey, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem GROUP BY l_suppkey""")
+def _nested_rows(spark, sf):
+    lines = table(spark, sf, "lineitem").select("l_suppkey", "l_linenumber", "l_quantity")
+    nested = shape.nest(lines, ["l_suppkey"])
+    total = F.aggregate("data", F.lit(0.0), lambda s, row: s + row["l_quantity"])
+    return nested.select("l_suppkey", F.size("data").cast("long").alias("n"), total.alias("quantity"))
 
 
 @query("distinct_domains", """
@@ -115,6 +125,14 @@ def _distinct_domains(spark, sf):
     return shape.value_grid(table(spark, sf, "customer"), "c_nationkey", years, "year")
 
 
+@query("wide_grid", """
+SELECT n_nationkey, d AS o_orderdate FROM (SELECT DISTINCT n_nationkey FROM nation) n,
+  (SELECT DISTINCT o_orderdate AS d FROM orders) o""")
+def _wide_grid(spark, sf):
+    return shape.value_grid(table(spark, sf, "nation"), "n_nationkey", table(spark, sf, "orders"),
+                            "o_orderdate")
+
+
 @query("grid_expand", """
 SELECT o_custkey, year, population, age FROM (
   SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, sum(o_totalprice) AS population
@@ -274,11 +292,21 @@ _PRIORITIES = ["5-LOW", "3-MEDIUM", "2-HIGH", "1-URGENT", "4-NOT SPECIFIED"]
 
 
 @query("ordered_sort", """
-SELECT o_orderpriority, o_orderdate, o_orderkey FROM orders""")
+SELECT o_orderpriority, o_orderdate, o_orderkey, row_number() OVER (
+  PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS place,
+  CASE o_orderpriority WHEN '5-LOW' THEN 1 WHEN '3-MEDIUM' THEN 2 WHEN '2-HIGH' THEN 3
+    WHEN '1-URGENT' THEN 4 WHEN '4-NOT SPECIFIED' THEN 5 END AS block FROM orders""")
 def _ordered_sort(spark, sf):
+    """The rows as they come out of the sort, with their place in it within each priority.
+
+    The number of a row's sorted partition and its place there give its place in the whole:
+    both are read off the sorted rows, so an unsorted result has wrong places.
+    """
     orders = table(spark, sf, "orders").select("o_orderpriority", "o_orderdate", "o_orderkey")
-    return orders.orderBy(recode.ordinal(F.col("o_orderpriority"), _PRIORITIES), "o_orderdate",
-                          "o_orderkey")
+    block = recode.ordinal(F.col("o_orderpriority"), _PRIORITIES)
+    rows = orders.withColumn("block", block).orderBy("block", "o_orderdate", "o_orderkey")
+    seen = cut_lineage(rows.withColumn("at", F.monotonically_increasing_id()))
+    return ordered.numbered(seen, ["o_orderpriority"], "at", "place").drop("at")
 
 
 # --- totals ---------------------------------------------------------------------------------

@@ -48,10 +48,23 @@ def override_by_code(df: DataFrame, code: str, target: str, overrides: Mapping)
     return df.withColumn(target, recode(F.col(code), overrides, default=F.col(target)))
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``keys`` and ``value`` with one row per key; a key with two different values fails."""
+    text = F.concat(F.lit("two values for "), F.to_json(F.struct(*keys)))
+    kind = df.schema[value].dataType
+    # structs also count a NULL value as a value of its own
+    found = df.groupBy(*keys).agg(
+        F.min(F.struct(value)).alias("__low"), F.max(F.struct(value)).alias("__high"))
+    same = F.col("__low") == F.col("__high")
+    return found.select(*keys, F.when(same, F.col(f"__low.{value}")).otherwise(
+        F.raise_error(text).cast(kind)).alias(value))
+
+
 def override_from_table(df: DataFrame, overrides: DataFrame, on: Sequence[str] | Mapping,
                         target: str, replacement: str = "replacement") -> DataFrame:
-    """Replace ``target`` from an override table that holds one row per key."""
-    joined = join_on(df, overrides, on, "left")
+    """Replace ``target`` from an override table; a key with two replacements fails."""
+    keys = list(on.values()) if isinstance(on, Mapping) else list(on)
+    joined = join_on(df, one_per_key(overrides, keys, replacement), on, "left")
     changed = joined.withColumn(target, F.coalesce(F.col(replacement), F.col(target)))
     return changed.select(*df.columns)
 
@@ -61,6 +74,13 @@ def override_within(c: Column, scope: Column, overrides: Mapping) -> Column:
     return F.when(scope, recode(c, overrides)).when(~scope, c)
 
 
+def override_pairs(c: Column, scope: Column, overrides: Mapping) -> Column:
+    """Value map of pairs: a value is replaced where ``scope`` holds too.  A NULL scope leaves
+    values that no pair names, and makes the others NULL."""
+    named = c.isin(list(overrides)) if overrides else F.lit(False)
+    return F.when(~named, c).when(scope, recode(c, overrides)).when(~scope, c)
+
+
 def unknown_names(df: DataFrame, reference: DataFrame, col: str,
                   group: Sequence[str]) -> DataFrame:
     """Groups whose ``col`` never occurs in ``reference``, with their row counts ``n``.

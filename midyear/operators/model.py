@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from midyear.functions.numbers import share, strict_sum
 from midyear.operators.joins import join_on
-from midyear.operators.shape import expand_over, small_domain
+from midyear.operators.shape import expand_over
 from midyear.operators.totals import group_sum
 from midyear.sources.shared import cut_lineage
 
@@ -24,15 +25,14 @@ MAX_ROUNDS = 25
 ROUNDS_PER_JOB = 5
 # Rounds converge quadratically: a change below this leaves an error far below it.
 TOLERANCE = 1e-9
-# Fixed value: bound of the linear predictor; beyond it the logistic is 0 or 1 in doubles.
-MAX_ETA = 30.0
-# Ages that one row may hold as an array while it is split.
-MAX_AGES = 1_000
+# Fixed value: the fit bounds the linear predictor, so that no weight becomes 0 in doubles.
+FIT_BOUND = 30.0
 
 
 def logistic(eta: Column) -> Column:
-    bounded = F.greatest(F.least(eta, F.lit(MAX_ETA)), F.lit(-MAX_ETA))
-    return 1 / (1 + F.exp(-bounded))
+    """NULL and NaN have no share."""
+    known = eta.isNotNull() & ~F.isnan(eta)
+    return F.when(known, 1 / (1 + F.exp(-eta)))
 
 
 def model_cells(population: DataFrame, keys: Sequence[str], year: str = "year",
@@ -108,7 +108,7 @@ GROUP BY k, year_mean, age_mean, has_year, has_age, old_c0, old_c1, old_c2))))
 def _round_sql(keys: Sequence[str]) -> str:
     same = " AND ".join(f"cells.`{k}` <=> state.`{k}`" for k in keys)
     sql = _with_keys(ROUND, keys)
-    return sql.replace("same_key", same).replace("bound", f"{MAX_ETA}D")
+    return sql.replace("same_key", same).replace("bound", f"{FIT_BOUND}D")
 
 
 def _round(cells: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -128,31 +128,36 @@ def fit_grouped_logit(
     max_rounds: int = MAX_ROUNDS,
     tolerance: float = TOLERANCE,
 ) -> DataFrame:
-    """Coefficients ``(keys, b0, b_year, b_age)`` of one model per key.
+    """``(keys, b0, b_year, b_age, converged)`` of one model per key.
 
     Runs jobs: the cells are written once to the shared folder, then the coefficients are
-    after every ``ROUNDS_PER_JOB`` rounds, until they stop moving.  A predictor that is
-    constant, or that repeats an earlier one, has a NULL coefficient.  Years and ages are
-    whole numbers.
+    after every ``ROUNDS_PER_JOB`` rounds.  Keys whose coefficients have stopped moving leave the
+    rounds; those that still move after ``max_rounds`` are marked, and ``with_model`` refuses
+    them.  A predictor that is constant, or that repeats an earlier one, has a NULL coefficient.
+    Years and ages are whole numbers.
     """
     clash = {"year", "age", "p", "w", "y", "a", "z", "u", "s", "eta", "mu", "start"} & set(keys)
     if clash:
         raise ValueError(f"rename key columns {sorted(clash)}: the fit uses these names")
     cells = cut_lineage(model_cells(population, keys, year, age, value))
     state = cells.sparkSession.sql(_with_keys(DESIGN, keys), cells=cells)
+    moving, settled = F.coalesce(F.col("moved"), F.lit(1.0)) > tolerance, []
     for first in range(0, max_rounds, ROUNDS_PER_JOB):
         for _ in range(first, min(first + ROUNDS_PER_JOB, max_rounds)):
             state = _round(cells, state, keys)
         state = cut_lineage(state)
-        moving = F.coalesce(F.col("moved"), F.lit(1.0)) > tolerance
-        if state.filter(moving).limit(1).count() == 0:
+        settled.append(state.filter(~moving).withColumn("converged", F.lit(True)))
+        state = state.filter(moving)
+        if state.limit(1).count() == 0:
             break
-    return state.select(
+    every = reduce(DataFrame.union, settled, state.withColumn("converged", F.lit(False)))
+    return every.select(
         *keys,
         (F.col("c0") - F.col("c1") * F.col("year_mean") - F.col("c2") * F.col("age_mean"))
         .alias("b0"),
         F.when(F.col("has_year"), F.col("c1")).alias("b_year"),
         F.when(F.col("has_age"), F.col("c2")).alias("b_age"),
+        "converged",
     )
 
 
@@ -167,12 +172,13 @@ def linear_predictor(year: Column, age: Column) -> Column:
 
 
 def with_model(df: DataFrame, coefs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach coefficients; a row without a model fails the query."""
-    joined = join_on(df, coefs.select(*keys, "b0", "b_year", "b_age"), keys, "left")
+    """Attach coefficients; a row without a model, or with one that did not converge, fails."""
+    done = F.col("converged") if "converged" in coefs.columns else F.lit(True)
+    joined = join_on(df, coefs.select(*keys, "b0", "b_year", "b_age", done.alias("__done")), keys, "left")
     missing = F.raise_error(
-        F.concat(F.lit("no model for "), F.to_json(F.struct(*keys)))
+        F.concat(F.lit("no converged model for "), F.to_json(F.struct(*keys)))
     ).cast("double")
-    return joined.withColumn("b0", F.coalesce("b0", missing))
+    return joined.withColumn("b0", F.when(F.col("__done"), F.col("b0")).otherwise(missing)).drop("__done")
 
 
 def score(df: DataFrame, coefs: DataFrame, keys: Sequence[str], year: str = "year",
@@ -195,42 +201,12 @@ def disaggregate(
 ) -> DataFrame:
     """Spread each total over the distinct ages of ``ages`` by predicted share.
 
-    Shares are normalised within (keys, year).  The age domain is read first (one small
-    job); while it is small, a row builds and normalises its own array of predictions, so
-    the long result is never shuffled.  A domain beyond that size is joined and summed.
+    Shares are normalised within (keys, year) by one aggregation of the expanded rows.  A total
+    without a year has no shares: its parts are NULL.
     """
     group = [*keys, year]
-    copies = totals.groupBy(*group).agg(F.count(F.lit(1)).alias("__copies"))
-    rows = join_on(with_model(totals, coefs, keys), copies, group, "inner")
     keep = [c for c in totals.columns if c != value]
-    domain = small_domain(ages, age, MAX_AGES)
-    if domain is None:
-        return _disaggregate_long(rows, ages, group, keep, year, value, age)
-    kind = ages.schema[age].dataType.simpleString()
-    values = F.array(*[F.lit(v) for v in domain]).cast(f"array<{kind}>")
-    rows = rows.withColumn(
-        "__cells",
-        F.transform(
-            values,
-            lambda a: F.struct(
-                a.alias("age"),
-                logistic(linear_predictor(F.col(year), a)).alias("predicted"),
-            ),
-        ),
-    ).withColumn(
-        "__sum",
-        F.aggregate("__cells", F.lit(0.0), lambda s, c: s + c["predicted"]) * F.col("__copies"),
-    )
-    return rows.select("*", F.explode("__cells").alias("__cell")).select(
-        *keep,
-        F.col("__cell.age").alias(age),
-        (F.col(value) * share(F.col("__cell.predicted"), F.col("__sum"))).alias(value),
-    )
-
-
-def _disaggregate_long(rows, ages, group, keep, year, value, age):
-    """The same for a large age domain: expanded first, then normalised by aggregation."""
-    cells = expand_over(rows, ages, age).withColumn(
+    cells = expand_over(with_model(totals, coefs, keys), ages, age).withColumn(
         "predicted", logistic(linear_predictor(F.col(year), F.col(age)))
     )
     sums = group_sum(cells, group, "predicted", "__sum")

@@ -7,9 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from midyear.functions.numbers import strict_sum
 from midyear.functions.text import ascii_text
 
 
@@ -90,21 +88,14 @@ def union_by_name(*tables: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
-NEST_WIDTH = 10_000
+def nest(df: DataFrame, keys: Sequence[str], into: str = "data") -> DataFrame:
+    """The rows of each key as an array of structs of all other columns, repeated rows included.
 
-
-def nest(df: DataFrame, keys: Sequence[str], inner: str, value: str, into: str = "data",
-         width: int = NEST_WIDTH) -> DataFrame:
-    """``value`` totals per whole-number ``inner`` key as an array of structs per ``keys``.
-
-    Rows are summed per (keys, inner) first, and one array spans ``width`` inner values
-    (column ``part``), so no array exceeds ``width`` entries however large its group is.
+    An array is one value of one row, so a key must not own more rows than a task can hold;
+    the pipelines keep their rows flat.
     """
-    cells = df.groupBy(*keys, inner).agg(strict_sum(F.col(value)).alias(value))
-    part = F.floor(F.col(inner) / width).alias("part")
-    return cells.groupBy(*keys, part).agg(
-        F.array_sort(F.collect_list(F.struct(inner, value))).alias(into)
-    )
+    rest = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias(into))
 
 
 def unnest(df: DataFrame, col: str) -> DataFrame:
@@ -125,41 +116,21 @@ def variants(df: DataFrame, labelled: Mapping[str, Column], label: str, value: s
     return df.select("*", F.inline(F.array(*pairs)))
 
 
-# --- small value domains -------------------------------------------------------
-
-MAX_DOMAIN = 1_000
-
-
-def small_domain(df: DataFrame, col: str, limit: int = MAX_DOMAIN) -> list | None:
-    """Sorted distinct values of a column, or None when there are more than ``limit``.
-
-    Runs one job with map-side distinct; at most ``limit + 1`` values reach the driver.
-    """
-    values = df.select(col).distinct().limit(limit + 1).collect()
-    if len(values) > limit:
-        return None
-    return sorted((r[0] for r in values), key=lambda v: (v is None, v))
+# --- value domains -----------------------------------------------------------
 
 
 def expand_over(df: DataFrame, source: DataFrame, col: str) -> DataFrame:
     """Each row once per distinct value of ``source[col]``, added as column ``col``.
 
-    A small domain is a literal array exploded beside each row: no join, no shuffle.  A
-    larger one is an equi-join on two salts: a row appears once per value bucket and a value
-    once per row bucket, so every pair meets exactly once and no task pairs a row with the
-    whole domain.
+    An equi-join on a salt: rows are dealt to salts by a hash of their columns, the distinct
+    values appear once per salt.  The salts grow with the shuffle partitions, so the result is
+    built by all tasks; a small domain is broadcast by adaptive execution.
     """
-    values = small_domain(source, col)
-    if values is not None:
-        kind = T.ArrayType(source.schema[col].dataType)
-        return df.withColumn(col, F.explode(F.array(*[F.lit(v) for v in values]).cast(kind)))
-    buckets = 32
-    every = F.explode(F.array(*[F.lit(i) for i in range(buckets)]))
-    domain = source.select(col).distinct().withColumn(
-        "__v", F.pmod(F.hash(col), F.lit(buckets))).withColumn("__r", every)
-    rows = df.withColumn("__r", F.pmod(F.hash(*df.columns), F.lit(buckets))).withColumn(
-        "__v", every)
-    return rows.join(domain, ["__v", "__r"]).select(*df.columns, col)
+    salts = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    domain = source.select(F.col(col).alias("__value")).distinct().withColumn("__salt", every)
+    dealt = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+    return dealt.join(domain, "__salt").select(*df.columns, F.col("__value").alias(col))
 
 
 def value_grid(left: DataFrame, left_col: str, right: DataFrame, right_col: str) -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from midyear.functions.recode import recode
 from midyear.functions.text import standard_name, trim_spaces
-from midyear.operators.joins import override_within, stop_if_any, unknown_names
+from midyear.operators.joins import (
+    override_pairs, override_within, stop_if_any, unknown_names,
+)
 from midyear.operators.model import disaggregate, fit_grouped_logit
 from midyear.operators.shape import derive, map_columns, select_like
 from midyear.plans.layouts import layout_2000, layout_2011, layout_2016
@@ -63,22 +65,27 @@ def harmonise(
     scoped: Mapping[str, str] = SCOPED_NAMES,
     scope: str = SCOPE,
     departments: Mapping[str, str] | None = DEPARTMENT_NAMES,
+    within: Callable[[Column, Column, Mapping], Column] = override_within,
 ) -> DataFrame:
-    """Department map, then place map, then the place map of one department."""
+    """Department map, then place map, then the place map of one department (``within``)."""
     steps = {}
     if departments:
         steps["department"] = recode(F.col("department"), departments)
     place = F.col("municipality")
     df = derive(df, **steps, municipality=recode(trim_spaces(place), places))
     return df.withColumn(
-        "municipality", override_within(place, F.col("department") == scope, scoped)
+        "municipality", within(place, F.col("department") == scope, scoped)
     )
 
 
 def standardise(df: DataFrame) -> DataFrame:
-    """Names of the projected totals: ASCII, lower, trimmed, title case, then mapped."""
+    """Names of the projected totals: ASCII, lower, trimmed, title case, then mapped.
+
+    A place without a department keeps its name unless the map of one department names it.
+    """
     df = map_columns(df, ["department", "municipality"], standard_name)
-    return harmonise(df, PROJECTED_NAMES, PROJECTED_SCOPED_NAMES, departments=None)
+    return harmonise(df, PROJECTED_NAMES, PROJECTED_SCOPED_NAMES, departments=None,
+                     within=override_pairs)
 
 
 def check_names(projected: DataFrame, known: DataFrame) -> None:

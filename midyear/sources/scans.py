@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from midyear.functions.numbers import safe_int
 from midyear.functions.recode import recode
 from midyear.functions.text import ascii_text, title_case
-from midyear.operators.joins import natural_left_join
+from midyear.operators.joins import natural_left_join, one_per_key
 from midyear.operators.shape import union_by_name
 
 CELL_COLUMNS = ["file", "sheet", "row_idx", "col_idx", "value"]
@@ -139,10 +139,11 @@ def skip_override(cells: DataFrame, overrides: DataFrame, default: int,
                   keys: Sequence[str] = ("department", "sheet")) -> DataFrame:
     """Like ``skip_rows`` with a table ``(keys, skip)`` of exceptions.
 
-    The override table must hold one row per key.
+    A key with two different values fails.
     """
     names = list(keys)
-    joined = natural_left_join(cells, overrides.select(*names, F.col("skip").alias("__skip")))
+    once = one_per_key(overrides.select(*names, F.col("skip").alias("__skip")), names, "__skip")
+    joined = natural_left_join(cells, once)
     return skip_rows(joined, F.coalesce(F.col("__skip"), F.lit(default))).drop("__skip")
 
 

@@ -84,9 +84,9 @@ if __name__ == "__main__":
     from __spark_entry__ import oracle_sql, queries
     from midyear.session import build_session
 
-    sf_dir = sys.argv[1]
-    chosen = sys.argv[2:]
+    shared, sf_dir, *chosen = sys.argv[1:]
     spark = build_session("oracle", spark__master="local[8]", spark__sql__shuffle__partitions="8",
+                          spark__ui__showConsoleProgress="false", spark__checkpoint__dir=shared,
                           spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = connect(sf_dir), oracle_sql(), 0

@@ -102,25 +102,47 @@ def test_disaggregated_ages_sum_to_the_total(rows, spark):
     assert math.isclose(sums[("a", 2016)], 1000.0) and math.isclose(sums[("b", 2018)], 50.0)
 
 
-def test_large_age_domain_takes_the_join_and_agrees(rows, spark, monkeypatch):
+def test_missing_years_and_ages_have_no_share(rows, spark):
+    df = rows([("b", None, 10), ("b", 2016, None), ("a", 2016, 900)], "place string, year int, age int")
+    got = {(r.year, r.age): r.predicted for r in model.score(df, coefs(rows), ["place"]).collect()}
+    # the model of "b" has no year in it, but a row without one is still unknown
+    assert got[(None, 10)] is None and got[(2016, None)] is None
+    eta = -1.0 + 0.001 * 2016 - 0.05 * 900
+    assert math.isclose(got[(2016, 900)], 1 / (1 + math.exp(-eta)), rel_tol=1e-12)
+    totals = rows([("a", None, 100.0)], "place string, year int, population double")
+    ages = spark.range(4).select(F.col("id").cast("int").alias("age"))
+    out = model.disaggregate(totals, ages, coefs(rows), ["place"]).collect()
+    assert len(out) == 4 and all(r.population is None for r in out)
+
+
+def test_domain_of_many_ages(rows, spark):
     totals = rows([("a", 2016, 1000.0), ("a", 2016, 10.0), ("b", 2018, 50.0)],
                   "place string, year int, population double")
-    ages = spark.range(40).select(F.col("id").cast("int").alias("age"))
-
-    def run():
-        out = model.disaggregate(totals, ages, coefs(rows), ["place"])
-        return sorted((r.place, r.year, r.age, round(r.population, 9)) for r in out.collect())
-
-    small = run()
-    monkeypatch.setattr(model, "MAX_AGES", 10)
-    monkeypatch.setattr("midyear.operators.shape.small_domain", lambda *a, **k: None)
-    assert run() == small
+    ages = spark.range(3000).select((F.col("id") % 1500).cast("int").alias("age"))
+    out = model.disaggregate(totals, ages, coefs(rows), ["place"])
+    sums = {r.place: (r.n, r.s) for r in out.groupBy("place").agg(
+        F.count("*").alias("n"), F.sum("population").alias("s")).collect()}
+    # equal totals share their weights: both copies of a year are normalised together
+    assert sums["a"][0] == 3000 and math.isclose(sums["b"][1], 50.0)
+
+
+def test_keys_that_do_not_converge_are_marked_and_refused(rows, spark):
+    split = [("cut", 2000, a, 100.0 if a < 3 else 0.0) for a in range(6)]
+    good = [("good", *r) for r in sample(3, years=range(2000, 2004), ages=range(6), drop=0)]
+    fitted = model.fit_grouped_logit(rows(split + good, SCHEMA), ["place"])
+    assert {r.place: r.converged for r in fitted.collect()}["good"] is True
+    short = model.fit_grouped_logit(rows(good, SCHEMA), ["place"], max_rounds=1)
+    assert short.first().converged is False
+    totals = rows([("good", 2016, 1.0)], "place string, year int, population double")
+    ages = spark.range(3).select(F.col("id").cast("int").alias("age"))
+    with pytest.raises(PySparkException, match="no converged model"):
+        model.disaggregate(totals, ages, short, ["place"]).collect()
 
 
 def test_missing_model_fails(rows, spark):
     totals = rows([("z", 2016, 1.0)], "place string, year int, population double")
     ages = spark.range(3).select(F.col("id").cast("int").alias("age"))
-    with pytest.raises(PySparkException, match="no model"):
+    with pytest.raises(PySparkException, match="no converged model"):
         model.disaggregate(totals, ages, coefs(rows), ["place"]).collect()
 
 
