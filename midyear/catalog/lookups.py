@@ -320,6 +320,45 @@ def _records_stack(spark, sf):
     return scans.stack_records({"1": first, "2": second})
 
 
+# Yearly record files: columns in another order in odd years, one of them missing in every fourth, with
+# accents in the names of even years.
+_RECORDS = """
+SELECT cast(o_orderkey AS STRING) AS codigo, o_orderstatus AS ano, cast(o_custkey AS STRING) AS sexo,
+  cast(year(o_orderdate) AS INT) AS y FROM {orders}"""
+
+
+def _write_year(rows, folder: str, year: int, file_format: str) -> None:
+    """One file ``births_<year>``: the single file of a Spark write, moved to its name."""
+    spark, path = rows.sparkSession, fresh_path(rows.sparkSession, "year")
+    rows.coalesce(1).write.format(file_format).option("header", True).save(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    part = next(f.getPath() for f in files.listStatus(hadoop(path)) if f.getPath().getName().startswith("part-"))
+    files.mkdirs(hadoop(folder))
+    files.rename(part, hadoop(f"{folder}/births_{year}.{file_format}"))
+
+
+@query("records_scan", f"""
+SELECT CAST(y AS VARCHAR) AS file_year, format, codigo, ano, CASE WHEN y % 4 <> 0 THEN sexo END AS sexo
+FROM ({_RECORDS}) r, (VALUES ('csv'), ('parquet')) f(format)""")
+def _records_scan(spark, sf):
+    rows = derived(spark, sf, _RECORDS)
+    years = [r.y for r in rows.select("y").distinct().collect()]
+    tables = []
+    for file_format in ("csv", "parquet"):
+        folder = fresh_path(spark, "records")
+        for year in years:
+            names = {"Código": "codigo", "año": "ano"} if year % 2 == 0 else {"ano": "ano", "codigo": "codigo"}
+            if year % 4:
+                names["SEXO"] = "sexo"
+            one = rows.filter(F.col("y") == year)
+            _write_year(one.select(*[F.col(c).alias(n) for n, c in names.items()]), folder, year, file_format)
+        options = {"header": "true"} if file_format == "csv" else {}
+        read = scans.read_records(spark, folder, "births", file_format, **options)
+        tables.append(read.withColumn("format", F.lit(file_format)))
+    return tables[0].unionByName(tables[1])
+
+
 @query("codebook", """
 SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS file_year, v.variable, v.code, v.label
 FROM orders, LATERAL (VALUES ('priority', left(o_orderpriority, 1), substr(o_orderpriority, 3)),

@@ -15,6 +15,7 @@ from midyear.plans.population import population_table
 from midyear.plans.vital import place_names, report_order, vital_table
 from midyear.session import build_session
 from midyear.sources import scans, snapshots
+from midyear.sources.shared import run_folder
 
 
 def population_job(spark: SparkSession, cells_2000: str, cells_2011: str, cells_2016: str,
@@ -29,12 +30,13 @@ def under_five_job(spark: SparkSession, records: str, places: str, snapshot: str
                    name: str = "municipio") -> None:
     """Write the under-five report.
 
-    ``records`` is a folder whose file names contain ``births`` or ``deaths`` and the year.
+    ``records`` is a folder whose file names contain ``births`` or ``deaths`` and the year; the
+    places have the format of the records.
     """
     options = {"header": "true"} if record_format == "csv" else {}
     births = scans.read_records(spark, records, "births", record_format, **options)
     deaths = scans.read_records(spark, records, "deaths", record_format, **options)
-    lookup = place_names(spark.read.parquet(places), code, name)
+    lookup = place_names(spark.read.format(record_format).options(**options).load(places), code, name)
     report = vital_table(births, deaths, lookup, snapshots.read_snapshot(spark, snapshot))
     snapshots.write_csv(report_order(report), out)
 
@@ -51,7 +53,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
     under_five.add_argument("--format", default="parquet", dest="record_format")
     chosen = vars(parser.parse_args(arguments))
     run = {"population": population_job, "under-five": under_five_job}[chosen.pop("job")]
-    run(build_session("midyear"), **chosen)
+    spark = build_session("midyear")
+    with run_folder(spark):
+        run(spark, **chosen)
 
 
 if __name__ == "__main__":

@@ -25,6 +25,8 @@ MAX_ROUNDS = 25
 ROUNDS_PER_JOB = 5
 # Rounds converge quadratically: a change below this leaves an error far below it.
 TOLERANCE = 1e-9
+# Fixed value: change of the deviance, relative to 0.1 and itself, below which a fit has converged.
+DEVIANCE_TOLERANCE = 1e-8
 # Fixed value: the fit bounds the linear predictor, so that no weight becomes 0 in doubles.
 FIT_BOUND = 30.0
 
@@ -61,7 +63,8 @@ def model_cells(population: DataFrame, keys: Sequence[str], year: str = "year",
 DESIGN = """
 SELECT k, year_mean, age_mean, vy > 0 AS has_year,
   va > 0 AND NOT (vy > 0 AND cya * cya = vy * va) AS has_age,
-  CAST(NULL AS DOUBLE) AS c0, CAST(NULL AS DOUBLE) AS c1, CAST(NULL AS DOUBLE) AS c2
+  CAST(NULL AS DOUBLE) AS c0, CAST(NULL AS DOUBLE) AS c1, CAST(NULL AS DOUBLE) AS c2,
+  CAST(NULL AS DOUBLE) AS dev
 FROM (SELECT k, avg(year) AS year_mean, avg(age) AS age_mean,
   CAST(count(*) * sum(y * y) - sum(y) * sum(y) AS DOUBLE) AS vy,
   CAST(count(*) * sum(a * a) - sum(a) * sum(a) AS DOUBLE) AS va,
@@ -79,7 +82,8 @@ def _with_keys(sql: str, keys: Sequence[str]) -> str:
 # One round, innermost step first.  ``k`` stands for the keys, ``old_*`` are the last
 # coefficients, NULL before the first round, which starts from the observed shares.
 ROUND = """
-SELECT k, year_mean, age_mean, has_year, has_age, c0, c1, c2,
+SELECT k, year_mean, age_mean, has_year, has_age, c0, c1, c2, dev,
+  abs(dev - old_dev) / (0.1D + abs(dev)) AS dev_moved,
   greatest(abs(c0 - old_c0) / (1 + abs(c0)), abs(c1 - old_c1) / (1 + abs(c1)),
            abs(c2 - old_c2) / (1 + abs(c2))) AS moved
 FROM (SELECT *, (sz - c1 * sy - c2 * sa) / s AS c0
@@ -90,7 +94,9 @@ FROM (SELECT *,
        WHEN has_age THEN caz / va ELSE 0D END AS c2
 FROM (SELECT *, syy - sy * sy / s AS vy, saa - sa * sa / s AS va, sya - sy * sa / s AS cya,
   syz - sy * sz / s AS cyz, saz - sa * sz / s AS caz
-FROM (SELECT k, year_mean, age_mean, has_year, has_age, old_c0, old_c1, old_c2,
+FROM (SELECT k, year_mean, age_mean, has_year, has_age, old_c0, old_c1, old_c2, old_dev,
+  sum(2 * w * (CASE WHEN p > 0 THEN p * ln(p / mu) ELSE 0D END
+    + CASE WHEN p < 1 THEN (1 - p) * ln((1 - p) / (1 - mu)) ELSE 0D END)) AS dev,
   sum(u) AS s, sum(u * y) AS sy, sum(u * a) AS sa, sum(u * z) AS sz,
   sum(u * y * y) AS syy, sum(u * y * a) AS sya, sum(u * a * a) AS saa,
   sum(u * y * z) AS syz, sum(u * a * z) AS saz
@@ -98,10 +104,10 @@ FROM (SELECT *, eta + (p - mu) / (mu * (1 - mu)) AS z, w * mu * (1 - mu) AS u
 FROM (SELECT *, 1 / (1 + exp(-greatest(least(eta, bound), -bound))) AS mu
 FROM (SELECT *, coalesce(old_c0 + old_c1 * y + old_c2 * a, ln(start / (1 - start))) AS eta
 FROM (SELECT cells.*, year_mean, age_mean, has_year, has_age,
-  c0 AS old_c0, c1 AS old_c1, c2 AS old_c2, year - year_mean AS y, age - age_mean AS a,
+  c0 AS old_c0, c1 AS old_c1, c2 AS old_c2, dev AS old_dev, year - year_mean AS y, age - age_mean AS a,
   (w * p + 0.5D) / (w + 1) AS start
 FROM {cells} AS cells JOIN {state} AS state ON same_key))))
-GROUP BY k, year_mean, age_mean, has_year, has_age, old_c0, old_c1, old_c2))))
+GROUP BY k, year_mean, age_mean, has_year, has_age, old_c0, old_c1, old_c2, old_dev))))
 """
 
 
@@ -132,8 +138,8 @@ def fit_grouped_logit(
 
     Runs jobs: the cells are written once to the shared folder, then the coefficients are
     after every ``ROUNDS_PER_JOB`` rounds.  Keys whose coefficients have stopped moving leave the
-    rounds; those that still move after ``max_rounds`` are marked, and ``with_model`` refuses
-    them.  A predictor that is constant, or that repeats an earlier one, has a NULL coefficient.
+    rounds; those whose deviance still moves after ``max_rounds`` are marked, and ``with_model``
+    refuses them.  A predictor that is constant, or that repeats an earlier one, has a NULL coefficient.
     Years and ages are whole numbers.
     """
     clash = {"year", "age", "p", "w", "y", "a", "z", "u", "s", "eta", "mu", "start"} & set(keys)
@@ -150,7 +156,9 @@ def fit_grouped_logit(
         state = state.filter(moving)
         if state.limit(1).count() == 0:
             break
-    every = reduce(DataFrame.union, settled, state.withColumn("converged", F.lit(False)))
+    # coefficients run away where shares of 0 and 1 are parted; the deviance comes to rest there
+    rest = F.coalesce(F.col("dev_moved") < DEVIANCE_TOLERANCE, F.lit(False))
+    every = reduce(DataFrame.union, settled, state.withColumn("converged", rest))
     return every.select(
         *keys,
         (F.col("c0") - F.col("c1") * F.col("year_mean") - F.col("c2") * F.col("age_mean"))

@@ -7,6 +7,7 @@ A workbook is read as a *cell table*: one row per cell of the used range, with
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,10 +33,11 @@ def scan_files(
     return reader.load(path).withColumn("file_name", F.col("_metadata.file_name"))
 
 
-def read_cells(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
-    """Cell tables exported from workbooks."""
+def read_cells(spark: SparkSession, path: str, file_format: str = "parquet",
+               **options: str) -> DataFrame:
+    """Cell tables exported from workbooks; ``options`` go to the reader (a header, say)."""
     schema = "file STRING, sheet STRING, row_idx INT, col_idx INT, value STRING"
-    return spark.read.schema(schema).format(file_format).load(path)
+    return spark.read.schema(schema).format(file_format).options(**options).load(path)
 
 
 def read_records(
@@ -44,30 +46,41 @@ def read_records(
 ) -> DataFrame:
     """Coded records of all years as strings, tagged with ``file_year``.
 
-    Columns may differ by year: files are merged by column name.  Years whose files give the
-    same column different types are read one by one and joined with ``stack_records``.
+    Columns may differ by year in order, number, type and spelling, in any format: the head of
+    each file is read first, files with the same columns are one scan, names are normalised per
+    scan, and the scans are joined by name.
     """
-    if file_format in ("parquet", "orc"):
-        options.setdefault("mergeSchema", "true")
-    df = as_records(scan_files(spark, path, pattern, file_format, **options), "file_name")
-    return df.drop("file_name")
+    scans: dict[tuple, list[str]] = {}
+    reader = lambda: spark.read.format(file_format).options(**options)
+    for file in scan_files(spark, path, pattern, file_format, **options).inputFiles():
+        file = unquote(file)
+        schema = reader().load(file).schema
+        scans.setdefault(tuple((f.name, f.dataType.simpleString()) for f in schema), []).append(file)
+    parts = [
+        as_records(reader().load(files).withColumn("file_name", F.col("_metadata.file_name")), "file_name")
+        for files in scans.values()
+    ]
+    return union_by_name(*parts).drop("file_name")
+
+
+def _as_text(df: DataFrame) -> list[Column]:
+    """Every column as text under its normalised name; spellings of one name are coalesced."""
+    spelled: dict[str, list[Column]] = {}
+    for c in df.columns:
+        spelled.setdefault(ascii_text(c).lower(), []).append(F.col(f"`{c}`").cast("string"))
+    return [F.coalesce(*columns).alias(name) for name, columns in spelled.items()]
 
 
 def as_records(df: DataFrame, file_col: str) -> DataFrame:
     """Normalise names, cast every column to text and add ``file_year`` from the file name."""
-    df = df.toDF(*[ascii_text(c).lower() for c in df.columns])
-    text = [F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]
-    return df.select(digits(F.col(file_col)).alias("file_year"), *text)
+    return df.select(digits(F.col(file_col)).alias("file_year"), *_as_text(df))
 
 
 def stack_records(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Coded tables by year, stacked as text; a column missing in a year becomes NULL."""
-    parts = []
-    for year, df in tables.items():
-        names = [ascii_text(c).lower() for c in df.columns]
-        text = [F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(df.columns, names)]
-        parts.append(df.select(F.lit(year).alias("file_year"), *text))
-    return union_by_name(*parts)
+    return union_by_name(*[
+        df.select(F.lit(year).alias("file_year"), *_as_text(df)) for year, df in tables.items()
+    ])
 
 
 def codebook(labelled: DataFrame, variables: Mapping[str, tuple[str, str]],

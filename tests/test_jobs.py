@@ -1,5 +1,7 @@
 """Both jobs end to end on hand-made files."""
 
+from contextlib import nullcontext
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,10 +81,24 @@ def test_both_jobs(spark, rows, tmp_path, monkeypatch):
     assert by_group["0-59 months"] == pytest.approx(
         by_group["0-11 months"] + by_group["12-59 months"])
 
+    # the same records as text, with the columns of one year in another order
+    texts = tmp_path / "texts"
+    texts.mkdir()
+    for file in records.iterdir():
+        df = spark.read.parquet(str(file)).toPandas()
+        back = list(df.columns)[::-1] if "2016" in file.name else list(df.columns)
+        df[back].to_csv(texts / f"{file.stem}.csv", index=False)
+    spark.read.parquet(places).toPandas().to_csv(tmp_path / "places.csv", index=False)
+    again = str(tmp_path / "again")
+    jobs.under_five_job(spark, str(texts), str(tmp_path / "places.csv"), out, again, "csv")
+    rest = spark.read.option("header", True).csv(again).filter("year = 2016").collect()
+    assert sorted(map(tuple, rest)) == sorted(map(tuple, got))
+
 
 def test_command_line(monkeypatch):
     calls = []
     monkeypatch.setattr(jobs, "build_session", lambda name: "session")
+    monkeypatch.setattr(jobs, "run_folder", lambda spark: nullcontext())
     monkeypatch.setattr(jobs, "population_job", lambda *a, **k: calls.append((a, k)))
     jobs.main(["population", "a", "b", "c", "d"])
     assert calls == [(("session",), {"cells_2000": "a", "cells_2011": "b", "cells_2016": "c",
