@@ -14,9 +14,6 @@ from midyear.plans.layouts import (
 )
 from midyear.sources.shared import cut_lineage
 
-# Small chunks, so that the checks cross many chunk borders.
-CHUNKS = {"chunk_rows": 64}
-
 # --- projections -----------------------------------------------------------------
 
 
@@ -172,7 +169,7 @@ def _section_fill(spark, sf):
                                             "c_mktsegment")
     filled = ordered.sections(c, ["c_nationkey"], "c_custkey",
                               F.col("c_mktsegment") == "BUILDING",
-                              {"head": F.col("c_acctbal")}, **CHUNKS)
+                              {"head": F.col("c_acctbal")})
     return filled.drop("c_acctbal", "c_mktsegment")
 
 
@@ -192,7 +189,7 @@ SELECT c_custkey, age, CASE WHEN year < 100 THEN
   min(CASE WHEN year > 100 THEN year END) OVER (PARTITION BY c_nationkey) - 1 ELSE year END AS year
 FROM k""")
 def _section_year(spark, sf):
-    rows = age_sections(derived(spark, sf, _SHEET_AGE), ["c_nationkey"], "c_custkey", **CHUNKS)
+    rows = age_sections(derived(spark, sf, _SHEET_AGE), ["c_nationkey"], "c_custkey")
     return rows.select("c_custkey", "age", "year")
 
 
@@ -210,8 +207,7 @@ WITH p AS (SELECT *, lag(label) OVER (PARTITION BY c_nationkey ORDER BY c_custke
     WHERE label IS NOT NULL WINDOW w AS (PARTITION BY c_nationkey, block ORDER BY c_custkey))
 SELECT c_nationkey, c_custkey, label, block, department FROM k WHERE rn > 1""")
 def _block_headers(spark, sf):
-    return department_blocks(derived(spark, sf, _LABELS), ["c_nationkey"], "c_custkey", "label",
-                             **CHUNKS)
+    return department_blocks(derived(spark, sf, _LABELS), ["c_nationkey"], "c_custkey", "label")
 
 
 _SPANS = """
@@ -230,16 +226,14 @@ _SPANNED = f"""
 
 @query("span_header", f"WITH {_SPANNED} SELECT sheet, col_idx, name FROM n")
 def _span_header(spark, sf):
-    return spanning_names(derived(spark, sf, _SPANS), ["sheet"], "col_idx", "label", "detail",
-                          **CHUNKS)
+    return spanning_names(derived(spark, sf, _SPANS), ["sheet"], "col_idx", "label", "detail")
 
 
 @query("distinct_headers", f"""
 WITH {_SPANNED} SELECT sheet, name, min(col_idx) AS col_idx FROM n
 WHERE NOT regexp_matches(name, '_[0-9]_') GROUP BY ALL""")
 def _distinct_headers(spark, sf):
-    names = spanning_names(derived(spark, sf, _SPANS), ["sheet"], "col_idx", "label", "detail",
-                           **CHUNKS)
+    names = spanning_names(derived(spark, sf, _SPANS), ["sheet"], "col_idx", "label", "detail")
     return distinct_columns(names, ["sheet"], "col_idx")
 
 
@@ -282,7 +276,7 @@ SELECT c_custkey, lag(label) OVER (PARTITION BY c_nationkey ORDER BY c_custkey)
 FROM ({_LABELS}) x""")
 def _previous_row(spark, sf):
     rows = ordered.previous(derived(spark, sf, _LABELS), ["c_nationkey"], "c_custkey", "label",
-                            "before", **CHUNKS)
+                            "before")
     return rows.select("c_custkey", "before")
 
 

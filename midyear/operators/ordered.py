@@ -2,10 +2,12 @@
 
 A sheet has a meaning only in row order, so these operators take an explicit integer
 order column, unique within its group.  A plain window over the group would put a
-group that holds a third of all rows into one task.  Instead the order column is cut
-into chunks: windows run inside a chunk, each chunk is summarised by one row, and the
-running state of earlier chunks is joined back.  The result is the same for any
-``chunk_rows``.
+group that holds a third of all rows into one task.  Instead the rows are range-partitioned
+by group and order and written once with the number of their partition: these chunks hold
+about as many rows each, however the rows are spread over groups and order values.  Windows
+run inside a chunk, each chunk of a group is summarised by one row, and the running state of
+earlier chunks, a row per partition at most, is joined back.  The result is the same for any
+number of chunks.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK_ROWS = 65_536
+from midyear.sources.shared import cut_lineage
 
 # Group keys are held in one struct: structs compare NULL fields as equal, so windows
 # and the join back share one hash partitioning, also for NULL keys.
@@ -23,13 +25,16 @@ GROUP = "__group"
 CHUNK = "__chunk"
 
 
-def _chunked(df: DataFrame, group: Sequence[str], order: str, chunk_rows: int) -> DataFrame:
-    return df.withColumns(
-        {
-            GROUP: F.struct(*group),
-            CHUNK: F.floor(F.col(order) / chunk_rows),
-        }
-    )
+def place(df: DataFrame, group: Sequence[str], order: str, chunks: int | None = None) -> DataFrame:
+    """``df`` cut into chunks of consecutive rows (runs a job that writes it to the shared folder).
+
+    Rows already placed stay as they are.  ``chunks`` defaults to the shuffle partitions.
+    """
+    if CHUNK in df.columns:
+        return df
+    n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.withColumn(GROUP, F.struct(*group)).repartitionByRange(n, *group, order)
+    return cut_lineage(ranged.withColumn(CHUNK, F.spark_partition_id()))
 
 
 def _row_window(order: str):
@@ -49,7 +54,7 @@ def sections(
     carry: Mapping[str, Column] | None = None,
     section: str = "section",
     section_start: str = "section_start",
-    chunk_rows: int = CHUNK_ROWS,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Number the sections of each group and fill values of their first row forward.
 
@@ -60,19 +65,18 @@ def sections(
     carry = dict(carry or {})
     flag = F.coalesce(starts, F.lit(False))
     head = F.struct(F.col(order).alias("at"), *[c.alias(name) for name, c in carry.items()])
-    rows = _chunked(
-        df.withColumns({"__start": flag, "__head": head}), group, order, chunk_rows
-    )
+    df = place(df, group, order, chunks)
+    rows = df.withColumns({"__start": flag, "__head": head})
 
     upto = _row_window(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    chunks = rows.groupBy(GROUP, CHUNK).agg(
+    states = rows.groupBy(GROUP, CHUNK).agg(
         F.count_if("__start").alias("__n"),
         F.max(F.when(F.col("__start"), F.col("__head"))).alias("__last_head"),
         F.min("__head").alias("__first_row"),
     )
     up_to_chunk = Window.partitionBy(GROUP).orderBy(CHUNK).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    chunks = chunks.select(
+    states = states.select(
         GROUP,
         CHUNK,
         F.coalesce(F.sum("__n").over(_earlier_chunks()), F.lit(0)).alias("__before"),
@@ -86,7 +90,7 @@ def sections(
                 upto),
         }
     )
-    joined = rows.join(chunks, [GROUP, CHUNK])
+    joined = rows.join(states, [GROUP, CHUNK])
     filled = F.coalesce("__seen", "__open", "__first_row")
     out = joined.withColumn("__fill", filled).withColumns(
         {
@@ -95,21 +99,24 @@ def sections(
             **{name: F.col(f"__fill.{name}") for name in carry},
         }
     )
-    keep = [c for c in df.columns if c not in {section, section_start, *carry}]
+    keep = [c for c in df.columns if c not in {GROUP, CHUNK, section, section_start, *carry}]
     return out.select(*keep, section, section_start, *carry)
 
 
 def previous(df: DataFrame, group: Sequence[str], order: str, value: str, into: str,
-             chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Value of the preceding row of the group; NULL on the first row."""
-    rows = _chunked(df, group, order, chunk_rows)
-    chunks = rows.groupBy(GROUP, CHUNK).agg(
+             chunks: int | None = None) -> DataFrame:
+    """Value of the preceding row of the group; NULL on the first row.
+
+    The chunks of rows that came placed stay on them, for the next operator.
+    """
+    rows = place(df, group, order, chunks)
+    tails = rows.groupBy(GROUP, CHUNK).agg(
         F.max(F.struct(F.col(order).alias("at"), F.col(value).alias("v"))).alias("__tail")
     )
     last_before = F.lag("__tail").over(Window.partitionBy(GROUP).orderBy(CHUNK))
-    chunks = chunks.select(GROUP, CHUNK, last_before.alias("__tail"))
+    tails = tails.select(GROUP, CHUNK, last_before.alias("__tail"))
     inside = F.lag(F.struct(F.col(value).alias("v"))).over(_row_window(order))
-    joined = rows.withColumn("__inside", inside).join(chunks, [GROUP, CHUNK])
+    joined = rows.withColumn("__inside", inside).join(tails, [GROUP, CHUNK])
     before = F.when(F.col("__inside").isNotNull(), F.col("__inside.v")).otherwise(
         F.col("__tail.v")
     )
@@ -117,10 +124,10 @@ def previous(df: DataFrame, group: Sequence[str], order: str, value: str, into:
 
 
 def numbered(df: DataFrame, group: Sequence[str], order: str, into: str,
-             chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+             chunks: int | None = None) -> DataFrame:
     """1-based row number within each group."""
     every = sections(df, group, order, F.lit(True), section=into, section_start="__at",
-                     chunk_rows=chunk_rows)
+                     chunks=chunks)
     return every.drop("__at")
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from midyear.functions.numbers import safe_double, safe_int
 from midyear.functions.recode import recode
 from midyear.functions.text import header_name, key_to_place
-from midyear.operators.ordered import CHUNK_ROWS, numbered, previous, sections
+from midyear.operators.ordered import numbered, place, previous, sections
 from midyear.operators.shape import split_key
 from midyear.operators.totals import with_group_min
 from midyear.sources.scans import (
@@ -31,6 +31,8 @@ from midyear.sources.scans import (
 from midyear.sources.shared import cut_lineage
 
 SHEET = ["file", "sheet"]
+# Rows of a sheet that share a copy of its header in a join.
+CHUNK_ROWS = 65_536
 POPULATION = ["year", "department", "municipality", "sex", "age", "population"]
 AGGREGATE = ["sex", "type", "year", "department", "municipality", "population"]
 
@@ -232,10 +234,10 @@ def department_blocks(labels: DataFrame, group: list[str], order: str, label: st
 
     The head row is the block total and is dropped.
     """
-    labels = previous(labels, group, order, label, "__previous", **options)
+    labels = previous(place(labels, group, order, **options), group, order, label, "__previous")
     starts = F.col("__previous").isNull() & F.col(label).isNotNull()
     blocks = sections(labels, group, order, starts, {"department": F.col(label)},
-                      section="block", **options)
+                      section="block")
     return blocks.filter(
         F.col(label).isNotNull() & (F.col(order) > F.col("section_start"))
     ).drop("__previous", "section_start")

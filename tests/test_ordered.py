@@ -1,4 +1,4 @@
-"""Sections, fills and previous rows do not depend on the chunk size."""
+"""Sections, fills and previous rows do not depend on the number of chunks."""
 
 import re
 
@@ -26,11 +26,10 @@ def brute(data):
     return out
 
 
-def run(spark, data, chunk_rows):
+def run(spark, data, chunks):
     df = spark.createDataFrame(data, SCHEMA)
-    df = ordered.sections(df, ["g"], "i", F.col("mark"), {"head": F.col("v")},
-                          chunk_rows=chunk_rows)
-    df = ordered.previous(df, ["g"], "i", "v", "before", chunk_rows=chunk_rows)
+    df = ordered.sections(df, ["g"], "i", F.col("mark"), {"head": F.col("v")}, chunks=chunks)
+    df = ordered.previous(df, ["g"], "i", "v", "before", chunks=chunks)
     return {
         (r.g, r.i): (r.section, r.section_start, r["head"], r.before) for r in df.collect()
     }
@@ -46,27 +45,30 @@ rows_of_groups = st.lists(
 @settings(max_examples=8, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(data=rows_of_groups)
-def test_any_chunk_size_gives_the_same_sections(spark, data):
+def test_any_number_of_chunks_gives_the_same_sections(spark, data):
     expected = brute(data)
-    for chunk_rows in (1, 5, 1000):
-        assert run(spark, data, chunk_rows) == expected
+    for chunks in (1, 3, 11):
+        assert run(spark, data, chunks) == expected
 
 
 def test_hot_group_is_split(spark):
-    """One group with all rows: windows see at most one chunk of it."""
+    """One group with all rows, at order values far apart and unevenly spread: each chunk has its share."""
+    place = F.when(F.col("id") < 2500, F.col("id")).otherwise(F.col("id") * 1_000_003)
     df = spark.range(5000).select(
-        F.when(F.col("id") >= 0, "hot").alias("g"), F.col("id").cast("int").alias("i"),
-        (F.col("id") % 700 == 3).alias("mark"))
-    out = ordered.sections(df, ["g"], "i", F.col("mark"), chunk_rows=100)
+        F.lit("hot").alias("g"), place.alias("i"), (F.col("id") % 700 == 3).alias("mark"), "id")
+    placed = ordered.place(df, ["g"], "i", chunks=10)
+    sizes = [r["count"] for r in placed.groupBy(ordered.CHUNK).count().collect()]
+    assert len(sizes) == 10 and max(sizes) <= 1000
+    out = ordered.sections(placed, ["g"], "i", F.col("mark"))
     counts = {r.section: r["count"] for r in out.groupBy("section").count().collect()}
     assert counts == {0: 3, **{k: 700 for k in range(1, 8)}, 8: 97}
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"windowspecdefinition\(__group#\d+, __chunk#\d+L, i#", plan)
+    assert re.search(r"windowspecdefinition\(__group#\d+, __chunk#\d+, i#", plan)
 
 
 def test_numbered_and_first_rows(rows):
     df = rows([("a", 5), ("a", 2), ("b", 9)], "g string, i int")
-    got = {(r.g, r.i): r.n for r in ordered.numbered(df, ["g"], "i", "n", 2).collect()}
+    got = {(r.g, r.i): r.n for r in ordered.numbered(df, ["g"], "i", "n", 3).collect()}
     assert got == {("a", 2): 1, ("a", 5): 2, ("b", 9): 1}
     assert sorted(ordered.first_rows(df, ["g"], "i").collect()) == [("a", 2), ("b", 9)]
     assert ordered.without_first(df, ["g"], "i").collect() == [("a", 5)]
