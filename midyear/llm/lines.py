@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from midyear.llm.hasharrays import HashArray, count_keys, range_of, save, shards_for, shared_files
-from midyear.llm.texts import frame_blocks, hash_words, map_texts, mix
+from midyear.llm.texts import Words, frame_blocks, map_texts, mix
 from midyear.sources.shared import cut_lineage
 
 LAST = np.int64(2**63 - 1)  # stands for a null id
@@ -45,22 +45,6 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
-def line_words(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """The words of all lines; for each line with words its text, its place there and its word count."""
-    flat: list[bytes] = []
-    owner, place, sizes = [], [], []
-    for i, raw in enumerate(texts):
-        if raw:
-            for k, line in enumerate(raw.lower().split(b"\n")):
-                words = line.split()
-                if words:
-                    flat += words
-                    owner.append(i)
-                    place.append(k)
-                    sizes.append(len(words))
-    return flat, *(np.array(x, np.int64) for x in (owner, place, sizes))
-
-
 class Join:
     """Settings and folders of one run, sent to the tasks."""
 
@@ -82,34 +66,32 @@ class Join:
 
 
 def _sets(join: Join):
-    """Packed lines by the range of their set: id, text, place, set hash, and its words once a batch."""
+    """Packed lines by the range of their set: id, text, place, set hash, and its words once a block."""
 
     def run(frames):
         counts = HashArray(f"{join.folder}/words", join.n)
         for frame in (block for frame in frames for block in frame_blocks(frame)):
             texts = frame["raw"].tolist()
-            flat, owner, place, sizes = line_words(texts)
-            if not flat:
+            words = Words(texts, lower=True)
+            owner, place, head = words.lines()
+            if not len(head):
                 continue
-            distinct = list(set(flat))
-            hashes = hash_words(distinct)
+            hashes, number_of = np.unique(words.hashes, return_inverse=True)
             number, count = counts.find(hashes)
             rarity = np.lexsort((number, count))
-            rank = np.empty(len(distinct), np.int64)
-            rank[rarity] = np.arange(len(distinct))
-            of_word = dict(zip(distinct, rank.tolist()))
-            ranks = np.fromiter(map(of_word.__getitem__, flat), np.int64, len(flat))
-            key = np.repeat(np.arange(len(sizes)), sizes) << 32 | ranks
-            key = np.sort(key)
+            rank = np.empty(len(hashes), np.int64)
+            rank[rarity] = np.arange(len(hashes))
+            sizes = np.diff(np.append(head, len(number_of)))
+            key = np.sort(np.repeat(np.arange(len(head)) << 32, sizes) | rank[number_of])
             key = key[np.concatenate([[True], key[1:] != key[:-1]])]
-            line, word = key >> 32, rarity[key & 0xFFFFFFFF]
-            size = np.bincount(line, minlength=len(sizes))
+            word = rarity[key & 0xFFFFFFFF]
+            size = np.bincount(key >> 32, minlength=len(head))
             begin = np.cumsum(size) - size
-            first = np.add.reduceat(mix(hashes[word], np.uint64(1)), begin)
-            second = np.add.reduceat(mix(hashes[word], np.uint64(2)), begin)
+            first = np.add.reduceat(mix(hashes, np.uint64(1))[word], begin)
+            second = np.add.reduceat(mix(hashes, np.uint64(2))[word], begin)
             docs = np.where(frame["id"].isna(), LAST, frame["id"].fillna(0)).astype(np.int64)[owner]
             text_hash = np.array([xxhash.xxh64_intdigest(raw or b"") for raw in texts], np.uint64)[owner]
-            # the words of a set go along with its first line in the batch only
+            # the words of a set go along with its first line in the block only
             _, shown = np.unique(mix(first, second), return_index=True)
             sent = np.zeros(len(size), np.int64)
             sent[shown] = size[shown]
@@ -119,24 +101,34 @@ def _sets(join: Join):
             rows = []
             for a, b in zip(cuts, [*cuts[1:], len(order)]):
                 at = order[a:b]
-                words = number[word[_ragged(begin[at], sent[at])]]
+                numbers = number[word[_ragged(begin[at], sent[at])]].astype(np.uint32)
                 rows.append((int(where[at[0]]), docs[at].tobytes(), text_hash[at].tobytes(),
                              place[at].astype(np.int32).tobytes(), first[at].tobytes(), second[at].tobytes(),
-                             sent[at].astype(np.int32).tobytes(), words.astype(np.uint32).tobytes()))
+                             sent[at].astype(np.int32).tobytes(), _planes(numbers)))
             yield pd.DataFrame(rows, columns=NAMES)
 
     return run
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Lowest bytes first, then the next: the upper bytes are alike and shrink on their way."""
+    return numbers.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(4, -1).T).view(np.uint32).reshape(-1)
+
+
 def _store(join: Join):
-    """Write the distinct sets of a range; out go their keys, and the lines that are copies."""
+    """Write the distinct sets of a range, and the lines that are copies; out go the keys of the sets."""
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         number = int(frame["range_no"].iloc[0])
         read = lambda name, kind: np.concatenate([np.frombuffer(b, kind) for b in frame[name]])
         docs, texts, lines = read("docs", np.int64), read("texts", np.uint64), read("lines", np.int32)
         first, second = read("first", np.uint64), read("second", np.uint64)
-        sent, words = read("sizes", np.int32).astype(np.int64), read("words", np.uint32)
+        sent = read("sizes", np.int32).astype(np.int64)
+        words = np.concatenate([_from_planes(b) for b in frame["words"]])
         begin = np.cumsum(sent) - sent
         order = np.lexsort((lines, texts, docs, second, first))
         new = np.concatenate([[True], (first[order][1:] != first[order][:-1]) | (second[order][1:] != second[order][:-1])])
@@ -157,16 +149,18 @@ def _store(join: Join):
         head = heads[group]
         same = (docs[order] == docs[head]) & (texts[order] == texts[head]) & (lines[order] == lines[head])
         copies = order[~same]
-        out = [("copies", 0, docs[copies].tobytes(), texts[copies].tobytes(), lines[copies].tobytes())]
+        for name, array in (("docs", docs), ("texts", texts.view(np.int64)), ("lines", lines)):
+            save(f"{join.folder}/copies/{number:06d}.{name}.npy", array[copies])
         keys, sets, places = _keys(join, words, begin, sizes)
         where = range_of(keys, join.n)
         sorted_by = np.argsort(where, kind="stable")
         cuts = np.searchsorted(where[sorted_by], np.arange(join.n + 1))
+        out = []
         for k in np.flatnonzero(cuts[1:] > cuts[:-1]):
             at = sorted_by[cuts[k] : cuts[k + 1]]
-            ref = (np.uint64(number) << np.uint64(40)) | sets[at].astype(np.uint64)
-            out.append(("keys", int(k), keys[at].tobytes(), ref.tobytes(), places[at].astype(np.int32).tobytes()))
-        return pd.DataFrame(out, columns=["kind", "bucket", "a", "b", "c"])
+            out.append((int(k), number, keys[at].tobytes(), sets[at].astype(np.uint32).tobytes(),
+                        places[at].astype(np.uint32).tobytes()))
+        return pd.DataFrame(out, columns=["bucket", "range_no", "keys", "sets", "places"])
 
     return merge
 
@@ -218,12 +212,12 @@ class SetStore:
 
     def _part(self, k: int, name: str) -> np.ndarray:
         if (k, name) not in self.open:
-            self.open[k, name] = np.load(f"{self.path}/{k:06d}.{name}.npy", mmap_mode="r")
+            # plain arrays over the mapped file: slices of them are cheaper
+            self.open[k, name] = np.asarray(np.load(f"{self.path}/{k:06d}.{name}.npy", mmap_mode="r"))
         return self.open[k, name]
 
-    def columns(self, refs: np.ndarray) -> dict[str, np.ndarray]:
-        """The stored columns of the sets ``refs`` (in order), and where their words begin."""
-        part, at = (refs >> np.uint64(40)).astype(np.int64), (refs & np.uint64(2**40 - 1)).astype(np.int64)
+    def columns(self, part: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
+        """The stored columns of the sets ``at`` in the ranges ``part`` (in order), and where their words begin."""
         found = {name: [] for name in (*STORED, "begin")}
         for k in np.unique(part):
             some = at[part == k]
@@ -233,8 +227,17 @@ class SetStore:
             found["begin"].append(ends[some] - self._part(k, "sizes")[some])
         return {name: np.concatenate(arrays) for name, arrays in found.items()}
 
-    def words(self, ref: int, begin: int, size: int) -> set:
-        return set(self._part(ref >> 40, "words")[begin : begin + size].tolist())
+    def words(self, part: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words of sets, and for each word which of the sets it is from."""
+        words, owner = [], []
+        for k in np.unique(part):
+            some = np.flatnonzero(part == k)
+            words.append(self._part(k, "words")[_ragged(begin[some], size[some])])
+            owner.append(np.repeat(some, size[some]))
+        return np.concatenate(words), np.concatenate(owner)
+
+
+FOUND = "doc bigint, text_hash bigint, line int"
 
 
 def _matches(join: Join):
@@ -242,64 +245,80 @@ def _matches(join: Join):
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         store = SetStore(join)
-        keys = np.concatenate([np.frombuffer(b, np.uint64) for b in frame["a"]])
-        refs = np.concatenate([np.frombuffer(b, np.uint64) for b in frame["b"]])
-        places = np.concatenate([np.frombuffer(b, np.int32) for b in frame["c"]]).astype(np.int64)
-        names, local = np.unique(refs, return_inverse=True)
-        at = store.columns(names)
+        read = lambda name, kind: np.concatenate([np.frombuffer(b, kind) for b in frame[name]])
+        keys, places = read("keys", np.uint64), read("places", np.uint32).astype(np.int32)
+        ranges = np.repeat(frame["range_no"].to_numpy(np.int64), [len(b) // 8 for b in frame["keys"]])
+        names, local = np.unique(ranges << 32 | read("sets", np.uint32), return_inverse=True)
+        part = names >> 32
+        at = store.columns(part, names & 0xFFFFFFFF)
         order = np.lexsort((at["lines"], at["texts"], at["docs"]))
         turn = np.empty(len(names), np.int64)
         turn[order] = np.arange(len(names))
         by = np.lexsort((turn[local], keys))
-        keys, local, places = keys[by], local[by], places[by]
-        sizes = at["sizes"].astype(np.int64)
+        keys, local, places = keys[by], local[by].astype(np.int32), places[by]
+        new = np.concatenate([[True], keys[1:] != keys[:-1]])
+        rank = (np.arange(len(keys)) - np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))).astype(np.int32)
+        sizes = at["sizes"].astype(np.int64)[local]
+        low, high = at["low"][local], at["high"][local]
+        # a similar set has at most this many other words, whatever its size
+        other = np.minimum(sizes * (join.den - join.num) // join.num, 255).astype(np.uint8)
         done = np.zeros(len(names), bool)
-        live, back = np.arange(len(keys)), 0
+        live, back, fresh = np.flatnonzero(rank > 0), 0, False
         while len(live):
             back += 1  # compare each with the set ``back`` places before it at the same key
-            live = live[live >= back]
-            live = live[keys[live] == keys[live - back]]
-            live = live[~done[local[live]]]
-            x, y = local[live], local[live - back]
-            nx, ny, px, py = sizes[x], sizes[y], places[live], places[live - back]
+            live = live[rank[live] >= back]
+            if fresh:
+                live = live[~done[local[live]]]
+                fresh = False
+            near = live[np.bitwise_count(low[live] ^ low[live - back]) <= other[live]]
+            x, y = near, near - back
+            nx, ny, px, py = sizes[x], sizes[y], places[x], places[y]
             need = join.overlap(nx, ny)
-            apart = np.bitwise_count(at["low"][x] ^ at["low"][y]).astype(np.int64) + np.bitwise_count(at["high"][x] ^ at["high"][y])
+            apart = (np.bitwise_count(low[x] ^ low[y]).astype(np.int64) + np.bitwise_count(high[x] ^ high[y]))
             may = ((nx * join.den >= ny * join.num) & (ny * join.den >= nx * join.num)
                    & (np.minimum(px, py) + np.minimum(nx - px, ny - py) >= need)
-                   & (apart <= nx + ny - 2 * need) & (x != y))
-            for i in np.flatnonzero(may).tolist():
-                a, b = int(x[i]), int(y[i])
-                if not done[a]:
-                    shared = store.words(int(names[a]), int(at["begin"][a]), int(nx[i])) & store.words(
-                        int(names[b]), int(at["begin"][b]), int(ny[i]))
-                    done[a] = len(shared) >= need[i]
+                   & (apart <= nx + ny - 2 * need) & (local[x] != local[y]))
+            tried = np.flatnonzero(may)
+            for first in range(0, len(tried), 20_000):
+                some = tried[first : first + 20_000]
+                a, b = local[x[some]], local[y[some]]
+                parts = [store.words(part[c], at["begin"][c], at["sizes"][c].astype(np.int64)) for c in (a, b)]
+                both = np.concatenate([owner << 32 | words for words, owner in parts])
+                both.sort()
+                shared = np.bincount(both[1:][both[1:] == both[:-1]] >> 32, minlength=len(some))
+                done[a[shared >= need[some]]] = fresh = True
         return pd.DataFrame({"doc": at["docs"][done], "text_hash": at["texts"][done].view(np.int64),
                              "line": at["lines"][done]})
 
     return run
 
 
-def _unpack(frames):
-    for frame in frames:
-        for a, b, c in zip(frame["a"], frame["b"], frame["c"]):
-            yield pd.DataFrame({"doc": np.frombuffer(a, np.int64), "text_hash": np.frombuffer(b, np.int64),
-                                "line": np.frombuffer(c, np.int32)})
+def _copies(join: Join):
+    def run(frames):
+        for frame in frames:
+            for k in frame["id"].tolist():
+                path = f"{join.folder}/copies/{k:06d}"
+                if os.path.exists(f"{path}.lines.npy"):
+                    yield pd.DataFrame({name: np.load(f"{path}.{stored}.npy") for name, stored in (
+                        ("doc", "docs"), ("text_hash", "texts"), ("line", "lines"))})
+
+    return run
 
 
 def matched_lines(docs: DataFrame, share: tuple[int, int], frequent: int, long: int) -> tuple[Join, DataFrame]:
     """``doc, text_hash, line`` of each line to remove (once or more)."""
     spark, n = docs.sparkSession, shards_for(docs)
     folder = shared_files(spark, "lines")
-    for name in ("words", "sets", "removed"):
+    for name in ("words", "sets", "copies", "removed"):
         os.makedirs(f"{folder}/{name}", exist_ok=True)
     join = Join(folder, n, share, frequent, long)
-    count_keys(docs, lambda texts: hash_words(line_words(texts)[0]), f"{folder}/words", n)
+    count_keys(docs, lambda texts: Words(texts, lower=True).hashes, f"{folder}/words", n)
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("raw"))
-    stored = cut_lineage(rows.mapInPandas(_sets(join), SENT).groupBy("range_no").applyInPandas(
-        _store(join), "kind string, bucket int, a binary, b binary, c binary"))
-    found = "doc bigint, text_hash bigint, line int"
-    copies = stored.filter("kind = 'copies'").mapInPandas(_unpack, found)
-    near = stored.filter("kind = 'keys'").groupBy("bucket").applyInPandas(_matches(join), found)
+    keys = rows.mapInPandas(_sets(join), SENT).groupBy("range_no").applyInPandas(
+        _store(join), "bucket int, range_no int, keys binary, sets binary, places binary")
+    # copies are read once this job has written them
+    near = cut_lineage(keys.groupBy("bucket").applyInPandas(_matches(join), FOUND))
+    copies = spark.range(0, n, 1, n).mapInPandas(_copies(join), FOUND)
     return join, copies.union(near)
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from midyear.llm.hasharrays import (
     GATHERED, HashArray, add_up, count_keys, narrow, range_of, save, shards_for, shared_files,
 )
-from midyear.llm.texts import frame_blocks, hash_words, map_texts, mix
+from midyear.llm.texts import Words, frame_blocks, map_texts, mix
 from midyear.sources.shared import cut_lineage
 
 END = np.uint64(xxhash.xxh64_intdigest(b" "))  # a space is in no word
@@ -32,16 +32,8 @@ END = np.uint64(xxhash.xxh64_intdigest(b" "))  # a space is in no word
 
 def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the tokens of all texts, and where each text's begin."""
-    flat: list[bytes] = []
-    starts = np.zeros(len(texts) + 1, np.int64)
-    for i, raw in enumerate(texts):
-        if raw:
-            flat += raw.lower().split()
-        flat.append(b"")
-        starts[i + 1] = len(flat)
-    hashes = hash_words(flat)
-    hashes[starts[1:] - 1] = END
-    return hashes, starts
+    words = Words(texts, lower=True)
+    return np.insert(words.hashes, words.first[1:], END), words.first + np.arange(len(words.first))
 
 
 def ngram_rows(numbers: np.ndarray, starts: np.ndarray, order: int, begin: int) -> np.ndarray:

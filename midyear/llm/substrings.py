@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from midyear.llm.fmindex import FMIndex
 from midyear.llm.hasharrays import HashArray, count_keys, shards_for, shared_files
-from midyear.llm.texts import flat_words, hash_words, map_texts, mix
+from midyear.llm.texts import Words, map_texts, mix
 from midyear.sources.shared import cut_lineage
 
 
@@ -140,25 +140,27 @@ def repeated_spans(docs: DataFrame, window: int, gram: int, shard_words: int, ho
     folder = shared_files(spark, "anchors")
 
     def anchors(texts):
-        flat, starts = flat_words(texts)
-        return runs_of_anchors(hash_words(flat), starts, window, gram)[2]
+        words = Words(texts)
+        return runs_of_anchors(words.hashes, words.first, window, gram)[2]
 
     count_keys(docs, anchors, folder, n_ranges, least=2)
 
     def segments(batches):
         repeated = HashArray(folder, n_ranges)
         for texts in batches:
-            flat, starts = flat_words(texts)
-            first, last, keys = runs_of_anchors(hash_words(flat), starts, window, gram)
+            words = Words(texts)
+            first, last, keys = runs_of_anchors(words.hashes, words.first, window, gram)
             kept = np.flatnonzero(repeated.find(keys)[0] >= 0)
-            owner = np.searchsorted(starts, first[kept], side="right") - 1
+            first, last = first[kept], last[kept] + window - 1
+            owner = np.searchsorted(words.first, first, side="right") - 1
             out, seen = [[] for _ in texts], set()
-            signed = keys.view(np.int64)
-            for i, a, b, key in zip(owner.tolist(), first[kept].tolist(), last[kept].tolist(), signed[kept].tolist()):
-                words = b" ".join(flat[a : b + window])
-                digest = xxhash.xxh3_128_digest(words)
-                out[i].append({"anchor": key, "digest": digest, "start": a - int(starts[i]),
-                               "words": None if digest in seen else words})
+            for i, key, start, a, b in zip(
+                    owner.tolist(), keys.view(np.int64)[kept].tolist(), (first - words.first[owner]).tolist(),
+                    words.starts[first].tolist(), words.ends[last].tolist()):
+                piece = b" ".join(words.raw[a:b].split())
+                digest = xxhash.xxh3_128_digest(piece)
+                out[i].append({"anchor": key, "digest": digest, "start": start,
+                               "words": None if digest in seen else piece})
                 seen.add(digest)
             yield {"found": out, "text_hash": [xxhash.xxh3_128_digest(raw or b"") for raw in texts]}
 

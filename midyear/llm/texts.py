@@ -7,7 +7,6 @@ A word is a run of bytes other than space and ``\\x09``-``\\x0D``, which is what
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Which bytes words consist of; masks of the lowest bytes; bytes after which a word is hashed whole.
+IN_WORD = np.array([c != 0x20 and not 0x09 <= c <= 0x0D for c in range(256)])
+KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+LONG_WORD = 256
 #: Bytes of text that a task works on at once.
 BLOCK_BYTES = 4_000_000
 
@@ -90,22 +93,51 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
-def hash_words(words: list[bytes]) -> np.ndarray:
-    """XXH64 of each word; every distinct word is hashed once."""
-    distinct = list(set(words))
-    table = dict(zip(distinct, map(xxhash.xxh64_intdigest, distinct, repeat(0))))
-    return np.fromiter(map(table.__getitem__, words), np.uint64, len(words))
+class Words:
+    """The words of a block of texts as numbers, found and hashed without an object per word.
 
+    ``hashes``, ``starts`` and ``ends`` (bytes in ``raw``) are per word; ``first`` says at which
+    word each text begins, and ``offsets`` at which byte.
+    """
 
-def flat_words(texts: list[bytes | None], lower: bool = False) -> tuple[list[bytes], np.ndarray]:
-    """The words of all texts in one list, and where each text begins in it."""
-    flat: list[bytes] = []
-    starts = np.zeros(len(texts) + 1, np.int64)
-    for i, raw in enumerate(texts):
-        if raw:
-            flat += (raw.lower() if lower else raw).split()
-        starts[i + 1] = len(flat)
-    return flat, starts
+    def __init__(self, texts: list[bytes | None], lower: bool = False):
+        parts = [raw or b"" for raw in texts]
+        self.raw = b"".join([b"\n", b"\n".join(parts), b"\n", bytes(8)])
+        if lower:
+            self.raw = self.raw.lower()
+        self.bytes = np.frombuffer(self.raw, np.uint8)
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        self.offsets = np.concatenate([[1], 1 + np.cumsum(sizes + 1)])
+        inside = IN_WORD[self.bytes[:-8]]
+        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        self.starts, self.ends = edges[0::2], edges[1::2]
+        self.first = np.searchsorted(self.starts, self.offsets)
+        self.hashes = self._hash()
+
+    def _hash(self) -> np.ndarray:
+        """Eight bytes at a time; words of up to eight bytes have different hashes for sure."""
+        sizes = self.ends - self.starts
+        eights = np.lib.stride_tricks.as_strided(self.bytes[:8].view(np.uint64), (len(self.raw) - 7,), (1,))
+        hashes, live, at = sizes.astype(np.uint64), np.arange(len(sizes)), 0
+        while len(live):
+            left = np.minimum(sizes[live] - at, 8)
+            chunk = eights[self.starts[live] + at] & KEEP[left]
+            hashes[live] = mix(chunk, hashes[live])
+            at += 8
+            live = live[sizes[live] > at]
+            if at >= LONG_WORD:
+                for i in live.tolist():
+                    hashes[i] = xxhash.xxh64_intdigest(self.raw[self.starts[i] : self.ends[i]])
+                break
+        return hashes
+
+    def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each line with words: its text, its place there, and its first word."""
+        breaks = np.flatnonzero(self.bytes == 10)
+        line = np.searchsorted(breaks, self.starts)
+        head = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else np.zeros(0, np.int64)
+        owner = np.searchsorted(self.first, head, side="right") - 1
+        return owner, line[head] - np.searchsorted(breaks, self.offsets[owner]), head
 
 
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
