@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from midyear.catalog import raw
+from midyear.catalog import expected, raw
 from midyear.catalog.registry import derived, plain, query, table
 from midyear.catalog.scalars import (
     SQL_DEATH_YEAR, sql_ascii, sql_boundary, sql_case, sql_int, sql_months_back, sql_pad,
@@ -13,9 +13,10 @@ from midyear.catalog.scalars import (
 from midyear.functions.dates import next_boundary
 from midyear.functions.recode import recode
 from midyear.operators import cohort, events
-from midyear.operators.bands import AGE_TO_GROUP, BANDS, BASE_GROUPS, band_rollup, split_age
+from midyear.operators.bands import band_rollup, split_age
 from midyear.operators.totals import group_count, share_of_total
 from midyear.plans.vital import infant_shares, place_names, under_five, vital_table
+from midyear.sources.shared import cut_lineage
 
 # The given tables cover 1995-2001: births count from mid-1996 on.
 FIRST = "1996-07-01"
@@ -26,7 +27,7 @@ YEARS = (1997, 2000)
 
 def sql_label(day: str, boundary: str) -> str:
     whens = []
-    for label, unit, amount in cohort.INFANT_THRESHOLDS:
+    for label, unit, amount in expected.INFANT_THRESHOLDS:
         low = f"{boundary} - {amount}" if unit == "days" else sql_months_back(boundary, str(amount))
         whens.append(f"WHEN {day} >= {low} THEN '{label}'")
     return f"CASE WHEN {day} >= {boundary} THEN NULL {' '.join(whens)} END"
@@ -50,27 +51,27 @@ SQL_BIRTHS = f"""
 SELECT CAST(year(event_date) AS INTEGER) AS event_year, * FROM (
 SELECT {SQL_EVENT} AS event_date, depocu AS event_department, mupocu AS event_municipality,
   {SQL_RECORD} AS record_date, depreg AS record_department, mupreg AS record_municipality,
-  {_map('sexo', events.SEX)} AS sex,
+  {_map('sexo', expected.SEX)} AS sex,
   CASE WHEN libras = '99' OR onzas = '99' THEN NULL
     ELSE (CAST(libras AS DOUBLE) + CAST(onzas AS DOUBLE) / 16) / 2.20462 END AS weight_kg,
-  {_map('tipar', events.BIRTH_TYPE)} AS birth_type,
-  {_map('viapar', events.DELIVERY)} AS delivery_type, deprem AS mother_department,
+  {_map('tipar', expected.BIRTH_TYPE)} AS birth_type,
+  {_map('viapar', expected.DELIVERY)} AS delivery_type, deprem AS mother_department,
   muprem AS mother_municipality, edadm AS mother_age,
-  {_map('pueblopm', events.GROUP)} AS mother_group,
-  {_map('pueblopp', events.GROUP)} AS father_group
+  {_map('pueblopm', expected.GROUP)} AS mother_group,
+  {_map('pueblopp', expected.GROUP)} AS father_group
 FROM ({plain(raw.BIRTHS)}) b) x"""
 
 SQL_UNIT = "CASE perdif WHEN '1' THEN 'days' WHEN '2' THEN 'months' WHEN '3' THEN 'years' END"
 
 SQL_DETAILS = f"""
 SELECT death_year, {sql_ymd('CAST(death_year AS VARCHAR)', sql_pad('mesocu'), sql_pad('diaocu'))}
-    AS death_date, {_map('sexo', events.SEX)} AS sex, {sql_int('edadif')} AS age_value,
+    AS death_date, {_map('sexo', expected.SEX)} AS sex, {sql_int('edadif')} AS age_value,
   {SQL_UNIT} AS age_unit, dnadif AS death_department, mnadif AS death_municipality,
-  dredif AS dept_resid, mredif AS muni_resid, {_map('puedif', events.GROUP)} AS cult_group,
+  dredif AS dept_resid, mredif AS muni_resid, {_map('puedif', expected.GROUP)} AS cult_group,
   caudef AS cause_icd10, cause_text AS cause_description,
-  {_map('asist', events.ASSISTANCE)} AS assistance_type,
-  {_map('ocur', events.DEATH_SITE)} AS death_site,
-  {_map('cerdef', events.CERTIFIER)} AS certified_death
+  {_map('asist', expected.ASSISTANCE)} AS assistance_type,
+  {_map('ocur', expected.DEATH_SITE)} AS death_site,
+  {_map('cerdef', expected.CERTIFIER)} AS certified_death
 FROM (SELECT *, {SQL_DEATH_YEAR} AS death_year FROM ({plain(raw.DEATHS)}) d) x"""
 
 SQL_INFANTS = f"""
@@ -100,11 +101,11 @@ born_codes AS (SELECT CAST(year(mid_year) AS INTEGER) AS year, mother_department
   WHERE event_date < mid_year AND event_date >= {sql_months_back('mid_year', '12')}
     AND event_date >= DATE '{FIRST}' AND mid_year > DATE '{FIRST}'
     AND mother_department IN ('6', '9') GROUP BY ALL),
-born AS (SELECT year, {sql_case('dept', cohort.DEPARTMENTS)} AS department, municipality,
+born AS (SELECT year, {sql_case('dept', expected.DEPARTMENTS)} AS department, municipality,
     age_group, births
   FROM born_codes LEFT JOIN places ON muni_id = {sql_code('dept', 'muni')}),
 died AS (SELECT CAST(year(mid_year) AS INTEGER) AS year,
-    {sql_case('event_department', cohort.DEPARTMENTS)} AS department, municipality,
+    {sql_case('event_department', expected.DEPARTMENTS)} AS department, municipality,
     age_group, count(*) AS deaths
   FROM (SELECT *, {sql_label('birth_date', 'mid_year')} AS age_group
     FROM infants JOIN mids USING (event_year)) x
@@ -164,7 +165,7 @@ def _cohort_label(spark, sf):
 SELECT o_orderkey, '{label}' AS label, {i} AS correlative FROM (SELECT o_orderkey,
   {_ORDER_DAY} AS d, {sql_boundary(_ORDER_DAY)} AS b FROM orders) o
 WHERE d >= {f'b - {n}' if unit == 'days' else sql_months_back('b', str(n))}"""
-    for i, (label, unit, n) in enumerate(cohort.INFANT_THRESHOLDS, 1)))
+    for i, (label, unit, n) in enumerate(expected.INFANT_THRESHOLDS, 1)))
 def _replicate_labels(spark, sf):
     orders = table(spark, sf, "orders").select(
         "o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
@@ -205,9 +206,9 @@ def _infant_deaths(spark, sf):
 
 @query("cohort_births", f"WITH {SQL_COHORTS} SELECT * FROM born")
 def _cohort_births(spark, sf):
-    births = events.decode_births(_births(spark, sf))
-    return cohort.births_at(births, cohort.mid_years(births), _places(spark, sf),
-                            first_date=FIRST)
+    daily = cut_lineage(cohort.daily_births(events.decode_births(_births(spark, sf))))
+    return cohort.births_at(daily, cohort.mid_years(daily), _places(spark, sf), first_date=FIRST,
+                            weight="n")
 
 
 _DAILY = f"""
@@ -229,7 +230,7 @@ def _cohort_deaths(spark, sf):
 @query("cohort_deaths_padded", f"""
 WITH {SQL_COHORTS}
 SELECT CAST(year(mid_year) AS INTEGER) AS year,
-    {sql_case('event_department', cohort.DEPARTMENTS)} AS department, p.municipality,
+    {sql_case('event_department', expected.DEPARTMENTS)} AS department, p.municipality,
     age_group, count(*) AS deaths
   FROM (SELECT *, {sql_label('birth_date', 'mid_year')} AS age_group
     FROM infants JOIN mids USING (event_year)) x
@@ -265,7 +266,7 @@ def _trend_share(spark, sf):
     return _rounded(cohort.trend_share(_shares(spark, sf)), "proportion")
 
 
-_UNIFORM = sql_case("age_group", cohort.INFANT_MONTHS, "NULL")
+_UNIFORM = sql_case("age_group", expected.INFANT_MONTHS, "NULL")
 
 
 @query("uniform_gate", f"""
@@ -297,7 +298,7 @@ _SCOPE = f"""
     FROM ({plain(POPULATION)}) p WHERE year BETWEEN {YEARS[0]} AND {YEARS[1]}
       AND age BETWEEN 0 AND 4 AND department IN ('Santa Rosa', 'Quetzaltenango') GROUP BY ALL),
   split AS (SELECT year, department, municipality,
-    {sql_case('age', AGE_TO_GROUP, 'm.age_group')} AS age_group,
+    {sql_case('age', expected.AGE_TO_GROUP, 'm.age_group')} AS age_group,
     CASE WHEN age = 0 AND proportion IS NOT NULL AND NOT isnan(proportion)
       THEN population * proportion ELSE population END AS population
     FROM scope LEFT JOIN means m ON age = 0)"""
@@ -314,12 +315,12 @@ def _age_split(spark, sf):
 
 
 def _bridge(bands: dict) -> str:
-    pairs = [(b, b) for b in BASE_GROUPS]
+    pairs = [(b, b) for b in expected.BASE_GROUPS]
     pairs += [(base, band) for band, bases in bands.items() for base in bases]
     return "(VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in pairs) + ") bridge(base, band)"
 
 
-_AGE_LABEL = {i: label for i, label in enumerate(BASE_GROUPS[2:], 1)}
+_AGE_LABEL = {i: label for i, label in enumerate(expected.BASE_GROUPS[2:], 1)}
 
 
 @query("band_rollup", f"""
@@ -327,7 +328,7 @@ SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS year, band AS age_group,
   CASE WHEN count(q) = count(*) THEN sum(q) END AS population
 FROM (SELECT *, {sql_case('l_linenumber', _AGE_LABEL, 'NULL')} AS label,
     CASE WHEN l_orderkey % 997 = 0 THEN NULL ELSE l_quantity END AS q FROM lineitem) l
-JOIN {_bridge(BANDS)} ON base = label GROUP BY ALL""")
+JOIN {_bridge(expected.BANDS)} ON base = label GROUP BY ALL""")
 def _band_rollup(spark, sf):
     lines = table(spark, sf, "lineitem").select(
         "l_suppkey", F.year("l_shipdate").alias("year"),
@@ -341,7 +342,7 @@ _REPORT = f"""
 WITH {SQL_COHORTS}, {_SCOPE}
 SELECT department, municipality, year, band AS age_group,
   round(CASE WHEN count(population) = count(*) THEN sum(population) END, 4) AS population
-FROM split JOIN {_bridge(BANDS)} ON base = age_group GROUP BY ALL"""
+FROM split JOIN {_bridge(expected.BANDS)} ON base = age_group GROUP BY ALL"""
 
 
 @query("under_five", _REPORT)

@@ -14,6 +14,7 @@ from midyear.functions.text import pad_left
 from midyear.operators.joins import code_lookup, join_on
 from midyear.operators.shape import derive_once, variants
 from midyear.operators.totals import group_mean, keep_group_min, share_of_total
+from midyear.sources.shared import cut_lineage
 
 # Infant age groups, youngest first, with the age in days or months before
 # the boundary at which each one begins, and its length in months.
@@ -205,12 +206,15 @@ def deaths_at(
 def survivor_share(births: DataFrame, deaths: DataFrame,
                    keys: Sequence[str] = tuple(PLACE_KEYS),
                    label: str = "age_group") -> DataFrame:
-    """Births minus deaths per label (no deaths row means 0) and the share within ``keys``."""
+    """Births minus deaths per label (no deaths row means 0) and the share within ``keys``.
+
+    The counts are written once (runs a job): rows and totals are both read from them.
+    """
     joined = join_on(births, deaths, [*keys, label], "left")
     alive = joined.withColumn("deaths", F.coalesce("deaths", F.lit(0))).withColumn(
         "alive", F.col("births") - F.col("deaths")
     )
-    return share_of_total(alive, keys, "alive")
+    return share_of_total(cut_lineage(alive), keys, "alive")
 
 
 def mean_share(shares: DataFrame) -> DataFrame:

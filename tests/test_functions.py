@@ -117,3 +117,11 @@ def test_maps_and_conditions(values):
 def test_derive_sees_replaced_columns(rows):
     df = derive(rows([(1,)], "a int"), a=F.col("a") + 1, b=F.col("a") * 10)
     assert df.first() == (2, 20)
+
+
+def test_empty_value_maps(values):
+    from midyear.functions.recode import ordinal, recode, recode_known
+
+    c = F.col("c")
+    assert values([("x",), (None,)], "c string", recode(c, {}), recode(c, {}, default=F.lit("d")),
+                  recode_known(c, {}), ordinal(c, [])) == [("x", "d", None, None), (None, "d", None, None)]

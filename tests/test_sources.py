@@ -79,23 +79,72 @@ def test_harmonise(rows):
                    ("Jalapa", "San Miguel Petapa")]
 
 
-def test_expand_over_large_domain_is_whole(spark, monkeypatch):
-    df = spark.range(50).union(spark.range(50))
-    source = spark.range(200).select((F.col("id") % 70).alias("age"))
-    small = shape.expand_over(df, source, "age").groupBy("id", "age").count()
-    monkeypatch.setattr(shape, "small_domain", lambda *a, **k: None)
-    large = shape.expand_over(df, source, "age").groupBy("id", "age").count()
-    assert sorted(small.collect()) == sorted(large.collect())
-    assert small.count() == 50 * 70
-
-
-def test_nest_is_cut_into_parts(spark):
-    df = spark.range(100).select((F.col("id") % 2).alias("k"), "id", F.lit(1.0).alias("v"))
-    nested = shape.nest(df, ["k"], "id", "v", width=10)
-    assert nested.count() == 20 and nested.agg(F.max(F.size("data"))).first()[0] == 5
-    assert shape.unnest(nested, "data").count() == 100
+def test_expand_over_large_domain_is_whole(spark):
+    df = spark.range(30).union(spark.range(30))
+    source = spark.range(4000).select((F.col("id") % 1500).alias("age"))
+    got = shape.expand_over(df, source, "age")
+    assert got.count() == 60 * 1500 and got.distinct().count() == 30 * 1500
+    assert "BroadcastNestedLoopJoin" not in got._jdf.queryExecution().executedPlan().toString()
 
 
 def test_unpivot_counts_rows_times_columns(rows):
     df = rows([(1, None, 2.0), (2, 3.0, None)], "id int, a double, b double")
     assert shape.wide_to_long(df, ["id"], ["a", "b"]).count() == 4
+
+
+def test_records_by_name_with_accents_and_other_orders(spark, tmp_path):
+    (tmp_path / "births_2009.csv").write_text("depreg,mupreg,sexo\n6,1,2\n")
+    (tmp_path / "births_2010.csv").write_text("sexo,depreg,mupreg\n2,6,1\n")
+    df = scans.read_records(spark, str(tmp_path), "births", "csv", header="true")
+    got = {tuple(r) for r in df.select("file_year", "depreg", "mupreg", "sexo").collect()}
+    assert got == {("2009", "6", "1", "2"), ("2010", "6", "1", "2")}
+
+    for year, name in ((2011, "año"), (2012, "ano")):
+        rows = spark.createDataFrame([(year, 1.5 if year == 2011 else "x")], [name, "v"])
+        rows.coalesce(1).write.parquet(str(tmp_path / f"tmp{year}"))
+        part = next((tmp_path / f"tmp{year}").glob("*.parquet"))
+        (tmp_path / f"deaths_{year}.parquet").write_bytes(part.read_bytes())
+    df = scans.read_records(spark, str(tmp_path), "deaths")
+    assert {tuple(r) for r in df.select("file_year", "ano", "v").collect()} == {
+        ("2011", "2011", "1.5"), ("2012", "2012", "x")}
+
+
+def test_cells_from_text_with_a_header(spark, tmp_path):
+    (tmp_path / "cells.csv").write_text("file,sheet,row_idx,col_idx,value\nf,s,1,2,x\n")
+    got = scans.read_cells(spark, str(tmp_path / "cells.csv"), "csv", header="true").collect()
+    assert [tuple(r) for r in got] == [("f", "s", 1, 2, "x")]
+
+
+def test_run_folder_goes_with_the_run(spark):
+    from pathlib import Path
+
+    with shared.run_folder(spark) as folder:
+        shared.cut_lineage(spark.range(3))
+        assert list(Path(folder).iterdir())
+    assert not Path(folder).exists()
+    assert "run-" not in shared.fresh_path(spark, "stage").rsplit("/", 1)[1]
+
+
+def test_override_tables_have_one_row_per_key(rows):
+    places = rows([("a", "x"), ("b", "y"), (None, "z")], "k string, name string")
+    once = rows([("a", "new"), ("a", "new"), (None, None)], "k string, replacement string")
+    got = {tuple(r) for r in joins.override_from_table(places, once, ["k"], "name").collect()}
+    assert got == {("a", "new"), ("b", "y"), (None, "z")}
+    twice = rows([("a", "new"), ("a", "other")], "k string, replacement string")
+    with pytest.raises(Exception, match="two values"):
+        joins.override_from_table(places, twice, ["k"], "name").collect()
+
+
+def test_places_without_a_department(rows):
+    from midyear.plans.population import standardise
+
+    df = rows([(None, "Flores"), (None, "Concepción"), ("HUEHUETENANGO", "concepcion"), ("Peten", "concepcion"),
+               (None, None)], "department string, municipality string")
+    got = [tuple(r) for r in standardise(df).collect()]
+    assert got == [(None, "Flores"), (None, None), ("Huehuetenango", "Concepcion Huista"),
+                   ("Peten", "Concepcion"), (None, None)]
+
+
+def test_nested_rows_are_kept(rows):
+    df = rows([("a", 1, "x"), ("a", 1, "x"), ("b", None, None)], "k string, n int, v string")
+    assert sorted(shape.unnest(shape.nest(df, ["k"]), "data").collect(), key=str) == sorted(df.collect(), key=str)
