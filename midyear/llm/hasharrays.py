@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from midyear.llm.texts import frame_blocks
+from midyear.llm.texts import frame_blocks, small_batches
 from midyear.sources.shared import fresh_path
 
 #: Keys a task gathers before it sends them on.
@@ -119,6 +119,7 @@ def count_keys(
         return pd.DataFrame({"range_no": [number], "n_keys": [len(keys)], "total": [int(counts.sum())],
                              "top": [top.tolist()], "top_counts": [counts[top].tolist()]})
 
+    small_batches(docs.sparkSession)
     sent = docs.select(F.col(text).cast("binary").alias("raw")).mapInPandas(
         gather, "range_no int, keys binary, counts binary")
     merged = sent.groupBy("range_no").applyInPandas(

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import shutil
 
 import numpy as np
 import pandas as pd
@@ -355,6 +356,8 @@ def without_near_lines(
 
     found.mapInPandas(ranged, "doc bigint, text_hash bigint, line int, range_no int").groupBy(
         "range_no").applyInPandas(_write_removed(join), "range_no int").count()
+    for name in ("words", "sets", "copies"):  # what follows reads ``removed`` alone
+        shutil.rmtree(f"{join.folder}/{name}", ignore_errors=True)
 
     def cut(batches):
         parts: dict[int, list] = {}

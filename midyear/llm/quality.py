@@ -123,16 +123,20 @@ def _distance(d: int) -> Column:
     return total
 
 
-def robust_distances(rows: DataFrame, share: float, steps: int, least_rows: int) -> DataFrame:
-    """``rows`` (lang, source, n_words, features) with ``distance``: squared, at most a chi-squared median.
+def _named(rows: DataFrame) -> DataFrame:
+    """``rows`` with a name of their group, nulls included."""
+    return rows.withColumn("_own", F.to_json(F.struct("lang", "source"), {"ignoreNullFields": "false"}))
 
-    Null where there are no words or too few rows.
+
+def robust_estimates(rows: DataFrame, share: float, steps: int, least_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Which cell judges each group, and the cells' ``median, centre, inverse, scale``.
+
+    Runs jobs over ``rows`` (lang, source, n_words, features), which should be written already.
+    Cells with too few rows are left out.
     """
     d = len(FEATURES)
-    named = F.struct(F.col("lang"), F.col("source"))
-    own = F.to_json(named, {"ignoreNullFields": "false"})
     wide = F.concat(F.lit("lang:"), F.coalesce(F.to_json(F.struct("lang")), F.lit("{}")))
-    rows = rows.withColumn("_own", own).withColumn("_lang", wide)
+    rows = _named(rows).withColumn("_lang", wide)
     # the cell that judges a row: its own group, its language or everything, whichever is large enough
     counts = rows.filter("features IS NOT NULL").groupBy("_own", "_lang").agg(F.count(F.lit(1)).alias("n"))
     langs = counts.groupBy("_lang").agg(F.sum("n").alias("n_lang"))
@@ -143,16 +147,12 @@ def robust_distances(rows: DataFrame, share: float, steps: int, least_rows: int)
     # a group counts for its own estimate, and for the wider ones that small groups are judged by
     parts = counts.select("_own", F.explode(F.array("_own", "_lang", F.lit("all"))).alias("cell"))
     parts = cut_lineage(parts.join(cells.select("cell").distinct(), "cell", "left_semi"))
-    held = cut_lineage(rows.drop("_lang"))
-    rows = held.join(cells, "_own", "left").drop("_own")
-    known = held.filter("features IS NOT NULL").select("_own", "n_words", "features").join(parts, "_own").drop("_own")
+    known = rows.filter("features IS NOT NULL").select("_own", "n_words", "features").join(parts, "_own").drop("_own")
     medians = known.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.percentile_approx(F.col("features")[i], 0.5) for i in range(d)]).alias("median"))
     medians = cut_lineage(medians)
-    shrink = F.col("n_words") / (F.col("n_words") + PRIOR_WORDS)
-    z = F.array(*[(F.col("features")[i] - F.col("median")[i]) * shrink for i in range(d)])
-    known = cut_lineage(known.join(medians, "cell").withColumn("z", z))
+    known = cut_lineage(known.join(medians, "cell").withColumn("z", _centred()))
     spread = known.groupBy("cell").agg(
         *[F.percentile_approx(F.abs(F.col("z")[i]), 0.5).alias(f"m{i}") for i in range(d)])
     first = F.array(*[
@@ -172,13 +172,17 @@ def robust_distances(rows: DataFrame, share: float, steps: int, least_rows: int)
     placed = known.join(params, "cell").withColumn("d2", _distance(d))
     middle = placed.groupBy("cell").agg(F.percentile_approx("d2", 0.5).alias("middle"))
     # the nearest share underestimates the spread; where the floors make it wide, it stays
-    scale = F.least(F.lit(1.0), _chi2_bound(0.0, d) / F.col("middle"))
+    scale = F.least(F.lit(1.0), _chi2_bound(0.0, d) / F.nullif(F.col("middle"), F.lit(0.0)))
     scaled = params.join(cut_lineage(middle), "cell").join(
         medians.select("cell", "n", "median"), "cell")
     scaled = cut_lineage(scaled.filter(F.col("n") >= least_rows).withColumn("scale", scale).drop("middle", "n"))
-    judged = rows.join(scaled, "cell", "left").withColumn("z", z)
-    return judged.withColumn("distance", _distance(d) * F.col("scale")).drop(
-        "cell", "z", "centre", "inverse", "median", "scale", "features")
+    return cells, scaled
+
+
+def _centred() -> Column:
+    """Distances from the median, drawn in for short documents."""
+    shrink = F.col("n_words") / (F.col("n_words") + PRIOR_WORDS)
+    return F.array(*[(F.col("features")[i] - F.col("median")[i]) * shrink for i in range(len(FEATURES))])
 
 
 def quality_rules(
@@ -189,11 +193,19 @@ def quality_rules(
     deviate: float = 2.33,
     least_rows: int = 200,
 ) -> DataFrame:
-    """Columns ``carry``, the base counts, ``base_failed``, ``distance`` and ``kept`` per document."""
-    rows = with_statistics(docs.select(*dict.fromkeys([*carry, "lang", "source", "text"])),
-                           tuple(dict.fromkeys([*carry, "lang", "source"])))
-    held = rows.select(F.struct(*carry).alias("row"), "lang", "source", *BASE, "features")
-    judged = robust_distances(held, share, steps, least_rows)
+    """Columns ``carry``, the base counts, ``base_failed``, ``distance`` and ``kept`` per document.
+
+    ``distance`` is squared, and null without words or an estimate.  The texts are read twice, once for
+    the estimates and once for the verdicts, so that they are neither written nor shuffled.
+    """
+    groups = ("lang", "source")
+    held = with_statistics(docs.select(*groups, "text"), groups)
+    cells, scaled = robust_estimates(
+        cut_lineage(held.select(*groups, "n_words", "features")), share, steps, least_rows)
+    rows = docs.select(F.struct(*dict.fromkeys(carry)).alias("row"), *groups, "text")
+    judged = _named(with_statistics(rows, ("row", *groups))).join(cells, "_own", "left").join(scaled, "cell", "left")
+    distance = F.col("scale") * _distance(len(FEATURES))
+    judged = judged.withColumn("z", _centred()).withColumn("distance", distance)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     usual = F.coalesce(F.col("distance") <= _chi2_bound(deviate, len(FEATURES)), F.lit(True))
     return judged.select(

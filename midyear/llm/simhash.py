@@ -102,11 +102,21 @@ def near_duplicates(
 def first_of_each(docs: DataFrame, shingle: int = 3, reach: int = 2) -> DataFrame:
     """``docs`` without near-duplicates: the document with the least id of each component.
 
-    Of rows that share that id and fingerprint, one stays.
+    Of rows that share that id, those with the least hash of their text stay, and one of them
+    if they are equal.  Groups are found without the texts, which are joined once at the end.
     """
-    rows = docs.select(F.struct("*").alias("doc"), "doc_id", "text")
-    found = near_duplicates(rows, ("doc", "doc_id"), shingle, reach)
-    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    found = near_duplicates(rows, ("doc_id", "text_hash"), shingle, reach)
     # a component has one document with its least id; without ids, its fingerprints stand for it
-    return first.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint"))).agg(
-        F.min_by("doc", F.xxhash64("doc.text")).alias("doc")).select("doc.*")
+    own = F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("own")
+    texts = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(
+        "component_id", own, "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    kept = cut_lineage(texts.groupBy("component_id", "own").agg(
+        F.min(F.struct("text_hash", "n")).alias("least")).select(
+        F.col("component_id").alias("_id"), F.col("least.text_hash").alias("_hash"), F.col("least.n").alias("_n")))
+    whole = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_text"))
+    met = whole.join(kept, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")))
+    once = met.filter("_n = 1").select("doc")
+    if kept.filter("_n > 1").limit(1).count():
+        once = once.union(met.filter("_n > 1").groupBy("_id", "_hash").agg(F.first("doc").alias("doc")).select("doc"))
+    return once.select("doc.*")

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,8 +21,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 IN_WORD = np.array([c != 0x20 and not 0x09 <= c <= 0x0D for c in range(256)])
 KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 LONG_WORD = 256
-#: Bytes of text that a task works on at once.
+#: Bytes of text that a task works on at once, and bytes of rows in a batch on its way there.
 BLOCK_BYTES = 4_000_000
+BATCH_BYTES = 8_000_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let batches of rows go to Python by ``BATCH_BYTES`` where the session has Spark's default of 64 MB.
+
+    Executors hold a batch several times over on its way, so long texts need a lower bound.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def map_texts(
@@ -60,6 +71,7 @@ def map_texts(
             columns = [pa.array(out[f.name], type=_arrow(f.dataType)) for f in fresh.fields]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["row", *fresh.names])
 
+    small_batches(docs.sparkSession)
     inner = F.struct(*[F.col(_quoted(name)) for name in kept]) if kept else F.struct(F.lit(0))
     if not kept:
         schema = T.StructType([T.StructField("row", T.StructType([T.StructField("col1", T.IntegerType())]))] + fresh.fields)

@@ -284,3 +284,9 @@ def test_folds(spark):
     rows = spark.createDataFrame([(i,) for i in range(50)] + [(None,)], "doc_id long")
     for r in rows.select("doc_id", fold(F.col("doc_id"), 7).alias("f")).collect():
         assert r.f == zlib.crc32(b"" if r.doc_id is None else str(r.doc_id).encode()) % 7
+
+
+def test_a_group_of_equal_documents(documents):
+    rows = [(i, "one and the same text of ten or more plain words here", "en", "a") for i in range(60)]
+    got = quality_rules(documents(rows), least_rows=50).collect()
+    assert len(got) == 60 and all(r.kept and r.distance == 0 for r in got)
