@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from midyear.llm.texts import frame_blocks, small_batches
+from midyear.llm.texts import frame_blocks, give_back, small_batches
 from midyear.sources.shared import fresh_path
 
 #: Keys a task gathers before it sends them on.
@@ -105,8 +105,11 @@ def count_keys(
                 size = sum(len(k) for k, _ in held)
         if held:
             yield blocks(*add_up(*map(np.concatenate, zip(*held))))
+            held.clear()
+        give_back()
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         number = int(frame["range_no"].iloc[0])
         keys, counts = add_up(
             np.concatenate([np.frombuffer(b, np.uint64) for b in frame["keys"]]),

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from midyear.llm.hasharrays import HashArray, count_keys, range_of, save, shards_for, shared_files
-from midyear.llm.texts import Words, frame_blocks, map_texts, mix
+from midyear.llm.texts import Words, frame_blocks, give_back, map_texts, mix
 from midyear.sources.shared import cut_lineage
 
 LAST = np.int64(2**63 - 1)  # stands for a null id
@@ -107,6 +107,7 @@ def _sets(join: Join):
                              place[at].astype(np.int32).tobytes(), first[at].tobytes(), second[at].tobytes(),
                              sent[at].astype(np.int32).tobytes(), _planes(numbers)))
             yield pd.DataFrame(rows, columns=NAMES)
+        give_back()
 
     return run
 
@@ -124,6 +125,7 @@ def _store(join: Join):
     """Write the distinct sets of a range, and the lines that are copies; out go the keys of the sets."""
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         number = int(frame["range_no"].iloc[0])
         read = lambda name, kind: np.concatenate([np.frombuffer(b, kind) for b in frame[name]])
         docs, texts, lines = read("docs", np.int64), read("texts", np.uint64), read("lines", np.int32)
@@ -245,6 +247,7 @@ def _matches(join: Join):
     """The lines of a bucket's sets that an earlier set matches."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         store = SetStore(join)
         read = lambda name, kind: np.concatenate([np.frombuffer(b, kind) for b in frame[name]])
         keys, places = read("keys", np.uint64), read("places", np.uint32).astype(np.int32)
