@@ -1,14 +1,16 @@
-"""Robust multivariate outliers among text statistics, per language and source.
+"""Robust multivariate outliers among text statistics, per language, source and length.
 
-Every document becomes a vector of transformed statistics.  For each group a minimum-covariance-
+Every document becomes a vector of transformed statistics.  A group is the documents of a language and
+source in one class of ``LENGTHS``, as the statistics of short texts have other centres and wider
+spreads.  For each group a minimum-covariance-
 determinant estimate is found by concentration steps over all its rows: from medians and
 absolute deviations on, the ``share`` of rows nearest to the centre gives the next centre and
 covariance, until ``steps`` are done.  Documents whose Mahalanobis distance exceeds the bound go.
 
 Each step is two aggregations with partial sums, however the rows are spread over the groups; a
-group's rows are never gathered.  Groups under ``least_rows`` documents are judged by their language's
-estimate, languages under it by that of all documents; under ``least_rows`` in all, only the base
-rules hold.  Null texts have no words and fail the base rules.  Null languages and sources are
+group's rows are never gathered.  Groups under ``least_rows`` documents are judged by the estimate of their
+language and length, those under it by that of their length, lengths under it by that of all documents;
+under ``least_rows`` in all, only the base rules hold.  Null texts have no words and fail the base rules.  Null languages and sources are
 groups of their own.
 """
 
@@ -29,8 +31,11 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FEATURES = ("length", "symbols", "dup_lines", "repeats", "capitals", "marks", "variety", "digits")
 #: Least standard deviation of each transformed statistic: clean groups have constant ones.
 FLOORS = (0.25, 0.03, 0.12, 0.10, 0.04, 0.05, 0.03, 0.08)
-#: Words that count as if the group's median document had added them to a document.
-PRIOR_WORDS = 100
+#: Variance that a statistic of a one-word text has by chance; a text of n words has an n-th of it.  For
+#: shares of characters it is 1 / 4 over five characters; lines and repeats do not vary by chance.
+CHANCE = (0.25, 0.05, 0.0, 0.0, 0.05, 0.05, 0.0, 0.05)
+#: Words from which on the next class of lengths begins.
+LENGTHS = (10, 40, 80, 160, 320, 640)
 
 SYMBOLS = b"#*$%&|<>"
 CAPITALS = string.ascii_uppercase.encode()
@@ -109,7 +114,7 @@ def _fit(frames):
             for i in range(d):
                 for j in range(i, d):
                     cov[i, j] = cov[j, i] = getattr(row, f"s{i}_{j}") / n - mean[i] * mean[j]
-            cov += np.diag(np.square(FLOORS))
+            cov += np.diag(np.square(FLOORS) + np.multiply(CHANCE, row.per_word))
             out.append((row.cell, mean.tolist(), np.linalg.inv(cov).ravel().tolist()))
         yield pd.DataFrame(out, columns=["cell", "centre", "inverse"])
 
@@ -125,7 +130,8 @@ def _distance(d: int) -> Column:
 
 def _named(rows: DataFrame) -> DataFrame:
     """``rows`` with a name of their group, nulls included."""
-    return rows.withColumn("_own", F.to_json(F.struct("lang", "source"), {"ignoreNullFields": "false"}))
+    rows = rows.withColumn("_class", sum((F.col("n_words") >= n).cast("int") for n in LENGTHS))
+    return rows.withColumn("_own", F.to_json(F.struct("lang", "source", "_class"), {"ignoreNullFields": "false"}))
 
 
 def robust_estimates(rows: DataFrame, share: float, steps: int, least_rows: int) -> tuple[DataFrame, DataFrame]:
@@ -135,17 +141,21 @@ def robust_estimates(rows: DataFrame, share: float, steps: int, least_rows: int)
     Cells with too few rows are left out.
     """
     d = len(FEATURES)
-    wide = F.concat(F.lit("lang:"), F.coalesce(F.to_json(F.struct("lang")), F.lit("{}")))
-    rows = _named(rows).withColumn("_lang", wide)
-    # the cell that judges a row: its own group, its language or everything, whichever is large enough
-    counts = rows.filter("features IS NOT NULL").groupBy("_own", "_lang").agg(F.count(F.lit(1)).alias("n"))
+    wide = F.concat(F.lit("lang:"), F.to_json(F.struct("lang", "_class")))
+    length = F.concat(F.lit("length:"), F.col("_class"))
+    rows = _named(rows).withColumn("_lang", wide).withColumn("_length", length)
+    # the cell that judges a row: its own group, its language, its length or everything, whichever is large enough
+    counts = rows.filter("features IS NOT NULL").groupBy("_own", "_lang", "_length").agg(F.count(F.lit(1)).alias("n"))
+    counts = cut_lineage(counts)
     langs = counts.groupBy("_lang").agg(F.sum("n").alias("n_lang"))
-    cells = counts.join(langs, "_lang").select(
+    lengths = counts.groupBy("_length").agg(F.sum("n").alias("n_length"))
+    cells = counts.join(langs, "_lang").join(lengths, "_length").select(
         "_own", F.when(F.col("n") >= least_rows, F.col("_own")).when(
-            F.col("n_lang") >= least_rows, F.col("_lang")).otherwise("all").alias("cell"))
+            F.col("n_lang") >= least_rows, F.col("_lang")).when(
+            F.col("n_length") >= least_rows, F.col("_length")).otherwise("all").alias("cell"))
     cells = cut_lineage(cells)
     # a group counts for its own estimate, and for the wider ones that small groups are judged by
-    parts = counts.select("_own", F.explode(F.array("_own", "_lang", F.lit("all"))).alias("cell"))
+    parts = counts.select("_own", F.explode(F.array("_own", "_lang", "_length", F.lit("all"))).alias("cell"))
     parts = cut_lineage(parts.join(cells.select("cell").distinct(), "cell", "left_semi"))
     known = rows.filter("features IS NOT NULL").select("_own", "n_words", "features").join(parts, "_own").drop("_own")
     medians = known.groupBy("cell").agg(
@@ -153,10 +163,12 @@ def robust_estimates(rows: DataFrame, share: float, steps: int, least_rows: int)
         F.array(*[F.percentile_approx(F.col("features")[i], 0.5) for i in range(d)]).alias("median"))
     medians = cut_lineage(medians)
     known = cut_lineage(known.join(medians, "cell").withColumn("z", _centred()))
+    per_word = F.avg(1 / F.col("n_words")).alias("per_word")
     spread = known.groupBy("cell").agg(
-        *[F.percentile_approx(F.abs(F.col("z")[i]), 0.5).alias(f"m{i}") for i in range(d)])
+        per_word, *[F.percentile_approx(F.abs(F.col("z")[i]), 0.5).alias(f"m{i}") for i in range(d)])
     first = F.array(*[
-        1 / F.pow(F.greatest(1.4826 * F.col(f"m{i}"), F.lit(FLOORS[i])), 2) if i == j else F.lit(0.0)
+        1 / F.greatest(F.pow(1.4826 * F.col(f"m{i}"), 2), FLOORS[i] ** 2 + CHANCE[i] * F.col("per_word"))
+        if i == j else F.lit(0.0)
         for i in range(d) for j in range(d)])
     params = cut_lineage(spread.select(
         "cell", F.array(*[F.lit(0.0)] * d).alias("centre"), first.alias("inverse")))
@@ -165,7 +177,7 @@ def robust_estimates(rows: DataFrame, share: float, steps: int, least_rows: int)
         near = cut_lineage(placed.groupBy("cell").agg(F.percentile_approx("d2", share).alias("bound")))
         core = placed.join(near, "cell").filter("d2 <= bound")
         sums = core.groupBy("cell").agg(
-            F.count(F.lit(1)).alias("n"),
+            F.count(F.lit(1)).alias("n"), per_word,
             *[F.sum(F.col("z")[i]).alias(f"s{i}") for i in range(d)],
             *[F.sum(F.col("z")[i] * F.col("z")[j]).alias(f"s{i}_{j}") for i in range(d) for j in range(i, d)])
         params = cut_lineage(sums.mapInPandas(_fit, "cell string, centre array<double>, inverse array<double>"))
@@ -180,9 +192,8 @@ def robust_estimates(rows: DataFrame, share: float, steps: int, least_rows: int)
 
 
 def _centred() -> Column:
-    """Distances from the median, drawn in for short documents."""
-    shrink = F.col("n_words") / (F.col("n_words") + PRIOR_WORDS)
-    return F.array(*[(F.col("features")[i] - F.col("median")[i]) * shrink for i in range(len(FEATURES))])
+    """Distances from the median."""
+    return F.array(*[F.col("features")[i] - F.col("median")[i] for i in range(len(FEATURES))])
 
 
 def quality_rules(

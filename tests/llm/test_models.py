@@ -290,3 +290,15 @@ def test_a_group_of_equal_documents(documents):
     rows = [(i, "one and the same text of ten or more plain words here", "en", "a") for i in range(60)]
     got = quality_rules(documents(rows), least_rows=50).collect()
     assert len(got) == 60 and all(r.kept and r.distance == 0 for r in got)
+
+
+def test_short_documents_are_judged_too(documents):
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), rng.integers(2, 9)))
+    plain = [" ".join(word() for _ in range(rng.integers(10, 300 if i % 3 else 40))) for i in range(600)]
+    symbols = [" ".join(word() + "#$*|"[: int(rng.integers(1, 5))] for _ in range(rng.integers(10, 40))) for _ in range(15)]
+    repeated = [" ".join(rng.permutation([word() for _ in range(4)] * int(rng.integers(3, 10)))) for _ in range(15)]
+    got = {r.doc_id: r for r in quality_rules(documents(list(enumerate(plain + symbols + repeated))), least_rows=50).collect()}
+    planted = [got[i] for i in range(600, 630) if not got[i].base_failed]
+    assert len(planted) > 25 and not any(r.kept for r in planted)
+    assert sum(got[i].kept for i in range(600)) >= 594
