@@ -3,8 +3,9 @@
 A line is the set of its words, A-Z lowered; lines without words are no lines and stay.  A line is
 removed if an earlier one has a Jaccard similarity of ``share`` or more; earlier is by document
 id (null last), then by a hash of the text, then by place.  The words of a set stand in order of
-rarity in the corpus, read from a sorted hash array.  Lines with equal sets are joined first; all
-but the earliest go.  For each remaining set:
+rarity in the corpus, read from a sorted hash array.  Lines with equal sets are joined first: a block of
+texts sends each set once, with its earliest line there; the earliest of all is stored, and the last
+pass over the documents removes the others.  For each remaining set:
 
 * prefix filter: two similar sets share at least one word in the first ``n - ceil(share n) + 1``
   of each, and at least two in one word more.  Rare words are keys by themselves; frequent words
@@ -37,7 +38,8 @@ from midyear.sources.shared import cut_lineage
 LAST = np.int64(2**63 - 1)  # stands for a null id
 SENT = "range_no int, docs binary, texts binary, lines binary, first binary, second binary, sizes binary, words binary"
 NAMES = ["range_no", "docs", "texts", "lines", "first", "second", "sizes", "words"]
-STORED = ("docs", "texts", "lines", "sizes", "low", "high")
+HEAD = ("docs", "texts", "lines")
+STORED = (*HEAD, "sizes", "low", "high")
 
 
 def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -66,8 +68,27 @@ class Join:
         return -(-(a + b) * self.num // (self.num + self.den))
 
 
+def _line_sets(head: np.ndarray, hashes: np.ndarray, number_of: np.ndarray, rarity: np.ndarray):
+    """Distinct words of each line in the order ``rarity``, how many, where they begin, and two hashes of the set."""
+    rank = np.empty(len(hashes), np.int64)
+    rank[rarity] = np.arange(len(hashes))
+    sizes = np.diff(np.append(head, len(number_of)))
+    key = np.sort(np.repeat(np.arange(len(head)) << 32, sizes) | rank[number_of])
+    key = key[np.concatenate([[True], key[1:] != key[:-1]])]
+    word = rarity[key & 0xFFFFFFFF]
+    size = np.bincount(key >> 32, minlength=len(head))
+    begin = np.cumsum(size) - size
+    first = np.add.reduceat(mix(hashes, np.uint64(1))[word], begin)
+    second = np.add.reduceat(mix(hashes, np.uint64(2))[word], begin)
+    return word, size, begin, first, second
+
+
+def _text_hashes(texts: list[bytes | None]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(raw or b"") for raw in texts], np.uint64)
+
+
 def _sets(join: Join):
-    """Packed lines by the range of their set: id, text, place, set hash, and its words once a block."""
+    """Packed sets by their range, each once a block: id, text and place of its earliest line, set hash, and words."""
 
     def run(frames):
         counts = HashArray(f"{join.folder}/words", join.n)
@@ -79,33 +100,23 @@ def _sets(join: Join):
                 continue
             hashes, number_of = np.unique(words.hashes, return_inverse=True)
             number, count = counts.find(hashes)
-            rarity = np.lexsort((number, count))
-            rank = np.empty(len(hashes), np.int64)
-            rank[rarity] = np.arange(len(hashes))
-            sizes = np.diff(np.append(head, len(number_of)))
-            key = np.sort(np.repeat(np.arange(len(head)) << 32, sizes) | rank[number_of])
-            key = key[np.concatenate([[True], key[1:] != key[:-1]])]
-            word = rarity[key & 0xFFFFFFFF]
-            size = np.bincount(key >> 32, minlength=len(head))
-            begin = np.cumsum(size) - size
-            first = np.add.reduceat(mix(hashes, np.uint64(1))[word], begin)
-            second = np.add.reduceat(mix(hashes, np.uint64(2))[word], begin)
+            word, size, begin, first, second = _line_sets(head, hashes, number_of, np.lexsort((number, count)))
             docs = np.where(frame["id"].isna(), LAST, frame["id"].fillna(0)).astype(np.int64)[owner]
-            text_hash = np.array([xxhash.xxh64_intdigest(raw or b"") for raw in texts], np.uint64)[owner]
-            # the words of a set go along with its first line in the block only
-            _, shown = np.unique(mix(first, second), return_index=True)
-            sent = np.zeros(len(size), np.int64)
-            sent[shown] = size[shown]
-            where = range_of(mix(first, second), join.n)
+            text_hash = _text_hashes(texts)[owner]
+            by = np.lexsort((place, text_hash, docs, second, first))
+            new = (first[by][1:] != first[by][:-1]) | (second[by][1:] != second[by][:-1])
+            shown = by[np.concatenate([[True], new])]
+            where = range_of(mix(first[shown], second[shown]), join.n)
             order = np.argsort(where, kind="stable")
-            cuts = np.flatnonzero(np.concatenate([[True], np.diff(where[order]) != 0]))
+            shown, where = shown[order], where[order]
+            cuts = np.flatnonzero(np.concatenate([[True], np.diff(where) != 0]))
             rows = []
-            for a, b in zip(cuts, [*cuts[1:], len(order)]):
-                at = order[a:b]
-                numbers = number[word[_ragged(begin[at], sent[at])]].astype(np.uint32)
-                rows.append((int(where[at[0]]), docs[at].tobytes(), text_hash[at].tobytes(),
+            for a, b in zip(cuts, [*cuts[1:], len(shown)]):
+                at = shown[a:b]
+                numbers = number[word[_ragged(begin[at], size[at])]].astype(np.uint32)
+                rows.append((int(where[a]), docs[at].tobytes(), text_hash[at].tobytes(),
                              place[at].astype(np.int32).tobytes(), first[at].tobytes(), second[at].tobytes(),
-                             sent[at].astype(np.int32).tobytes(), _planes(numbers)))
+                             size[at].astype(np.int32).tobytes(), _planes(numbers)))
             yield pd.DataFrame(rows, columns=NAMES)
         give_back()
 
@@ -122,7 +133,7 @@ def _from_planes(packed: bytes) -> np.ndarray:
 
 
 def _store(join: Join):
-    """Write the distinct sets of a range, and the lines that are copies; out go the keys of the sets."""
+    """Write the distinct sets of a range with their earliest lines; out go the keys of the sets."""
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         give_back()
@@ -135,25 +146,16 @@ def _store(join: Join):
         begin = np.cumsum(sent) - sent
         order = np.lexsort((lines, texts, docs, second, first))
         new = np.concatenate([[True], (first[order][1:] != first[order][:-1]) | (second[order][1:] != second[order][:-1])])
-        group = np.cumsum(new) - 1
         heads = order[new]
-        shown = np.flatnonzero(sent[order] > 0)
-        _, pick = np.unique(group[shown], return_index=True)
-        holder = order[shown[pick]]
-        sizes = sent[holder]
-        words = words[_ragged(begin[holder], sizes)].astype(np.int64)
+        sizes = sent[heads]
+        words = words[_ragged(begin[heads], sizes)].astype(np.int64)
         begin = np.cumsum(sizes) - sizes
         low, high = signatures(words, begin)
         path = f"{join.folder}/sets/{number:06d}"
-        for name, array in zip(STORED, (docs[heads], texts[heads], lines[heads], sizes.astype(np.int32), low, high)):
+        for name, array in (("sizes", sizes.astype(np.int32)), ("low", low), ("high", high), ("words", words.astype(np.uint32))):
             save(f"{path}.{name}.npy", array)
-        save(f"{path}.words.npy", words.astype(np.uint32))
-        # a copy of the first line in the very same document and place is a repeated row
-        head = heads[group]
-        same = (docs[order] == docs[head]) & (texts[order] == texts[head]) & (lines[order] == lines[head])
-        copies = order[~same]
-        for name, array in (("docs", docs), ("texts", texts.view(np.int64)), ("lines", lines)):
-            save(f"{join.folder}/copies/{number:06d}.{name}.npy", array[copies])
+        for name, array in zip((*HEAD, "first", "second"), (docs, texts, lines, first, second)):
+            save(f"{join.folder}/heads/{number:06d}.{name}.npy", array[heads])
         keys, sets, places = _keys(join, words, begin, sizes)
         where = range_of(keys, join.n)
         sorted_by = np.argsort(where, kind="stable")
@@ -211,12 +213,13 @@ class SetStore:
     """The stored sets, opened in a task."""
 
     def __init__(self, join: Join):
-        self.path, self.open = f"{join.folder}/sets", {}
+        self.folder, self.open = join.folder, {}
 
     def _part(self, k: int, name: str) -> np.ndarray:
         if (k, name) not in self.open:
             # plain arrays over the mapped file: slices of them are cheaper
-            self.open[k, name] = np.asarray(np.load(f"{self.path}/{k:06d}.{name}.npy", mmap_mode="r"))
+            path = f"{self.folder}/{'heads' if name in HEAD else 'sets'}/{k:06d}.{name}.npy"
+            self.open[k, name] = np.asarray(np.load(path, mmap_mode="r"))
         return self.open[k, name]
 
     def columns(self, part: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
@@ -297,33 +300,55 @@ def _matches(join: Join):
     return run
 
 
-def _copies(join: Join):
-    def run(frames):
-        for frame in frames:
-            for k in frame["id"].tolist():
-                path = f"{join.folder}/copies/{k:06d}"
-                if os.path.exists(f"{path}.lines.npy"):
-                    yield pd.DataFrame({name: np.load(f"{path}.{stored}.npy") for name, stored in (
-                        ("doc", "docs"), ("text_hash", "texts"), ("line", "lines"))})
+class Heads:
+    """The earliest line of each set, opened in a task."""
 
-    return run
+    def __init__(self, join: Join):
+        self.folder, self.n, self.open = f"{join.folder}/heads", join.n, {}
+
+    def copies(self, texts: list[bytes | None], ids: list[int | None]) -> dict[int, list[int]]:
+        """By text, the places of its lines whose set has an earlier line."""
+        words = Words(texts, lower=True)
+        owner, place, head = words.lines()
+        if not len(head):
+            return {}
+        hashes, number_of = np.unique(words.hashes, return_inverse=True)
+        _, _, _, first, second = _line_sets(head, hashes, number_of, np.arange(len(hashes)))
+        docs = np.array([int(LAST) if i is None else i for i in ids], np.int64)[owner]
+        own = (docs, _text_hashes(texts)[owner], place)
+        where = range_of(mix(first, second), self.n)
+        late = np.zeros(len(head), bool)
+        for k in np.unique(where).tolist():
+            some = np.flatnonzero(where == k)
+            if k not in self.open:
+                self.open[k] = [np.asarray(np.load(f"{self.folder}/{k:06d}.{name}.npy", mmap_mode="r"))
+                                for name in ("first", "second", *HEAD)]
+            firsts, seconds, *kept = self.open[k]
+            at = np.searchsorted(firsts, first[some])
+            while (other := seconds[at] != second[some]).any():  # sets with the same first hash
+                at[other] += 1
+            late[some] = np.any([mine[some] != column[at] for mine, column in zip(own, kept)], axis=0)
+        gone: dict[int, list[int]] = {}
+        for i, line in zip(owner[late].tolist(), place[late].tolist()):
+            gone.setdefault(i, []).append(line)
+        return gone
 
 
 def matched_lines(docs: DataFrame, share: tuple[int, int], frequent: int, long: int) -> tuple[Join, DataFrame]:
-    """``doc, text_hash, line`` of each line to remove (once or more)."""
+    """``doc, text_hash, line`` (once or more) of the earliest lines of sets that an earlier set matches.
+
+    The folder of the join has the earliest line of each set then.
+    """
     spark, n = docs.sparkSession, shards_for(docs)
     folder = shared_files(spark, "lines")
-    for name in ("words", "sets", "copies", "removed"):
+    for name in ("words", "sets", "heads", "removed"):
         os.makedirs(f"{folder}/{name}", exist_ok=True)
     join = Join(folder, n, share, frequent, long)
     count_keys(docs, lambda texts: Words(texts, lower=True).hashes, f"{folder}/words", n)
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("raw"))
     keys = rows.mapInPandas(_sets(join), SENT).groupBy("range_no").applyInPandas(
         _store(join), "bucket int, range_no int, keys binary, sets binary, places binary")
-    # copies are read once this job has written them
-    near = cut_lineage(keys.groupBy("bucket").applyInPandas(_matches(join), FOUND))
-    copies = spark.range(0, n, 1, n).mapInPandas(_copies(join), FOUND)
-    return join, copies.union(near)
+    return join, cut_lineage(keys.groupBy("bucket").applyInPandas(_matches(join), FOUND))
 
 
 def _write_removed(join: Join):
@@ -359,11 +384,12 @@ def without_near_lines(
 
     found.mapInPandas(ranged, "doc bigint, text_hash bigint, line int, range_no int").groupBy(
         "range_no").applyInPandas(_write_removed(join), "range_no int").count()
-    for name in ("words", "sets", "copies"):  # what follows reads ``removed`` alone
+    for name in ("words", "sets"):  # what follows reads ``heads`` and ``removed`` alone
         shutil.rmtree(f"{join.folder}/{name}", ignore_errors=True)
 
     def cut(batches):
         parts: dict[int, list] = {}
+        heads = Heads(join)
 
         def removed(doc: int, text_hash: int) -> list[int]:
             k = int(_doc_range(np.array([doc], np.int64), n)[0])
@@ -379,13 +405,14 @@ def without_near_lines(
 
         for texts, ids in batches:
             out = {"n_lines": [], "n_removed": [], "kept_sha256": [], "kept": []}
-            for raw, doc in zip(texts, ids):
+            copies = heads.copies(texts, ids)
+            for i, (raw, doc) in enumerate(zip(texts, ids)):
                 lines = raw.split(b"\n") if raw else []
                 gone = set()
                 if lines:
                     signed = int(np.uint64(xxhash.xxh64_intdigest(raw)).view(np.int64))
-                    gone = set(removed(int(LAST) if doc is None else doc, signed))
-                kept = b"\n".join([line for i, line in enumerate(lines) if i not in gone])
+                    gone = set(removed(int(LAST) if doc is None else doc, signed)).union(copies.get(i, ()))
+                kept = b"\n".join([line for at, line in enumerate(lines) if at not in gone])
                 out["n_lines"].append(sum(1 for line in lines if line.strip()))
                 out["n_removed"].append(len(gone))
                 out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())

@@ -120,3 +120,21 @@ def test_prefix_lengths_are_exact():
     assert join.prefix(sizes).tolist() == [n - math.ceil(4 * n / 5) + 1 for n in sizes.tolist()]
     assert join.overlap(sizes, sizes + 3).tolist() == [math.ceil(4 * (2 * n + 3) / 9) for n in sizes.tolist()]
     assert sizes[join.alone(sizes)].tolist() == [1, 2, 3]
+
+
+def test_a_frequent_line_is_sent_once_a_block(spark, tmp_path):
+    import pandas as pd
+
+    from midyear.llm.hasharrays import count_keys
+    from midyear.llm.lines import Join, _sets
+    from midyear.llm.texts import Words
+
+    texts = [f"the same line in all\nbut this {i}\nthe same line in all" for i in range(300)]
+    (tmp_path / "words").mkdir()
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    count_keys(docs, lambda some: Words(some, lower=True).hashes, str(tmp_path / "words"), 16)
+    frame = pd.DataFrame({"id": list(range(300, 0, -1)), "raw": [t.encode() for t in texts]})
+    sent = list(_sets(Join(str(tmp_path), 16, (4, 5), 256, 64))([frame]))
+    rows = [x for part in sent for docs, lines in zip(part["docs"], part["lines"])
+            for x in zip(np.frombuffer(docs, np.int64).tolist(), np.frombuffer(lines, np.int32).tolist())]
+    assert len(rows) == 301 and rows.count((1, 0)) == 1 and (300, 0) not in rows
