@@ -7,7 +7,7 @@ probability at the mean of its chunks' log odds; chunks cover the document to it
 
 The unit weighs the maxima anew by how much of a chunk is missing, as short chunks have lower ones.
 Filters and unit are learned together by gradient descent on at most ``per_class`` documents of either
-label, taken by a hash of their id, with at most three chunks each and a shortened copy of each.  Null and empty texts
+label, taken by a hash of their id, with at most three chunks each and a copy of each, cut to a random length.  Null and empty texts
 count as one chunk of zero bytes.  Without labels of both kinds every score is 0.5.
 """
 
@@ -72,9 +72,9 @@ class ByteNet:
 def train(chunks: list[bytes], labels: np.ndarray, rounds: int = 8, batch: int = 64, seed: int = 5) -> ByteNet:
     """Adam on the log loss of chunks; both labels weigh alike."""
     net, rng = ByteNet(seed), np.random.default_rng(seed)
-    # a short piece of a bad text need not look bad, one of a good text looks good
-    least = np.log(np.where(labels == 1, 6, CHUNK // 2))
-    shorter = [c[: int(n)] for c, n in zip(chunks, np.exp(rng.uniform(least, np.log(CHUNK))))]
+    # lengths are drawn alike for both labels, so that they say nothing about the label
+    lengths = np.exp(rng.uniform(np.log(6), np.log(CHUNK), len(chunks)))
+    shorter = [c[: int(n)] for c, n in zip(chunks, lengths)]
     chunks, labels = chunks + shorter, np.concatenate([labels, labels])
     weight = np.where(labels == 1, 0.5 / (labels == 1).mean(), 0.5 / (labels == 0).mean()).astype(np.float32)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parameters()]

@@ -302,3 +302,11 @@ def test_short_documents_are_judged_too(documents):
     planted = [got[i] for i in range(600, 630) if not got[i].base_failed]
     assert len(planted) > 25 and not any(r.kept for r in planted)
     assert sum(got[i].kept for i in range(600)) >= 594
+
+
+def test_shortness_is_no_sign_of_a_label():
+    rng = np.random.default_rng(6)
+    chunks = [bytes(rng.choice(list(b"abcdefgh "), 512).tolist()) for _ in range(400)]
+    net = bytenet.train(chunks, np.arange(400, dtype=np.float32) % 2, rounds=4)
+    short = [net.score(bytes(rng.choice(list(b"abcdefgh "), 60).tolist())) for _ in range(50)]
+    assert abs(np.mean(short) - 0.5) < 0.15
