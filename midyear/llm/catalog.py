@@ -12,12 +12,15 @@ from midyear.llm import bytenet, langid
 from midyear.llm.decontamination import contaminated_spans
 from midyear.llm.lines import without_near_lines
 from midyear.llm.lm import fit, score
+from midyear.llm.merkle import dealt_third, lower_ascii, manifest
 from midyear.llm.mixing import mix_sources
+from midyear.llm.passages import without_passages
 from midyear.llm.quality import quality_rules
 from midyear.llm.rollup import TokenRollup, rank_counter, word_counter
 from midyear.llm.simhash import near_duplicates
 from midyear.llm.substrings import without_repeats
 from midyear.llm.texts import fold
+from midyear.llm.trie import prefix_trie
 from midyear.sources.shared import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -234,3 +237,132 @@ SELECT doc_id, size, source_size, target,
         + greatest(0, least(size, words % shard_size - start)) ELSE 0 END AS BIGINT) AS taken
 FROM lined
 """
+
+
+@query("op11_repeated_bytes")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return without_passages(table(spark, sf, "documents")).drop("kept", "removed")
+
+
+ORACLES["op11_repeated_bytes"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+spots AS (
+    SELECT r, i, sha256(array_slice(b, i + 1, i + 200)) AS win
+    FROM d, unnest(range(0, octet_length(b) - 199)) AS t(i) WHERE octet_length(b) >= 200),
+twice AS (SELECT win FROM spots GROUP BY win HAVING count(*) > 1),
+hits AS (SELECT r, i FROM spots WHERE win IN (SELECT win FROM twice)),
+marked AS (SELECT r, i, CASE WHEN i - lag(i) OVER w <= 200 THEN 0 ELSE 1 END AS new FROM hits WINDOW w AS (PARTITION BY r ORDER BY i)),
+numbered AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS run FROM marked),
+runs AS (SELECT r, run, min(i) AS a, max(i) + 200 AS z FROM numbered GROUP BY r, run),
+bounds AS (
+    SELECT r, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS low, a AS high FROM runs
+    UNION ALL SELECT r, max(z), (SELECT octet_length(b) FROM d WHERE d.r = runs.r) FROM runs GROUP BY r),
+kept AS (
+    SELECT bounds.r, string_agg(hex(array_slice(b, low + 1, high)), '' ORDER BY low) AS k
+    FROM bounds JOIN d USING (r) WHERE high > low GROUP BY bounds.r),
+gone AS (SELECT r, sum(z - a) AS n, count(*) AS m FROM runs GROUP BY r)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+    coalesce(m, 0) AS n_spans, CASE WHEN m IS NULL THEN sha256(b) ELSE sha256(unhex(coalesce(k, ''))) END AS kept_sha256
+FROM d LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
+"""
+
+
+@query("op12_conversation_trie")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie(table(spark, sf, "conversations")).drop("path", "parent")
+
+
+def _sql_crc32(text: str) -> str:
+    """crc32 of an ASCII text, bit by bit."""
+    return f"""xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split({text}, ''),
+        lambda c: CAST(ord(c) AS BIGINT))), lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)),
+        lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)))"""
+
+
+ORACLES["op12_conversation_trie"] = f"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+    SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST,
+        substr(sha256(strlen(role) || ':' || role || text), 1, 32)) AS turns FROM said GROUP BY conv_id),
+dealt AS (SELECT *, {_sql_crc32("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM own),
+built AS (
+    SELECT d.conv_id, list_concat(list_slice(coalesce(b.turns, []), 1, h), list_slice(d.turns, h + 1, len(d.turns))) AS turns
+    FROM dealt d LEFT JOIN own b ON b.conv_id = d.conv_id - d.conv_id % 5),
+prefixes AS (
+    SELECT conv_id, len(turns) AS n, p AS depth, list_slice(turns, 1, p) AS path
+    FROM built, unnest(range(0, len(turns) + 1)) AS t(p)),
+nodes AS (
+    SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '') AS ends,
+        CASE WHEN depth = 0 THEN 0 ELSE (count(*) - 1) * strlen(path[len(path)].text) END AS saved
+    FROM prefixes GROUP BY path, depth),
+children AS (SELECT path, depth, (SELECT count(*) FROM nodes c WHERE c.depth = a.depth + 1
+    AND list_slice(c.path, 1, a.depth) = a.path) AS n_children FROM nodes a),
+sums AS (
+    SELECT a.path, count(*) FILTER (n_children = 0) AS n_leaves, sum(b.saved) AS saved_tokens
+    FROM nodes a JOIN nodes b ON b.depth >= a.depth AND list_slice(b.path, 1, a.depth) = a.path
+    JOIN children c ON c.path = b.path GROUP BY a.path)
+SELECT a.conv_id, a.depth, p.conv_id AS parent_conv_id, a.n_convs, n_children, n_leaves,
+    CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(a.ends) AS ends_sha256
+FROM nodes a JOIN children c ON c.path = a.path JOIN sums s ON s.path = a.path
+LEFT JOIN nodes p ON p.depth = a.depth - 1 AND p.path = list_slice(a.path, 1, a.depth - 1)
+"""
+
+
+@query("op13_merkle_manifest")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    changed = (dealt_third(F.col("doc_id")), lower_ascii(F.col("text")))
+    return manifest(table(spark, sf, "documents"), tampered=changed)
+
+
+def _sql_leaf(text: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+ORACLES["op13_merkle_manifest"] = f"""
+WITH RECURSIVE rows AS (
+    SELECT row_number() OVER () AS r, doc_id, lang, {_sql_leaf('text')} AS leaf,
+        CASE WHEN {_sql_crc32("CAST(doc_id AS VARCHAR)")} % 3 = 0
+            THEN {_sql_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS other
+    FROM documents),
+leaves AS (
+    SELECT r, doc_id, leaf, other, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g,
+        row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS spot FROM rows),
+lower_nodes(g, level, spot, n, h) AS (
+    SELECT g, 0, spot, count(*) OVER (PARTITION BY g), leaf FROM leaves
+    UNION ALL
+    SELECT g, level + 1, spot // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY spot))
+    FROM lower_nodes WHERE n > 1 GROUP BY g, level, spot // 8, n),
+subroots AS (SELECT g, h FROM lower_nodes WHERE n = 1),
+upper_nodes(level, spot, n, h) AS (
+    SELECT 0, g, count(*) OVER (), h FROM subroots
+    UNION ALL
+    SELECT level + 1, spot // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY spot))
+    FROM upper_nodes WHERE n > 1 GROUP BY level, spot // 8, n),
+nodes AS (
+    SELECT g, level, spot, n, h FROM lower_nodes
+    UNION ALL SELECT NULL, level + 100, spot, n, h FROM upper_nodes),
+steps AS (
+    SELECT l.r, s.level, l.spot // CAST(8 ** s.level AS BIGINT) AS spot, l.g
+    FROM leaves l JOIN (SELECT DISTINCT g, level FROM nodes WHERE n > 1 AND level < 100) s ON s.g = l.g
+    UNION ALL
+    SELECT l.r, s.level, l.g // CAST(8 ** (s.level - 100) AS BIGINT), NULL
+    FROM leaves l, (SELECT DISTINCT level FROM nodes WHERE n > 1 AND level >= 100) s),
+proofs AS (
+    SELECT s.r, s.level, coalesce(string_agg(n.h, '' ORDER BY n.spot) FILTER (n.spot < s.spot), '') AS before,
+        coalesce(string_agg(n.h, '' ORDER BY n.spot) FILTER (n.spot > s.spot), '') AS after
+    FROM steps s JOIN nodes n ON n.level = s.level AND n.g IS NOT DISTINCT FROM s.g AND n.spot // 8 = s.spot // 8
+    GROUP BY s.r, s.level),
+lined AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY level) AS k FROM proofs),
+folds(r, k, h) AS (
+    SELECT r, 0, coalesce(other, leaf) FROM leaves
+    UNION ALL SELECT folds.r, folds.k + 1, sha256(before || h || after) FROM folds JOIN lined ON lined.r = folds.r AND lined.k = folds.k + 1),
+folded AS (SELECT r, arg_max(h, k) AS h FROM folds GROUP BY r),
+siblings AS (SELECT r, string_agg(before || after, '' ORDER BY level) AS p FROM proofs GROUP BY r),
+top AS (SELECT h FROM upper_nodes WHERE n = 1)
+SELECT doc_id, leaf, subroots.h AS subroot, top.h AS root, sha256(coalesce(p, '')) AS proof_sha256,
+    folded.h AS folded_root, folded.h = top.h AS verified
+FROM leaves JOIN subroots USING (g) JOIN folded USING (r) LEFT JOIN siblings USING (r), top
+"""

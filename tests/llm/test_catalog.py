@@ -50,7 +50,7 @@ def test_spark_has_the_same_shingle_hash(spark):
 
 def test_every_query_is_registered():
     names = {name.split("_")[0] for name in queries()}
-    assert {f"op{n}" for n in range(1, 11)} <= names and "pipeline" in queries()
+    assert {f"op{n}" for n in range(1, 14)} <= names and "pipeline" in queries()
     assert set(ORACLES) <= set(oracle_sql())
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality rules", "line dedup", "SimHash near-dedup", "benchmark decontamination",
