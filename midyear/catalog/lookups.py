@@ -10,6 +10,7 @@ from midyear.catalog.scalars import sql_ascii, sql_boundary, sql_case, sql_title
 from midyear.functions.dates import next_boundary
 from midyear.functions.recode import recode
 from midyear.operators import joins
+from midyear.operators.boundaries import next_from_table
 from midyear.operators.cohort import mid_years
 from midyear.operators.shape import map_columns, year_rows
 from midyear.operators.totals import group_count
@@ -146,6 +147,30 @@ def _next_boundary(spark, sf):
         "o_orderkey", next_boundary(F.col("o_orderdate").cast("date")).alias("mid_year"))
 
 
+# Irregular boundaries of a nation: the birthdays, so to say, of its suppliers; none for every sixth nation.
+_MARKS = """
+SELECT nullif(s_nationkey, 5) AS nation, date_add(DATE '1995-01-01', cast((s_suppkey * 7919) % 2600 AS INT)) AS boundary,
+  s_suppkey AS supplier FROM {supplier} WHERE s_nationkey % 6 <> 2"""
+# A third of the events belong to one nation.
+_DATED = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE nullif(c_nationkey, 5) END AS nation,
+  CASE WHEN o_orderkey % 50 = 1 THEN NULL ELSE cast(o_orderdate AS DATE) END AS event_date
+FROM {orders} JOIN {customer} ON o_custkey = c_custkey"""
+
+
+@query("next_from_table", f"""
+WITH e AS ({_DATED}), b AS (SELECT nation, CAST(boundary AS DATE) AS boundary, min(supplier) AS supplier
+  FROM ({_MARKS}) m GROUP BY ALL),
+  n AS (SELECT o_orderkey, min(b.boundary) AS boundary FROM e JOIN b
+    ON b.nation IS NOT DISTINCT FROM e.nation AND b.boundary > e.event_date GROUP BY o_orderkey)
+SELECT e.o_orderkey, e.nation, e.event_date, n.boundary, b.supplier FROM e
+LEFT JOIN n ON n.o_orderkey = e.o_orderkey
+LEFT JOIN b ON b.nation IS NOT DISTINCT FROM e.nation AND b.boundary = n.boundary""")
+def _next_from_table(spark, sf):
+    return next_from_table(derived(spark, sf, _DATED), derived(spark, sf, _MARKS), ["nation"],
+                           "event_date", "boundary", carry=["supplier"])
+
+
 @query("generate_years", """
 WITH y AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS y FROM orders)
 SELECT make_date(y, 7, 1) AS mid_year, CAST(e AS INTEGER) AS event_year
@@ -327,15 +352,18 @@ SELECT cast(o_orderkey AS STRING) AS codigo, o_orderstatus AS ano, cast(o_custke
   cast(year(o_orderdate) AS INT) AS y FROM {orders}"""
 
 
-def _write_year(rows, folder: str, year: int, file_format: str) -> None:
-    """One file ``births_<year>``: the single file of a Spark write, moved to its name."""
-    spark, path = rows.sparkSession, fresh_path(rows.sparkSession, "year")
-    rows.coalesce(1).write.format(file_format).option("header", True).save(path)
+def _write_years(rows, folder: str, file_format: str) -> None:
+    """Files ``births_<year>_<letters>``: the files of one partitioned write, moved to their names."""
+    spark, path = rows.sparkSession, fresh_path(rows.sparkSession, "years")
+    rows.write.format(file_format).option("header", True).partitionBy("y").save(path)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     files = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    part = next(f.getPath() for f in files.listStatus(hadoop(path)) if f.getPath().getName().startswith("part-"))
     files.mkdirs(hadoop(folder))
-    files.rename(part, hadoop(f"{folder}/births_{year}.{file_format}"))
+    for year in files.globStatus(hadoop(f"{path}/y=*")):
+        for i, part in enumerate(sorted(str(f.getPath()) for f in files.globStatus(hadoop(f"{year.getPath()}/part-*")))):
+            letters = str(i).translate(str.maketrans("0123456789", "abcdefghij"))  # the digits are the year
+            name = f"births_{year.getPath().getName()[2:]}_{letters}.{file_format}"
+            files.rename(hadoop(part), hadoop(f"{folder}/{name}"))
 
 
 @query("records_scan", f"""
@@ -343,22 +371,43 @@ SELECT CAST(y AS VARCHAR) AS file_year, format, codigo, ano, CASE WHEN y % 4 <>
 FROM ({_RECORDS}) r, (VALUES ('csv'), ('parquet')) f(format)""")
 def _records_scan(spark, sf):
     rows = derived(spark, sf, _RECORDS)
-    years = [r.y for r in rows.select("y").distinct().collect()]
     tables = []
     for file_format in ("csv", "parquet"):
         folder = fresh_path(spark, "records")
-        for year in years:
-            names = {"Código": "codigo", "año": "ano"} if year % 2 == 0 else {"ano": "ano", "codigo": "codigo"}
-            if year % 4:
-                names["SEXO"] = "sexo"
-            one = rows.filter(F.col("y") == year)
-            _write_year(one.select(*[F.col(c).alias(n) for n, c in names.items()]), folder, year, file_format)
+        for years, names in (
+            (F.col("y") % 4 == 0, {"Código": "codigo", "año": "ano"}),
+            (F.col("y") % 4 == 2, {"Código": "codigo", "año": "ano", "SEXO": "sexo"}),
+            (F.col("y") % 2 == 1, {"ano": "ano", "codigo": "codigo", "SEXO": "sexo"}),
+        ):
+            kind = rows.filter(years).repartition("y", F.col("codigo").try_cast("bigint") % 3)
+            _write_years(kind.select("y", *[F.col(c).alias(n) for n, c in names.items()]), folder, file_format)
         options = {"header": "true"} if file_format == "csv" else {}
         read = scans.read_records(spark, folder, "births", file_format, **options)
         tables.append(read.withColumn("format", F.lit(file_format)))
     return tables[0].unionByName(tables[1])
 
 
+@query("file_schemas", f"""
+SELECT CASE WHEN y % 2 = 1 THEN 3 WHEN y % 4 = 2 THEN 3 ELSE 2 END AS n_columns, y % 2 = 1 AS plain_names,
+  count(DISTINCT y) AS n_years FROM ({_RECORDS}) r GROUP BY ALL""")
+def _file_schemas(spark, sf):
+    rows, folder = derived(spark, sf, _RECORDS), fresh_path(spark, "records")
+    for years, names in (
+        (F.col("y") % 4 == 0, ["Código", "año"]),
+        (F.col("y") % 4 == 2, ["Código", "año", "SEXO"]),
+        (F.col("y") % 2 == 1, ["ano", "codigo", "SEXO"]),
+    ):
+        kind = rows.filter(years).repartition("y", F.col("codigo").try_cast("bigint") % 3)
+        taken = {"Código": "codigo", "año": "ano", "SEXO": "sexo"}
+        _write_years(kind.select("y", *[F.col(taken.get(n, n)).alias(n) for n in names]), folder, "parquet")
+    found = scans.file_schemas(spark, folder, "births")
+    names = F.transform(F.from_json("schema", "array<array<string>>"), lambda x: x[0])
+    year = F.explode(F.array_distinct(F.transform("files", lambda f: F.regexp_extract(f, "births_([0-9]+)_", 1))))
+    return found.select(F.size(names).alias("n_columns"), F.array_contains(names, "ano").alias("plain_names"),
+                        year.alias("year")).groupBy("n_columns", "plain_names").agg(
+        F.count(F.lit(1)).alias("n_years"))
+
+
 @query("codebook", """
 SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS file_year, v.variable, v.code, v.label
 FROM orders, LATERAL (VALUES ('priority', left(o_orderpriority, 1), substr(o_orderpriority, 3)),

@@ -119,17 +119,24 @@ def variants(df: DataFrame, labelled: Mapping[str, Column], label: str, value: s
 # --- value domains -----------------------------------------------------------
 
 
+def row_salt(df: DataFrame, salts: int) -> Column:
+    """A number below ``salts`` from a row's columns and partition; the same on every run of a task."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *columns), F.lit(salts)).cast("int")
+
+
 def expand_over(df: DataFrame, source: DataFrame, col: str) -> DataFrame:
     """Each row once per distinct value of ``source[col]``, added as column ``col``.
 
-    An equi-join on a salt: rows are dealt to salts by a hash of their columns, the distinct
-    values appear once per salt.  The salts grow with the shuffle partitions, so the result is
-    built by all tasks; a small domain is broadcast by adaptive execution.
+    An equi-join on a salt: rows are dealt to salts by a hash of their columns and partition, the
+    distinct values appear once per salt.  Repeated rows share a salt only within a partition, so a
+    salt holds no more of them than one task did.  The salts grow with the shuffle partitions, so the
+    result is built by all tasks; a small domain is broadcast by adaptive execution.
     """
     salts = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     domain = source.select(F.col(col).alias("__value")).distinct().withColumn("__salt", every)
-    dealt = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+    dealt = df.withColumn("__salt", row_salt(df, salts))
     return dealt.join(domain, "__salt").select(*df.columns, F.col("__value").alias(col))
 
 

@@ -6,9 +6,12 @@ A workbook is read as a *cell table*: one row per cell of the used range, with
 
 from __future__ import annotations
 
+import csv
+import json
 from collections.abc import Mapping, Sequence
-from urllib.parse import unquote
+from urllib.parse import quote
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,26 +43,103 @@ def read_cells(spark: SparkSession, path: str, file_format: str = "parquet",
     return spark.read.schema(schema).format(file_format).options(**options).load(path)
 
 
+#: Bytes read at once from the front of a delimited file.
+_FRONT = 1 << 16
+#: Schemes of paths that tasks open themselves, to read no more than the head of a file.
+_OPENED = ("file", "s3", "gs")
+
+
+def _parquet_head(file, options: Mapping[str, str]) -> list:
+    import pyarrow.parquet as parquet
+
+    return [[field.name, str(field.type)] for field in parquet.read_schema(file)]
+
+
+def _orc_head(file, options: Mapping[str, str]) -> list:
+    from pyarrow import orc
+
+    return [[field.name, str(field.type)] for field in orc.ORCFile(file).schema]
+
+
+def _csv_head(file, options: Mapping[str, str]) -> list:
+    """The names in the first line that is not blank, or without a header their number."""
+    held = b""
+    while not held.strip() or b"\n" not in held.lstrip():
+        more = file.read(_FRONT)
+        if not more:
+            break
+        held += more
+    line = held.decode(options.get("encoding", "utf-8"), "replace").lstrip("\ufeff\r\n").splitlines()[:1]
+    names = next(csv.reader(line, delimiter=options.get("sep", options.get("delimiter", ",")),
+                            quotechar=options.get("quote", '"')), [])
+    return names if options.get("header", "false").lower() == "true" else [len(names)]
+
+
+_HEADS = {"parquet": _parquet_head, "orc": _orc_head, "csv": _csv_head}
+
+
+def file_schemas(spark: SparkSession, path: str, pattern: str | None = None, file_format: str = "parquet",
+                 **options: str) -> DataFrame:
+    """``schema, n_files, files``: the files below ``path`` by what their heads say of their columns.
+
+    Tasks read footers and first lines, so the driver sees one row a schema, whatever the number of
+    files.  Tasks open local and object-store paths themselves; files of other stores reach them through
+    Spark, whole.  Formats that name the columns of every row (JSON) are one schema.
+    """
+    listed = spark.read.format("binaryFile")
+    if pattern is not None:
+        listed = listed.option("pathGlobFilter", f"*{pattern}*")
+    listed = listed.load(path)
+    head = _HEADS.get(file_format)
+    if head is None:
+        told = listed.select("path", F.lit(file_format).alias("schema"))
+    else:
+        scheme = F.regexp_extract("path", "^([a-z0-9]+):", 1)
+        opened = listed.select("path", F.lit(None).cast("binary").alias("content")).filter(scheme.isin(*_OPENED))
+        carried = listed.select("path", "content").filter(~scheme.isin(*_OPENED))
+
+        def heads(frames):
+            from pyarrow import BufferReader, fs
+
+            for frame in frames:
+                schemas = []
+                for name, content in zip(frame["path"], frame["content"]):
+                    if content is not None:
+                        schemas.append(json.dumps(head(BufferReader(content), options)))
+                        continue
+                    store, _, rest = name.partition(":")
+                    if store == "file":
+                        files, rest = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+                    else:
+                        files, rest = fs.FileSystem.from_uri(f"{store}:{quote(rest)}")
+                    stream = files.open_input_stream if head is _csv_head else files.open_input_file
+                    with stream(rest) as file:
+                        schemas.append(json.dumps(head(file, options)))
+                yield pd.DataFrame({"path": frame["path"], "schema": schemas})
+
+        told = opened.unionByName(carried).mapInPandas(heads, "path string, schema string")
+    return told.groupBy("schema").agg(
+        F.count(F.lit(1)).alias("n_files"), F.sort_array(F.collect_list("path")).alias("files"))
+
+
 def read_records(
     spark: SparkSession, path: str, pattern: str, file_format: str = "parquet",
     **options: str,
 ) -> DataFrame:
     """Coded records of all years as strings, tagged with ``file_year``.
 
-    Columns may differ by year in order, number, type and spelling, in any format: the head of
-    each file is read first, files with the same columns are one scan, names are normalised per
-    scan, and the scans are joined by name.
+    Columns may differ by year in order, number, type and spelling, in any format: one job reads the
+    heads of all files, files with the same columns are one scan, names are normalised per scan, and
+    the scans are joined by name.
     """
-    scans: dict[tuple, list[str]] = {}
     reader = lambda: spark.read.format(file_format).options(**options)
-    for file in scan_files(spark, path, pattern, file_format, **options).inputFiles():
-        file = unquote(file)
-        schema = reader().load(file).schema
-        scans.setdefault(tuple((f.name, f.dataType.simpleString()) for f in schema), []).append(file)
-    parts = [
-        as_records(reader().load(files).withColumn("file_name", F.col("_metadata.file_name")), "file_name")
-        for files in scans.values()
-    ]
+    found = file_schemas(spark, path, pattern, file_format, **options).collect()  # one row a schema
+    if not found:
+        raise FileNotFoundError(f"no file named *{pattern}* below {path}")
+    parts = []
+    for files in sorted(row.files for row in found):
+        rows = reader().schema(reader().load(files[0]).schema).load(files)
+        parts.append(as_records(rows.withColumn("file_name", F.col("_metadata.file_name")), "file_name"))
     return union_by_name(*parts).drop("file_name")
 
 
