@@ -1,7 +1,7 @@
 """The two batch jobs, run as ``python -m midyear.jobs``.
 
 ``population``  three cell tables in, population snapshot out
-``under-five``  birth and death records, places and that snapshot in, CSV report out
+``under-five``  birth and death records, places and that snapshot in, one ordered CSV report out
 """
 
 from __future__ import annotations
@@ -20,15 +20,15 @@ from midyear.sources.shared import run_folder
 
 def population_job(spark: SparkSession, cells_2000: str, cells_2011: str, cells_2016: str,
                    out: str) -> None:
-    """Build the population table of all years and write its snapshot."""
+    """Build the population table of all years and put them into the snapshot, old years of that name replaced."""
     books = [scans.read_cells(spark, path) for path in (cells_2000, cells_2011, cells_2016)]
-    snapshots.write_snapshot(population_table(*books), out)
+    snapshots.write_years(population_table(*books), out)
 
 
 def under_five_job(spark: SparkSession, records: str, places: str, snapshot: str, out: str,
                    record_format: str = "parquet", code: str = "cod_muni",
                    name: str = "municipio") -> None:
-    """Write the under-five report.
+    """Write the under-five report as one ordered CSV file.
 
     ``records`` is a folder whose file names contain ``births`` or ``deaths`` and the year; the
     places have the format of the records.
@@ -38,7 +38,7 @@ def under_five_job(spark: SparkSession, records: str, places: str, snapshot: str
     deaths = scans.read_records(spark, records, "deaths", record_format, **options)
     lookup = place_names(spark.read.format(record_format).options(**options).load(places), code, name)
     report = vital_table(births, deaths, lookup, snapshots.read_snapshot(spark, snapshot))
-    snapshots.write_csv(report_order(report), out)
+    snapshots.write_ordered_csv(report_order(report), out)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

@@ -233,7 +233,7 @@ def uniform_violations(shares: DataFrame, months: Mapping[str, int] = INFANT_MON
 
     Only excess counts; a share below the uniform one passes.
     """
-    uniform = recode(F.col("age_group"), months, default=F.lit(None).cast("int")) / F.lit(12.0)
+    uniform = _uniform(months)
     return (
         shares.withColumn("uniform_proportion", uniform)
         .withColumn("deviation", F.col("proportion") - F.col("uniform_proportion"))
@@ -241,3 +241,13 @@ def uniform_violations(shares: DataFrame, months: Mapping[str, int] = INFANT_MON
     )
 
 
+def exceeds_uniform(months: Mapping[str, int] = INFANT_MONTHS, tolerance: float = 0.01) -> Column:
+    """Whether a row's mean share is one of ``uniform_violations``."""
+    deviation = F.col("proportion") - _uniform(months)
+    return (deviation > tolerance) & ~F.isnan(deviation)
+
+
+def _uniform(months: Mapping[str, int]) -> Column:
+    return recode(F.col("age_group"), months, default=F.lit(None).cast("int")) / F.lit(12.0)
+
+

@@ -8,20 +8,35 @@ adaptive execution) and otherwise sort-merges, splitting skewed partitions.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from midyear.functions.recode import recode
+from midyear.operators.shape import row_salt
+from midyear.sources.shared import cut_lineage
 
 
 def join_on(left: DataFrame, right: DataFrame, on: Sequence[str] | Mapping[str, str],
-            how: str = "left") -> DataFrame:
+            how: str = "left", null_salts: int = 1) -> DataFrame:
     """Null-safe equi-join; ``on`` lists shared columns or maps left to right names.
 
-    The key columns of the right side are dropped from the result.
+    The key columns of the right side are dropped from the result.  ``null_salts`` above 1 deals left rows
+    with a NULL among their keys, which would all meet in one task, over that many salts, and repeats the
+    right rows of such keys for each: for right sides with few of them (one a key, say).
     """
     pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
+    if null_salts > 1:
+        if how not in ("left", "inner", "left_semi", "left_anti"):
+            raise ValueError(f"a {how} join would repeat right rows")
+        some_null = lambda names: reduce(or_, [F.col(f"`{c}`").isNull() for c in names])
+        salt = F.when(some_null(pairs), row_salt(left, null_salts)).otherwise(0)
+        every = F.when(some_null(pairs.values()), F.sequence(F.lit(0), F.lit(null_salts - 1))).otherwise(F.array(F.lit(0)))
+        out = join_on(left.withColumn("__salt", salt), right.withColumn("__salt_r", F.explode(every)),
+                      pairs | {"__salt": "__salt_r"}, how)
+        return out.drop("__salt")
     renamed = {r: f"__right_{i}" for i, r in enumerate(pairs.values())}
     keyed = right.toDF(*[renamed.get(c, c) for c in right.columns])
     condition = F.expr(" AND ".join(f"`{a}` <=> `{renamed[b]}`" for a, b in pairs.items()))
@@ -91,6 +106,18 @@ def unknown_names(df: DataFrame, reference: DataFrame, col: str,
     return join_on(tallied, reference.select(col).distinct(), [col], "left_anti")
 
 
+def written_if_none(df: DataFrame, violation: Column, message: str) -> DataFrame:
+    """``df`` written once to the shared folder; raises when ``violation`` held in any row.
+
+    The rows are counted as they are written, so the gate scans nothing by itself.
+    """
+    watch = Observation()
+    out = cut_lineage(df.observe(watch, F.count_if(F.coalesce(violation, F.lit(False))).alias("n")))
+    if watch.get["n"] > 0:
+        raise ValueError(message)
+    return out
+
+
 def stop_if_any(violations: DataFrame, message: str) -> None:
     """Raise when a violations table has rows (runs a job that stops at the first row)."""
     if violations.limit(1).count() > 0:

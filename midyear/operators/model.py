@@ -8,18 +8,19 @@ large part of the rows costs no more than its share of partial sums.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from midyear.functions.numbers import share, strict_sum
+from midyear.functions.numbers import share, strict_sum, sum_of
 from midyear.operators.joins import join_on
 from midyear.operators.shape import expand_over
 from midyear.operators.totals import group_sum
-from midyear.sources.shared import cut_lineage
+from midyear.sources.shared import cut_lineage, fresh_path
 
 MAX_ROUNDS = 25
 ROUNDS_PER_JOB = 5
@@ -45,7 +46,7 @@ def model_cells(population: DataFrame, keys: Sequence[str], year: str = "year",
     that total 0, take no part in the fit.
     """
     cells = population.groupBy(*keys, F.col(year).alias("year"), F.col(age).alias("age")).agg(
-        strict_sum(F.col(value)).alias("part"), F.count(F.lit(1)).alias("n")
+        strict_sum(F.col(value), sum_of(population, value)).alias("part"), F.count(F.lit(1)).alias("n")
     )
     totals = group_sum(cells, [*keys, "year"], "part", "total").filter(F.col("total") > 0)
     rows = join_on(cells, totals, [*keys, "year"], "inner")
@@ -61,28 +62,24 @@ def model_cells(population: DataFrame, keys: Sequence[str], year: str = "year",
 # Centres of the predictors and which of them can be estimated, per key.  Years and ages
 # are whole numbers, so the rank of the design is found exactly: the sums are decimals.
 DESIGN = """
-SELECT k, year_mean, age_mean, vy > 0 AS has_year,
+SELECT __id, year_mean, age_mean, vy > 0 AS has_year,
   va > 0 AND NOT (vy > 0 AND cya * cya = vy * va) AS has_age,
   CAST(NULL AS DOUBLE) AS c0, CAST(NULL AS DOUBLE) AS c1, CAST(NULL AS DOUBLE) AS c2,
   CAST(NULL AS DOUBLE) AS dev
-FROM (SELECT k, avg(year) AS year_mean, avg(age) AS age_mean,
+FROM (SELECT __id, avg(year) AS year_mean, avg(age) AS age_mean,
   CAST(count(*) * sum(y * y) - sum(y) * sum(y) AS DOUBLE) AS vy,
   CAST(count(*) * sum(a * a) - sum(a) * sum(a) AS DOUBLE) AS va,
   CAST(count(*) * sum(y * a) - sum(y) * sum(a) AS DOUBLE) AS cya
 FROM (SELECT *, CAST(year AS DECIMAL(10, 0)) AS y, CAST(age AS DECIMAL(10, 0)) AS a FROM {cells})
-GROUP BY k)
+GROUP BY __id)
 """
 
 
-def _with_keys(sql: str, keys: Sequence[str]) -> str:
-    """SQL with ``k`` replaced by the key columns."""
-    return re.sub(r"\bk\b", ", ".join(f"`{k}`" for k in keys), sql)
-
-
-# One round, innermost step first.  ``k`` stands for the keys, ``old_*`` are the last
-# coefficients, NULL before the first round, which starts from the observed shares.
+# One round, innermost step first.  ``old_*`` are the last coefficients, NULL before the first round,
+# which starts from the observed shares.  Cells and state have one partitioning, by ``__id``: a round
+# exchanges neither.
 ROUND = """
-SELECT k, year_mean, age_mean, has_year, has_age, c0, c1, c2, dev,
+SELECT __id, year_mean, age_mean, has_year, has_age, c0, c1, c2, dev,
   abs(dev - old_dev) / (0.1D + abs(dev)) AS dev_moved,
   greatest(abs(c0 - old_c0) / (1 + abs(c0)), abs(c1 - old_c1) / (1 + abs(c1)),
            abs(c2 - old_c2) / (1 + abs(c2))) AS moved
@@ -94,7 +91,7 @@ FROM (SELECT *,
        WHEN has_age THEN caz / va ELSE 0D END AS c2
 FROM (SELECT *, syy - sy * sy / s AS vy, saa - sa * sa / s AS va, sya - sy * sa / s AS cya,
   syz - sy * sz / s AS cyz, saz - sa * sz / s AS caz
-FROM (SELECT k, year_mean, age_mean, has_year, has_age, old_c0, old_c1, old_c2, old_dev,
+FROM (SELECT __id, year_mean, age_mean, has_year, has_age, old_c0, old_c1, old_c2, old_dev,
   sum(2 * w * (CASE WHEN p > 0 THEN p * ln(p / mu) ELSE 0D END
     + CASE WHEN p < 1 THEN (1 - p) * ln((1 - p) / (1 - mu)) ELSE 0D END)) AS dev,
   sum(u) AS s, sum(u * y) AS sy, sum(u * a) AS sa, sum(u * z) AS sz,
@@ -106,23 +103,38 @@ FROM (SELECT *, coalesce(old_c0 + old_c1 * y + old_c2 * a, ln(start / (1 - start
 FROM (SELECT cells.*, year_mean, age_mean, has_year, has_age,
   c0 AS old_c0, c1 AS old_c1, c2 AS old_c2, dev AS old_dev, year - year_mean AS y, age - age_mean AS a,
   (w * p + 0.5D) / (w + 1) AS start
-FROM {cells} AS cells JOIN {state} AS state ON same_key))))
-GROUP BY k, year_mean, age_mean, has_year, has_age, old_c0, old_c1, old_c2, old_dev))))
+FROM {cells} AS cells JOIN {state} AS state ON cells.__id = state.__id))))
+GROUP BY __id, year_mean, age_mean, has_year, has_age, old_c0, old_c1, old_c2, old_dev))))
 """
 
 
-def _round_sql(keys: Sequence[str]) -> str:
-    same = " AND ".join(f"cells.`{k}` <=> state.`{k}`" for k in keys)
-    sql = _with_keys(ROUND, keys)
-    return sql.replace("same_key", same).replace("bound", f"{FIT_BOUND}D")
+ROUND = ROUND.replace("bound", f"{FIT_BOUND}D")
 
 
-def _round(cells: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _round(cells: DataFrame, state: DataFrame) -> DataFrame:
     """One reweighted least-squares round: new coefficients per key and their change.
 
     ``state`` holds the design of each key and its last coefficients.
     """
-    return cells.sparkSession.sql(_round_sql(keys), cells=cells, state=state)
+    return cells.sparkSession.sql(ROUND, cells=cells, state=state)
+
+
+@contextmanager
+def _by_bucket(cells: DataFrame, keys: Sequence[str]) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """The cells bucketed by the number of their key, and the keys with their numbers.
+
+    One file a bucket, in order of year and age, so that all rounds add a key's cells up in one order.
+    """
+    spark, n = cells.sparkSession, int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = cut_lineage(cells.select(*keys).distinct().withColumn("__id", F.monotonically_increasing_id()))
+    name, order = f"midyear_cells_{uuid.uuid4().hex}", ["__id", "year", "age"]
+    dealt = join_on(cells, numbered, keys, "inner").select("__id", "year", "age", "p", "w").repartition(n, "__id")
+    dealt.sortWithinPartitions(*order).write.bucketBy(n, "__id").sortBy(*order).option(
+        "path", fresh_path(spark, "cells")).saveAsTable(name)
+    try:
+        yield spark.table(name), numbered
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 def fit_grouped_logit(
@@ -136,30 +148,31 @@ def fit_grouped_logit(
 ) -> DataFrame:
     """``(keys, b0, b_year, b_age, converged)`` of one model per key.
 
-    Runs jobs: the cells are written once to the shared folder, then the coefficients are
-    after every ``ROUNDS_PER_JOB`` rounds.  Keys whose coefficients have stopped moving leave the
+    Runs jobs: the cells are written to the shared folder, then once more in buckets by key, and the
+    coefficients after every ``ROUNDS_PER_JOB`` rounds; rounds exchange no rows but those coefficients.  Keys whose coefficients have stopped moving leave the
     rounds; those whose deviance still moves after ``max_rounds`` are marked, and ``with_model``
     refuses them.  A predictor that is constant, or that repeats an earlier one, has a NULL coefficient.
     Years and ages are whole numbers.
     """
-    clash = {"year", "age", "p", "w", "y", "a", "z", "u", "s", "eta", "mu", "start"} & set(keys)
+    clash = {"year", "age", "p", "w", "__id"} & set(keys)
     if clash:
         raise ValueError(f"rename key columns {sorted(clash)}: the fit uses these names")
     cells = cut_lineage(model_cells(population, keys, year, age, value))
-    state = cells.sparkSession.sql(_with_keys(DESIGN, keys), cells=cells)
-    moving, settled = F.coalesce(F.col("moved"), F.lit(1.0)) > tolerance, []
-    for first in range(0, max_rounds, ROUNDS_PER_JOB):
-        for _ in range(first, min(first + ROUNDS_PER_JOB, max_rounds)):
-            state = _round(cells, state, keys)
-        state = cut_lineage(state)
-        settled.append(state.filter(~moving).withColumn("converged", F.lit(True)))
-        state = state.filter(moving)
-        if state.limit(1).count() == 0:
-            break
+    with _by_bucket(cells, keys) as (bucketed, numbered):
+        state = cells.sparkSession.sql(DESIGN, cells=bucketed)
+        moving, settled = F.coalesce(F.col("moved"), F.lit(1.0)) > tolerance, []
+        for first in range(0, max_rounds, ROUNDS_PER_JOB):
+            for _ in range(first, min(first + ROUNDS_PER_JOB, max_rounds)):
+                state = _round(bucketed, state)
+            state = cut_lineage(state)
+            settled.append(state.filter(~moving).withColumn("converged", F.lit(True)))
+            state = state.filter(moving)
+            if state.limit(1).count() == 0:
+                break
     # coefficients run away where shares of 0 and 1 are parted; the deviance comes to rest there
     rest = F.coalesce(F.col("dev_moved") < DEVIANCE_TOLERANCE, F.lit(False))
     every = reduce(DataFrame.union, settled, state.withColumn("converged", rest))
-    return every.select(
+    return numbered.join(every, "__id").select(
         *keys,
         (F.col("c0") - F.col("c1") * F.col("year_mean") - F.col("c2") * F.col("age_mean"))
         .alias("b0"),

@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from midyear.functions.numbers import share, strict_sum
+from midyear.functions.numbers import share, strict_sum, sum_of
 from midyear.operators.joins import join_on
 
 
 def group_sum(df: DataFrame, keys: Sequence, value: str, into: str | None = None) -> DataFrame:
-    """Grouped sum that is NULL when any value of the group is NULL."""
-    return df.groupBy(*keys).agg(strict_sum(F.col(value)).alias(into or value))
+    """Grouped sum that is NULL when any value of the group is NULL; sums of doubles do not depend on the
+    order of rows."""
+    return df.groupBy(*keys).agg(strict_sum(F.col(value), sum_of(df, value)).alias(into or value))
 
 
 def group_count(df: DataFrame, keys: Sequence, into: str = "n",
@@ -24,8 +25,10 @@ def group_count(df: DataFrame, keys: Sequence, into: str = "n",
 
 
 def group_mean(df: DataFrame, keys: Sequence, value: str, into: str | None = None) -> DataFrame:
-    """Unweighted mean of the rows present; one NaN makes the mean NaN."""
-    mean = F.when(F.count(F.col(value)) == F.count(F.lit(1)), F.avg(value))
+    """Unweighted mean of the rows present; one NaN makes the mean NaN.  The order of rows does not matter."""
+    whole = F.avg(value) if df.schema[value].dataType.typeName() not in ("double", "float") else (
+        sum_of(df, value) / F.count(F.col(value)))
+    mean = F.when(F.count(F.col(value)) == F.count(F.lit(1)), whole)
     return df.groupBy(*keys).agg(mean.alias(into or value))
 
 

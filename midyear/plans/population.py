@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from midyear.functions.recode import recode
 from midyear.functions.text import standard_name, trim_spaces
 from midyear.operators.joins import (
-    override_pairs, override_within, stop_if_any, unknown_names,
+    join_on, override_pairs, override_within, stop_if_any, unknown_names, written_if_none,
 )
 from midyear.operators.model import disaggregate, fit_grouped_logit
 from midyear.operators.shape import derive, map_columns, select_like
@@ -18,6 +18,7 @@ from midyear.plans.layouts import layout_2000, layout_2011, layout_2016
 from midyear.sources.shared import cut_lineage
 
 MODEL_KEYS = ["department", "municipality", "sex"]
+UNKNOWN_NAMES = "projected place names are missing from the single-age table"
 
 # Spelling of departments and places in the single-age tables.
 DEPARTMENT_NAMES = {"Huehetenango": "Huehuetenango", " Jalapa": "Jalapa"}
@@ -92,13 +93,16 @@ def check_names(projected: DataFrame, known: DataFrame) -> None:
     """Stop when a projected place never occurs in the single-age table (runs a job)."""
     stop_if_any(
         unknown_names(projected, known, "municipality", ["department", "municipality"]),
-        "projected place names are missing from the single-age table",
+        UNKNOWN_NAMES,
     )
 
 
-def project_ages(single_ages: DataFrame, projected: DataFrame) -> DataFrame:
-    """Split projected totals of men and women into the single ages of the past years."""
-    coefs = fit_grouped_logit(single_ages, MODEL_KEYS)
+def project_ages(single_ages: DataFrame, projected: DataFrame, coefs: DataFrame | None = None) -> DataFrame:
+    """Split projected totals of men and women into the single ages of the past years.
+
+    ``coefs`` are the models of the places, fitted here where there are none.
+    """
+    coefs = fit_grouped_logit(single_ages, MODEL_KEYS) if coefs is None else coefs
     totals = projected.filter(
         F.col("sex").isin("male", "female") & (F.col("type") == "total")
     )
@@ -112,12 +116,16 @@ def population_table(cells_2000: DataFrame, cells_2011: DataFrame,
     """Long population table of all years from three cell tables.
 
     The single-age table and the projected totals are written once to the shared folder, as
-    the check, the fit and the result all read them.  Runs the jobs of the name check and of the model fit;
-    ``options_2011`` go to ``layout_2011``.
+    the fit and the result read them.  The name check counts places without a model as the projected
+    totals are written: the models, one row a place and sex, name every place that the fit could use.
+    Runs the jobs of the model fit; ``options_2011`` go to ``layout_2011``.
     """
     past = layout_2000(cells_2000).unionByName(layout_2011(cells_2011, **options_2011))
     single_ages = cut_lineage(harmonise(past))
-    projected = cut_lineage(standardise(layout_2016(cells_2016)))
+    coefs = cut_lineage(fit_grouped_logit(single_ages, MODEL_KEYS))
+    projected, unknown = standardise(layout_2016(cells_2016)), F.lit(False)
     if check:
-        check_names(projected, single_ages)
-    return single_ages.unionByName(project_ages(single_ages, projected))
+        names = coefs.select(F.col("municipality"), F.lit(True).alias("__known")).distinct()
+        projected, unknown = join_on(projected, names, ["municipality"]), F.col("__known").isNull()
+    projected = written_if_none(projected, unknown, UNKNOWN_NAMES).drop("__known")
+    return single_ages.unionByName(project_ages(single_ages, projected, coefs))

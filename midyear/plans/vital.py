@@ -11,11 +11,11 @@ from midyear.functions.recode import ordinal, recode
 from midyear.functions.text import title_case, to_ascii
 from midyear.operators.bands import AGE_GROUPS, band_rollup, split_age
 from midyear.operators.cohort import (
-    DEPARTMENTS, FIRST_DATE, PLACE_KEYS, births_at, daily_births, deaths_at, mean_share,
+    DEPARTMENTS, FIRST_DATE, PLACE_KEYS, births_at, daily_births, deaths_at, exceeds_uniform, mean_share,
     mid_years, survivor_share, uniform_violations,
 )
 from midyear.operators.events import decode_births, infant_deaths
-from midyear.operators.joins import stop_if_any
+from midyear.operators.joins import stop_if_any, written_if_none
 from midyear.sources.scans import place_lookup
 from midyear.sources.shared import cut_lineage
 
@@ -45,6 +45,7 @@ NAMES_BY_CODE = {
 # Years and ages of the report.
 FIRST_YEAR, LAST_YEAR = 2010, 2017
 FIRST_AGE, LAST_AGE = 0, 4
+NOT_UNIFORM = "shares deviate from the uniform assumption"
 
 
 def place_names(df: DataFrame, code: str, name: str,
@@ -80,7 +81,7 @@ def infant_shares(
 
 def check_uniform(shares: DataFrame) -> None:
     """Stop when a mean share lies too far above the uniform one (runs a job)."""
-    stop_if_any(uniform_violations(shares), "shares deviate from the uniform assumption")
+    stop_if_any(uniform_violations(shares), NOT_UNIFORM)
 
 
 def under_five(
@@ -112,13 +113,11 @@ def vital_table(
 ) -> DataFrame:
     """Under-five report from raw records and the population table.
 
-    The mean shares are written to the shared folder, as the check and the report read them.
+    The mean shares are written to the shared folder; the check counts as they are written.
     """
-    shares = cut_lineage(mean_share(
-        infant_shares(raw_births, raw_deaths, places, departments, first_date)
-    ))
-    if check:
-        check_uniform(shares)
+    shares = mean_share(infant_shares(raw_births, raw_deaths, places, departments, first_date))
+    violation = exceeds_uniform() if check else F.lit(False)
+    shares = written_if_none(shares, violation, NOT_UNIFORM)
     return under_five(population, shares, departments, years)
 
 
