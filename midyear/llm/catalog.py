@@ -90,7 +90,7 @@ FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 
 @query("op1_simhash")
 def op1(spark: SparkSession, sf: str) -> DataFrame:
-    return near_duplicates(table(spark, sf, "documents"))
+    return near_duplicates(table(spark, sf, "documents")).drop("root")
 
 
 @query("op9_repeated_passages")
@@ -186,9 +186,15 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     rollup = TokenRollup(spark, fresh_path(spark, "token-rollup"), {
         "words-1": word_counter, "byte_bpe_multi_50k-1": rank_counter("byte_bpe_multi_50k")})
-    load = table(spark, sf, "documents").select(F.lit("insert").alias("kind"), "doc_id", "text", "source", "lang")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source", "lang")
+    change = lambda kind, rows: rows.select(F.lit(kind).alias("kind"), "doc_id", "text", "source", "lang")
+    load = change("insert", docs)
     rollup.commit("load", load)
     rollup.commit("load", load)  # committed already: counts nothing twice
+    # every fifth document gets its text twice over, every seventh of the others goes
+    fifth, seventh = fold(F.col("doc_id"), 5) == 1, fold(F.col("doc_id"), 7) == 3
+    revised = docs.filter(fifth).withColumn("text", F.concat_ws("\n", "text", "text"))
+    rollup.commit("edit", change("revise", revised).union(change("delete", docs.filter(~fifth & seventh))))
     return rollup.totals()
 
 

@@ -92,11 +92,12 @@ def mix_sources(
     block_words: int = 50,
     shard_words: int = 250_000,
     seed: int = 7,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` and ``source, shard, quota`` per document."""
+    """``doc_id, size, source_size, target, taken`` and ``source, shard, quota`` per document, and ``carry``."""
     sizes = cut_lineage(docs.select(
         "doc_id", "source", word_count(F.col("text")).alias("size"),
-        _seeded(F.col("doc_id"), seed).alias("place"),
+        _seeded(F.col("doc_id"), seed).alias("place"), *carry,
     ))
     targets = source_targets(sizes, weights, share, most)
     targets = targets.withColumn("blocks", F.round(
@@ -125,5 +126,5 @@ def mix_sources(
     return rows.select(
         "doc_id", "size", "source_size", "target",
         (F.col("passes") * F.col("size") + part).cast("long").alias("taken"),
-        "source", "shard", "quota",
+        "source", "shard", "quota", *carry,
     )

@@ -9,7 +9,8 @@ batch again, after a failure or by mistake, changes nothing.  Batches are commit
 Changes are rows ``kind, doc_id, text, source, lang``: ``insert`` adds a document, ``delete`` takes all
 documents with that id away, ``revise`` does both; deletes and revisions see the state before
 their batch.  Null texts have 0 tokens; null sources, languages and ids are values like others;
-repeated inserts count each.  A delete of an unknown id changes nothing.
+repeated inserts and repeated revisions in one batch count each.  A delete of an unknown id changes
+nothing; any other kind of change, or none, fails its batch.
 """
 
 from __future__ import annotations
@@ -94,6 +95,9 @@ class TokenRollup:
             raise ValueError(f"not a batch id: {batch!r}")
         if self.is_committed(batch):
             return False
+        known = F.col("kind").isin("insert", "delete", "revise")
+        failed = F.raise_error(F.concat(F.lit("no such kind of change: "), F.coalesce("kind", F.lit("NULL")))).cast("string")
+        changes = changes.withColumn("kind", F.when(known, F.col("kind")).otherwise(failed))
         come = token_counts(
             changes.filter(F.col("kind").isin("insert", "revise")), self.versions, ("doc_id", "source", "lang"))
         signed = come.select(*STATE, F.lit(1).cast("long").alias("sign"))

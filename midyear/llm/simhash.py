@@ -83,7 +83,11 @@ def near_duplicates(
     shard_points: int = 8192,
     sample: int = 32_768,
 ) -> DataFrame:
-    """Columns ``carry`` with ``fingerprint`` (16 hex digits) and ``component_id``."""
+    """Columns ``carry`` with ``fingerprint`` (16 hex digits), ``component_id`` and ``root``.
+
+    ``root`` is the least fingerprint of the component, as a signed number: it tells components apart
+    also where ids are missing or stand in several of them.
+    """
     rows = with_fingerprints(docs.select(*dict.fromkeys([*carry, "text"])), carry, shingle)
     held = cut_lineage(rows.select(F.struct(*carry).alias("row"), F.col("doc_id").alias("id"), "point"))
     points = cut_lineage(held.groupBy("point").agg(F.min("id").alias("first")))
@@ -92,28 +96,28 @@ def near_duplicates(
         stars.select(F.col("b").alias("point"), F.col("b").alias("root")).distinct())
     members = members.join(points, "point")
     least = members.groupBy("root").agg(F.min("first").alias("least"))
-    linked = cut_lineage(members.join(least, "root").select("point", "least", F.lit(True).alias("in_link")))
+    linked = cut_lineage(members.join(least, "root").select("point", "least", "root"))
     groups = points.join(linked, "point", "left").select(
-        "point", F.when(F.col("in_link"), F.col("least")).otherwise(F.col("first")).alias("component_id"))
+        "point", F.coalesce("root", "point").alias("root"),
+        F.when(F.col("root").isNotNull(), F.col("least")).otherwise(F.col("first")).alias("component_id"))
     return held.join(groups, "point").select(
-        "row.*", F.lpad(F.lower(F.hex("point")), 16, "0").alias("fingerprint"), "component_id")
+        "row.*", F.lpad(F.lower(F.hex("point")), 16, "0").alias("fingerprint"), "component_id", "root")
 
 
 def first_of_each(docs: DataFrame, shingle: int = 3, reach: int = 2) -> DataFrame:
-    """``docs`` without near-duplicates: the document with the least id of each component.
+    """``docs`` without near-duplicates: of each component the document with the least id.
 
-    Of rows that share that id, those with the least hash of their text stay, and one of them
-    if they are equal.  Groups are found without the texts, which are joined once at the end.
+    Rows without an id come after those with one; of rows with one id, that with the least hash of its
+    text stays, and one of equal rows.  Components are told apart by their root fingerprints, so an id
+    that stands in several of them, or in none, costs no document.  Groups are found without the texts,
+    which are joined once at the end.
     """
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     found = near_duplicates(rows, ("doc_id", "text_hash"), shingle, reach)
-    # a component has one document with its least id; without ids, its fingerprints stand for it
-    own = F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("own")
-    texts = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(
-        "component_id", own, "text_hash").agg(F.count(F.lit(1)).alias("n"))
-    kept = cut_lineage(texts.groupBy("component_id", "own").agg(
-        F.min(F.struct("text_hash", "n")).alias("least")).select(
-        F.col("component_id").alias("_id"), F.col("least.text_hash").alias("_hash"), F.col("least.n").alias("_n")))
+    texts = found.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n"))
+    kept = cut_lineage(texts.groupBy("root").agg(first.alias("least")).select(
+        F.col("least.doc_id").alias("_id"), F.col("least.text_hash").alias("_hash"), F.col("least.n").alias("_n")))
     whole = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_text"))
     met = whole.join(kept, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")))
     once = met.filter("_n = 1").select("doc")

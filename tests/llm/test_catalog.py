@@ -1,6 +1,7 @@
 """The registered queries against their SQL, and the pipeline against plain versions of its stages."""
 
 import os
+import zlib
 
 import numpy as np
 import pytest
@@ -90,3 +91,20 @@ def test_pipeline_stage_by_stage(spark):
 
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and all(0 < r.taken <= 2 * r.size for r in rows)
+
+
+def test_rollup_query_against_a_recount(spark):
+    from midyear.llm.rollup import rank_counter
+
+    counters = {"words-1": lambda t: len(t.encode().split()), "byte_bpe_multi_50k-1": rank_counter("byte_bpe_multi_50k")()}
+    want = {}
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        crc = zlib.crc32(str(r.doc_id).encode())
+        if crc % 5 != 1 and crc % 7 == 3:
+            continue
+        text = r.text if crc % 5 != 1 else "\n".join([r.text] * 2) if r.text is not None else ""
+        for name, count in counters.items():
+            n, tokens = want.get((r.source, r.lang, name), (0, 0))
+            want[r.source, r.lang, name] = (n + 1, tokens + count(text or ""))
+    got = {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens) for r in QUERIES["op2_token_rollup"](spark, SF).collect()}
+    assert got == want

@@ -1,5 +1,6 @@
 """Every operator on odd rows, and on no rows at all: a row per document, defined results."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from midyear.llm.lines import without_near_lines
 from midyear.llm.mixing import mix_sources
 from midyear.llm.quality import quality_rules
 from midyear.llm.rollup import TokenRollup, word_counter
-from midyear.llm.simhash import first_of_each, near_duplicates
+from midyear.llm.simhash import fingerprint, first_of_each, near_duplicates
 from midyear.llm.substrings import without_repeats
 from midyear.sources.shared import fresh_path
 
@@ -99,3 +100,28 @@ def test_one_of_each_component_stays(odd):
     kept = first_of_each(odd).select("doc_id").collect()
     # the documents without words are one component; the repeated rows leave one
     assert sorted(str(r.doc_id) for r in kept) == sorted(map(str, [1, None, 4, 6, 7, 8, 9]))
+
+
+def test_an_id_in_several_components_costs_no_document(documents):
+    a, b = ("alpha beta gamma delta epsilon zeta eta theta iota kappa", "one two three four five six seven eight nine ten")
+    kept = first_of_each(documents([(1, a), (2, a), (1, b), (3, b)])).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept)) == sorted([(1, a), (1, b)])
+
+
+def test_near_duplicates_without_ids_are_one_group(documents):
+    words = [f"w{i}" for i in range(400)]
+    near, base = None, np.uint64(fingerprint(" ".join(words).encode()) & (2**64 - 1))
+    for i in range(400):
+        text = " ".join([*words[:i], "other", *words[i + 1 :]])
+        if 1 <= np.bitwise_count(base ^ np.uint64(fingerprint(text.encode()) & (2**64 - 1))) <= 2:
+            near = text
+    assert near
+    assert first_of_each(documents([(None, " ".join(words)), (None, near)])).count() == 1
+    both = first_of_each(documents([(None, " ".join(words)), (7, near), (None, "quite another text")])).collect()
+    assert sorted(str(r.doc_id) for r in both) == ["7", "None"]
+
+
+def test_mixed_documents_keep_their_columns(odd, spark):
+    mixed = corpus_pipeline.STAGES[-1][1](spark, odd, "")
+    assert set(odd.columns) <= set(mixed.columns) and dict(mixed.dtypes)["taken"] == "bigint"
+    assert {r.text for r in mixed.collect()} <= {r.text for r in odd.collect()}

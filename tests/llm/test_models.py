@@ -310,3 +310,12 @@ def test_shortness_is_no_sign_of_a_label():
     net = bytenet.train(chunks, np.arange(400, dtype=np.float32) % 2, rounds=4)
     short = [net.score(bytes(rng.choice(list(b"abcdefgh "), 60).tolist())) for _ in range(50)]
     assert abs(np.mean(short) - 0.5) < 0.15
+
+
+def test_unknown_kinds_fail_their_batch(spark):
+    rollup = TokenRollup(spark, fresh_path(spark, "rollup"), {"words-1": word_counter})
+    for kind in ("upsert", None):
+        change = spark.createDataFrame([(kind, 1, "a b", "s", "en")], "kind string, doc_id long, text string, source string, lang string")
+        with pytest.raises(Exception, match="no such kind of change"):
+            rollup.commit("a", change)
+        assert not rollup.is_committed("a")
