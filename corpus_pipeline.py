@@ -2,8 +2,11 @@
 
 Quality rules drop documents; line dedup and decontamination cut words out of texts (``n_chars``
 follows) and drop documents without a word left; SimHash keeps one document of each group;
-the mix says how many words of each document it takes and keeps those of which it takes any.
-Extra columns of the documents go along unchanged, whatever their names.
+the mix says how many words of each document it takes and keeps those of which it takes any, texts
+included.  Extra columns of the documents go along unchanged, whatever their names, but for four that the
+mix makes.  Null texts have no words: the quality rules drop them, as they drop empty and very short ones.
+Repeated rows and ties: the first of repeated lines and near-duplicates stays, by id, then by text.  An
+empty table stays empty in every stage.
 """
 
 from __future__ import annotations
@@ -54,8 +57,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mix_sources(docs).filter("taken > 0")
-    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
+    """The documents of which the mix takes any words, with its figures in place of columns of their names."""
+    mixed = mix_sources(_wrapped(docs, "doc_id", "source", "text"), carry=("doc",)).filter("taken > 0")
+    made = ("size", "source_size", "target", "taken")
+    kept = [F.col("doc").getField(name).alias(name) for name in docs.columns if name not in made]
+    return mixed.select(*kept, *made)
 
 
 STAGES = [
