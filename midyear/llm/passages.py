@@ -136,16 +136,14 @@ def passage_spans(
                                     first[kept].tolist(), last[kept].tolist()):
                 piece = joined[a : b + window]
                 digest = xxhash.xxh3_128_digest(piece)
-                out[i].append({"anchor": key, "digest": digest, "start": a - int(starts[i]),
+                out[i].append({"anchor": key, "digest": digest, "start": a - int(starts[i]), "size": len(piece),
                                "bytes": None if digest in seen else piece})
                 seen.add(digest)
             yield {"found": out, "text_hash": [xxhash.xxh3_128_digest(raw or b"") for raw in texts]}
 
     found = map_texts(
-        docs, cut, "text_hash binary, found array<struct<anchor:bigint,digest:binary,start:bigint,bytes:binary>>")
+        docs, cut, "text_hash binary, found array<struct<anchor:bigint,digest:binary,start:bigint,size:int,bytes:binary>>")
     found = cut_lineage(found.select("doc_id", "text_hash", F.inline("found")))
-    own = cut_lineage(found.groupBy("anchor", "digest").agg(
-        F.first("bytes", ignorenulls=True).alias("bytes"), F.count(F.lit(1)).alias("n")))
 
     def shorter(gram: int):
         def split(frames: Iterator[pd.DataFrame]):
@@ -161,35 +159,38 @@ def passage_spans(
 
         return split
 
-    shards, alone, split = [], [], []
+    rows, weight = found.select("anchor", "digest", "size", "bytes", F.lit(1).cast("bigint").alias("n")), 0
+    shards, split = [], []
     for gram in grams[1:] + (None,):
-        sizes = own.groupBy(F.col("anchor").alias("_anchor")).agg(F.count(F.lit(1)).alias("distinct"))
-        counted = own.join(sizes, F.col("anchor") == F.col("_anchor")).drop("_anchor")
-        hot = F.col("distinct") > hot_segments if gram else F.lit(False)
-        shards.append(counted.filter(~hot & (F.col("distinct") > 1)).select("anchor", "digest", "bytes", "n"))
-        alone.append(counted.filter("distinct = 1 AND n > 1").select(
-            "digest", F.lit(0).cast("bigint").alias("first"), F.length("bytes").cast("bigint").alias("upto")))
-        if gram is None or sizes.filter(F.col("distinct") > hot_segments).isEmpty():
+        sizes = cut_lineage(rows.select("anchor", "digest", "size").distinct().groupBy("anchor").agg(
+            F.count(F.lit(1)).alias("distinct"), F.sum("size").alias("size")))
+        hot = sizes.filter(F.col("distinct") > (hot_segments if gram else 2**62))
+        weight += sizes.agg(F.sum("size")).first()[0] or 0
+        if hot.isEmpty():
+            shards.append(_counted(rows))
             break
-        parts = cut_lineage(counted.filter(hot).select("anchor", "digest", "bytes", "n").mapInPandas(
+        hot = cut_lineage(hot.select("anchor"))
+        shards.append(_counted(rows.join(hot, "anchor", "left_anti")))
+        parts = cut_lineage(_counted(rows.join(hot, "anchor", "left_semi")).mapInPandas(
             shorter(gram), "digest binary, shift bigint, anchor bigint, n bigint, piece binary, bytes binary"))
         split.append(parts.select("digest", "shift", "piece"))
-        own = cut_lineage(parts.groupBy("anchor", F.col("piece").alias("digest")).agg(
-            F.first("bytes").alias("bytes"), F.sum("n").alias("n")))
+        rows = parts.select("anchor", F.col("piece").alias("digest"), F.length("bytes").alias("size"), "bytes", "n")
 
-    pieces = _union(shards)
-    weight = pieces.agg(F.sum(F.length("bytes"))).first()[0] or 0
     n_shards = max(1, weight // shard_bytes)
 
     def search(frame: pd.DataFrame) -> pd.DataFrame:
+        own = frame["anchor"].to_numpy()
+        _, which, distinct = np.unique(own, return_inverse=True, return_counts=True)
+        alone = frame[distinct[which] == 1]  # nothing to compare with: all windows repeat, or none
+        rows = [(d, 0, len(raw)) for d, raw, n in zip(alone["digest"], alone["bytes"], alone["n"]) if n > 1]
+        frame = frame[distinct[which] > 1]
         spans = spans_in(frame["bytes"].tolist(), frame["n"].to_numpy(), window)
-        rows = [(d, a, b) for d, some in zip(frame["digest"], spans) for a, b in some]
+        rows += [(d, a, b) for d, some in zip(frame["digest"], spans) for a, b in some]
         give_back()
         return pd.DataFrame(rows, columns=["digest", "first", "upto"])
 
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(n_shards)))
-    spans = dealt.groupBy("shard").applyInPandas(search, "digest binary, first bigint, upto bigint")
-    matched = cut_lineage(_union([spans, *alone]))
+    dealt = _union(shards).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(n_shards)))
+    matched = cut_lineage(dealt.groupBy("shard").applyInPandas(search, "digest binary, first bigint, upto bigint"))
     for parts in reversed(split):  # from pieces back to the segments they were cut from
         up = parts.join(matched.withColumnRenamed("digest", "piece"), "piece").select(
             "digest", (F.col("shift") + F.col("first")).alias("first"), (F.col("shift") + F.col("upto")).alias("upto"))
@@ -199,6 +200,12 @@ def passage_spans(
         (F.col("start") + F.col("first")).alias("start"), (F.col("start") + F.col("upto")).alias("stop"))).alias("spans"))
 
 
+def _counted(rows: DataFrame) -> DataFrame:
+    """Distinct segments with how often they stand."""
+    return rows.groupBy("anchor", "digest").agg(
+        F.first("bytes", ignorenulls=True).alias("bytes"), F.sum("n").alias("n"))
+
+
 def _union(tables: list[DataFrame]) -> DataFrame:
     out = tables[0]
     for table in tables[1:]:
