@@ -70,6 +70,13 @@ def add_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts, first)
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with how often each stands."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(np.append(first, len(keys)))
+
+
 def count_keys(
     docs: DataFrame,
     keys_of: Callable[[list[bytes | None]], np.ndarray],
@@ -96,7 +103,7 @@ def count_keys(
         held, size = [], 0
         for frame in (block for frame in frames for block in frame_blocks(frame)):
             keys = keys_of(frame["raw"].tolist())
-            held.append(add_up(keys, np.ones(len(keys), np.int64)))
+            held.append(_distinct(keys))
             size += len(held[-1][0])
             if size > GATHERED:
                 held = [add_up(*map(np.concatenate, zip(*held)))]

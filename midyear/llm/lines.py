@@ -68,19 +68,32 @@ class Join:
         return -(-(a + b) * self.num // (self.num + self.den))
 
 
-def _line_sets(head: np.ndarray, hashes: np.ndarray, number_of: np.ndarray, rarity: np.ndarray):
-    """Distinct words of each line in the order ``rarity``, how many, where they begin, and two hashes of the set."""
-    rank = np.empty(len(hashes), np.int64)
-    rank[rarity] = np.arange(len(hashes))
-    sizes = np.diff(np.append(head, len(number_of)))
-    key = np.sort(np.repeat(np.arange(len(head)) << 32, sizes) | rank[number_of])
+def _line_sets(sizes: np.ndarray, number_of: np.ndarray, rarity: np.ndarray):
+    """Distinct words of each line (of ``sizes`` words) in the order ``rarity``, how many, and where they begin."""
+    rank = np.empty(len(rarity), np.int64)
+    rank[rarity] = np.arange(len(rarity))
+    key = np.sort(np.repeat(np.arange(len(sizes)) << 32, sizes) | rank[number_of])
     key = key[np.concatenate([[True], key[1:] != key[:-1]])]
-    word = rarity[key & 0xFFFFFFFF]
-    size = np.bincount(key >> 32, minlength=len(head))
-    begin = np.cumsum(size) - size
-    first = np.add.reduceat(mix(hashes, np.uint64(1))[word], begin)
-    second = np.add.reduceat(mix(hashes, np.uint64(2))[word], begin)
-    return word, size, begin, first, second
+    size = np.bincount(key >> 32, minlength=len(sizes))
+    return rarity[key & 0xFFFFFFFF], size, np.cumsum(size) - size
+
+
+def _set_hashes(head: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of the set of words of each line, from the upper 40 bits of the words' hashes."""
+    owner = np.repeat(np.arange(len(head), dtype=np.uint64), np.diff(np.append(head, len(hashes))))
+    word, low = hashes >> np.uint64(24), np.uint64(40)
+    if len(head) < 1 << 24:
+        key = owner << low | word
+        key.sort()
+        key = key[np.concatenate([[True], key[1:] != key[:-1]])]
+        owner, word = key >> low, key & np.uint64((1 << 40) - 1)
+    else:
+        order = np.lexsort((word, owner))
+        owner, word = owner[order], word[order]
+        new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (word[1:] != word[:-1])])
+        owner, word = owner[new], word[new]
+    begin = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    return np.add.reduceat(mix(word, np.uint64(1)), begin), np.add.reduceat(mix(word, np.uint64(2)), begin)
 
 
 def _text_hashes(texts: list[bytes | None]) -> np.ndarray:
@@ -98,9 +111,7 @@ def _sets(join: Join):
             owner, place, head = words.lines()
             if not len(head):
                 continue
-            hashes, number_of = np.unique(words.hashes, return_inverse=True)
-            number, count = counts.find(hashes)
-            word, size, begin, first, second = _line_sets(head, hashes, number_of, np.lexsort((number, count)))
+            first, second = _set_hashes(head, words.hashes)
             docs = np.where(frame["id"].isna(), LAST, frame["id"].fillna(0)).astype(np.int64)[owner]
             text_hash = _text_hashes(texts)[owner]
             by = np.lexsort((place, text_hash, docs, second, first))
@@ -109,14 +120,19 @@ def _sets(join: Join):
             where = range_of(mix(first[shown], second[shown]), join.n)
             order = np.argsort(where, kind="stable")
             shown, where = shown[order], where[order]
+            # only the words of the lines that go on are looked up and put in order
+            lengths = np.diff(np.append(head, len(words.hashes)))[shown]
+            hashes, number_of = np.unique(words.hashes[_ragged(head[shown], lengths)], return_inverse=True)
+            number, count = counts.find(hashes)
+            word, size, begin = _line_sets(lengths, number_of, np.lexsort((number, count)))
             cuts = np.flatnonzero(np.concatenate([[True], np.diff(where) != 0]))
             rows = []
             for a, b in zip(cuts, [*cuts[1:], len(shown)]):
                 at = shown[a:b]
-                numbers = number[word[_ragged(begin[at], size[at])]].astype(np.uint32)
+                numbers = number[word[begin[a] : begin[b - 1] + size[b - 1]]].astype(np.uint32)
                 rows.append((int(where[a]), docs[at].tobytes(), text_hash[at].tobytes(),
                              place[at].astype(np.int32).tobytes(), first[at].tobytes(), second[at].tobytes(),
-                             size[at].astype(np.int32).tobytes(), _planes(numbers)))
+                             size[a:b].astype(np.int32).tobytes(), _planes(numbers)))
             yield pd.DataFrame(rows, columns=NAMES)
         give_back()
 
@@ -306,16 +322,15 @@ class Heads:
     def __init__(self, join: Join):
         self.folder, self.n, self.open = f"{join.folder}/heads", join.n, {}
 
-    def copies(self, texts: list[bytes | None], ids: list[int | None]) -> dict[int, list[int]]:
-        """By text, the places of its lines whose set has an earlier line."""
+    def copies(self, texts: list[bytes | None], ids: list[int | None], hashes: np.ndarray) -> tuple[dict[int, list[int]], list[int]]:
+        """By text, the places of its lines whose set has an earlier line; and how many lines each text has."""
         words = Words(texts, lower=True)
         owner, place, head = words.lines()
         if not len(head):
-            return {}
-        hashes, number_of = np.unique(words.hashes, return_inverse=True)
-        _, _, _, first, second = _line_sets(head, hashes, number_of, np.arange(len(hashes)))
+            return {}, [0] * len(texts)
+        first, second = _set_hashes(head, words.hashes)
         docs = np.array([int(LAST) if i is None else i for i in ids], np.int64)[owner]
-        own = (docs, _text_hashes(texts)[owner], place)
+        own = (docs, hashes[owner], place)
         where = range_of(mix(first, second), self.n)
         late = np.zeros(len(head), bool)
         for k in np.unique(where).tolist():
@@ -331,7 +346,7 @@ class Heads:
         gone: dict[int, list[int]] = {}
         for i, line in zip(owner[late].tolist(), place[late].tolist()):
             gone.setdefault(i, []).append(line)
-        return gone
+        return gone, np.bincount(owner, minlength=len(texts)).tolist()
 
 
 def matched_lines(docs: DataFrame, share: tuple[int, int], frequent: int, long: int) -> tuple[Join, DataFrame]:
@@ -405,15 +420,15 @@ def without_near_lines(
 
         for texts, ids in batches:
             out = {"n_lines": [], "n_removed": [], "kept_sha256": [], "kept": []}
-            copies = heads.copies(texts, ids)
-            for i, (raw, doc) in enumerate(zip(texts, ids)):
-                lines = raw.split(b"\n") if raw else []
-                gone = set()
-                if lines:
-                    signed = int(np.uint64(xxhash.xxh64_intdigest(raw)).view(np.int64))
+            hashes = _text_hashes(texts)
+            copies, n_lines = heads.copies(texts, ids, hashes)
+            for i, (raw, doc, signed) in enumerate(zip(texts, ids, hashes.view(np.int64).tolist())):
+                kept, gone = raw or b"", set()
+                if n_lines[i]:
                     gone = set(removed(int(LAST) if doc is None else doc, signed)).union(copies.get(i, ()))
-                kept = b"\n".join([line for at, line in enumerate(lines) if at not in gone])
-                out["n_lines"].append(sum(1 for line in lines if line.strip()))
+                if gone:
+                    kept = b"\n".join([line for at, line in enumerate(raw.split(b"\n")) if at not in gone])
+                out["n_lines"].append(n_lines[i])
                 out["n_removed"].append(len(gone))
                 out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
                 out["kept"].append(kept.decode("utf-8", "replace"))
