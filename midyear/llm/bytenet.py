@@ -134,7 +134,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000) -> ByteNet |
     size = F.length("raw")
     last = F.greatest(F.lit(0), size - CHUNK)
     starts = F.array_distinct(F.array(F.lit(0), F.floor(last / 2).cast("int"), last.cast("int")))
-    chunks = docs.select("doc_id", raw.alias("raw")).join(ids, "doc_id").select(
+    once = docs.select("doc_id", raw.alias("raw")).join(ids, "doc_id").groupBy("doc_id", "quality").agg(
+        F.min("raw").alias("raw"))  # of rows with one id the least text
+    chunks = once.select(
         "doc_id", "quality", "raw", F.explode(starts).alias("start")).select(
         "doc_id", "quality", "start", F.substring("raw", F.col("start") + 1, F.lit(CHUNK)).alias("chunk"))
     rows = chunks.toPandas()  # within three chunks of each document of the sample

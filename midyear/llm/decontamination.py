@@ -147,12 +147,12 @@ def contaminated_spans(
     carry: tuple[str, ...] = ("doc_id",),
     window: int = 10,
     shard_words: int = 1_000_000,
-    block_bytes: int = 16_000_000,
+    block_bytes: int = 4_000_000,
 ) -> DataFrame:
     """Columns ``carry`` with ``n_words``, ``n_hit``, ``spans`` (words) and ``items`` (sorted ids)."""
     bench = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
-        F.col("text").cast("binary").alias("raw"))
+        F.col("text").cast("binary").alias("raw")).distinct()  # copies of an item would share a block
     size = bench.agg(F.sum(F.length("raw"))).first()[0] or 0
     n_blocks = max(1, -(-size // block_bytes))
     rows = docs.select(F.struct(*carry).alias("row"), F.col("text"))

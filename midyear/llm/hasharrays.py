@@ -51,6 +51,13 @@ def narrow(counts: np.ndarray) -> np.ndarray:
     return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
 
 
+def in_32_bits(values: np.ndarray) -> np.ndarray:
+    """Counts or numbers as they travel; larger ones fail instead of being cut."""
+    if len(values) and int(values.max()) >> 32:
+        raise OverflowError(f"{int(values.max())} does not fit in 32 bits")
+    return values.astype(np.uint32)
+
+
 def shards_for(docs: DataFrame, least: int = 16) -> int:
     """A power of two: at least twice as many ranges as the input has partitions."""
     return max(least, 1 << (2 * docs.rdd.getNumPartitions() - 1).bit_length())

@@ -143,8 +143,9 @@ def fit(labelled: DataFrame, sample: int = 2000) -> Hierarchy | None:
         return None
     each = max(20, sample // len(totals))
     bound = F.create_map(*[F.lit(v) for lang, n in totals.items() for v in (lang, each / n)])[F.col("lang")]
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = _lowered(known.filter(place < bound), "lang", "doc_id").filter(F.col("text").isNotNull())
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    some = known.filter(place < bound).select("doc_id", "lang", "text").distinct()  # repeated rows are one
+    chosen = _lowered(some, "lang", "doc_id").filter(F.col("text").isNotNull())
 
     def vectors(batches):
         for texts in batches:
@@ -153,7 +154,7 @@ def fit(labelled: DataFrame, sample: int = 2000) -> Hierarchy | None:
     rows = map_texts(chosen, vectors, "vector binary", ("lang", "doc_id")).toPandas()  # within the sample's bound
     if not len(rows):
         return None
-    rows = rows.sort_values(["doc_id", "lang"], kind="stable")
+    rows = rows.sort_values(["doc_id", "lang", "vector"], kind="stable")
     x = np.stack([np.frombuffer(v, np.float32) for v in rows["vector"]])
     return Hierarchy(x, rows["lang"].tolist())
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from midyear.llm.hasharrays import HashArray, count_keys, range_of, save, shards_for, shared_files
+from midyear.llm.hasharrays import HashArray, count_keys, in_32_bits, range_of, save, shards_for, shared_files
 from midyear.llm.texts import Words, frame_blocks, give_back, map_texts, mix
 from midyear.sources.shared import cut_lineage
 
@@ -129,7 +129,7 @@ def _sets(join: Join):
             rows = []
             for a, b in zip(cuts, [*cuts[1:], len(shown)]):
                 at = shown[a:b]
-                numbers = number[word[begin[a] : begin[b - 1] + size[b - 1]]].astype(np.uint32)
+                numbers = in_32_bits(number[word[begin[a] : begin[b - 1] + size[b - 1]]])
                 rows.append((int(where[a]), docs[at].tobytes(), text_hash[at].tobytes(),
                              place[at].astype(np.int32).tobytes(), first[at].tobytes(), second[at].tobytes(),
                              size[a:b].astype(np.int32).tobytes(), _planes(numbers)))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from midyear.llm.hasharrays import (
-    GATHERED, HashArray, add_up, count_keys, narrow, range_of, save, shards_for, shared_files,
+    GATHERED, HashArray, add_up, count_keys, in_32_bits, narrow, range_of, save, shards_for, shared_files,
 )
 from midyear.llm.texts import Words, frame_blocks, map_texts, mix
 from midyear.sources.shared import cut_lineage
@@ -186,7 +186,7 @@ def _counter(model: KneserNey):
         def send():
             _, rows, counts = _distinct(*map(np.concatenate, zip(*held)))
             held.clear()
-            return pd.DataFrame(_blocks(2, model.ranges.of(rows), rows.astype(np.uint32), counts.astype(np.uint32)), columns=NAMES)
+            return pd.DataFrame(_blocks(2, model.ranges.of(rows), in_32_bits(rows), in_32_bits(counts)), columns=NAMES)
 
         for frame in (block for frame in frames for block in frame_blocks(frame)):
             hashes, starts = tokens(frame["raw"].tolist())
@@ -216,9 +216,9 @@ def _level(model: KneserNey, k: int):
         out = [(0, number, b"", np.array(often + least, np.int64).tobytes())]
         if k > 1:
             context, stats = _context_totals(key_of(rows[:, :-1]), counts)
-            out += _blocks(1, range_of(_scatter(context), model.ranges.n), context, stats.astype(np.uint32))
+            out += _blocks(1, range_of(_scatter(context), model.ranges.n), context, in_32_bits(stats))
             _, shorter, before = _distinct(rows[:, 1:], np.ones(len(rows), np.int64))
-            out += _blocks(2, model.ranges.of(shorter), shorter.astype(np.uint32), before.astype(np.uint32))
+            out += _blocks(2, model.ranges.of(shorter), in_32_bits(shorter), in_32_bits(before))
         return pd.DataFrame(out, columns=NAMES)
 
     return merge

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from midyear.llm import bytenet, langid, lm
 from midyear.llm.decontamination import contaminated_spans
+from midyear.llm.hasharrays import in_32_bits
 from midyear.llm.lines import without_near_lines
 from midyear.llm.mixing import mix_sources
 from midyear.llm.quality import quality_rules
@@ -125,3 +126,22 @@ def test_mixed_documents_keep_their_columns(odd, spark):
     mixed = corpus_pipeline.STAGES[-1][1](spark, odd, "")
     assert set(odd.columns) <= set(mixed.columns) and dict(mixed.dtypes)["taken"] == "bigint"
     assert {r.text for r in mixed.collect()} <= {r.text for r in odd.collect()}
+
+
+def test_repeated_rows_do_not_reach_the_driver_each(documents, monkeypatch):
+    same = documents([(None, f"all the same words here {i % 3}", "en") for i in range(600)]
+                     + [(i, f"autres mots que ceux de la {i}", "fr") for i in range(40)])
+    seen = []
+    monkeypatch.setattr(langid, "Hierarchy", lambda x, langs: seen.append(langs))
+    langid.fit(same, sample=200)
+    assert seen[0].count("en") <= 3 and seen[0].count("fr") == 40
+    labels = documents([(7, "x")]).sparkSession.createDataFrame([(7, 1), (8, 0)], "doc_id bigint, quality int")
+    monkeypatch.setattr(bytenet, "train", lambda chunks, marks: seen.append(chunks))
+    bytenet.fit(documents([(7, f"copy {i}") for i in range(300)] + [(8, "bad")]), labels, per_class=5)
+    assert seen[1] == [b"copy 0", b"bad"]
+
+
+def test_large_counts_fail_instead_of_wrapping():
+    assert in_32_bits(np.array([2**32 - 1])).tolist() == [2**32 - 1] and len(in_32_bits(np.zeros(0, np.int64))) == 0
+    with pytest.raises(OverflowError):
+        in_32_bits(np.array([1, 2**32 + 9]))
