@@ -122,7 +122,7 @@ FROM d LEFT JOIN kept USING (r)
 @query("op3_kneser_ney")
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    model = fit(docs.filter(fold(F.col("doc_id"), 7) != 2))
+    model = fit(docs.filter(fold(F.col("doc_id"), 7) != 2), order=3)
     return score(docs, model).select(
         "doc_id", (fold(F.col("doc_id"), 7) == 2).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")

@@ -24,6 +24,8 @@ from midyear.sources.shared import fresh_path
 GATHERED = 2_000_000
 #: Most frequent keys that each range names.
 TOP = 32
+#: Files that a task holds open per array, and the name of the file that says where each range begins.
+OPEN, STARTS = 64, "starts.npy"
 
 
 def shared_files(spark: SparkSession, name: str) -> str:
@@ -141,30 +143,56 @@ def count_keys(
         gather, "range_no int, keys binary, counts binary")
     merged = sent.groupBy("range_no").applyInPandas(
         merge, "range_no int, n_keys long, total long, top array<long>, top_counts array<long>")
-    return merged.toPandas().sort_values("range_no", ignore_index=True)  # one row a range
+    found = merged.toPandas().sort_values("range_no", ignore_index=True)  # one row a range
+    sizes = np.zeros(n_ranges, np.int64)
+    sizes[found["range_no"]] = found["n_keys"]
+    save(f"{folder}/{STARTS}", np.concatenate([[0], np.cumsum(sizes)]))
+    return found
+
+
+class Mapped:
+    """Arrays of a folder's files, mapped when they are asked for; at most ``OPEN`` files are held open."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def get(self, path: str) -> np.ndarray | None:
+        """The array in ``path``, or None where no task had anything to write."""
+        found = self.held.pop(path, None)
+        if found is None:
+            if not os.path.exists(path):
+                return None
+            found = _mapped(path)
+            while len(self.held) >= OPEN:
+                del self.held[next(iter(self.held))]  # the one not asked for the longest
+        self.held[path] = found
+        return found
 
 
 class HashArray:
-    """The arrays of a folder, opened in a task."""
+    """The arrays of a folder, read in a task range by range.
+
+    Places count through all ranges where ``count_keys`` wrote the folder, else within their range.
+    """
 
     def __init__(self, folder: str, n_ranges: int, width: tuple[int, ...] = ()):
-        self.n_ranges = n_ranges
-        self.keys, self.counts = [], []
-        for k in range(n_ranges):
-            path = f"{folder}/{k:06d}"
-            there = os.path.exists(f"{path}.keys.npy")
-            self.keys.append(_mapped(f"{path}.keys.npy") if there else np.zeros(0, np.uint64))
-            self.counts.append(_mapped(f"{path}.counts.npy") if there else np.zeros((0, *width), np.int64))
-        sizes = np.array([len(k) for k in self.keys], np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.folder, self.n_ranges, self.width = folder, n_ranges, width
+        self.files = Mapped()
+        self.starts = np.load(f"{folder}/{STARTS}") if os.path.exists(f"{folder}/{STARTS}") else None
+
+    def _range(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        keys = self.files.get(f"{self.folder}/{k:06d}.keys.npy")
+        if keys is None:
+            return np.zeros(0, np.uint64), np.zeros((0, *self.width), np.int64)
+        return keys, self.files.get(f"{self.folder}/{k:06d}.counts.npy")
 
     def counts_at(self, places: np.ndarray) -> np.ndarray:
         """Counts of keys by their places."""
         asked, back = np.unique(places, return_inverse=True)
         out = np.empty(len(asked), np.int64)
         cuts = np.searchsorted(asked, self.starts)
-        for k in np.flatnonzero(cuts[1:] > cuts[:-1]):
-            out[cuts[k] : cuts[k + 1]] = self.counts[k][asked[cuts[k] : cuts[k + 1]] - self.starts[k]]
+        for k in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+            out[cuts[k] : cuts[k + 1]] = self._range(k)[1][asked[cuts[k] : cuts[k + 1]] - self.starts[k]]
         return out[back]
 
     def find(self, keys: np.ndarray, ranges: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -177,19 +205,20 @@ class HashArray:
         order = np.argsort(where, kind="stable")
         asked, where = asked[order], where[order]
         place = np.full(len(asked), -1, np.int64)
-        count = np.zeros((len(asked), *self.counts[0].shape[1:]), np.int64)
+        count = np.zeros((len(asked), *self.width), np.int64)
         cuts = np.searchsorted(where, np.arange(self.n_ranges + 1))
-        for k in np.flatnonzero(cuts[1:] > cuts[:-1]):
-            rows, stored = slice(cuts[k], cuts[k + 1]), self.keys[k]
+        for k in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+            rows, (stored, counts) = slice(cuts[k], cuts[k + 1]), self._range(k)
             if len(stored):
                 at = np.minimum(np.searchsorted(stored, asked[rows]), len(stored) - 1)
                 there = np.flatnonzero(stored[at] == asked[rows]) + cuts[k]
-                place[there] = at[there - cuts[k]] + self.starts[k]
-                count[there] = self.counts[k][at[there - cuts[k]]]
+                place[there] = at[there - cuts[k]] + (0 if self.starts is None else self.starts[k])
+                count[there] = counts[at[there - cuts[k]]]
         spot = np.empty(len(order), np.int64)
         spot[order] = np.arange(len(order))
         return place[spot[back]], count[spot[back]]
 
 
 def _mapped(path: str) -> np.ndarray:
-    return np.load(path, mmap_mode="r") if os.path.getsize(path) > 128 else np.load(path)
+    # a plain array over the mapped file: slices of it are cheaper
+    return np.asarray(np.load(path, mmap_mode="r")) if os.path.getsize(path) > 128 else np.load(path)

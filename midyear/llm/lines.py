@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from midyear.llm.hasharrays import HashArray, count_keys, in_32_bits, range_of, save, shards_for, shared_files
+from midyear.llm.hasharrays import HashArray, Mapped, count_keys, in_32_bits, range_of, save, shards_for, shared_files
 from midyear.llm.texts import Words, frame_blocks, give_back, map_texts, mix
 from midyear.sources.shared import cut_lineage
 
@@ -229,14 +229,10 @@ class SetStore:
     """The stored sets, opened in a task."""
 
     def __init__(self, join: Join):
-        self.folder, self.open = join.folder, {}
+        self.folder, self.files = join.folder, Mapped()
 
     def _part(self, k: int, name: str) -> np.ndarray:
-        if (k, name) not in self.open:
-            # plain arrays over the mapped file: slices of them are cheaper
-            path = f"{self.folder}/{'heads' if name in HEAD else 'sets'}/{k:06d}.{name}.npy"
-            self.open[k, name] = np.asarray(np.load(path, mmap_mode="r"))
-        return self.open[k, name]
+        return self.files.get(f"{self.folder}/{'heads' if name in HEAD else 'sets'}/{k:06d}.{name}.npy")
 
     def columns(self, part: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
         """The stored columns of the sets ``at`` in the ranges ``part`` (in order), and where their words begin."""
@@ -320,7 +316,7 @@ class Heads:
     """The earliest line of each set, opened in a task."""
 
     def __init__(self, join: Join):
-        self.folder, self.n, self.open = f"{join.folder}/heads", join.n, {}
+        self.folder, self.n, self.files = f"{join.folder}/heads", join.n, Mapped()
 
     def copies(self, texts: list[bytes | None], ids: list[int | None], hashes: np.ndarray) -> tuple[dict[int, list[int]], list[int]]:
         """By text, the places of its lines whose set has an earlier line; and how many lines each text has."""
@@ -335,10 +331,8 @@ class Heads:
         late = np.zeros(len(head), bool)
         for k in np.unique(where).tolist():
             some = np.flatnonzero(where == k)
-            if k not in self.open:
-                self.open[k] = [np.asarray(np.load(f"{self.folder}/{k:06d}.{name}.npy", mmap_mode="r"))
-                                for name in ("first", "second", *HEAD)]
-            firsts, seconds, *kept = self.open[k]
+            firsts, seconds, *kept = [self.files.get(f"{self.folder}/{k:06d}.{name}.npy")
+                                      for name in ("first", "second", *HEAD)]
             at = np.searchsorted(firsts, first[some])
             while (other := seconds[at] != second[some]).any():  # sets with the same first hash
                 at[other] += 1
@@ -403,18 +397,13 @@ def without_near_lines(
         shutil.rmtree(f"{join.folder}/{name}", ignore_errors=True)
 
     def cut(batches):
-        parts: dict[int, list] = {}
-        heads = Heads(join)
+        parts, heads = Mapped(), Heads(join)
 
         def removed(doc: int, text_hash: int) -> list[int]:
-            k = int(_doc_range(np.array([doc], np.int64), n)[0])
-            if k not in parts:
-                path = f"{join.folder}/removed/{k:06d}"
-                there = os.path.exists(f"{path}.line.npy")
-                parts[k] = [np.load(f"{path}.{x}.npy", mmap_mode="r") for x in ("doc", "text_hash", "line")] if there else []
-            if not parts[k]:
+            path = f"{join.folder}/removed/{int(_doc_range(np.array([doc], np.int64), n)[0]):06d}"
+            ids, hashes, lines = [parts.get(f"{path}.{x}.npy") for x in ("doc", "text_hash", "line")]
+            if lines is None:
                 return []
-            ids, hashes, lines = parts[k]
             a, b = np.searchsorted(ids, doc), np.searchsorted(ids, doc, side="right")
             return lines[a:b][hashes[a:b] == text_hash].tolist()
 

@@ -145,7 +145,7 @@ def _discounts(n: np.ndarray) -> np.ndarray:
     return np.clip(found, 0.0, [0.0, 1.0, 2.0, 3.0])
 
 
-def fit(docs: DataFrame, order: int = 2) -> KneserNey:
+def fit(docs: DataFrame, order: int = 3) -> KneserNey:
     """Count the model over all texts of ``docs`` (runs its jobs)."""
     spark, n = docs.sparkSession, shards_for(docs)
     folder = shared_files(spark, "kneser-ney")

@@ -96,7 +96,7 @@ def test_query_of_the_model(spark):
         assert (row.held_out, row.n_tokens, row.train_tokens) == (out[r.doc_id], len(words), n)
         assert row.n_known == sum(seen[w] > 0 for w in words)
         assert row.base_score == pytest.approx(sum(math.log10((seen[w] + 1) / (n + v + 1)) for w in words))
-    wanted = _kneser_ney([r.text for r in docs if not out[r.doc_id]], [r.text for r in docs], 2)
+    wanted = _kneser_ney([r.text for r in docs if not out[r.doc_id]], [r.text for r in docs], 3)
     for r, want in zip(docs, wanted):
         assert got[r.doc_id].score == pytest.approx(want, rel=1e-10)
 
@@ -319,3 +319,26 @@ def test_unknown_kinds_fail_their_batch(spark):
         with pytest.raises(Exception, match="no such kind of change"):
             rollup.commit("a", change)
         assert not rollup.is_committed("a")
+
+
+def test_more_ranges_than_files_may_be_open(documents, monkeypatch):
+    import resource
+
+    from midyear.llm import hasharrays
+
+    monkeypatch.setattr(lm, "shards_for", lambda docs: 2048)
+    docs = documents([(i, " ".join(f"w{i * k % 3001}" for k in range(200))) for i in range(40)])
+    model = lm.fit(docs, 2)
+    limits = resource.getrlimit(resource.RLIMIT_NOFILE)
+    resource.setrlimit(resource.RLIMIT_NOFILE, (min(1024, limits[1]), limits[1]))
+    try:
+        model.open()
+        hashes, starts = lm.tokens([r.text.encode() for r in docs.collect()])
+        place, count = model.words.find(hashes)
+    finally:
+        resource.setrlimit(resource.RLIMIT_NOFILE, limits)
+    assert len(model.words.files.held) <= hasharrays.OPEN
+    assert len(set(place.tolist())) == model.size == place.max() + 1 and place.min() == 0
+    of = Counter(place.tolist())
+    assert all(of[p] == c for p, c in zip(place.tolist(), count.tolist()))
+    assert (model.words.counts_at(place) == count).all()
