@@ -13,7 +13,7 @@ ONE = np.uint64(1)
 
 
 class Bits:
-    """A bit vector with constant-time rank."""
+    """A bit vector with constant-time rank; select looks for the word by halving."""
 
     def __init__(self, bits: np.ndarray):
         pad = -len(bits) % 64 + 64
@@ -32,6 +32,19 @@ class Bits:
     def get(self, at: np.ndarray) -> np.ndarray:
         return (self.words[at >> 6] >> (at & 63).astype(np.uint64)) & ONE
 
+    def select(self, number: np.ndarray) -> np.ndarray:
+        """Where the ones of these numbers (from 0 on) stand."""
+        word = np.searchsorted(self.before, number, side="right") - 1
+        left, place = number - self.before[word], word << 6
+        bits = self.words[word]
+        for width in (32, 16, 8, 4, 2, 1):
+            ones = np.bitwise_count(bits & ((ONE << np.uint64(width)) - ONE))
+            beyond = left >= ones
+            left = left - np.where(beyond, ones, 0)
+            place = place + np.where(beyond, width, 0)
+            bits = np.where(beyond, bits >> np.uint64(width), bits)
+        return place
+
 
 class WaveletTree:
     def __init__(self, symbols: np.ndarray, n_levels: int):
@@ -130,6 +143,46 @@ class FMIndex:
         both = self.tree.rank(np.concatenate([symbol, symbol]), np.concatenate([low, high]))
         return base + both[: len(low)], base + both[len(low):]
 
+    def next_rows(self) -> np.ndarray:
+        """For each row, that of the suffix one symbol shorter: the tree's steps backward, turned around."""
+        symbol, at = self.tree.get(np.arange(self.n))
+        follow = np.empty(self.n, np.int32)
+        follow[self.first[symbol] - self.runs[symbol] + at] = np.arange(self.n, dtype=np.int32)
+        return follow
+
+    def parents(self, depth: int) -> Bits:
+        """Marks rows that share fewer than ``depth`` symbols with the row before, and the end.
+
+        Found from the tree alone, by doubling: rows share a + b symbols if they share a, and the rows a
+        symbols on share b.
+        """
+        begins = np.zeros(self.n, bool)
+        begins[self.first[self.first < self.n]] = True  # rows that begin with another symbol than the row before
+        power, jump = begins, self.next_rows()  # of the doubled length
+        marks, on = np.zeros(self.n, bool), None  # of the length so far
+        marks[:1] = True
+        while depth:
+            if depth & 1:
+                marks = power if on is None else self._longer(marks, on, power)
+                on = jump if on is None else jump[on]
+            depth >>= 1
+            if depth:
+                power, jump = self._longer(power, jump, power), jump[jump]
+        return Bits(np.append(marks, True))
+
+    @staticmethod
+    def _longer(marks: np.ndarray, on: np.ndarray, more: np.ndarray) -> np.ndarray:
+        tied = np.flatnonzero(~marks)
+        group = np.cumsum(more, dtype=np.int32)
+        out = marks.copy()
+        out[tied] = group[on[tied]] != group[on[tied - 1]]
+        return out
+
+    @staticmethod
+    def widen(parents: Bits, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """From rows to all that share the depth of ``parents`` with them."""
+        return parents.select(parents.rank(low + 1) - 1), parents.select(parents.rank(high))
+
     def search(self, patterns: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows of each pattern; ``patterns`` holds them flush right, one a line."""
         m, width = patterns.shape

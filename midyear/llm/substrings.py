@@ -6,8 +6,9 @@ segments of an anchor make up one shard with those of others.  Anchors that occu
 corpus cannot own a repeated window; the others are kept as a sorted hash array that tasks map.
 A shard builds an FM-index over its distinct segments and streams each of them backward through
 the wavelet trees, holding the rows that match the last ``window`` words: once the match is that
-long, the rows widen to all that share those words.  A window whose rows stand for two occurrences
-or more is repeated; each of its occurrences is removed.
+long, the rows widen to their parent, all that share those words, by a bit vector of the parents at
+that depth, which is found from the wavelet trees too; the sorted suffixes go once the index is built.
+A window whose rows stand for two occurrences or more is repeated; each of its occurrences is removed.
 
 Copies of a segment are counted before they reach a shard.  An anchor with more than ``hot_segments``
 distinct segments is spread: its segments go on window by window, each dealt by its own words.
@@ -81,8 +82,8 @@ def segment_spans(segments: list[bytes], counts: np.ndarray, window: int) -> lis
     text[starts - 1] = 1 + np.arange(len(words))
     text[inside] = np.fromiter(map(numbers.__getitem__, flat), np.int64, len(flat))
     index = FMIndex(text, 1 + len(words) + len(numbers))
-    row_first, row_last = _alike(index, text, window)
     index.drop_order()
+    parents = index.parents(window)
     many = np.zeros(len(text), bool)  # by the word a window begins at
     low, high = np.zeros(len(words), np.int64), np.full(len(words), len(text), np.int64)
     matched = 0  # words that the rows of the segments still streamed match
@@ -92,7 +93,7 @@ def segment_spans(segments: list[bytes], counts: np.ndarray, window: int) -> lis
         below, above = index.step(text[at], low[live], high[live])
         matched += 1
         if matched > window:
-            below, above = row_first[below], row_last[above - 1] + 1
+            below, above = index.widen(parents, below, above)
             matched = window
         low[live], high[live] = below, above
         if matched == window:
@@ -109,30 +110,6 @@ def segment_spans(segments: list[bytes], counts: np.ndarray, window: int) -> lis
     return out
 
 
-def _alike(index: FMIndex, text: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each row, the first and last row whose suffix begins with the same ``window`` words."""
-    order = index.order
-    fits = order + window <= len(text)
-    hashes = np.zeros(len(text), np.uint64)
-    grams = _grams(text.astype(np.uint64), window) if len(text) >= window else np.zeros(0, np.uint64)
-    hashes[: len(grams)] = grams
-    by_row = hashes[order]
-    same = fits[1:] & fits[:-1] & (by_row[1:] == by_row[:-1])
-    maybe = np.flatnonzero(same)
-    for first in range(0, len(maybe), 100_000):  # equal hashes are checked word by word
-        some = maybe[first : first + 100_000]
-        a, b = order[some], order[some + 1]
-        equal = np.ones(len(some), bool)
-        for i in range(window):
-            equal &= text[a + i] == text[b + i]
-        same[some] = equal
-    rows = np.arange(len(text))
-    row_first = np.maximum.accumulate(np.where(np.concatenate([[False], same]), 0, rows))
-    ends = np.where(np.concatenate([same, [False]]), len(text), rows)
-    row_last = np.minimum.accumulate(ends[::-1])[::-1]
-    return row_first, row_last
-
-
 def repeated_spans(docs: DataFrame, window: int, gram: int, shard_words: int, hot_segments: int) -> DataFrame:
     """``doc_id, text_hash, spans`` of the documents with repeated windows."""
     spark = docs.sparkSession

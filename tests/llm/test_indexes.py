@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from midyear.llm.components import component_stars
-from midyear.llm.fmindex import FMIndex
+from midyear.llm.fmindex import Bits, FMIndex
 from midyear.llm.simhash import fingerprint
 from midyear.llm.vptree import build_tree, close_stars, route
 
@@ -122,3 +122,26 @@ def test_fingerprint():
     assert fingerprint(b"a b") != 0
     words = " ".join(f"w{i}" for i in range(500)).encode()
     assert fingerprint(words) == fingerprint(words, block=7)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 3), min_size=1, max_size=60), st.integers(1, 9))
+def test_parents_from_the_tree_alone(symbols, depth):
+    text = np.array([0, *symbols], np.int64)
+    index = FMIndex(text, 4)
+    index.drop_order()
+    ring = [tuple(np.roll(text, -i)[:depth]) for i in sorted(range(len(text)), key=lambda i: [*text[i:]])]
+    same = [a == b for a, b in zip(ring, ring[1:])]
+    parents = index.parents(depth)
+    marks = [bool(x) for x in parents.get(np.arange(index.n + 1))]
+    assert marks == [True, *[not x for x in same], True]
+    rows = np.arange(index.n)
+    low, high = index.widen(parents, rows, rows + 1)
+    for row, a, b in zip(rows, low, high):
+        assert ring[a:b] == [ring[row]] * (b - a) and ring.count(ring[row]) == b - a
+
+
+def test_select():
+    bits = np.random.default_rng(1).random(1000) < 0.1
+    bits[300:700] = False
+    assert (Bits(bits).select(np.arange(bits.sum())) == np.flatnonzero(bits)).all()
