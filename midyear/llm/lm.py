@@ -39,7 +39,8 @@ def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
 def ngram_rows(numbers: np.ndarray, starts: np.ndarray, order: int, begin: int) -> np.ndarray:
     """The n-gram that ends at each token, one a line; begin marks before each text's first."""
     since = np.arange(len(numbers)) - np.repeat(starts[:-1], np.diff(starts))
-    rows = np.full((len(numbers), order), begin, np.uint64)
+    in_32_bits(np.array([begin + 1]))  # the largest number
+    rows = np.full((len(numbers), order), begin, np.uint32)
     for back in range(order):
         there = np.flatnonzero(since >= back)
         rows[there, order - 1 - back] = numbers[there - back]
@@ -48,9 +49,9 @@ def ngram_rows(numbers: np.ndarray, starts: np.ndarray, order: int, begin: int)
 
 def key_of(rows: np.ndarray) -> np.ndarray:
     """A key for each line: its numbers side by side for two, hashed on beyond."""
-    key = rows[:, 0].copy()
+    key = rows[:, 0].astype(np.uint64)
     for k in range(1, rows.shape[1]):
-        key = (key << np.uint64(32)) | rows[:, 1] if k == 1 else mix(key, rows[:, k])
+        key = (key << np.uint64(32)) | rows[:, 1].astype(np.uint64) if k == 1 else mix(key, rows[:, k].astype(np.uint64))
     return key
 
 
@@ -66,10 +67,10 @@ class Ranges:
 
     def of(self, rows: np.ndarray) -> np.ndarray:
         if rows.shape[1] == 1:
-            return range_of(_scatter(rows[:, 0]), self.n)
+            return range_of(_scatter(key_of(rows)), self.n)
         spread = _scatter(key_of(rows[:, :-1]))
         hot = np.flatnonzero(np.isin(rows[:, -2], self.frequent))
-        spread[hot] = mix(spread[hot], rows[hot, -1])
+        spread[hot] = mix(spread[hot], rows[hot, -1].astype(np.uint64))
         return range_of(spread, self.n)
 
 
@@ -147,7 +148,7 @@ def _discounts(n: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, order: int = 3) -> KneserNey:
     """Count the model over all texts of ``docs`` (runs its jobs)."""
-    spark, n = docs.sparkSession, shards_for(docs)
+    spark, n = docs.sparkSession, shards_for(docs) << max(0, order - 2)  # longer lines, more ranges
     folder = shared_files(spark, "kneser-ney")
     for name in ["words", *[f"grams{k}" for k in range(1, order + 1)], *[f"contexts{k}" for k in range(2, order + 1)]]:
         shared_sub(folder, name)
@@ -180,21 +181,21 @@ def shared_sub(folder: str, name: str) -> None:
 
 def _counter(model: KneserNey):
     def run(frames):
-        words = HashArray(f"{model.folder}/words", model.ranges.n)
+        words, order = HashArray(f"{model.folder}/words", model.ranges.n), model.order
         held, size = [], 0
 
         def send():
             _, rows, counts = _distinct(*map(np.concatenate, zip(*held)))
             held.clear()
-            return pd.DataFrame(_blocks(2, model.ranges.of(rows), in_32_bits(rows), in_32_bits(counts)), columns=NAMES)
+            return pd.DataFrame(_blocks(2, model.ranges.of(rows), rows, in_32_bits(counts)), columns=NAMES)
 
         for frame in (block for frame in frames for block in frame_blocks(frame)):
             hashes, starts = tokens(frame["raw"].tolist())
-            rows = ngram_rows(words.find(hashes)[0], starts, model.order, model.size)
+            rows = ngram_rows(words.find(hashes)[0], starts, order, model.size)
             _, rows, counts = _distinct(rows, np.ones(len(rows), np.int64))
             held.append((rows, counts))
             size += len(rows)
-            if size > GATHERED:
+            if size > 2 * GATHERED // (order + 2):
                 yield send()
                 size = 0
         if held:
@@ -206,8 +207,9 @@ def _counter(model: KneserNey):
 def _level(model: KneserNey, k: int):
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         number = int(frame["range_no"].iloc[0])
-        rows = np.concatenate([np.frombuffer(b, np.uint32).reshape(k, -1).T for b in frame["lines"]]).astype(np.uint64)
+        rows = np.concatenate([np.frombuffer(b, np.uint32).reshape(k, -1).T for b in frame["lines"]])
         counts = np.concatenate([np.frombuffer(b, np.uint32) for b in frame["counts"]]).astype(np.int64)
+        frame = frame.iloc[:0]
         key, rows, counts = _distinct(rows, counts)
         save(f"{model.folder}/grams{k}/{number:06d}.keys.npy", key)
         save(f"{model.folder}/grams{k}/{number:06d}.counts.npy", narrow(counts))
@@ -218,7 +220,7 @@ def _level(model: KneserNey, k: int):
             context, stats = _context_totals(key_of(rows[:, :-1]), counts)
             out += _blocks(1, range_of(_scatter(context), model.ranges.n), context, in_32_bits(stats))
             _, shorter, before = _distinct(rows[:, 1:], np.ones(len(rows), np.int64))
-            out += _blocks(2, model.ranges.of(shorter), in_32_bits(shorter), in_32_bits(before))
+            out += _blocks(2, model.ranges.of(shorter), shorter, in_32_bits(before))
         return pd.DataFrame(out, columns=NAMES)
 
     return merge
@@ -226,8 +228,13 @@ def _level(model: KneserNey, k: int):
 
 def _context_totals(context: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of each context: the summed counts, and how many n-grams were seen once, twice, more often."""
-    stats = np.stack([counts, counts == 1, counts == 2, counts > 2], axis=1).astype(np.int64)
-    return add_up_rows(context, stats)
+    if not len(context):
+        return context, np.zeros((0, 4), np.int64)
+    order = np.argsort(context)
+    context, counts = context[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+    columns = (counts, counts == 1, counts == 2, counts > 2)
+    return context[first], np.stack([np.add.reduceat(c, first, dtype=np.int64) for c in columns], axis=1)
 
 
 def add_up_rows(keys: np.ndarray, stats: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
