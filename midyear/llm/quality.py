@@ -1,17 +1,20 @@
-"""Robust multivariate outliers among text statistics, per language, source and length.
+"""Robust multivariate outliers among text statistics, per language and source.
 
-Every document becomes a vector of transformed statistics.  A group is the documents of a language and
-source in one class of ``LENGTHS``, as the statistics of short texts have other centres and wider
-spreads.  For each group a minimum-covariance-
-determinant estimate is found by concentration steps over all its rows: from medians and
-absolute deviations on, the ``share`` of rows nearest to the centre gives the next centre and
-covariance, until ``steps`` are done.  Documents whose Mahalanobis distance exceeds the bound go.
+Every document becomes a vector of transformed statistics.  Those of short texts have other centres and
+wider spreads, so they are first counted from the median of their language and class of ``LENGTHS``, in
+spreads of that class.  A group is the documents of a language and source, of any length.  For each group
+a minimum-covariance-determinant estimate is found by concentration steps over all its rows: the ``share``
+of rows nearest to a centre gives the next centre and covariance.  Each group begins from four starts
+(unit spreads, the rows' directions, two slices of the rows by a hash); after ``steps`` steps the one with
+the least determinant goes on until its determinant falls no more.  Documents whose Mahalanobis distance
+exceeds the bound go.
 
 Each step is two aggregations with partial sums, however the rows are spread over the groups; a
-group's rows are never gathered.  Groups under ``least_rows`` documents are judged by the estimate of their
-language and length, those under it by that of their length, lengths under it by that of all documents;
-under ``least_rows`` in all, only the base rules hold.  Null texts have no words and fail the base rules.  Null languages and sources are
-groups of their own.
+group's rows are never gathered.  Groups under ``least_rows`` documents (a covariance of eight statistics
+needs about six rows each) are judged by the estimate of their language, those under it by that of all
+documents; under ``least_rows`` in all, only the base rules hold.  Length classes widen in the same way.
+Null and empty texts have no words and fail the base rules.  Null languages and sources are groups of their
+own.  Repeated rows count each.  Without rows the result is empty.  Long texts are read whole.
 """
 
 from __future__ import annotations
@@ -36,6 +39,8 @@ FLOORS = (0.25, 0.03, 0.12, 0.10, 0.04, 0.05, 0.03, 0.08)
 CHANCE = (0.25, 0.05, 0.0, 0.0, 0.05, 0.05, 0.0, 0.05)
 #: Words from which on the next class of lengths begins.
 LENGTHS = (10, 40, 80, 160, 320, 640)
+#: Slices of rows of which two are starts; a fall of the logarithmic volume that counts as none.
+SLICES, SETTLED = 8, 1e-4
 
 SYMBOLS = b"#*$%&|<>"
 CAPITALS = string.ascii_uppercase.encode()
@@ -103,7 +108,7 @@ def _chi2_bound(z: float, d: int) -> float:
 
 
 def _fit(frames):
-    """Centre and inverse covariance of each group from its sums."""
+    """Centre, inverse covariance and its logarithmic volume of each start of a cell, from sums."""
     d = len(FEATURES)
     for frame in frames:
         out = []
@@ -114,9 +119,23 @@ def _fit(frames):
             for i in range(d):
                 for j in range(i, d):
                     cov[i, j] = cov[j, i] = getattr(row, f"s{i}_{j}") / n - mean[i] * mean[j]
-            cov += np.diag(np.square(FLOORS) + np.multiply(CHANCE, row.per_word))
-            out.append((row.cell, mean.tolist(), np.linalg.inv(cov).ravel().tolist()))
-        yield pd.DataFrame(out, columns=["cell", "centre", "inverse"])
+            cov += np.diag([getattr(row, f"l{i}") / n for i in range(d)])
+            out.append((row.cell, row.start, mean.tolist(), np.linalg.inv(cov).ravel().tolist(), np.linalg.slogdet(cov)[1]))
+        yield pd.DataFrame(out, columns=["cell", "start", "centre", "inverse", "volume"])
+
+
+FITTED = "cell string, start int, centre array<double>, inverse array<double>, volume double"
+
+
+def _estimates(rows: DataFrame) -> DataFrame:
+    """The estimate of each start of a cell from all of ``rows`` (cell, start, z, slack)."""
+    d = len(FEATURES)
+    z, slack = F.col("z"), F.col("slack")
+    sums = rows.groupBy("cell", "start").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(z[i]).alias(f"s{i}") for i in range(d)], *[F.sum(slack[i]).alias(f"l{i}") for i in range(d)],
+        *[F.sum(z[i] * z[j]).alias(f"s{i}_{j}") for i in range(d) for j in range(i, d)])
+    return cut_lineage(sums.mapInPandas(_fit, FITTED))
 
 
 def _distance(d: int) -> Column:
@@ -129,80 +148,119 @@ def _distance(d: int) -> Column:
 
 
 def _named(rows: DataFrame) -> DataFrame:
-    """``rows`` with a name of their group, nulls included."""
+    """``rows`` with names of their groups and of their length classes, nulls included."""
+    name = lambda prefix, *names: F.concat(F.lit(prefix), F.to_json(F.struct(*names), {"ignoreNullFields": "false"}))
     rows = rows.withColumn("_class", sum((F.col("n_words") >= n).cast("int") for n in LENGTHS))
-    return rows.withColumn("_own", F.to_json(F.struct("lang", "source", "_class"), {"ignoreNullFields": "false"}))
+    return rows.withColumns({
+        "_own": name("own:", "lang", "source"), "_lang": name("lang:", "lang"),
+        "_sized": name("sized:", "lang", "_class"), "_size": name("size:", "_class")})
+
 
+def _ladder(counts: DataFrame, own: str, wider: str, least_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Which cell serves each ``own`` group: itself, the wider one or all, whichever is large enough; and
+    the cells that the rows of each group count for."""
+    sized = counts.groupBy(own, wider).agg(F.sum("n").alias("n"))
+    sized = sized.join(sized.groupBy(wider).agg(F.sum("n").alias("n_wider")), wider)
+    cell = F.when(F.col("n") >= least_rows, F.col(own)).when(F.col("n_wider") >= least_rows, F.col(wider))
+    sized = cut_lineage(sized.withColumn("cell", cell.otherwise("all")))
+    parts = sized.select(own, F.explode(F.array(own, wider, F.lit("all"))).alias("cell"))
+    parts = parts.join(sized.select("cell").distinct(), "cell", "left_semi")
+    return sized.select(own, "cell"), cut_lineage(parts)
 
-def robust_estimates(rows: DataFrame, share: float, steps: int, least_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Which cell judges each group, and the cells' ``median, centre, inverse, scale``.
+
+def _yardsticks(known: DataFrame, counts: DataFrame, least_rows: int) -> DataFrame:
+    """Median, spread and share of the floor in it of each statistic, per language and class of lengths."""
+    d = len(FEATURES)
+    x, median = F.col("features"), F.col("median")
+    cells, parts = _ladder(counts, "_sized", "_size", least_rows)
+    known = known.select("_sized", "n_words", "features").join(parts, "_sized")
+    medians = cut_lineage(known.groupBy("cell").agg(
+        F.avg(1 / F.col("n_words")).alias("per_word"),
+        F.array(*[F.percentile_approx(x[i], 0.5) for i in range(d)]).alias("median")))
+    spread = known.join(medians, "cell").groupBy("cell").agg(
+        *[F.percentile_approx(F.abs(x[i] - median[i]), 0.5).alias(f"m{i}") for i in range(d)]).join(medians, "cell")
+    floor = [FLOORS[i] ** 2 + CHANCE[i] * F.col("per_word") for i in range(d)]
+    wide = [F.pow(1.4826 * F.col(f"m{i}"), 2) + floor[i] for i in range(d)]
+    spread = spread.select("cell", "median", F.array(*[F.sqrt(w) for w in wide]).alias("spread"),
+                           F.array(*[f / w for f, w in zip(floor, wide)]).alias("slack"))
+    return cut_lineage(cells.join(spread, "cell").select("_sized", "median", "spread", "slack"))
+
+
+def _starts(known: DataFrame) -> DataFrame:
+    """Rows by start: their directions from the centre, and two slices of them by a hash."""
+    d, z = len(FEATURES), F.col("z")
+    length = F.sqrt(sum(z[i] * z[i] for i in range(d)))
+    length = F.when(length > 0, length).otherwise(F.lit(1.0))
+    part = F.pmod(F.xxhash64("z"), F.lit(SLICES)).cast("int")
+    direction = F.array(*[z[i] / length for i in range(d)])
+    return known.select("cell", F.lit(1).alias("start"), direction.alias("z"), "slack").union(
+        known.filter(part < 2).select("cell", (part + 2).alias("start"), "z", "slack"))
+
+
+def _concentrated(known: DataFrame, params: DataFrame, share: float) -> DataFrame:
+    """One step: the estimates of the ``share`` of rows nearest to each present centre."""
+    placed = known.join(params.drop("volume"), "cell").withColumn("d2", _distance(len(FEATURES)))
+    near = cut_lineage(placed.groupBy("cell", "start").agg(F.percentile_approx("d2", share).alias("bound")))
+    core = placed.select("cell", "start", "z", "slack", "d2").join(near, ["cell", "start"]).filter("d2 <= bound")
+    return _estimates(core)
+
+
+def _least(params: DataFrame) -> DataFrame:
+    """Of the estimates of a cell the one with the least volume."""
+    best = F.min(F.struct("volume", "start", "centre", "inverse")).alias("best")
+    return cut_lineage(params.groupBy("cell").agg(best).select("cell", "best.start", "best.centre", "best.inverse", "best.volume"))
+
+
+def robust_estimates(rows: DataFrame, share: float, steps: int, least_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The yardsticks of lengths, which cell judges each group, and the cells' ``centre, inverse, volume, scale``.
 
     Runs jobs over ``rows`` (lang, source, n_words, features), which should be written already.
     Cells with too few rows are left out.
     """
     d = len(FEATURES)
-    wide = F.concat(F.lit("lang:"), F.to_json(F.struct("lang", "_class")))
-    length = F.concat(F.lit("length:"), F.col("_class"))
-    rows = _named(rows).withColumn("_lang", wide).withColumn("_length", length)
-    # the cell that judges a row: its own group, its language, its length or everything, whichever is large enough
-    counts = rows.filter("features IS NOT NULL").groupBy("_own", "_lang", "_length").agg(F.count(F.lit(1)).alias("n"))
-    counts = cut_lineage(counts)
-    langs = counts.groupBy("_lang").agg(F.sum("n").alias("n_lang"))
-    lengths = counts.groupBy("_length").agg(F.sum("n").alias("n_length"))
-    cells = counts.join(langs, "_lang").join(lengths, "_length").select(
-        "_own", F.when(F.col("n") >= least_rows, F.col("_own")).when(
-            F.col("n_lang") >= least_rows, F.col("_lang")).when(
-            F.col("n_length") >= least_rows, F.col("_length")).otherwise("all").alias("cell"))
-    cells = cut_lineage(cells)
-    # a group counts for its own estimate, and for the wider ones that small groups are judged by
-    parts = counts.select("_own", F.explode(F.array("_own", "_lang", "_length", F.lit("all"))).alias("cell"))
-    parts = cut_lineage(parts.join(cells.select("cell").distinct(), "cell", "left_semi"))
-    known = rows.filter("features IS NOT NULL").select("_own", "n_words", "features").join(parts, "_own").drop("_own")
-    medians = known.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array(*[F.percentile_approx(F.col("features")[i], 0.5) for i in range(d)]).alias("median"))
-    medians = cut_lineage(medians)
-    known = cut_lineage(known.join(medians, "cell").withColumn("z", _centred()))
-    per_word = F.avg(1 / F.col("n_words")).alias("per_word")
-    spread = known.groupBy("cell").agg(
-        per_word, *[F.percentile_approx(F.abs(F.col("z")[i]), 0.5).alias(f"m{i}") for i in range(d)])
-    first = F.array(*[
-        1 / F.greatest(F.pow(1.4826 * F.col(f"m{i}"), 2), FLOORS[i] ** 2 + CHANCE[i] * F.col("per_word"))
-        if i == j else F.lit(0.0)
-        for i in range(d) for j in range(d)])
-    params = cut_lineage(spread.select(
-        "cell", F.array(*[F.lit(0.0)] * d).alias("centre"), first.alias("inverse")))
+    rows = _named(rows.filter("features IS NOT NULL"))
+    counts = cut_lineage(rows.groupBy("_own", "_lang", "_sized", "_size").agg(F.count(F.lit(1)).alias("n")))
+    yards = _yardsticks(rows, counts, least_rows)
+    cells, parts = _ladder(counts, "_own", "_lang", least_rows)
+    known = cut_lineage(rows.join(yards, "_sized").join(parts, "_own").select("cell", _standard().alias("z"), "slack"))
+    names = known.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    sizes = cut_lineage(names.filter(F.col("n") >= least_rows))
+    unit = F.array(*[F.lit(float(i == j)) for i in range(d) for j in range(d)])
+    plain = sizes.select("cell", F.lit(0).alias("start"), F.array(*[F.lit(0.0)] * d).alias("centre"),
+                         unit.alias("inverse"), F.lit(0.0).alias("volume"))
+    params = plain.union(_estimates(_starts(known)).join(sizes, "cell", "left_semi"))
     for _ in range(steps):
-        placed = known.join(params, "cell").withColumn("d2", _distance(d))
-        near = cut_lineage(placed.groupBy("cell").agg(F.percentile_approx("d2", share).alias("bound")))
-        core = placed.join(near, "cell").filter("d2 <= bound")
-        sums = core.groupBy("cell").agg(
-            F.count(F.lit(1)).alias("n"), per_word,
-            *[F.sum(F.col("z")[i]).alias(f"s{i}") for i in range(d)],
-            *[F.sum(F.col("z")[i] * F.col("z")[j]).alias(f"s{i}_{j}") for i in range(d) for j in range(i, d)])
-        params = cut_lineage(sums.mapInPandas(_fit, "cell string, centre array<double>, inverse array<double>"))
-    placed = known.join(params, "cell").withColumn("d2", _distance(d))
+        params = _concentrated(known, params, share)
+    live, settled = _least(params), None
+    while live.count():  # every step lowers a cell's volume by a part of SETTLED, or settles the cell
+        now = _concentrated(known, live, share).select("cell", *[F.col(c).alias(f"_{c}") for c in ("centre", "inverse", "volume")])
+        both = cut_lineage(live.join(now, "cell").withColumn("falls", F.col("_volume") < F.col("volume") - SETTLED))
+        done = both.filter("NOT falls").select("cell", "start", "centre", "inverse", "volume")
+        settled = done if settled is None else settled.union(done)
+        live = both.filter("falls").select("cell", "start", F.col("_centre").alias("centre"),
+                                           F.col("_inverse").alias("inverse"), F.col("_volume").alias("volume"))
+    if settled is None:
+        settled = live
+    placed = known.join(settled, "cell").withColumn("d2", _distance(d))
     middle = placed.groupBy("cell").agg(F.percentile_approx("d2", 0.5).alias("middle"))
     # the nearest share underestimates the spread; where the floors make it wide, it stays
     scale = F.least(F.lit(1.0), _chi2_bound(0.0, d) / F.nullif(F.col("middle"), F.lit(0.0)))
-    scaled = params.join(cut_lineage(middle), "cell").join(
-        medians.select("cell", "n", "median"), "cell")
-    scaled = cut_lineage(scaled.filter(F.col("n") >= least_rows).withColumn("scale", scale).drop("middle", "n"))
-    return cells, scaled
+    scaled = settled.drop("start").join(cut_lineage(middle), "cell").withColumn("scale", scale).drop("middle")
+    return yards, cells, cut_lineage(scaled)
 
 
-def _centred() -> Column:
-    """Distances from the median."""
-    return F.array(*[F.col("features")[i] - F.col("median")[i] for i in range(len(FEATURES))])
+def _standard() -> Column:
+    """Statistics as gaps from the median of their length, in spreads of that length."""
+    return F.array(*[(F.col("features")[i] - F.col("median")[i]) / F.col("spread")[i] for i in range(len(FEATURES))])
 
 
 def quality_rules(
     docs: DataFrame,
     carry: tuple[str, ...] = ("doc_id",),
     share: float = 0.75,
-    steps: int = 3,
+    steps: int = 2,
     deviate: float = 2.33,
-    least_rows: int = 200,
+    least_rows: int = 50,
 ) -> DataFrame:
     """Columns ``carry``, the base counts, ``base_failed``, ``distance`` and ``kept`` per document.
 
@@ -211,12 +269,13 @@ def quality_rules(
     """
     groups = ("lang", "source")
     held = with_statistics(docs.select(*groups, "text"), groups)
-    cells, scaled = robust_estimates(
+    yards, cells, scaled = robust_estimates(
         cut_lineage(held.select(*groups, "n_words", "features")), share, steps, least_rows)
     rows = docs.select(F.struct(*dict.fromkeys(carry)).alias("row"), *groups, "text")
-    judged = _named(with_statistics(rows, ("row", *groups))).join(cells, "_own", "left").join(scaled, "cell", "left")
+    judged = _named(with_statistics(rows, ("row", *groups))).join(cells, "_own", "left").join(
+        scaled, "cell", "left").join(yards, "_sized", "left")
     distance = F.col("scale") * _distance(len(FEATURES))
-    judged = judged.withColumn("z", _centred()).withColumn("distance", distance)
+    judged = judged.withColumn("z", _standard()).withColumn("distance", distance)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     usual = F.coalesce(F.col("distance") <= _chi2_bound(deviate, len(FEATURES)), F.lit(True))
     return judged.select(

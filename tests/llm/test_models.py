@@ -342,3 +342,50 @@ def test_more_ranges_than_files_may_be_open(documents, monkeypatch):
     of = Counter(place.tolist())
     assert all(of[p] == c for p, c in zip(place.tolist(), count.tolist()))
     assert (model.words.counts_at(place) == count).all()
+
+
+def test_estimates_concentrate_as_far_as_by_hand(spark, documents):
+    from midyear.llm import quality
+
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefghijKL,"), rng.integers(2, 9)))
+    texts = [" ".join(word() for _ in range(rng.integers(10, 120))) for _ in range(70)]
+    texts += [" ".join(word().upper() + "!#" for _ in range(rng.integers(10, 120))) for _ in range(14)]
+    docs = documents([(i, t, "en", "a") for i, t in enumerate(texts)])
+    rows = quality.with_statistics(docs, ("lang", "source")).select("lang", "source", "n_words", "features")
+    yards, cells, scaled = quality.robust_estimates(rows, 0.75, 2, 50)
+    found = scaled.collect()
+    assert [r.cell for r in cells.collect()] == [r.cell for r in found] and len(found) == 1
+    known = quality._named(rows).join(yards, "_sized").select(quality._standard().alias("z"), "slack").collect()
+    z, slack = np.array([r.z for r in known]), np.array([r.slack for r in known])
+    core = int(np.ceil(0.75 * len(z)))
+
+    def estimate(some):
+        return z[some].mean(axis=0), np.cov(z[some].T, bias=True) + np.diag(slack[some].mean(axis=0))
+
+    def volume(centre, cov):
+        return np.linalg.slogdet(cov)[1]
+
+    least = math.inf
+    for _ in range(300):
+        now = estimate(rng.choice(len(z), 12, replace=False))
+        for _ in range(30):
+            gap = z - now[0]
+            now = estimate(np.argsort(np.einsum("ij,jk,ik->i", gap, np.linalg.inv(now[1]), gap))[:core])
+        least = min(least, volume(*now))
+    assert found[0].volume == pytest.approx(least, abs=0.05)
+    gap = z - np.array(found[0].centre)
+    far = np.einsum("ij,jk,ik->i", gap, np.array(found[0].inverse).reshape(8, 8), gap)
+    kept = estimate(np.argsort(far)[:core])  # one more step changes nothing
+    assert volume(*kept) == pytest.approx(found[0].volume, abs=0.01)
+
+
+def test_documents_are_judged_by_their_language_and_source(spark):
+    from midyear.llm import quality
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = quality.with_statistics(docs, ("lang", "source")).filter("features IS NOT NULL")
+    counts = quality._named(rows).groupBy("_own", "_lang").agg(F.count("*").alias("n"))
+    cells, _ = quality._ladder(counts, "_own", "_lang", 50)
+    own = counts.join(cells, "_own").filter("cell = _own").agg(F.sum("n")).first()[0]
+    assert own > 0.9 * counts.agg(F.sum("n")).first()[0]
