@@ -84,17 +84,31 @@ def _distinct(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return key[first], rows[order[first]], summed
 
 
-def _blocks(kind: int, where: np.ndarray, *arrays: np.ndarray) -> list[tuple]:
-    """One row per range with its lines of ``arrays``, packed; counts last."""
-    order = np.argsort(where, kind="stable")
+def _blocks(kind: int, where: np.ndarray, near: np.ndarray, *arrays: np.ndarray) -> list[tuple]:
+    """One row per range with its lines of ``arrays``, packed, in the order of ``near``; counts last."""
+    order = np.lexsort((near, where))
     cuts = np.flatnonzero(np.concatenate([[True], np.diff(where[order]) != 0])) if len(where) else []
     out = []
     for a, b in zip(cuts, [*cuts[1:], len(where)]):
         at = order[a:b]
-        out.append((kind, int(where[at[0]]), *[array[at].tobytes(order="F") for array in arrays]))
+        out.append((kind, int(where[at[0]]), *[_packed(array[at]) for array in arrays]))
     return out
 
 
+def _packed(array: np.ndarray) -> bytes:
+    """Column by column, and of each the lowest bytes first, then the next: in order, they shrink on their way."""
+    lines = array.reshape(len(array), -1)
+    return np.ascontiguousarray(lines.T).view(np.uint8).reshape(lines.shape[1], len(array), -1).transpose(0, 2, 1).tobytes()
+
+
+def _unpacked(packed: pd.Series, kind: type, width: int = 1) -> np.ndarray:
+    """The lines of all blocks, one below the other."""
+    size = np.dtype(kind).itemsize
+    parts = [np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(width, size, -1).transpose(2, 0, 1)).view(kind)[:, :, 0]
+             for b in packed]
+    return np.concatenate(parts) if width > 1 else np.concatenate(parts)[:, 0]
+
+
 SENT = "kind int, range_no int, lines binary, counts binary"
 NAMES = ["kind", "range_no", "lines", "counts"]
 
@@ -187,7 +201,7 @@ def _counter(model: KneserNey):
         def send():
             _, rows, counts = _distinct(*map(np.concatenate, zip(*held)))
             held.clear()
-            return pd.DataFrame(_blocks(2, model.ranges.of(rows), rows, in_32_bits(counts)), columns=NAMES)
+            return pd.DataFrame(_blocks(2, model.ranges.of(rows), key_of(rows[:, :2]), rows, in_32_bits(counts)), columns=NAMES)
 
         for frame in (block for frame in frames for block in frame_blocks(frame)):
             hashes, starts = tokens(frame["raw"].tolist())
@@ -207,8 +221,8 @@ def _counter(model: KneserNey):
 def _level(model: KneserNey, k: int):
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         number = int(frame["range_no"].iloc[0])
-        rows = np.concatenate([np.frombuffer(b, np.uint32).reshape(k, -1).T for b in frame["lines"]])
-        counts = np.concatenate([np.frombuffer(b, np.uint32) for b in frame["counts"]]).astype(np.int64)
+        rows = _unpacked(frame["lines"], np.uint32, k).reshape(-1, k)
+        counts = _unpacked(frame["counts"], np.uint32).astype(np.int64)
         frame = frame.iloc[:0]
         key, rows, counts = _distinct(rows, counts)
         save(f"{model.folder}/grams{k}/{number:06d}.keys.npy", key)
@@ -218,9 +232,9 @@ def _level(model: KneserNey, k: int):
         out = [(0, number, b"", np.array(often + least, np.int64).tobytes())]
         if k > 1:
             context, stats = _context_totals(key_of(rows[:, :-1]), counts)
-            out += _blocks(1, range_of(_scatter(context), model.ranges.n), context, in_32_bits(stats))
+            out += _blocks(1, range_of(_scatter(context), model.ranges.n), context, context, in_32_bits(stats))
             _, shorter, before = _distinct(rows[:, 1:], np.ones(len(rows), np.int64))
-            out += _blocks(2, model.ranges.of(shorter), shorter, in_32_bits(before))
+            out += _blocks(2, model.ranges.of(shorter), key_of(shorter[:, :2]), shorter, in_32_bits(before))
         return pd.DataFrame(out, columns=NAMES)
 
     return merge
@@ -250,8 +264,7 @@ def _contexts(model: KneserNey, k: int):
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         number = int(frame["range_no"].iloc[0])
         keys, stats = add_up_rows(
-            np.concatenate([np.frombuffer(b, np.uint64) for b in frame["lines"]]),
-            np.concatenate([np.frombuffer(b, np.uint32).reshape(4, -1).T for b in frame["counts"]]).astype(np.int64))
+            _unpacked(frame["lines"], np.uint64), _unpacked(frame["counts"], np.uint32, 4).astype(np.int64))
         save(f"{model.folder}/contexts{k}/{number:06d}.keys.npy", keys)
         save(f"{model.folder}/contexts{k}/{number:06d}.counts.npy", np.ascontiguousarray(narrow(stats)))
         return pd.DataFrame({"range_no": [number]})
