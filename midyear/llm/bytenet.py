@@ -6,15 +6,18 @@ filter, and a logistic unit turns the maxima into a chunk's log odds.  A documen
 probability at the mean of its chunks' log odds; chunks cover the document to its last byte.
 
 The unit weighs the maxima anew by how much of a chunk is missing, as short chunks have lower ones.
-Filters and unit are learned together by gradient descent on at most ``per_class`` documents of either
-label, taken by a hash of their id, with at most three chunks each and a copy of each, cut to a random length.  Null and empty texts
-count as one chunk of zero bytes.  Without labels of both kinds every score is 0.5.
+Filters and unit are learned together by gradient descent on the loss of whole documents, whose odds are
+the means over all their chunks, and each round of a short and a longer part of each, cut from any
+place.  The sample is at most ``per_class`` documents of either label, in the order of a hash of their id, of
+at most ``doc_bytes`` each and ``label_bytes`` together; a document is in it whole or not at all.  Null and empty texts count as one chunk
+of zero bytes; repeated rows are learned from once per id and scored alike.  Without labels of both kinds,
+as with empty tables, every score is 0.5.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from midyear.llm.texts import map_texts
@@ -69,45 +72,79 @@ class ByteNet:
         return float(1 / (1 + np.exp(-np.clip(odds.mean(dtype=np.float64), -30, 30))))
 
 
-def train(chunks: list[bytes], labels: np.ndarray, rounds: int = 8, batch: int = 64, seed: int = 5) -> ByteNet:
-    """Adam on the log loss of chunks; both labels weigh alike."""
+def _laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All texts side by side, each from a whole step on; where their steps begin, and which windows are theirs."""
+    sizes = np.array([len(t) for t in texts])
+    steps = np.maximum(1, -(-sizes // STEP))
+    first = np.concatenate([[0], np.cumsum(steps)])
+    raw = np.frombuffer(b"".join(t.ljust(n * STEP, b"\0") for t, n in zip(texts, steps)) + bytes(WIDTH), np.uint8)
+    spots = np.arange(first[-1] * GROUP) * STRIDE - np.repeat(first[:-1] * STEP, steps * GROUP)
+    within = spots <= np.repeat(np.maximum(sizes, WIDTH + STRIDE) - WIDTH, steps * GROUP)
+    return raw, first, within
+
+
+def _step_maxima(net: ByteNet, raw: np.ndarray, within: np.ndarray, piece: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """Each filter's maximum in each step, and the byte where its window begins; ``piece`` steps at once."""
+    n = len(within) // GROUP
+    maxima, where = np.empty((n, FILTERS), np.float32), np.empty((n, FILTERS), np.int64)
+    for a in range(0, n, piece):
+        b = min(n, a + piece)
+        answers = net._answers(raw[a * STEP : b * STEP + WIDTH])[: (b - a) * GROUP]
+        answers[~within[a * GROUP : b * GROUP]] = 0
+        answers = answers.reshape(b - a, GROUP, FILTERS)
+        best = answers.argmax(axis=1)
+        maxima[a:b] = np.take_along_axis(answers, best[:, None], axis=1)[:, 0]
+        where[a:b] = (np.arange(a, b)[:, None] * GROUP + best) * STRIDE
+    return maxima, where
+
+
+def _slopes(net: ByteNet, texts: list[bytes], labels: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
+    """Slopes of the loss on the documents' odds, the means over all their chunks."""
+    raw, first, within = _laid_out(texts)
+    maxima, where = _step_maxima(net, raw, within)
+    sizes = np.array([len(t) for t in texts])
+    n_chunks = np.maximum(1, -(-np.maximum(0, sizes - (CHUNK - STEP)) // STEP))
+    doc = np.repeat(np.arange(len(texts)), n_chunks)
+    nth = np.arange(len(doc)) - np.repeat(np.cumsum(n_chunks) - n_chunks, n_chunks)
+    low = first[doc] + nth
+    high = np.minimum(low + 1, first[doc + 1] - 1)  # a chunk is two steps, or a text's only one
+    later = maxima[high] > maxima[low]
+    maxima, where = np.where(later, maxima[high], maxima[low]), np.where(later, where[high], where[low])
+    missing = (1 - np.clip(sizes[doc] - STEP * nth, 0, CHUNK) / CHUNK).astype(np.float32)
+    odds = np.bincount(doc, net.odds(maxima, missing)) / n_chunks
+    error = (1 / (1 + np.exp(-np.clip(odds, -30, 30))) - labels) * weight / len(texts)
+    error = (error / n_chunks)[doc].astype(np.float32)
+    through = error[:, None] * (net.out[:FILTERS] + missing[:, None] * net.out[FILTERS:]) * (maxima > 0)
+    spots = raw[where[:, :, None] + np.arange(WIDTH)]  # chunk, filter, byte
+    picked = net.embed[spots].reshape(len(doc), FILTERS, WIDTH * EMBED)
+    d_filters = np.einsum("cf,cfw->wf", through, picked)
+    d_points = (through[:, :, None] * net.filters.T[None]).reshape(-1, EMBED)
+    d_embed = np.stack([np.bincount(spots.reshape(-1), d_points[:, e], 256) for e in range(EMBED)], axis=1)
+    d_out = np.concatenate([maxima.T @ error, maxima.T @ (error * missing)]) + 1e-4 * net.out
+    return [d_embed.astype(np.float32), d_filters, through.sum(axis=0), d_out,
+            np.array([(error * missing).sum()], np.float32), np.array([error.sum()], np.float32)]
+
+
+def _copies(texts: list[bytes], rng: np.random.Generator, least: int) -> list[bytes]:
+    """A part of each text from any place, with a length from ``least`` to ``CHUNK`` bytes, whatever its label."""
+    lengths = np.exp(rng.uniform(np.log(least), np.log(CHUNK), len(texts))).astype(int)
+    starts = [int(rng.integers(0, max(0, len(t) - n) + 1)) for t, n in zip(texts, lengths)]
+    return [t[a : a + n] for t, a, n in zip(texts, starts, lengths)]
+
+
+def train(texts: list[bytes], labels: np.ndarray, rounds: int = 8, batch: int = 64, seed: int = 5) -> ByteNet:
+    """Adam on the log loss of whole documents and, each round, of new copies of parts; both labels weigh alike."""
     net, rng = ByteNet(seed), np.random.default_rng(seed)
-    # lengths are drawn alike for both labels, so that they say nothing about the label
-    lengths = np.exp(rng.uniform(np.log(6), np.log(CHUNK), len(chunks)))
-    shorter = [c[: int(n)] for c, n in zip(chunks, lengths)]
-    chunks, labels = chunks + shorter, np.concatenate([labels, labels])
     weight = np.where(labels == 1, 0.5 / (labels == 1).mean(), 0.5 / (labels == 0).mean()).astype(np.float32)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parameters()]
-    step, n_steps = 0, rounds * -(-len(chunks) // batch)
-    n = (CHUNK - WIDTH) // STRIDE + 1
+    step, n_steps = 0, rounds * -(-3 * len(texts) // batch)
     for _ in range(rounds):
-        order = rng.permutation(len(chunks))
+        seen = texts + _copies(texts, rng, 6) + _copies(texts, rng, CHUNK // 2)
+        order = rng.permutation(len(seen))
         for first in range(0, len(order), batch):
             some = order[first : first + batch]
-            sizes = np.array([len(chunks[i]) for i in some])
-            raw = np.frombuffer(b"".join(chunks[i].ljust(CHUNK, b"\0") for i in some), np.uint8).reshape(len(some), CHUNK)
-            points = net.embed[raw].reshape(len(some), -1)
-            windows = np.lib.stride_tricks.sliding_window_view(points, WIDTH * EMBED, axis=1)[:, :: EMBED * STRIDE]
-            answers = np.maximum(windows @ net.filters + net.offset, 0)  # chunk, place, filter
-            places = np.arange(n) * STRIDE
-            answers[np.broadcast_to((places[None, :] >= np.maximum(sizes, 1)[:, None])[:, :, None], answers.shape)] = 0
-            best = answers.argmax(axis=1)
-            maxima = np.take_along_axis(answers, best[:, None, :], axis=1)[:, 0]
-            missing = (1 - sizes / CHUNK).astype(np.float32)
-            odds = net.odds(maxima, missing)
-            error = (1 / (1 + np.exp(-np.clip(odds, -30, 30))) - labels[some]) * weight[some] / len(some)
-            error = error.astype(np.float32)
-            through = error[:, None] * (net.out[:FILTERS] + missing[:, None] * net.out[FILTERS:]) * (maxima > 0)
-            row = np.arange(len(some))[:, None]
-            picked = windows[row, best]  # chunk, filter, window
-            d_filters = np.einsum("cf,cfw->wf", through, picked)
-            d_points = through[:, :, None] * net.filters.T[None]
-            d_embed = np.zeros_like(net.embed)
-            spots = raw[row[:, :, None], (best * STRIDE)[:, :, None] + np.arange(WIDTH)]
-            np.add.at(d_embed, spots.reshape(-1), d_points.reshape(-1, EMBED))
-            d_out = np.concatenate([maxima.T @ error, maxima.T @ (error * missing)]) + 1e-4 * net.out
-            slopes = [d_embed, d_filters, through.sum(axis=0), d_out,
-                      np.array([(error * missing).sum()], np.float32), np.array([error.sum()], np.float32)]
+            own = some % len(texts)
+            slopes = _slopes(net, [seen[i] for i in some], labels[own], weight[own])
             step += 1
             rate = 0.01 * (1 - 0.9 * step / n_steps)
             for p, slope, (m, v) in zip(net.parameters(), slopes, moments):
@@ -121,7 +158,9 @@ def train(chunks: list[bytes], labels: np.ndarray, rounds: int = 8, batch: int =
     return net
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000) -> ByteNet | None:
+def fit(
+    docs: DataFrame, labels: DataFrame, per_class: int = 2000, doc_bytes: int = 1 << 16, label_bytes: int = 1 << 23,
+) -> ByteNet | None:
     """A network from ``docs`` (doc_id, text) and ``labels`` (doc_id, quality); runs its jobs."""
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.min("quality").alias("quality"))
@@ -131,19 +170,16 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000) -> ByteNet |
         taken.append(some)
     ids = F.broadcast(taken[0].union(taken[1]))  # at most 2 * per_class rows
     raw = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
-    size = F.length("raw")
-    last = F.greatest(F.lit(0), size - CHUNK)
-    starts = F.array_distinct(F.array(F.lit(0), F.floor(last / 2).cast("int"), last.cast("int")))
-    once = docs.select("doc_id", raw.alias("raw")).join(ids, "doc_id").groupBy("doc_id", "quality").agg(
-        F.min("raw").alias("raw"))  # of rows with one id the least text
-    chunks = once.select(
-        "doc_id", "quality", "raw", F.explode(starts).alias("start")).select(
-        "doc_id", "quality", "start", F.substring("raw", F.col("start") + 1, F.lit(CHUNK)).alias("chunk"))
-    rows = chunks.toPandas()  # within three chunks of each document of the sample
-    rows = rows.sort_values(["doc_id", "start"], kind="stable")
+    once = docs.select("doc_id", raw.alias("raw")).filter(F.length("raw") <= doc_bytes).join(ids, "doc_id").groupBy(
+        "doc_id", "quality").agg(F.min("raw").alias("raw"))  # of rows with one id the least text
+    so_far = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)  # over at most per_class rows
+    rows = once.withColumn("bytes", F.sum(F.length("raw")).over(so_far)).filter(
+        F.col("bytes") <= label_bytes).drop("bytes").toPandas()
+    rows = rows.sort_values("doc_id", kind="stable")
     if rows["quality"].nunique() < 2:
         return None
-    return train([bytes(c) for c in rows["chunk"]], rows["quality"].to_numpy(np.float32))
+    return train([bytes(t) for t in rows["raw"]], rows["quality"].to_numpy(np.float32))
 
 
 def score(docs: DataFrame, net: ByteNet | None, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
