@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -40,6 +41,24 @@ def shared_files(spark: SparkSession, name: str) -> str:
     return path
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a table that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Executions started within let their shuffle files go when they end, not when the driver collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def save(path: str, array: np.ndarray) -> None:
     """Write whole or not at all, so that a task may run again at any time."""
     part = f"{path}.{uuid.uuid4().hex}"

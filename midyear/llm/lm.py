@@ -22,10 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from midyear.llm.hasharrays import (
-    GATHERED, HashArray, add_up, count_keys, in_32_bits, narrow, range_of, save, shards_for, shared_files,
+    GATHERED, HashArray, add_up, count_keys, in_32_bits, narrow, range_of, remove, save, shards_for,
+    shared_files, shuffles_go,
 )
 from midyear.llm.texts import Words, frame_blocks, map_texts, mix
-from midyear.sources.shared import cut_lineage
+from midyear.sources.shared import fresh_path
 
 END = np.uint64(xxhash.xxh64_intdigest(b" "))  # a space is in no word
 
@@ -166,27 +167,41 @@ def fit(docs: DataFrame, order: int = 3) -> KneserNey:
     folder = shared_files(spark, "kneser-ney")
     for name in ["words", *[f"grams{k}" for k in range(1, order + 1)], *[f"contexts{k}" for k in range(2, order + 1)]]:
         shared_sub(folder, name)
-    vocabulary = count_keys(docs, lambda texts: tokens(texts)[0], f"{folder}/words", n)
-    start = np.concatenate([[0], np.cumsum(vocabulary["n_keys"])])
-    bound = vocabulary["total"].sum() / (4 * n)
-    frequent = [s + p for s, places, counts in zip(start, vocabulary["top"], vocabulary["top_counts"])
-                for p, c in zip(places, counts) if c > bound]
-    model = KneserNey(folder, Ranges(n, np.array(frequent, np.uint64)), order, vocabulary)
-    sent = docs.select(F.col("text").cast("binary").alias("raw")).mapInPandas(_counter(model), SENT)
-    for k in range(order, 0, -1):
-        made = cut_lineage(sent.groupBy("range_no").applyInPandas(_level(model, k), SENT))
-        totals = np.zeros(9, np.int64)
-        for row in made.filter("kind = 0").collect():  # one row a range
-            totals += np.frombuffer(row["counts"], np.int64)
-        model.discounts[k] = _discounts(totals[:4])
-        if k == 1:
-            model.empty = totals[4:8]
-        else:
-            made.filter("kind = 1").groupBy("range_no").applyInPandas(_contexts(model, k), "range_no int").count()
-            sent = made.filter("kind = 2")
+    with shuffles_go(spark):
+        vocabulary = count_keys(docs, lambda texts: tokens(texts)[0], f"{folder}/words", n)
+        start = np.concatenate([[0], np.cumsum(vocabulary["n_keys"])])
+        bound = vocabulary["total"].sum() / (4 * n)
+        frequent = [s + p for s, places, counts in zip(start, vocabulary["top"], vocabulary["top_counts"])
+                    for p, c in zip(places, counts) if c > bound]
+        model = KneserNey(folder, Ranges(n, np.array(frequent, np.uint64)), order, vocabulary)
+        sent = docs.select(F.col("text").cast("binary").alias("raw")).mapInPandas(_counter(model), SENT)
+        above = None
+        for k in range(order, 0, -1):
+            held = _written(sent.groupBy("range_no").applyInPandas(_level(model, k), SENT))
+            made = spark.read.schema(SENT).parquet(held)
+            totals = np.zeros(9, np.int64)
+            for row in made.filter("kind = 0").collect():  # one row a range
+                totals += np.frombuffer(row["counts"], np.int64)
+            model.discounts[k] = _discounts(totals[:4])
+            if k == 1:
+                model.empty = totals[4:8]
+            else:
+                made.filter("kind = 1").groupBy("range_no").applyInPandas(_contexts(model, k), "range_no int").count()
+                sent = made.filter("kind = 2")
+            if above:
+                remove(spark, above)  # this level's rows are written: nothing reads those any more
+            above = held
+        remove(spark, above)
     return model
 
 
+def _written(df: DataFrame) -> str:
+    """Write ``df`` once to the shared folder, packed small (runs a job)."""
+    path = fresh_path(df.sparkSession, "kneser-ney-level")
+    df.write.option("compression", "zstd").parquet(path)
+    return path
+
+
 def shared_sub(folder: str, name: str) -> None:
     import os
 
