@@ -27,6 +27,8 @@ GATHERED = 2_000_000
 TOP = 32
 #: Files that a task holds open per array, and the name of the file that says where each range begins.
 OPEN, STARTS = 64, "starts.npy"
+#: In arrays of single bytes, the sign that a row's counts stand among the large ones.
+ESCAPE = 255
 
 
 def shared_files(spark: SparkSession, name: str) -> str:
@@ -72,6 +74,17 @@ def narrow(counts: np.ndarray) -> np.ndarray:
     return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
 
 
+def save_counts(path: str, counts: np.ndarray) -> None:
+    """One byte a count; rows with a count of 255 or more go to a second file with their places."""
+    rows = counts.reshape(len(counts), -1)
+    large = np.flatnonzero((rows >= ESCAPE).any(axis=1))
+    if len(large):
+        save(path.replace(".counts.", ".large."), np.column_stack([large, rows[large]]).astype(np.int64))
+    small = np.minimum(counts, ESCAPE).astype(np.uint8)
+    small[large] = ESCAPE
+    save(path, small)
+
+
 def in_32_bits(values: np.ndarray) -> np.ndarray:
     """Counts or numbers as they travel; larger ones fail instead of being cut."""
     if len(values) and int(values.max()) >> 32:
@@ -192,10 +205,11 @@ class HashArray:
     """The arrays of a folder, read in a task range by range.
 
     Places count through all ranges where ``count_keys`` wrote the folder, else within their range.
+    ``bytes`` says that ``save_counts`` wrote the counts.
     """
 
-    def __init__(self, folder: str, n_ranges: int, width: tuple[int, ...] = ()):
-        self.folder, self.n_ranges, self.width = folder, n_ranges, width
+    def __init__(self, folder: str, n_ranges: int, width: tuple[int, ...] = (), bytes: bool = False):
+        self.folder, self.n_ranges, self.width, self.bytes = folder, n_ranges, width, bytes
         self.files = Mapped()
         self.starts = np.load(f"{folder}/{STARTS}") if os.path.exists(f"{folder}/{STARTS}") else None
 
@@ -205,6 +219,13 @@ class HashArray:
             return np.zeros(0, np.uint64), np.zeros((0, *self.width), np.int64)
         return keys, self.files.get(f"{self.folder}/{k:06d}.counts.npy")
 
+    def _large(self, k: int, at: np.ndarray, count: np.ndarray, there: np.ndarray) -> None:
+        """Put in the counts that are too large for a byte."""
+        marked = np.flatnonzero(count[there].reshape(len(there), -1)[:, 0] == ESCAPE) if len(there) else there
+        if len(marked):
+            large = self.files.get(f"{self.folder}/{k:06d}.large.npy")
+            count[there[marked]] = large[np.searchsorted(large[:, 0], at[marked]), 1:].reshape(len(marked), *self.width)
+
     def counts_at(self, places: np.ndarray) -> np.ndarray:
         """Counts of keys by their places."""
         asked, back = np.unique(places, return_inverse=True)
@@ -233,6 +254,8 @@ class HashArray:
                 there = np.flatnonzero(stored[at] == asked[rows]) + cuts[k]
                 place[there] = at[there - cuts[k]] + (0 if self.starts is None else self.starts[k])
                 count[there] = counts[at[there - cuts[k]]]
+                if self.bytes:
+                    self._large(k, at[there - cuts[k]], count, there)
         spot = np.empty(len(order), np.int64)
         spot[order] = np.arange(len(order))
         return place[spot[back]], count[spot[back]]

@@ -22,10 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from midyear.llm.hasharrays import (
-    GATHERED, HashArray, add_up, count_keys, in_32_bits, narrow, range_of, remove, save, shards_for,
-    shared_files, shuffles_go,
+    GATHERED, HashArray, add_up, count_keys, in_32_bits, range_of, remove, save, save_counts,
+    shards_for, shared_files, shuffles_go,
 )
-from midyear.llm.texts import Words, frame_blocks, map_texts, mix
+from midyear.llm.texts import Words, frame_blocks, give_back, map_texts, mix
 from midyear.sources.shared import fresh_path
 
 END = np.uint64(xxhash.xxh64_intdigest(b" "))  # a space is in no word
@@ -126,8 +126,9 @@ class KneserNey:
 
     def open(self) -> "KneserNey":
         self.words = HashArray(f"{self.folder}/words", self.ranges.n)
-        self.grams = {k: HashArray(f"{self.folder}/grams{k}", self.ranges.n) for k in range(1, self.order + 1)}
-        self.contexts = {k: HashArray(f"{self.folder}/contexts{k}", self.ranges.n, (4,)) for k in range(2, self.order + 1)}
+        self.grams = {k: HashArray(f"{self.folder}/grams{k}", self.ranges.n, bytes=True) for k in range(1, self.order + 1)}
+        self.contexts = {k: HashArray(f"{self.folder}/contexts{k}", self.ranges.n, (4,), bytes=True)
+                         for k in range(2, self.order + 1)}
         return self
 
     def probabilities(self, rows: np.ndarray) -> np.ndarray:
@@ -187,7 +188,8 @@ def fit(docs: DataFrame, order: int = 3) -> KneserNey:
                 model.empty = totals[4:8]
             else:
                 made.filter("kind = 1").groupBy("range_no").applyInPandas(_contexts(model, k), "range_no int").count()
-                sent = made.filter("kind = 2")
+                remove(spark, f"{held}/kind=1")
+                sent = spark.read.schema(SENT).parquet(held).filter("kind = 2")
             if above:
                 remove(spark, above)  # this level's rows are written: nothing reads those any more
             above = held
@@ -196,9 +198,9 @@ def fit(docs: DataFrame, order: int = 3) -> KneserNey:
 
 
 def _written(df: DataFrame) -> str:
-    """Write ``df`` once to the shared folder, packed small (runs a job)."""
+    """Write ``df`` once to the shared folder, packed small, each kind in its own folder (runs a job)."""
     path = fresh_path(df.sparkSession, "kneser-ney-level")
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy("kind").parquet(path)
     return path
 
 
@@ -227,21 +229,24 @@ def _counter(model: KneserNey):
             if size > 2 * GATHERED // (order + 2):
                 yield send()
                 size = 0
+                give_back()
         if held:
             yield send()
+        give_back()
 
     return run
 
 
 def _level(model: KneserNey, k: int):
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         number = int(frame["range_no"].iloc[0])
         rows = _unpacked(frame["lines"], np.uint32, k).reshape(-1, k)
         counts = _unpacked(frame["counts"], np.uint32).astype(np.int64)
         frame = frame.iloc[:0]
         key, rows, counts = _distinct(rows, counts)
         save(f"{model.folder}/grams{k}/{number:06d}.keys.npy", key)
-        save(f"{model.folder}/grams{k}/{number:06d}.counts.npy", narrow(counts))
+        save_counts(f"{model.folder}/grams{k}/{number:06d}.counts.npy", counts)
         often = [int((counts == c).sum()) for c in (1, 2, 3, 4)]
         least = [int(counts.sum()), often[0], often[1], int((counts > 2).sum()), len(key)]
         out = [(0, number, b"", np.array(often + least, np.int64).tobytes())]
@@ -277,11 +282,12 @@ def add_up_rows(keys: np.ndarray, stats: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def _contexts(model: KneserNey, k: int):
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         number = int(frame["range_no"].iloc[0])
         keys, stats = add_up_rows(
             _unpacked(frame["lines"], np.uint64), _unpacked(frame["counts"], np.uint32, 4).astype(np.int64))
         save(f"{model.folder}/contexts{k}/{number:06d}.keys.npy", keys)
-        save(f"{model.folder}/contexts{k}/{number:06d}.counts.npy", np.ascontiguousarray(narrow(stats)))
+        save_counts(f"{model.folder}/contexts{k}/{number:06d}.counts.npy", stats)
         return pd.DataFrame({"range_no": [number]})
 
     return merge

@@ -432,3 +432,21 @@ def test_slopes_by_differences():
             p[i] = held
             penalty = 1e-4 * held if p is net.out else 0
             assert slope[i] - penalty == pytest.approx((above - below) / (2 * step), abs=2e-3)
+
+
+def test_counts_beyond_a_byte_stand_apart(tmp_path):
+    from midyear.llm.hasharrays import HashArray, save, save_counts
+
+    keys = np.arange(1, 11, dtype=np.uint64)
+    counts = np.array([1, 254, 255, 256, 70_000, 2**33, 3, 0, 255, 9])
+    stats = np.stack([counts, np.minimum(counts, 2), counts[::-1], np.zeros(10, np.int64)], axis=1)
+    for name, array in (("one", counts), ("four", stats)):
+        (tmp_path / name).mkdir()
+        save(f"{tmp_path}/{name}/000000.keys.npy", keys)
+        save_counts(f"{tmp_path}/{name}/000000.counts.npy", array)
+    asked = np.array([5, 3, 99, 1, 6, 5, 10, 2], np.uint64)
+    found = np.array([4, 2, -1, 0, 5, 4, 9, 1])
+    one = HashArray(f"{tmp_path}/one", 1, bytes=True).find(asked, np.zeros(8, np.int64))[1]
+    four = HashArray(f"{tmp_path}/four", 1, (4,), bytes=True).find(asked, np.zeros(8, np.int64))[1]
+    assert one.tolist() == np.where(found < 0, 0, counts[found]).tolist()
+    assert four.tolist() == np.where((found < 0)[:, None], 0, stats[found]).tolist()
