@@ -101,6 +101,11 @@ def range_of(keys: np.ndarray, n_ranges: int) -> np.ndarray:
     return (keys >> np.uint64(65 - n_ranges.bit_length())).astype(np.int64)
 
 
+def small_argsort(numbers: np.ndarray, n: int) -> np.ndarray:
+    """The stable order of numbers below ``n``; short numbers are sorted in linear time."""
+    return np.argsort(numbers.astype(np.uint16) if n <= 1 << 16 else numbers, kind="stable")
+
+
 def add_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, with their summed counts."""
     if not len(keys):
@@ -240,10 +245,16 @@ class HashArray:
 
         ``ranges`` names the range of each key where the key alone does not.
         """
-        asked, index, back = np.unique(keys, return_index=True, return_inverse=True)
-        where = range_of(asked, self.n_ranges) if ranges is None else ranges[index]
-        order = np.argsort(where, kind="stable")
-        asked, where = asked[order], where[order]
+        line = np.argsort(keys)
+        new = np.concatenate([[True], keys[line[1:]] != keys[line[:-1]]]) if len(keys) else np.zeros(0, bool)
+        index, back = line[new], np.empty(len(keys), np.int64)
+        back[line] = np.cumsum(new) - 1
+        asked = keys[index]
+        if ranges is None:  # in their order already
+            where, order = range_of(asked, self.n_ranges), np.arange(len(asked))
+        else:
+            order = small_argsort(ranges[index], self.n_ranges)
+            asked, where = asked[order], ranges[index][order]
         place = np.full(len(asked), -1, np.int64)
         count = np.zeros((len(asked), *self.width), np.int64)
         cuts = np.searchsorted(where, np.arange(self.n_ranges + 1))

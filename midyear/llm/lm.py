@@ -18,12 +18,13 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from midyear.llm.hasharrays import (
     GATHERED, HashArray, add_up, count_keys, in_32_bits, range_of, remove, save, save_counts,
-    shards_for, shared_files, shuffles_go,
+    shards_for, shared_files, shuffles_go, small_argsort,
 )
 from midyear.llm.texts import Words, frame_blocks, give_back, map_texts, mix
 from midyear.sources.shared import fresh_path
@@ -87,7 +88,8 @@ def _distinct(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def _blocks(kind: int, where: np.ndarray, near: np.ndarray, *arrays: np.ndarray) -> list[tuple]:
     """One row per range with its lines of ``arrays``, packed, in the order of ``near``; counts last."""
-    order = np.lexsort((near, where))
+    order = np.argsort(near)
+    order = order[small_argsort(where[order], int(where.max(initial=0)) + 1)]
     cuts = np.flatnonzero(np.concatenate([[True], np.diff(where[order]) != 0])) if len(where) else []
     out = []
     for a, b in zip(cuts, [*cuts[1:], len(where)]):
@@ -97,15 +99,16 @@ def _blocks(kind: int, where: np.ndarray, near: np.ndarray, *arrays: np.ndarray)
 
 
 def _packed(array: np.ndarray) -> bytes:
-    """Column by column, and of each the lowest bytes first, then the next: in order, they shrink on their way."""
+    """Column by column, and of each the lowest bytes first, then the next: in order, they pack small."""
     lines = array.reshape(len(array), -1)
-    return np.ascontiguousarray(lines.T).view(np.uint8).reshape(lines.shape[1], len(array), -1).transpose(0, 2, 1).tobytes()
+    planes = np.ascontiguousarray(lines.T).view(np.uint8).reshape(lines.shape[1], len(array), -1).transpose(0, 2, 1)
+    return zstandard.compress(planes.tobytes())
 
 
 def _unpacked(packed: pd.Series, kind: type, width: int = 1) -> np.ndarray:
     """The lines of all blocks, one below the other."""
     size = np.dtype(kind).itemsize
-    parts = [np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(width, size, -1).transpose(2, 0, 1)).view(kind)[:, :, 0]
+    parts = [np.ascontiguousarray(np.frombuffer(zstandard.decompress(b), np.uint8).reshape(width, size, -1).transpose(2, 0, 1)).view(kind)[:, :, 0]
              for b in packed]
     return np.concatenate(parts) if width > 1 else np.concatenate(parts)[:, 0]
 
