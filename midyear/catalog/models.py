@@ -132,5 +132,5 @@ SELECT l_returnflag, l_linestatus, year, age, CASE WHEN year IS NOT NULL THEN ro
 def _disaggregate(spark, sf):
     lines = derived(spark, sf, LINES)
     coefs = model.fit_grouped_logit(lines, KEYS)
-    split = model.disaggregate(derived(spark, sf, _SOME_TOTALS), lines, coefs, KEYS)
+    split = model.disaggregate(derived(spark, sf, _SOME_TOTALS), lines, coefs, KEYS, no_model="drop")
     return split.withColumn("population", F.round("population", 0))

@@ -192,10 +192,17 @@ def linear_predictor(year: Column, age: Column) -> Column:
     )
 
 
-def with_model(df: DataFrame, coefs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach coefficients; a row without a model, or with one that did not converge, fails."""
+def with_model(df: DataFrame, coefs: DataFrame, keys: Sequence[str], no_model: str = "fail") -> DataFrame:
+    """Attach coefficients; a row with a model that did not converge fails.
+
+    So does a row without a model (its key has no year that the fit could use), unless ``no_model`` is
+    ``drop``: such rows leave then.
+    """
+    if no_model not in ("fail", "drop"):
+        raise ValueError(f"no_model is fail or drop, not {no_model}")
     done = F.col("converged") if "converged" in coefs.columns else F.lit(True)
-    joined = join_on(df, coefs.select(*keys, "b0", "b_year", "b_age", done.alias("__done")), keys, "left")
+    joined = join_on(df, coefs.select(*keys, "b0", "b_year", "b_age", done.alias("__done")), keys,
+                     "left" if no_model == "fail" else "inner")
     missing = F.raise_error(
         F.concat(F.lit("no converged model for "), F.to_json(F.struct(*keys)))
     ).cast("double")
@@ -203,9 +210,9 @@ def with_model(df: DataFrame, coefs: DataFrame, keys: Sequence[str]) -> DataFram
 
 
 def score(df: DataFrame, coefs: DataFrame, keys: Sequence[str], year: str = "year",
-          age: str = "age", into: str = "predicted") -> DataFrame:
-    """Predicted share of every row."""
-    scored = with_model(df, coefs, keys).withColumn(
+          age: str = "age", into: str = "predicted", no_model: str = "fail") -> DataFrame:
+    """Predicted share of every row; ``no_model`` as in ``with_model``."""
+    scored = with_model(df, coefs, keys, no_model).withColumn(
         into, logistic(linear_predictor(F.col(year), F.col(age)))
     )
     return scored.drop("b0", "b_year", "b_age")
@@ -219,15 +226,16 @@ def disaggregate(
     year: str = "year",
     value: str = "population",
     age: str = "age",
+    no_model: str = "fail",
 ) -> DataFrame:
     """Spread each total over the distinct ages of ``ages`` by predicted share.
 
     Shares are normalised within (keys, year) by one aggregation of the expanded rows.  A total
-    without a year has no shares: its parts are NULL.
+    without a year has no shares: its parts are NULL.  ``no_model`` as in ``with_model``.
     """
     group = [*keys, year]
     keep = [c for c in totals.columns if c != value]
-    cells = expand_over(with_model(totals, coefs, keys), ages, age).withColumn(
+    cells = expand_over(with_model(totals, coefs, keys, no_model), ages, age).withColumn(
         "predicted", logistic(linear_predictor(F.col(year), F.col(age)))
     )
     sums = group_sum(cells, group, "predicted", "__sum")

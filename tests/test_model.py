@@ -2,12 +2,15 @@
 
 import math
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from midyear.catalog import ORACLES, QUERIES
 from midyear.operators import model
+from oracle import compare
 
 SCHEMA = "place string, year int, age int, population double"
 
@@ -159,3 +162,37 @@ def test_key_names_of_the_fit_are_refused(rows):
     df = rows([("a", 2000, 1, 1.0)], "p string, year int, age int, population double")
     with pytest.raises(ValueError, match="rename"):
         model.fit_grouped_logit(df, ["p"])
+
+
+def some_lines(path, spark, known):
+    """A lineitem table whose keys ``known`` have models; every year of the others has a NULL population."""
+    flags, made = [("A", "F"), ("N", "O"), ("R", "F")], []
+    for flag in flags:
+        for year in range(1995, 1998):
+            for line in range(1, 5):
+                order = 12 if flag in known else 4999 * 3 + 11
+                made.append((order, line, 10.0 + 3 * line + year % 3, 100.0, *flag, f"{year}-05-01"))
+    spark.createDataFrame(made, "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                                "l_returnflag string, l_linestatus string, l_shipdate string").withColumn(
+        "l_shipdate", F.col("l_shipdate").cast("timestamp")).write.parquet(f"{path}/lineitem.parquet")
+    return str(path)
+
+
+@pytest.mark.parametrize("known", [[("A", "F"), ("N", "O")], []])
+@pytest.mark.parametrize("name", ["disaggregate"])
+def test_queries_leave_out_keys_without_a_model_as_their_sql_does(spark, tmp_path, name, known):
+    path, con = some_lines(tmp_path, spark, known), duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{path}/lineitem.parquet/*.parquet'")
+    n, problems = compare(QUERIES[name](spark, path), con, ORACLES[name])
+    assert not problems and (n > 0) == bool(known)
+
+
+def test_dropping_rows_without_a_model_still_refuses_models_that_did_not_converge(rows):
+    marked = coefs(rows).withColumn("converged", F.col("place") == "a")
+    df = rows([("z", 2016, 10), ("a", 2016, 10)], "place string, year int, age int")
+    assert [r.place for r in model.score(df, marked, ["place"], no_model="drop").collect()] == ["a"]
+    bad = rows([("b", 2016, 10)], "place string, year int, age int")
+    with pytest.raises(PySparkException, match="no converged model"):
+        model.score(bad, marked, ["place"], no_model="drop").collect()
+    with pytest.raises(ValueError, match="no_model"):
+        model.score(df, marked, ["place"], no_model="skip")
