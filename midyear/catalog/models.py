@@ -110,7 +110,7 @@ JOIN fit f ON c.l_returnflag = f.l_returnflag AND c.l_linestatus = f.l_linestatu
 def _grouped_score(spark, sf):
     coefs = model.fit_grouped_logit(derived(spark, sf, LINES), KEYS)
     counts = derived(spark, sf, _ODD).groupBy(*KEYS, "year", "age").agg(F.count(F.lit(1)).alias("n"))
-    scored = model.score(counts, coefs, KEYS)
+    scored = model.score(counts, coefs, KEYS, no_model="drop")
     return scored.withColumns({"log_predicted": F.round(F.ln("predicted"), 3) + F.lit(0.0),
                                "predicted": F.round("predicted", 7)})
 

@@ -179,7 +179,7 @@ def some_lines(path, spark, known):
 
 
 @pytest.mark.parametrize("known", [[("A", "F"), ("N", "O")], []])
-@pytest.mark.parametrize("name", ["disaggregate"])
+@pytest.mark.parametrize("name", ["disaggregate", "grouped_score"])
 def test_queries_leave_out_keys_without_a_model_as_their_sql_does(spark, tmp_path, name, known):
     path, con = some_lines(tmp_path, spark, known), duckdb.connect()
     con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{path}/lineitem.parquet/*.parquet'")
