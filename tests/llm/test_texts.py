@@ -138,3 +138,47 @@ def test_a_frequent_line_is_sent_once_a_block(spark, tmp_path):
     rows = [x for part in sent for docs, lines in zip(part["docs"], part["lines"])
             for x in zip(np.frombuffer(docs, np.int64).tolist(), np.frombuffer(lines, np.int32).tolist())]
     assert len(rows) == 301 and rows.count((1, 0)) == 1 and (300, 0) not in rows
+
+
+def test_a_bucket_of_sets_opens_each_file_once(spark, tmp_path, monkeypatch):
+    import collections
+
+    import pandas as pd
+
+    from midyear.llm import hasharrays, lines
+    from midyear.llm.texts import Words
+
+    rng = np.random.default_rng(3)
+    texts = ["\n".join(" ".join(f"w{x}" for x in rng.integers(0, 30, 12)) for _ in range(20)) for _ in range(60)]
+    for name in ("words", "sets", "heads"):
+        (tmp_path / name).mkdir()
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    hasharrays.count_keys(docs, lambda some: Words(some, lower=True).hashes, str(tmp_path / "words"), 16)
+    join = lines.Join(str(tmp_path), 16, (4, 5), 256, 64)
+    sent = pd.concat(list(lines._sets(join)([pd.DataFrame({"id": range(60), "raw": [t.encode() for t in texts]})])))
+    stored = pd.concat([lines._store(join)(part) for _, part in sent.groupby("range_no")])
+    opened, mapped = collections.Counter(), hasharrays._mapped
+    monkeypatch.setattr(hasharrays, "OPEN", 2)
+    monkeypatch.setattr(hasharrays, "_mapped", lambda path: opened.update([path]) or mapped(path))
+    for _, bucket in stored.groupby("bucket"):
+        opened.clear()
+        lines._matches(join)(bucket)
+        assert max(opened.values()) == 1
+
+
+def test_pairs_are_verified_alike_on_copied_and_on_mapped_words(documents, monkeypatch):
+    import pandas as pd
+
+    from midyear.llm import lines
+
+    docs = documents(list(enumerate(_random_texts(11, 80, 12, lines=True))))
+    got = []
+    for most in (16_000_000, 0):
+        join, _ = lines.matched_lines(docs, (4, 5), 1, 1)
+        sent = list(lines._sets(join)(iter([docs.selectExpr("doc_id AS id", "cast(text AS binary) AS raw").toPandas()])))
+        sent = pd.concat(sent)
+        stored = pd.concat([lines._store(join)(part) for _, part in sent.groupby("range_no")])
+        monkeypatch.setattr(lines, "COPIED", most)
+        found = pd.concat([lines._matches(join)(part) for _, part in stored.groupby("bucket")])
+        got.append(sorted(set(map(tuple, found.to_numpy().tolist()))))
+    assert got[0] and got[0] == got[1]
