@@ -450,3 +450,47 @@ def test_counts_beyond_a_byte_stand_apart(tmp_path):
     four = HashArray(f"{tmp_path}/four", 1, (4,), bytes=True).find(asked, np.zeros(8, np.int64))[1]
     assert one.tolist() == np.where(found < 0, 0, counts[found]).tolist()
     assert four.tolist() == np.where((found < 0)[:, None], 0, stats[found]).tolist()
+
+
+def test_each_distinct_ngram_is_looked_up_once_a_block(documents, monkeypatch):
+    from midyear.llm import hasharrays
+
+    text = " ".join(f"w{k % 23} x{k % 7}" for k in range(100))
+    docs = documents([(i, text) for i in range(40)] + [(40, None)])
+    model = lm.fit(docs, 3)
+    asked, find = Counter(), hasharrays.HashArray.find
+
+    def counted(self, keys, ranges=None):
+        asked[self.folder.rsplit("/", 1)[1]] += len(keys)
+        assert len(set(keys.tolist())) == len(keys)
+        return find(self, keys, ranges)
+
+    monkeypatch.setattr(hasharrays.HashArray, "find", counted)
+    model.open()
+    seq, at, table, starts, _ = model.read([text.encode()] * 40 + [None])
+    p = model.probabilities_at(seq, at, table)
+    assert len(p) == starts[-1] == 40 * 201 + 1 and len(set(np.round(p, 12).tolist())) > 5
+    assert set(asked) == {"words", "grams1", "grams2", "grams3"}  # contexts are the n-grams of the order below
+    assert max(asked.values()) < 400
+
+
+def test_model_of_more_than_two_numbers_a_context(documents, tmp_path):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.5, 30) % 20) for _ in range(40)] + ["", None, "unknown w1 w2"]
+    docs = documents(list(enumerate(texts)))
+    got = {r.doc_id: r.score for r in lm.score(docs, lm.fit(docs.filter("doc_id < 30"), 4)).collect()}
+    for i, want in enumerate(_kneser_ney(texts[:30], texts, 4)):
+        assert got[i] == pytest.approx(want, rel=1e-12)
+
+
+def test_ngrams_too_wide_for_one_number_are_cut_into_pieces():
+    rng = np.random.default_rng(5)
+    numbers = rng.integers(0, 900, 700)
+    seq, at = lm.padded(numbers, np.array([0, 0, 300, 700]), 7, 900)
+    table, back = np.unique(seq, return_inverse=True)
+    got = []
+    for part, ends, some, bits in lm._pieces(back, at, table, 7):
+        assert 7 * bits <= 64
+        for one in lm._side_by_side(part, ends, 7, bits).tolist():
+            got.append(tuple(int(some[one >> bits * k & (1 << bits) - 1]) for k in range(6, -1, -1)))
+    assert got == [tuple(seq[i - 6 : i + 1].tolist()) for i in at]
