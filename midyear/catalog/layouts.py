@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from midyear.catalog.registry import query, table
 from midyear.catalog.scalars import sql_title
+from midyear.functions.text import pad_left
 from midyear.plans import layouts
 from midyear.sources import scans
 from midyear.sources.shared import fresh_path
@@ -81,7 +82,8 @@ def _text(c):
 
 
 def _file(prefix: str):
-    number = F.lpad((F.col("file_no") + 1).cast("string"), 2, "0")
+    # Never cut: workbooks from number 100 on would share the name of another one.
+    number = pad_left((F.col("file_no") + 1).cast("string"))
     return F.concat(F.lit(prefix), number, F.lit(" "), F.col("region"), F.lit(".xls"))
 
 
