@@ -254,6 +254,21 @@ class HashArray:
             out[cuts[k] : cuts[k + 1]] = self._range(k)[1][asked[cuts[k] : cuts[k + 1]] - self.starts[k]]
         return out[back]
 
+    def rows_of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where stored keys may repeat: all rows of all keys, and of each row the place of its key in ``keys``."""
+        order = np.argsort(keys)
+        asked = keys[order]
+        cuts = np.searchsorted(range_of(asked, self.n_ranges), np.arange(self.n_ranges + 1))
+        at, rows = [np.zeros(0, np.int64)], [np.zeros((0, *self.width), np.int64)]
+        for k in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+            part, (stored, counts) = slice(cuts[k], cuts[k + 1]), self._range(k)
+            low = np.searchsorted(stored, asked[part])
+            n = np.searchsorted(stored, asked[part], side="right") - low
+            who = np.repeat(np.arange(len(n)), n)
+            at.append(order[part][who])
+            rows.append(counts[low[who] + np.arange(len(who)) - (np.cumsum(n) - n)[who]])
+        return np.concatenate(at), np.concatenate(rows)
+
     def find(self, keys: np.ndarray, ranges: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Place of each key in the whole array, or -1, and its count (or row of counts), or 0.
 

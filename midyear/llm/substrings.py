@@ -10,7 +10,9 @@ long, the rows widen to their parent, all that share those words, by a bit vecto
 that depth, which is found from the wavelet trees too; the sorted suffixes go once the index is built.
 A window whose rows stand for two occurrences or more is repeated; each of its occurrences is removed.
 
-Copies of a segment are counted before they reach a shard.  An anchor with more than ``hot_segments``
+Copies of a segment are counted before they reach a shard.  The spans found lie in mapped arrays by the
+digests of segments; each text's segments are made once more to look theirs up, so texts are never sent
+from task to task.  An anchor with more than ``hot_segments``
 distinct segments is spread: its segments go on window by window, each dealt by its own words.
 Null texts have no words; repeated rows are documents each, so their windows repeat.
 """
@@ -18,6 +20,8 @@ Null texts have no words; repeated rows are documents each, so their windows rep
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -26,10 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from midyear.llm.fmindex import FMIndex
-from midyear.llm.hasharrays import HashArray, count_keys, shards_for, shared_files
-from midyear.llm.texts import Words, map_texts, mix
+from midyear.llm.hasharrays import HashArray, count_keys, save, shards_for, shared_files
+from midyear.llm.texts import Words, frame_blocks, give_back, map_texts, mix, small_batches
 from midyear.sources.shared import cut_lineage
 
+#: Segments that a task remembers to have sent on with their words.
+SENT = 100_000
+
 
 def runs_of_anchors(hashes: np.ndarray, starts: np.ndarray, window: int, gram: int):
     """Runs of windows with one anchor: first window, last window and the anchor's hash.
@@ -68,9 +75,21 @@ def _grams(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(mix(inner[:n], inner[half : half + n]), hashes[size - 1 :])
 
 
-def segment_spans(segments: list[bytes], counts: np.ndarray, window: int) -> list[list[tuple[int, int]]]:
-    """For each segment, the spans of words covered by windows with two occurrences or more."""
-    words = [segment.split(b" ") for segment in segments]
+def segment_spans(segments: list[bytes], counts: np.ndarray, places: np.ndarray, window: int) -> list[list[tuple[int, int]]]:
+    """For each segment, the spans of words covered by windows with two occurrences or more.
+
+    A segment that occurs twice is such a span as a whole.  Equal windows have equal places, so a segment
+    alone at its place shares no window; where some occur once beside others, the index holds all of the
+    place and those that occur once are streamed.
+    """
+    _, group = np.unique(places, return_inverse=True)
+    once = counts == 1
+    mixed = (np.bincount(group) > 1) & (np.bincount(group, once) > 0)
+    held = np.flatnonzero(mixed[group])
+    out = [[] if alone else [(0, segment.count(b" ") + 1)] for segment, alone in zip(segments, once.tolist())]
+    if not len(held):
+        return out
+    words = [segments[i].split(b" ") for i in held.tolist()]
     flat = [word for some in words for word in some]
     numbers = dict(zip(dict.fromkeys(flat), range(1 + len(words), 2**62)))
     lengths = np.array([len(some) for some in words], np.int64)
@@ -85,9 +104,11 @@ def segment_spans(segments: list[bytes], counts: np.ndarray, window: int) -> lis
     index.drop_order()
     parents = index.parents(window)
     many = np.zeros(len(text), bool)  # by the word a window begins at
-    low, high = np.zeros(len(words), np.int64), np.full(len(words), len(text), np.int64)
+    asked = np.flatnonzero(once[held])
+    starts, lengths = starts[asked], lengths[asked]
+    low, high = np.zeros(len(asked), np.int64), np.full(len(asked), len(text), np.int64)
     matched = 0  # words that the rows of the segments still streamed match
-    for step in range(int(lengths.max(initial=0))):
+    for step in range(int(lengths.max())):
         live = np.flatnonzero(lengths > step)
         at = starts[live] + lengths[live] - 1 - step
         below, above = index.step(text[at], low[live], high[live])
@@ -97,24 +118,53 @@ def segment_spans(segments: list[bytes], counts: np.ndarray, window: int) -> lis
             matched = window
         low[live], high[live] = below, above
         if matched == window:
-            many[at] = (above - below > 1) | (counts[live] > 1)
-    out = []
-    for start, length in zip(starts.tolist(), lengths.tolist()):
+            many[at] = above - below > 1
+    for i, start, length in zip(held[asked].tolist(), starts.tolist(), lengths.tolist()):
         spans: list[tuple[int, int]] = []
         for p in np.flatnonzero(many[start : start + length]).tolist():
             if spans and p <= spans[-1][1]:
                 spans[-1] = (spans[-1][0], p + window)
             else:
                 spans.append((p, p + window))
-        out.append(spans)
+        out[i] = spans
     return out
 
 
-def repeated_spans(docs: DataFrame, window: int, gram: int, shard_words: int, hot_segments: int) -> DataFrame:
-    """``doc_id, text_hash, spans`` of the documents with repeated windows."""
+class Segments:
+    """The segments of a block of texts that ``chosen`` takes by their anchors.
+
+    ``owner`` is a segment's text and ``first`` its first word, counted through the block; ``anchors``,
+    ``pieces`` (its words, parted by single spaces) and ``digests`` are per segment too.
+    """
+
+    def __init__(self, texts: list[bytes | None], window: int, gram: int, chosen: HashArray):
+        self.words = words = Words(texts)
+        first, last, keys = runs_of_anchors(words.hashes, words.first, window, gram)
+        kept = np.flatnonzero(chosen.find(keys)[0] >= 0)
+        first, last = first[kept], last[kept] + window - 1
+        self.first, self.anchors = first, keys[kept].view(np.int64)
+        odd = np.concatenate([[0], np.cumsum(
+            (words.starts[1:] != words.ends[:-1] + 1) | (words.bytes[words.ends[:-1]] != 0x20))])
+        self.pieces = [
+            words.raw[a:b] if plain else b" ".join(words.raw[a:b].split())
+            for a, b, plain in zip(words.starts[first].tolist(), words.ends[last].tolist(), (odd[first] == odd[last]).tolist())]
+        self.digests = list(map(xxhash.xxh3_128_digest, self.pieces))
+
+
+def _halves(digests: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Digests as two numbers each."""
+    both = np.frombuffer(b"".join(digests), ">u8").astype(np.uint64).reshape(-1, 2)
+    return both[:, 0], both[:, 1].view(np.int64)
+
+
+def repeated_spans(
+    docs: DataFrame, window: int, gram: int, shard_words: int, hot_segments: int,
+) -> tuple[str, str, int]:
+    """Folders of two arrays, and their number of ranges: the anchors that repeat, and of segments with
+    repeated windows, by digest, the rest of the digest and the spans of words to remove (runs jobs)."""
     spark = docs.sparkSession
-    n_ranges = shards_for(docs)
-    folder = shared_files(spark, "anchors")
+    n_ranges = max(16, shards_for(docs) // 4)  # a quarter: a block of texts asks for all of them
+    folder, spans_folder = shared_files(spark, "anchors"), shared_files(spark, "spans")
 
     def anchors(texts):
         words = Words(texts)
@@ -122,31 +172,26 @@ def repeated_spans(docs: DataFrame, window: int, gram: int, shard_words: int, ho
 
     count_keys(docs, anchors, folder, n_ranges, least=2)
 
-    def segments(batches):
-        repeated = HashArray(folder, n_ranges)
-        for texts in batches:
-            words = Words(texts)
-            first, last, keys = runs_of_anchors(words.hashes, words.first, window, gram)
-            kept = np.flatnonzero(repeated.find(keys)[0] >= 0)
-            first, last = first[kept], last[kept] + window - 1
-            owner = np.searchsorted(words.first, first, side="right") - 1
-            out, seen = [[] for _ in texts], set()
-            for i, key, start, a, b in zip(
-                    owner.tolist(), keys.view(np.int64)[kept].tolist(), (first - words.first[owner]).tolist(),
-                    words.starts[first].tolist(), words.ends[last].tolist()):
-                piece = b" ".join(words.raw[a:b].split())
-                digest = xxhash.xxh3_128_digest(piece)
-                out[i].append({"anchor": key, "digest": digest, "start": start,
-                               "words": None if digest in seen else piece})
-                seen.add(digest)
-            yield {"found": out, "text_hash": [xxhash.xxh3_128_digest(raw or b"") for raw in texts]}
-
-    found = map_texts(
-        docs, segments, "text_hash binary, found array<struct<anchor:bigint,digest:binary,start:int,words:binary>>")
-    found = cut_lineage(found.select("doc_id", "text_hash", F.inline("found")))
-    own = found.groupBy("anchor", "digest").agg(
-        F.first("words", ignorenulls=True).alias("words"), F.count(F.lit(1)).alias("n"))
-    own = cut_lineage(own)
+    def segments(frames):
+        repeated, sent = HashArray(folder, n_ranges), set()
+        for frame in (block for frame in frames for block in frame_blocks(frame)):
+            found = Segments(frame["raw"].tolist(), window, gram, repeated)
+            counts, at = Counter(found.digests), dict(zip(found.digests, range(len(found.digests))))
+            own = list(at.values())
+            if len(sent) > SENT:
+                sent.clear()
+            yield pd.DataFrame({
+                "anchor": found.anchors[own], "digest": list(at), "n": [counts[d] for d in at],
+                "words": [None if d in sent else found.pieces[i] for d, i in at.items()]})
+            sent.update(at)
+            found = None
+        give_back()
+
+    small_batches(spark)
+    found = docs.select(F.col("text").cast("binary").alias("raw")).mapInPandas(
+        segments, "anchor bigint, digest binary, n bigint, words binary")
+    own = cut_lineage(found.groupBy("anchor", "digest").agg(
+        F.first("words", ignorenulls=True).alias("words"), F.sum("n").alias("n")))
     hot = cut_lineage(own.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > hot_segments))
 
     def by_window(frames):
@@ -170,7 +215,7 @@ def repeated_spans(docs: DataFrame, window: int, gram: int, shard_words: int, ho
 
     def search(frame):
         counts = frame["n"].to_numpy(np.int64)
-        spans = segment_spans(frame["words"].tolist(), counts, window)
+        spans = segment_spans(frame["words"].tolist(), counts, frame["place"].to_numpy(np.int64), window)
         rows = [(p, a, b) for p, some in zip(frame["piece"], spans) for a, b in some]
         return pd.DataFrame(rows, columns=["piece", "first", "upto"])
 
@@ -179,9 +224,20 @@ def repeated_spans(docs: DataFrame, window: int, gram: int, shard_words: int, ho
     whole = matched.select(F.col("piece").alias("digest"), "first", "upto")
     shifted = spread.select("digest", "shift", "piece").join(matched, "piece").select(
         "digest", (F.col("shift") + F.col("first")).alias("first"), (F.col("shift") + F.col("upto")).alias("upto"))
-    spans = found.select("doc_id", "text_hash", "digest", "start").join(whole.union(shifted), "digest")
-    return spans.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct(
-        (F.col("start") + F.col("first")).alias("start"), (F.col("start") + F.col("upto")).alias("stop"))).alias("spans"))
+
+    def store(frame):
+        number = int(frame["range_no"].iloc[0])
+        keys, rest = _halves(frame["digest"].tolist())
+        order = np.argsort(keys)
+        save(f"{spans_folder}/{number:06d}.keys.npy", keys[order])
+        save(f"{spans_folder}/{number:06d}.counts.npy", np.column_stack([rest, frame["first"], frame["upto"]])[order])
+        return pd.DataFrame({"n": [len(keys)]})
+
+    head = F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("bigint")
+    range_no = F.shiftright(head, 33 - n_ranges.bit_length()).cast("int").alias("range_no")
+    whole.union(shifted).select(range_no, "digest", "first", "upto").groupBy("range_no").applyInPandas(
+        store, "n bigint").agg(F.sum("n")).collect()  # one row
+    return folder, spans_folder, n_ranges
 
 
 def without_repeats(
@@ -193,32 +249,32 @@ def without_repeats(
     hot_segments: int = 4096,
 ) -> DataFrame:
     """Columns ``carry`` with ``n_words, n_removed, kept_sha256`` and ``kept`` (the words left)."""
-    spans = repeated_spans(docs.select("doc_id", "text"), window, gram, shard_words, hot_segments)
-
-    def hashed(batches):
-        for texts in batches:
-            yield {"text_hash": [xxhash.xxh3_128_digest(raw or b"") for raw in texts]}
+    anchors, spans, n_ranges = repeated_spans(docs, window, gram, shard_words, hot_segments)
 
     def cut(batches):
-        for texts, found in batches:
+        repeated, found = HashArray(anchors, n_ranges), HashArray(spans, n_ranges, (3,))
+        for texts in batches:
+            own = Segments(texts, window, gram, repeated)
+            keys, rest = _halves(own.digests)
+            at, rows = found.rows_of(keys)
+            same = rows[:, 0] == rest[at]
+            at, rows = at[same], rows[same]
+            size = len(own.words.hashes) + 1
+            opened = np.bincount(own.first[at] + rows[:, 1], minlength=size)
+            opened -= np.bincount(own.first[at] + rows[:, 2], minlength=size)
+            left = np.cumsum(opened)[:-1] == 0
             out = {"n_words": [], "n_removed": [], "kept_sha256": [], "kept": []}
-            for raw, some in zip(texts, found):
-                words = raw.split() if raw else []
-                n_words, kept, upto = len(words), [], 0
-                for span in sorted(some or [], key=lambda s: s["start"]):
-                    kept += words[upto : span["start"]]
-                    upto = max(upto, span["stop"])
-                kept += words[upto:]
+            for raw, a, b in zip(texts, own.words.first[:-1].tolist(), own.words.first[1:].tolist()):
+                kept = raw.split() if raw else []
+                if not left[a:b].all():
+                    kept = list(compress(kept, left[a:b].tolist()))
                 joined = b" ".join(kept)
-                out["n_words"].append(n_words)
-                out["n_removed"].append(n_words - len(kept))
+                out["n_words"].append(b - a)
+                out["n_removed"].append(b - a - len(kept))
                 out["kept_sha256"].append(hashlib.sha256(joined).hexdigest())
                 out["kept"].append(joined.decode("utf-8", "replace"))
             yield out
 
-    rows = docs.select(F.struct(*dict.fromkeys(carry)).alias("row"), "doc_id", "text")
-    rows = map_texts(rows, hashed, "text_hash binary", ("row", "doc_id", "text"))
-    named = spans.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans")
-    met = rows.join(named, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
-    return map_texts(met, cut, "n_words bigint, n_removed bigint, kept_sha256 string, kept string",
-                     ("row",), beside="spans").select("row.*", "n_words", "n_removed", "kept_sha256", "kept")
+    rows = docs.select(F.struct(*dict.fromkeys(carry)).alias("row"), "text")
+    return map_texts(rows, cut, "n_words bigint, n_removed bigint, kept_sha256 string, kept string",
+                     ("row",)).select("row.*", "n_words", "n_removed", "kept_sha256", "kept")
